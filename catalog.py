@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.models import holt_winters, registry, simple, smoothing
 from seriesloom.operators import clean as C
-from seriesloom.operators import describe, lags, profile, season, trend, windows
+from seriesloom.operators import describe, diagnose, forecast, lags, profile, season, stationarity, trend, windows
 from seriesloom.operators.layout import ROWS_PER_CHUNK, observed
+from seriesloom.plans import select, validate
 from seriesloom.session import materialize
 from seriesloom.sources.panel import irregular_panel, regular_panel
 
@@ -253,3 +255,282 @@ def split_boundary(spark, sf_dir):
 @query
 def last_values(spark, sf_dir):
     return rounded(windows.last_values(hourly_series(spark, sf_dir), 7))
+
+
+# --- stationarity ---------------------------------------------------------------------------
+
+
+@query
+def adf_test(spark, sf_dir):
+    return rounded(stationarity.adf_test(daily(spark, sf_dir)), digits=6)
+
+
+@query
+def kpss_test(spark, sf_dir):
+    return rounded(stationarity.kpss_test(daily(spark, sf_dir)), digits=6)
+
+
+@query
+def stationarity_verdict(spark, sf_dir):
+    return rounded(stationarity.stationarity(hourly_series(spark, sf_dir)), digits=6)
+
+
+# --- models ---------------------------------------------------------------------------------
+
+
+@query
+def sma_fit(spark, sf_dir):
+    return rounded(simple.sma_rows(hourly_series(spark, sf_dir), 7).select("k", "t", "v", "fitted"))
+
+
+@query
+def linear_fit(spark, sf_dir):
+    return rounded(simple.linear_rows(hourly_series(spark, sf_dir)).select("k", "t", "v", "fitted"))
+
+
+@query
+def ses_fit(spark, sf_dir):
+    fit = smoothing.fit_smoothing(hourly_series(spark, sf_dir), "ses", 0.2)
+    return rounded(fit.select("k", "n", "level0", "level", "sse"), digits=7)
+
+
+@query
+def holt_fit(spark, sf_dir):
+    fit = smoothing.fit_smoothing(hourly_series(spark, sf_dir), "holt", 0.2, 0.1)
+    return rounded(fit.select("k", "n", "level0", "trend0", "level", "trend", "sse"), digits=7)
+
+
+@query
+def ses_fitted(spark, sf_dir):
+    return rounded(smoothing.fitted_smoothing(daily(spark, sf_dir), "ses", 0.2).select("k", "t", "v", "fitted"), digits=7)
+
+
+@query
+def holt_fitted(spark, sf_dir):
+    return rounded(smoothing.fitted_smoothing(daily(spark, sf_dir), "holt", 0.2, 0.1).select("k", "t", "v", "fitted"), digits=7)
+
+
+@query
+def ses_optimised(spark, sf_dir):
+    return smoothing.optimise_ses(hourly_series(spark, sf_dir))
+
+
+HW_GRID = [(a, b, c) for a in (0.1, 0.4) for b in (0.01, 0.2) for c in (0.05, 0.3)]
+
+
+def _hw_grid(spark, sf_dir, kind):
+    fit = holt_winters.fit_holt_winters(hourly_series(spark, sf_dir), 24, kind, HW_GRID, rounds=0)
+    return rounded(fit.select("k", "status", "n", "alpha", "beta", "gamma", "sse", "level", "trend"), "alpha", "beta", "gamma", digits=7)
+
+
+@query
+def holt_winters_additive_grid(spark, sf_dir):
+    return _hw_grid(spark, sf_dir, "add")
+
+
+@query
+def holt_winters_multiplicative_grid(spark, sf_dir):
+    return _hw_grid(spark, sf_dir, "mul")
+
+
+@query
+def holt_winters_additive_fit(spark, sf_dir):
+    return holt_winters.fit_holt_winters(hourly_series(spark, sf_dir), 12, "add")
+
+
+@query
+def holt_winters_multiplicative_fit(spark, sf_dir):
+    return holt_winters.fit_holt_winters(hourly_series(spark, sf_dir), 12, "mul")
+
+
+def _hw_fitted(spark, sf_dir, kind):
+    s = hourly_series(spark, sf_dir)
+    fit = holt_winters.fit_holt_winters(s, 24, kind, HW_GRID, rounds=0)
+    return rounded(holt_winters.fitted_holt_winters(s, fit, 24, kind).select("k", "t", "v", "fitted"), digits=7)
+
+
+@query
+def holt_winters_additive_fitted(spark, sf_dir):
+    return _hw_fitted(spark, sf_dir, "add")
+
+
+@query
+def holt_winters_multiplicative_fitted(spark, sf_dir):
+    return _hw_fitted(spark, sf_dir, "mul")
+
+
+# --- diagnostics and forecasts --------------------------------------------------------------
+
+
+@stored("fitted_rows")
+def fitted_rows(spark, sf_dir):
+    """Fitted rows of the four models with closed forms."""
+    s = hourly_series(spark, sf_dir)
+    out = None
+    for code in ("sma", "lr", "ses", "holt"):
+        rows = registry.run_model(s, code).rows
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def residual_tests(spark, sf_dir):
+    return rounded(diagnose.diagnose(fitted_rows(spark, sf_dir)), digits=6)
+
+
+@query
+def residual_histogram(spark, sf_dir):
+    return rounded(diagnose.residual_histogram(diagnose.residuals(fitted_rows(spark, sf_dir))), digits=7)
+
+
+@query
+def residual_qq(spark, sf_dir):
+    return rounded(diagnose.qq_points(diagnose.residuals(fitted_rows(spark, sf_dir)), 19), digits=7)
+
+
+@query
+def information_criteria(spark, sf_dir):
+    s = hourly_series(spark, sf_dir)
+    out = None
+    for code in ("sma", "lr", "ses", "holt"):
+        run = registry.run_model(s, code)
+        rows = fitted_rows(spark, sf_dir).filter(F.col("model") == code)
+        record = registry.model_record(run, rows, {})
+        out = record if out is None else out.unionByName(record)
+    return rounded(out.select("k", "model", "name", "mse", "aic", "bic", "aicc", "r_squared", "fitted_values_count"), digits=7)
+
+
+@query
+def future_grid(spark, sf_dir):
+    last = windows.last_values(hourly_series(spark, sf_dir), 1)
+    return forecast.future_grid(last, 24, "1 hour").withColumn("step", F.col("step").cast("long"))
+
+
+@query
+def forecast_table(spark, sf_dir):
+    s = hourly_series(spark, sf_dir)
+    out = None
+    for code in ("sma", "lr", "ses", "holt"):
+        table = registry.model_run(s, code)[1]
+        out = table if out is None else out.unionByName(table)
+    return rounded(out, digits=7)
+
+
+@query
+def interval_validation(spark, sf_dir):
+    """Moving-average forecasts from the first part of each series against the rows that follow."""
+    marked = windows.train_test_split(hourly_series(spark, sf_dir), 0.8)
+    train, test = marked.filter("part = 'train'").drop("part"), marked.filter("part = 'test'")
+    ends = train.groupBy("k").agg((F.max("i") + 1).alias("n"), F.max("t").alias("last_t"), F.stddev_pop("v").alias("data_std"))
+    rows = simple.sma_rows(train, 7)
+    spread = rows.groupBy("k").agg(F.stddev_samp(F.col("v") - F.col("fitted")).alias("resid_std")).join(ends, "k")
+    state = simple.sma_state(train, 7).withColumn("season", F.lit(None).cast("array<double>")).withColumn("kind", F.lit(None).cast("string"))
+    table = forecast.forecast_table(forecast.project(state, 24), ends, spread)
+    truth = test.join(ends.select("k", "n"), "k").select("k", (F.col("i") - F.col("n") + 1).cast("int").alias("step"), F.col("v").alias("actual"))
+    return rounded(forecast.validate_intervals(table, truth.filter("step <= 24")))
+
+
+# --- validation and selection ---------------------------------------------------------------
+
+
+def _rolling(spark, sf_dir, code, candidates, **folds):
+    v = validate.validate(hourly_series(spark, sf_dir), code, candidates, validate.Folds.rolling(**folds), HW_GRID)
+    return rounded(v, digits=6)
+
+
+@query
+def rolling_origin_sma(spark, sf_dir):
+    return _rolling(spark, sf_dir, "sma", validate.expand_grid(validate.GRIDS["sma"]))
+
+
+@query
+def rolling_origin_linear(spark, sf_dir):
+    return _rolling(spark, sf_dir, "lr", [{}])
+
+
+@query
+def rolling_origin_ses(spark, sf_dir):
+    """Folds overlap here: 36 rows are tested every 24 rows."""
+    return _rolling(spark, sf_dir, "ses", validate.expand_grid(validate.GRIDS["ses"]), horizon=36)
+
+
+@query
+def rolling_origin_holt(spark, sf_dir):
+    return _rolling(spark, sf_dir, "holt", validate.expand_grid(validate.GRIDS["holt"]))
+
+
+@query
+def rolling_origin_hw_add(spark, sf_dir):
+    return _rolling(spark, sf_dir, "holt_hw_add", [{"seasonal_periods": 24}])
+
+
+@query
+def rolling_origin_hw_mul(spark, sf_dir):
+    return _rolling(spark, sf_dir, "holt_hw_mul", [{"seasonal_periods": 24}])
+
+
+@query
+def holdout_ses(spark, sf_dir):
+    v = validate.validate(hourly_series(spark, sf_dir), "ses", validate.expand_grid(validate.GRIDS["ses"]), validate.Folds.holdout(0.7))
+    return rounded(v, digits=6)
+
+
+@query
+def grid_tested(spark, sf_dir):
+    tested = validate.grid_search(hourly_series(spark, sf_dir), "sma")
+    return rounded(tested.withColumn("window", F.col("params")["window"]).drop("params"), "window", digits=6)
+
+
+@query
+def grid_select(spark, sf_dir):
+    s = hourly_series(spark, sf_dir)
+    out = None
+    for code in ("sma", "lr", "ses", "holt"):
+        best = validate.best_candidate(validate.grid_search(s, code))
+        out = best if out is None else out.unionByName(best)
+    return rounded(out.select("k", "model", "cand", "mean_mse", "std_mse"), digits=6)
+
+
+@query
+def box_search(spark, sf_dir):
+    best = validate.box_search(hourly_series(spark, sf_dir), "ses", {"alpha": (0.01, 0.5, "real")}, calls=20)
+    return rounded(best.select("k", "model", "cand", F.col("params")["alpha"].alias("alpha"), "mean_mse"), "alpha", digits=6)
+
+
+@stored("validation_scores")
+def validation_scores(spark, sf_dir):
+    return validate.validation_run(hourly_series(spark, sf_dir), hw_grid=HW_GRID).select("k", "model", "cand", "mse", "std_mse")
+
+
+def _ordered(df):
+    """Position of the model in the fixed list, for ties."""
+    names = F.array(*[F.lit(c) for c in registry.NAMES])
+    return df.withColumn("model_order", F.array_position(names, F.col("model")))
+
+
+@query
+def validation_run(spark, sf_dir):
+    return rounded(validation_scores(spark, sf_dir), digits=6)
+
+
+@query
+def select_model(spark, sf_dir):
+    return rounded(select.select_best(_ordered(validation_scores(spark, sf_dir)), "AIC"), digits=6)
+
+
+@query
+def compare_models(spark, sf_dir):
+    records = information_criteria(spark, sf_dir).select("k", "model", "mse", "aic", "bic")
+    return select.compare_models(records).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query
+def model_runs(spark, sf_dir):
+    """Run records of all six models."""
+    s = hourly_series(spark, sf_dir)
+    out = None
+    for code in registry.NAMES:
+        p = {"seasonal_periods": 12, "grid": HW_GRID, "rounds": 1} if code.startswith("holt_hw") else {}
+        record = registry.model_run(s, code, p)[0]
+        out = record if out is None else out.unionByName(record)
+    return out
