@@ -35,10 +35,11 @@ def interpolate_time(df: DataFrame, col: str = "v", out: str | None = None) -> D
     carry = edges.select("k", "chunk", F.last("tail", True).over(back).alias("_before"),
                          F.last("head", True).over(ahead).alias("_after"))
     up = in_chunk("i").rowsBetween(Window.unboundedPreceding, 0)
-    down = in_chunk(F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
+    # both look-ups use the same order, so a chunk is sorted once
     near = (
-        df.withColumn("_p", F.last(seen, True).over(up))
-        .withColumn("_n", F.last(seen, True).over(down))
+        df.withColumn("_seen", seen)
+        .withColumn("_p", F.last("_seen", True).over(up))
+        .withColumn("_n", F.expr("lead(_seen) ignore nulls over (partition by k, chunk order by i)"))
         .join(carry, ["k", "chunk"])
         .withColumn("_p", F.coalesce("_p", "_before"))
         .withColumn("_n", F.coalesce("_n", "_after"))
@@ -51,7 +52,7 @@ def interpolate_time(df: DataFrame, col: str = "v", out: str | None = None) -> D
         .when(n.isNull(), p["x"])
         .otherwise(p["x"] + (n["x"] - p["x"]) * F.coalesce(share, F.lit(0.0)))
     )
-    return near.withColumn(out, filled).drop("_p", "_n", "_before", "_after")
+    return near.withColumn(out, filled).drop("_seen", "_p", "_n", "_before", "_after")
 
 
 def iqr_fences(df: DataFrame, col: str = "v", longest: int | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import BUFFER_ROWS, series_quantiles
+from .quantiles import BUFFER_ROWS, longest_series, series_quantiles
 
 PROBS = (0.25, 0.5, 0.75)
 
@@ -14,7 +14,7 @@ def describe_series(df: DataFrame, col: str = "v", keys: tuple = ("k",), longest
     """Count, mean, median, spread (n-1), extremes, exact quartiles, population shape measures."""
     keys = tuple(keys)
     if longest is None:
-        longest = df.groupBy(*keys).agg(F.count(col).alias("n")).agg(F.max("n")).first()[0] or 0
+        longest = longest_series(df, keys, col)
     plain = [
         F.count(col).alias("n"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.var_samp(col).alias("variance"), F.min(col).alias("min"), F.max(col).alias("max"),

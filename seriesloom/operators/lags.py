@@ -2,28 +2,43 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, DoubleType
 
-from .layout import in_chunk, with_halo, with_totals
+from .layout import with_halo, with_totals
+
+
+@pandas_udf(ArrayType(DoubleType()))
+def _chunk_products(c: pd.Series, lead: pd.Series, max_lag: pd.Series) -> pd.Series:
+    """Products summed over the own rows of a chunk; ``lead`` rows before them serve as lags."""
+
+    def sums(x, h, lags):
+        return [float(x[max(h, j):] @ x[max(h, j) - j: len(x) - j]) if j < len(x) else 0.0 for j in range(lags + 1)]
+
+    return pd.Series([sums(np.asarray(x), int(h), int(m)) for x, h, m in zip(c, lead, max_lag)])
 
 
 def lag_products(df: DataFrame, max_lag: int, col: str = "v", keys: tuple = ("k",)) -> DataFrame:
     """Per series: ``n`` and ``g``, where ``g[j]`` is the sum of c(i)·c(i-j) of the centred values.
 
     ``df`` holds observed rows without holes in ``i``.  Each chunk sees the ``max_lag`` rows before
-    it, and the sums combine on the map side.
+    it as part of one bounded array; only the sums per chunk and lag are shuffled.
     """
     keys = tuple(keys)
     plain = df.select(*keys, "i", "chunk", F.col(col).alias("x"))
     sized = with_totals(plain.withColumn("one", F.lit(1)), keys, n=("sum", "one"), total=("sum", "x"))
     centred = sized.select(*keys, "i", "chunk", "n", (F.col("x") - F.col("total") / F.col("n")).alias("c"))
-    w = in_chunk("i", keys=keys)
-    lagged = with_halo(centred, before=max_lag).select(
-        *keys, "home", "n", "c", *[F.lag("c", j).over(w).alias(f"c{j}") for j in range(1, max_lag + 1)]
-    ).filter("home")
-    sums = [F.sum(F.col("c") * F.col("c"))] + [F.coalesce(F.sum(F.col("c") * F.col(f"c{j}")), F.lit(0.0)) for j in range(1, max_lag + 1)]
-    return lagged.groupBy(*keys).agg(F.count("c").alias("n"), F.array(*sums).alias("g"))
+    arrays = with_halo(centred, before=max_lag).groupBy(*keys, "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("i", "c"))).alias("r"), F.count_if(~F.col("home")).alias("lead"), F.first("n").alias("n"))
+    own = arrays.filter(F.size("r") > F.col("lead"))
+    parts = own.select(*keys, "n", _chunk_products(F.transform("r", lambda r: r["c"]), F.col("lead"), F.lit(max_lag)).alias("g"))
+    sums = parts.select(*keys, "n", F.posexplode("g").alias("lag", "x")).groupBy(*keys, "lag").agg(F.first("n").alias("n"), F.sum("x").alias("x"))
+    return sums.groupBy(*keys).agg(
+        F.first("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("lag", "x"))), lambda p: p["x"]).alias("g"))
 
 
 def autocorrelation(df: DataFrame, max_lag: int, col: str = "v") -> DataFrame:

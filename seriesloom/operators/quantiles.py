@@ -13,6 +13,13 @@ SKETCH_ACCURACY = 10_000
 SLICES = 1024
 
 
+def longest_series(df: DataFrame, keys: tuple = ("k",), col: str = "v") -> int:
+    """Upper bound of the rows of any series; with positions at hand one column is enough."""
+    if "i" in df.columns:
+        return (df.agg(F.max("i")).first()[0] or 0) + 1
+    return df.groupBy(*keys).agg(F.count(col).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def series_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k",),
                      longest: int | None = None, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """``(keys, q ARRAY<DOUBLE>)`` with linear interpolation between order statistics.
@@ -23,7 +30,7 @@ def series_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k",),
     """
     keys = tuple(keys)
     if longest is None:
-        longest = df.groupBy(*keys).agg(F.count(col).alias("n")).agg(F.max("n")).first()[0] or 0
+        longest = longest_series(df, keys, col)
     if longest <= BUFFER_ROWS:
         return df.groupBy(*keys).agg(F.percentile(col, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
     return bracketed_quantiles(df, probs, col, keys, accuracy)

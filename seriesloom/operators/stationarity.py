@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.special import normal_cdf
+from ..session import materialize
 from .lags import lag_products
 from .layout import in_chunk, with_halo, with_totals
 
@@ -176,21 +177,22 @@ def _running_square_sum(df: DataFrame) -> DataFrame:
 def kpss_test(df: DataFrame) -> DataFrame:
     """KPSS test around a constant with the automatic lag of Hobijn et al. (1998)."""
     longest = (df.agg(F.max("i")).first()[0] or 0) + 1
-    short = max(1, int(longest ** (2.0 / 9.0)))
+    depth = max(1, int(12 * (longest / 100.0) ** 0.25), int(longest ** (2.0 / 9.0)))
     n = F.col("n")
 
-    def auto_lag(table: DataFrame) -> DataFrame:
+    def with_lags(products: DataFrame) -> DataFrame:
         span = F.floor(F.pow(n.cast("double"), F.lit(2.0 / 9.0)))
         s0 = F.col("g")[0] / n + _pieces(F.col("g"), span, lambda j: F.lit(2.0)) / n
         s1 = _pieces(F.col("g"), span, lambda j: j * 2.0) / n
         rate = 1.1447 * F.pow(F.pow(s1 / F.nullif(s0, F.lit(0.0)), F.lit(2.0)), F.lit(1.0 / 3.0))
-        return table.select("k", "n", F.least(F.floor(rate * F.pow(n.cast("double"), F.lit(1.0 / 3.0))), n - 1).alias("lags"))
-
-    chosen = auto_lag(lag_products(df, short))
-    # the chosen lag may exceed the first ones: look once at the largest, then sum that many
-    deepest = chosen.agg(F.max("lags")).first()[0] or 0
-    g = lag_products(df, max(int(deepest), 1)).drop("n")
-    table = chosen.join(g, "k").join(_running_square_sum(df), "k")
+        return products.withColumn("lags", F.least(F.floor(rate * F.pow(n.cast("double"), F.lit(1.0 / 3.0))), n - 1))
+
+    # the chosen lags seldom exceed the first depth; where they do, sum again as deep as needed
+    products = materialize(with_lags(lag_products(df, depth)), "autocov")
+    deepest = products.agg(F.max("lags")).first()[0] or 0
+    if deepest > depth:
+        products = products.drop("g").join(lag_products(df, int(deepest)).drop("n"), "k")
+    table = products.join(_running_square_sum(df), "k")
     long_run = (F.col("g")[0] + 2 * _pieces(F.col("g"), F.col("lags"), lambda j: 1 - j / (F.col("lags") + 1.0))) / n
     stat = F.col("square_sum") / (n * n) / F.nullif(long_run, F.lit(0.0))
     out = table.select("k", "n", stat.alias("statistic"), F.col("lags").cast("long").alias("used_lag"))

@@ -63,24 +63,18 @@ def sized(df: DataFrame) -> DataFrame:
 
 
 def test_rows(df: DataFrame, folds: Folds) -> DataFrame:
-    """``(k, origin, s, actual)``: test rows with their fold; ``s`` counts from 1 after the origin.
+    """``(k, origin, s, actual, t)``: test rows with their fold; ``s`` counts from 1 after the origin.
 
-    Fold numbers follow from the row number by arithmetic, so there is no range join.
+    ``s = 0`` marks the last training row of the fold.  Fold numbers follow from the row number by
+    arithmetic, so there is no range join.
     """
     i, first, step, horizon = F.col("i"), folds.first, folds.step, folds.horizon
     lo = F.greatest(F.lit(0), F.ceil((i - first - horizon + 1) / step))
-    hi = F.floor((i - first) / step)
-    late = sized(df).filter(i >= first)
+    hi = F.floor((i + 1 - first) / step)
+    late = sized(df).filter(i + 1 >= first)
     spread = late.withColumn("fold", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
-    return spread.select("k", (first + F.col("fold") * step).alias("origin"), "i", F.col("v").alias("actual")).select(
-        "k", "origin", (F.col("i") - F.col("origin") + 1).alias("s"), "actual")
-
-
-def fold_ends(df: DataFrame, folds: Folds) -> DataFrame:
-    """``(k, origin, train_end)``: last training time of each fold."""
-    origin = F.col("i") + 1
-    at = (origin >= folds.first) & (origin < F.col("n")) & (F.pmod(origin - folds.first, folds.step) == 0)
-    return sized(df).filter(at).select("k", origin.alias("origin"), F.col("t").alias("train_end"))
+    return spread.withColumn("origin", first + F.col("fold") * step).filter(F.col("origin") < F.col("n")).select(
+        "k", "origin", (i - F.col("origin") + 1).alias("s"), F.col("v").alias("actual"), "t")
 
 
 def _sums_at_origins(df: DataFrame, sums: dict[str, Column], keep: list[str], folds: Folds) -> DataFrame:
@@ -104,11 +98,18 @@ def _sums_at_origins(df: DataFrame, sums: dict[str, Column], keep: list[str], fo
 
 
 def sma_origins(df: DataFrame, windows: list[int], folds: Folds) -> DataFrame:
-    """Moving averages with partial windows: last fitted value and residual spread per origin."""
+    """Moving averages with partial windows: last fitted value and residual spread per origin.
+
+    All windows are differences of one running sum inside the chunk and its halo, so their cost does
+    not grow with the window.  The sum runs over centred values to keep its digits.
+    """
     base = with_halo(sized(df), before=max(windows) - 1)
     w = in_chunk("i")
-    averaged = base.select("k", "chunk", "i", "n", "v", "home", *[
-        F.avg("v").over(w.rowsBetween(-(x - 1), 0)).alias(f"m{j}") for j, x in enumerate(windows)]).filter("home")
+    mean = F.col("total") / F.col("n")
+    running = base.withColumn("mean", mean).withColumn("c", F.sum(F.col("v") - mean).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    averaged = running.select("k", "chunk", "i", "n", "v", "home", *[
+        (F.col("mean") + (F.col("c") - F.coalesce(F.lag("c", x).over(w), F.lit(0.0))) / F.least(F.col("i") + 1, F.lit(x))).alias(f"m{j}")
+        for j, x in enumerate(windows)]).filter("home")
     sums = {}
     for j in range(len(windows)):
         e = F.col("v") - F.col(f"m{j}")
@@ -117,10 +118,10 @@ def sma_origins(df: DataFrame, windows: list[int], folds: Folds) -> DataFrame:
     cells = F.explode(F.array(*[
         F.struct(F.lit(j).alias("cand"), F.col(f"m{j}").alias("level"), F.col(f"e{j}").alias("e"), F.col(f"q{j}").alias("q"))
         for j in range(len(windows))])).alias("c")
-    mean = F.col("c.e") / F.col("origin")
+    mean_e = F.col("c.e") / F.col("origin")
     return at.select("k", "origin", cells).select(
         "k", "c.cand", "origin", "c.level", F.lit(0.0).alias("slope"), F.lit(None).cast("array<double>").alias("season"),
-        F.sqrt(F.greatest(F.col("c.q") / F.col("origin") - mean * mean, F.lit(0.0))).alias("resid_std"))
+        F.sqrt(F.greatest(F.col("c.q") / F.col("origin") - mean_e * mean_e, F.lit(0.0))).alias("resid_std"))
 
 
 def linear_origins(df: DataFrame, folds: Folds) -> DataFrame:
@@ -164,14 +165,21 @@ def validate(df: DataFrame, code: str, candidates: list[dict], folds: Folds, hw_
     """``(k, model, cand, origin, train_end, mse, coverage)``; a failed fold has NULL mse and coverage 0."""
     states = origin_states(df, code, candidates, folds, hw_grid)
     tests = test_rows(df, folds)
-    everyone = tests.withColumn("cand", F.explode(F.array(*[F.lit(j) for j in range(len(candidates))])))
-    error = F.col("actual") - point(F.col("s"))
-    scored = everyone.join(states, ["k", "origin", "cand"], "left").groupBy("k", "cand", "origin").agg(
-        F.avg(error * error).alias("mse"),
+    # one row per (series, origin) on both sides of the join; candidates unfold after it
+    fields = ("level", "slope", "season", "kind", "resid_std")
+    packed = states.groupBy("k", "origin").agg(F.map_from_entries(F.collect_list(F.struct("cand", F.struct(*fields)))).alias("by_cand"))
+    met = tests.join(packed, ["k", "origin"], "left")
+    each = met.withColumn("cand", F.explode(F.array(*[F.lit(j) for j in range(len(candidates))])))
+    each = each.withColumn("st", F.try_element_at("by_cand", F.col("cand"))).select(
+        "k", "origin", "cand", "s", "actual", "t", *[F.col(f"st.{c}").alias(c) for c in fields])
+    tested = F.col("s") > 0
+    error = F.when(tested, F.col("actual") - point(F.col("s")))
+    scored = each.groupBy("k", "origin", "cand").agg(
+        F.avg(error * error).alias("mse"), F.max(F.when(~tested, F.col("t"))).alias("train_end"),
         F.coalesce(F.avg((F.abs(error) <= Z * F.col("resid_std")).cast("double")), F.lit(0.0)).alias("coverage"))
     finite = F.col("mse") < float("inf")
-    return scored.join(fold_ends(df, folds), ["k", "origin"], "left").select(
-        "k", F.lit(code).alias("model"), "cand", "origin", "train_end", F.when(finite, F.col("mse")).alias("mse"), "coverage")
+    return scored.select("k", F.lit(code).alias("model"), "cand", "origin", "train_end",
+                         F.when(finite, F.col("mse")).alias("mse"), "coverage")
 
 
 def cv_summary(folds: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import clean_double
 from ..operators.layout import ROWS_PER_CHUNK, index_series, tag_chunk
+from ..session import materialize
 
 
 def to_long(df: DataFrame, columns: list[str], time_col: str = "date") -> DataFrame:
@@ -16,8 +17,11 @@ def to_long(df: DataFrame, columns: list[str], time_col: str = "date") -> DataFr
 
 
 def irregular_panel(obs: DataFrame, rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Sum observations per ``(k, t)`` and number the observed rows."""
-    return index_series(obs.groupBy("k", "t").agg(F.sum("v").alias("v")), rows)
+    """Sum observations per ``(k, t)`` and number the observed rows.
+
+    The sums are stored first, since numbering reads them three times.
+    """
+    return index_series(materialize(obs.groupBy("k", "t").agg(F.sum("v").alias("v")), "sums"), rows)
 
 
 def regular_panel(obs: DataFrame, step: str, rows: int = ROWS_PER_CHUNK) -> DataFrame:
