@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,9 @@ from seriesloom.operators import clean as C
 from seriesloom.operators import describe, diagnose, forecast, lags, profile, season, stationarity, trend, windows
 from seriesloom.operators.layout import ROWS_PER_CHUNK, observed
 from seriesloom.plans import select, validate
-from seriesloom.session import materialize
-from seriesloom.sources.panel import irregular_panel, regular_panel
+from seriesloom.session import materialize, shared_dir
+from seriesloom.sources import files, sinks
+from seriesloom.sources.panel import irregular_panel, regular_panel, to_long
 
 QUERIES = {}
 _stored: dict[tuple, DataFrame] = {}
@@ -108,12 +111,10 @@ def import_profile(spark, sf_dir):
 
 @query
 def date_report(spark, sf_dir):
-    from seriesloom.sources.files import parse_dates
-
     raw = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("k"), F.when(
         F.col("o_orderpriority") == "5-LOW", F.concat(F.lit("day "), F.col("o_orderdate").cast("string"))
     ).otherwise(F.col("o_orderdate").cast("string")).alias("date"), F.col("o_totalprice").alias("v"))
-    return profile.date_report(parse_dates(raw, "date"))
+    return profile.date_report(files.parse_dates(raw, "date"))
 
 
 @query
@@ -134,8 +135,6 @@ def supplier_panel(spark, sf_dir):
 @query
 def wide_to_long(spark, sf_dir):
     """Two numeric columns as two series, summed by day."""
-    from seriesloom.sources.panel import to_long
-
     wide = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("date"), "l_quantity", "l_extendedprice")
     return rounded(irregular_panel(to_long(wide, ["l_quantity", "l_extendedprice"])).select("k", "t", "i", "v"))
 
@@ -430,6 +429,49 @@ def interval_validation(spark, sf_dir):
     return rounded(forecast.validate_intervals(table, truth.filter("step <= 24")))
 
 
+@query
+def evaluate_models(spark, sf_dir):
+    """The validation form of each model, fitted on the first 80% of each series."""
+    train = windows.train_test_split(hourly_series(spark, sf_dir), 0.8).filter("part = 'train'").drop("part")
+    out = None
+    for code in ("sma", "lr", "ses", "holt"):
+        points = registry.evaluate(train, code, 24)[0].withColumn("model", F.lit(code))
+        out = points if out is None else out.unionByName(points)
+    return rounded(out, digits=7)
+
+
+@query
+def csv_source(spark, sf_dir):
+    """Daily sums written as a wide CSV, read back through the column contract."""
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    wide = table(spark, sf_dir, "lineitem").groupBy(F.col("l_shipdate").cast("string").alias("Date")).agg(
+        F.sum("l_quantity").alias("Quantity"), F.sum("l_tax").alias("Tax"))
+    wide.write.option("header", True).csv(path)
+    back = files.series_from_wide(files.read_csv(spark, path, "Date string, Quantity double, Tax double"))
+    return rounded(irregular_panel(back).select("k", "t", "i", "v"))
+
+
+@query
+def forecast_sink(spark, sf_dir):
+    """Moving-average forecasts written as CSV by run and model, and read back."""
+    path = f"{shared_dir(spark)}/forecasts-{uuid.uuid4().hex}"
+    sinks.write_forecasts(registry.model_run(hourly_series(spark, sf_dir), "sma")[1], path, "run-1")
+    schema = "series_id string, step int, date timestamp_ntz, forecast double, lower_95 double, upper_95 double, run_id string, model string"
+    return rounded(spark.read.schema(schema).option("header", True).csv(path), digits=7)
+
+
+@query
+def event_sink(spark, sf_dir):
+    """Completion events of one model appended after a header event, and read back."""
+    path = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    s = hourly_series(spark, sf_dir)
+    sinks.append_events(sinks.header_event(spark, "run-1", {"models": "sma"}), path)
+    sinks.append_events(sinks.completion_events(registry.model_run(s, "sma")[0], "run-1"), path)
+    body = F.from_json("payload", "k string, model string, fitted_values_count bigint")
+    return sinks.read_events(spark, path).select("run_id", "event", body.alias("p")).select(
+        "run_id", "event", "p.k", "p.model", F.col("p.fitted_values_count").alias("n"))
+
+
 # --- validation and selection ---------------------------------------------------------------
 
 

@@ -348,6 +348,25 @@ SQL["interval_validation"] = f"""with {SERIES}, n as (select k, cast(greatest(1,
         from series s join n using (k) join sd using (k) join l using (k) where i >= tn and i < tn + 24 group by s.k)
     select k, {sel('~coverage', '~mean_width')}, horizon from r"""
 
+_TRAIN = f"""{SERIES}, tn as (select k, greatest(1, floor(count(*) * 0.8::double)) tn from series group by k),
+    train as (select s.* from series s join tn using (k) where i < tn)"""
+SQL["evaluate_models"] = f"""with recursive {_TRAIN}, {ses('train')}, {holt('train')}, n as (select k, count(*) n from train group by k),
+    st as (select t.k, 'sma' model, avg(v) l, 0.0::double b from train t join n using (k) where i >= n - 24 group by t.k
+        union all select k, 'lr', any_value(icpt + slope * (n - 1)), any_value(slope) from (select k, regr_slope(v, i) slope, regr_intercept(v, i) icpt from train group by k) join n using (k) group by k
+        union all select k, 'ses', "level", 0.0 from ses_f union all select k, 'holt', "level", trend from holt_f),
+    f as (select k, model, cast(step as int) step, l + step * b forecast from st, (select unnest(range(1, 25)) step) g)
+    select k, model, step, {sel('~forecast', digits=7)}, 'ok' as status from f"""
+SQL["csv_source"] = f"""with l as (select 'quantity' k, l_shipdate t, sum(l_quantity) v from lineitem group by 2
+    union all select 'tax', l_shipdate, sum(l_tax) from lineitem group by 2)
+    select k, t, row_number() over (partition by k order by t) - 1 as i, {sel('~v')} from l"""
+SQL["forecast_sink"] = f"""with {SERIES}, {SMA7}, n as (select k, count(*) n, max(t) last_t from series group by k), sd as (select k, stddev_samp(v - fitted) sd from sma group by k),
+    st as (select s.k, avg(v) l from series s join n using (k) where i >= n - 7 group by s.k),
+    f as (select st.k series_id, cast(step as int) step, last_t + to_hours(cast(step as int)) date, l forecast, l - 1.96 * sd lower_95, l + 1.96 * sd upper_95
+        from st join n using (k) join sd using (k), (select unnest(range(1, 25)) step) g)
+    select series_id, step, date, {sel('~forecast', '~lower_95', '~upper_95', digits=7)}, 'run-1' as run_id, 'sma' as model from f"""
+SQL["event_sink"] = f"""with {SERIES} select 'run-1' as run_id, 'process_header' as event, null::varchar as k, null::varchar as model, null::bigint as n
+    union all select 'run-1', 'model_completion', k, 'sma', count(*) - 6 from series group by k"""
+
 # --- validation and selection ---------------------------------------------------------------
 
 ROLL = "greatest(2, floor(count(*) * 0.5::double))::bigint n0, 24::bigint st, 24::bigint hz"

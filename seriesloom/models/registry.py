@@ -76,6 +76,19 @@ def forecast_points(run: ModelRun, df: DataFrame, horizon: int = HORIZON, fallba
     return with_fallback(project(run.state.filter(F.col("status") == "ok"), horizon), df, fallback)
 
 
+def evaluate(train: DataFrame, code: str, horizon: int = HORIZON, params: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Fit on training rows: ``(forecasts, fitted rows with residual e)`` as validation uses them.
+
+    The moving average has partial windows of 24 rows by default here, and a missing forecast is
+    replaced by the last value.
+    """
+    p = dict(params or {})
+    if code == "sma":
+        p = {"window": simple.SMA_WINDOW_VALIDATION, **p, "partial": True}
+    run = run_model(train, code, p)
+    return forecast_points(run, train, horizon, "last"), run.rows.withColumn("e", F.col("v") - F.col("fitted"))
+
+
 def n_estimated(code: str, params: dict) -> int | None:
     if code not in _ESTIMATED:
         return None

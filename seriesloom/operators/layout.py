@@ -90,22 +90,16 @@ def with_totals(df: DataFrame, keys: tuple = ("k",), **totals: tuple) -> DataFra
 
 
 def with_halo(df: DataFrame, before: int = 0, after: int = 0) -> DataFrame:
-    """Copy the edge rows of each chunk to its neighbours, so that bounded frames are complete.
+    """Copy each row to every chunk whose rows may look at it, so that bounded frames are complete.
 
     ``home`` is true on the original rows.  ``before`` is the number of rows a frame looks back,
-    ``after`` the number it looks ahead; both are bounded by the chunk length.
+    ``after`` the number it looks ahead.  Only rows near a chunk edge are copied.
     """
     rows = chunk_rows(df)
-    if max(before, after) > rows:
-        raise ValueError(f"a frame of {max(before, after)} rows needs chunks of at least that length")
-    place = F.col("i") % rows
-    own = F.col("chunk")
-    targets = [own]
-    if before:
-        targets.append(F.when(place >= rows - before, own + 1))
-    if after:
-        targets.append(F.when((place < after) & (own > 0), own - 1))
-    spread = df.withColumn("_chunk", F.explode(F.array_compact(F.array(*targets))))
+    own, i = F.col("chunk"), F.col("i")
+    first = F.greatest(F.lit(0).cast("long"), F.floor((i - after) / rows)) if after else own
+    last = F.floor((i + before) / rows) if before else own
+    spread = df.withColumn("_chunk", F.explode(F.sequence(first, last)))
     keep = [c for c in df.columns if c != "chunk"]
     return spread.select(*keep, tag_chunk(F.col("_chunk"), rows), (F.col("_chunk") == own).alias("home"))
 

@@ -55,12 +55,14 @@ def bracketed_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k"
         F.percentile_approx(col, [*lows, *highs], accuracy).alias("s"),
     )
     m = len(probs)
+    # the sketch is off by at most n / accuracy ranks; below this size one rank more would matter
+    small = F.col("n") < 4 * accuracy
     brackets = sketch.select(*keys, F.array(*[
         F.struct(
             F.lit(j).alias("j"),
             (F.lit(probs[j]) * (F.col("n") - 1)).alias("h"),
-            (F.col("lo_all") if lows[j] <= 0 else F.col("s")[j]).alias("lo"),
-            (F.col("hi_all") if highs[j] >= 1 else F.col("s")[m + j]).alias("hi"),
+            (F.col("lo_all") if lows[j] <= 0 else F.when(small, F.col("lo_all")).otherwise(F.col("s")[j])).alias("lo"),
+            (F.col("hi_all") if highs[j] >= 1 else F.when(small, F.col("hi_all")).otherwise(F.col("s")[m + j])).alias("hi"),
         ) for j in range(m)
     ]).alias("brackets"))
     x = F.col(col)
