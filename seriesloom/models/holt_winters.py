@@ -14,7 +14,7 @@ import itertools
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.layout import attach, chunk_rows, tag_chunk
@@ -160,8 +160,6 @@ def _entries(work: DataFrame, m: int, mul: bool, rows: int) -> DataFrame:
         "*", F.lit(None).cast("array<double>").alias("sse"), F.lit(None).cast("array<double>").alias("esum"))
     sums = opened.mapInPandas(_run_in_order(m, False, False), _IN)
     cells = sums.select("k", "chunk", F.posexplode(F.arrays_zip("sse", "esum")).alias("p", "z"))
-    from pyspark.sql import Window
-
     upto = Window.partitionBy("k", "p").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
     total = cells.select("k", "chunk", "p", F.sum("z.sse").over(upto).alias("s"), F.sum("z.esum").over(upto).alias("e"))
     packed = total.groupBy("k", "chunk").agg(F.array_sort(F.collect_list(F.struct("p", "s", "e"))).alias("z"))
@@ -225,9 +223,9 @@ def seasonal_start(df: DataFrame, m: int, mul: bool) -> DataFrame:
     return ok.select("k", "status", F.when(F.col("status") == "ok", F.concat(F.array("l0", "b0"), season)).alias("start"))
 
 
-def _work(df: DataFrame, m: int, mul: bool) -> DataFrame:
+def _work(df: DataFrame, start: DataFrame) -> DataFrame:
     blocks = series_blocks(df)
-    start = seasonal_start(df, m, mul).filter(F.col("start").isNotNull()).select("k", "start")
+    start = start.filter(F.col("start").isNotNull()).select("k", "start")
     rows = chunk_rows(df)
     sized = blocks.withColumn("is_last", (F.col("chunk") + 1) * rows >= F.col("n"))
     return materialize(attach(sized, start), "hw_blocks")
@@ -252,7 +250,8 @@ def fit_holt_winters(df: DataFrame, seasonal_periods: int = 24, kind: str = "add
                      rounds: int = 3, tolerance: float = 1e-4) -> DataFrame:
     """Weights, final state and squared error, one row per series, failed series included."""
     m, mul, rows = int(seasonal_periods), kind == "mul", chunk_rows(df)
-    work = _work(df, m, mul)
+    start = materialize(seasonal_start(df, m, mul), "hw_start")
+    work = _work(df, start)
     keep = ["k", F.col("pos").alias("n"), "alpha", "beta", "gamma", "sse", "esum", "level", "trend", "season"]
     best = hw_states(work, m, mul, rows, params_column(grid or GRID)).filter("is_end").select(*keep)
     best = materialize(best.withColumn("converged", F.lit(rounds == 0)), "hw_round")
@@ -262,7 +261,7 @@ def fit_holt_winters(df: DataFrame, seasonal_periods: int = 24, kind: str = "add
         prev = best.select("k", F.col("sse").alias("prev"))
         best = materialize(finer.join(prev, "k").withColumn(
             "converged", F.col("prev") - F.col("sse") <= tolerance * F.col("prev")).drop("prev"), "hw_round")
-    return seasonal_start(df, m, mul).select("k", "status").join(best, "k", "left").withColumn("resid_mean", F.col("esum") / F.col("n")).drop("esum")
+    return start.select("k", "status").join(best, "k", "left").withColumn("resid_mean", F.col("esum") / F.col("n")).drop("esum")
 
 
 def _fit_chunks(m: int, mul: bool):
@@ -287,7 +286,7 @@ def fitted_holt_winters(df: DataFrame, fit: DataFrame, seasonal_periods: int = 2
     """Observed rows with their one-step forecast under the weights of ``fit``."""
     m, mul, rows = int(seasonal_periods), kind == "mul", chunk_rows(df)
     chosen = fit.filter(F.col("alpha").isNotNull()).select("k", F.array(F.array("alpha", "beta", "gamma")).alias("params"))
-    full = attach(_work(df, m, mul), chosen).select("k", "chunk", "y", "start", "is_last", "params")
+    full = attach(_work(df, seasonal_start(df, m, mul)), chosen).select("k", "chunk", "y", "start", "is_last", "params")
     opened = full.join(_entries(full, m, mul, rows), ["k", "chunk"], "left")
     arrays = opened.mapInPandas(_fit_chunks(m, mul), "k string, chunk long, fitted array<double>")
     run = series_blocks(df, with_time=True).join(arrays, ["k", "chunk"])
@@ -301,7 +300,7 @@ def holt_winters_origins(df: DataFrame, seasonal_periods: int, kind: str, first:
                          grid: list[tuple] | None = None) -> DataFrame:
     """At every validation origin: the best weights for that prefix and the state they give."""
     m, mul, rows = int(seasonal_periods), kind == "mul", chunk_rows(df)
-    work = _work(df, m, mul)
+    work = _work(df, seasonal_start(df, m, mul))
     states = hw_states(work, m, mul, rows, params_column(grid or GRID), origin_marks(rows, F.col("n"), first, step))
     mean = F.col("esum") / F.col("pos")
     return states.filter(F.col("is_origin") & (F.col("pos") >= 2 * m)).select(

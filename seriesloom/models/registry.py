@@ -49,8 +49,9 @@ def run_model(df: DataFrame, code: str, params: dict | None = None) -> ModelRun:
         state = simple.linear_state(df).withColumn("params", F.to_json(F.struct("slope", "intercept")))
     elif code in ("ses", "holt"):
         a, b = float(p.get("alpha", smoothing.ALPHA)), float(p.get("beta", smoothing.BETA))
-        rows = smoothing.fitted_smoothing(df, code, a, b)
-        fit = smoothing.fit_smoothing(df, code, a, b)
+        states = materialize(smoothing.smoothing_states(df, code, a, b), "states")
+        rows = smoothing.fitted_smoothing(df, code, a, b, states)
+        fit = smoothing.fit_smoothing(df, code, a, b, states)
         shown = F.struct("alpha") if code == "ses" else F.struct("alpha", "beta")
         state = fit.withColumn("slope", F.col("trend")).withColumn("params", F.to_json(shown))
     elif code in ("holt_hw_add", "holt_hw_mul"):

@@ -23,9 +23,9 @@ from .blocks import chunk_runs, origin_marks, padded, params_column, pieces, ser
 ALPHA = 0.2
 BETA = 0.1
 
-_STATS = "k string, chunk long, pos long, is_end boolean, is_origin boolean, stats array<double>"
+_STATS = "k string, chunk long, n long, mean double, pos long, is_end boolean, is_origin boolean, stats array<double>"
 _CARRY = "k string, chunk long, carry array<double>"
-_STATES = ("k string, chunk long, pos long, is_end boolean, is_origin boolean, cand int, start array<double>, "
+_STATES = ("k string, chunk long, n long, mean double, pos long, is_end boolean, is_origin boolean, cand int, start array<double>, "
            "state array<double>, sse double, resid_mean double, entry array<double>")
 
 
@@ -105,7 +105,7 @@ def _fold_chunks(dim: int, rows: int):
                 local = np.array([o[1] for o in out])
                 marks = part["marks"].tolist()
                 yield pd.DataFrame({
-                    "k": part["k"].to_numpy()[idx], "chunk": part["chunk"].to_numpy()[idx],
+                    **{c: part[c].to_numpy()[idx] for c in ("k", "chunk", "n", "mean")},
                     "pos": part["chunk"].to_numpy()[idx] * rows + local, "is_end": size[idx] == local,
                     "is_origin": [int(p) in set(map(int, marks[q])) for q, p in zip(idx, local)],
                     "stats": [o[2] for o in out],
@@ -145,7 +145,7 @@ def _solve_starts(dim: int):
             cands = carry.shape[1]
             rep = np.repeat(np.arange(len(part)), cands)
             flat = lambda x: list(x.reshape(len(rep), -1))
-            out = part[["k", "chunk", "pos", "is_end", "is_origin"]].iloc[rep].reset_index(drop=True)
+            out = part[["k", "chunk", "n", "mean", "pos", "is_end", "is_origin"]].iloc[rep].reset_index(drop=True)
             yield out.assign(
                 cand=np.tile(np.arange(cands), len(part)), start=flat(start), state=flat(off + _times(phi, start)),
                 sse=np.maximum(srr - (start * srg).sum(-1), 0.0).ravel(),
@@ -163,7 +163,7 @@ def affine_states(blocks: DataFrame, dim: int, rows: int, params: Column, marks:
     scan by series; marks meet their chunk's carry in a join on ``(k, chunk)``.
     """
     none = F.array().cast("array<int>")
-    work = blocks.select("k", "chunk", "mean", "y", params.alias("params"), (none if marks is None else marks).alias("marks"))
+    work = blocks.select("k", "chunk", "n", "mean", "y", params.alias("params"), (none if marks is None else marks).alias("marks"))
     folded = materialize(work.mapInPandas(_fold_chunks(dim, rows), _STATS), "folded")
     ends = folded.filter("is_end").select("k", "chunk", "stats")
     carry = ends.repartition("k").sortWithinPartitions("chunk", "k").mapInPandas(_scan_chunks(dim), _CARRY)
@@ -171,36 +171,34 @@ def affine_states(blocks: DataFrame, dim: int, rows: int, params: Column, marks:
 
 
 def _final(states: DataFrame) -> DataFrame:
-    last = states.filter("is_end").groupBy("k", "cand").agg(
-        F.max_by(F.struct("pos", "start", "state", "sse", "resid_mean"), "pos").alias("f"))
-    return last.select("k", "cand", "f.*")
-
-
-def fit_candidates(blocks: DataFrame, dim: int, rows: int, params: Column) -> DataFrame:
-    return _final(affine_states(blocks, dim, rows, params))
+    """State at the end of each series: the chunk end that sits at position ``n``."""
+    return states.filter(F.col("is_end") & (F.col("pos") == F.col("n"))).select(
+        "k", "cand", "n", "mean", "start", "state", "sse", "resid_mean")
 
 
 def _dim(model: str) -> int:
     return {"ses": 1, "holt": 2}[model]
 
 
-def _flat_fit(final: DataFrame, blocks: DataFrame, dim: int) -> DataFrame:
-    means = blocks.groupBy("k").agg(F.first("mean").alias("mean"), F.first("n").alias("n"))
+def _flat_fit(final: DataFrame, dim: int, *extra: str) -> DataFrame:
     slope = F.col("state")[1] if dim == 2 else F.lit(0.0)
     slope0 = F.col("start")[1] if dim == 2 else F.lit(0.0)
-    return final.join(means, "k").select(
+    return final.select(
         "k", "n", "alpha", "beta", (F.col("start")[0] + F.col("mean")).alias("level0"), slope0.alias("trend0"),
-        (F.col("state")[0] + F.col("mean")).alias("level"), slope.alias("trend"), "sse", "resid_mean",
-    )
+        (F.col("state")[0] + F.col("mean")).alias("level"), slope.alias("trend"), "sse", "resid_mean", *extra)
+
 
+def smoothing_states(df: DataFrame, model: str, alpha: float = ALPHA, beta: float = BETA) -> DataFrame:
+    """States for one pair of weights; shared by the fit and the fitted rows."""
+    return affine_states(series_blocks(df), _dim(model), chunk_rows(df), params_column([(alpha, beta)]))
 
-def fit_smoothing(df: DataFrame, model: str, alpha: float = ALPHA, beta: float = BETA) -> DataFrame:
+
+def fit_smoothing(df: DataFrame, model: str, alpha: float = ALPHA, beta: float = BETA, states: DataFrame | None = None) -> DataFrame:
     """Fit with given weights: start, final state and squared error, one row per series."""
-    dim, rows = _dim(model), chunk_rows(df)
-    blocks = series_blocks(df)
-    final = fit_candidates(blocks, dim, rows, params_column([(alpha, beta)]))
+    dim = _dim(model)
+    final = _final(smoothing_states(df, model, alpha, beta) if states is None else states)
     final = final.withColumn("alpha", F.lit(float(alpha))).withColumn("beta", F.lit(float(beta) if dim == 2 else None).cast("double"))
-    return _flat_fit(final, blocks, dim)
+    return _flat_fit(final, dim)
 
 
 @pandas_udf(ArrayType(DoubleType()))
@@ -217,11 +215,11 @@ def _one_step(y: pd.Series, alpha: pd.Series, beta: pd.Series, level: pd.Series,
     return pd.Series([out[r, :n] for r, n in enumerate(size)])
 
 
-def fitted_smoothing(df: DataFrame, model: str, alpha: float = ALPHA, beta: float = BETA) -> DataFrame:
+def fitted_smoothing(df: DataFrame, model: str, alpha: float = ALPHA, beta: float = BETA, states: DataFrame | None = None) -> DataFrame:
     """Observed rows with their one-step forecast ``fitted``."""
     dim, rows = _dim(model), chunk_rows(df)
     blocks = series_blocks(df, with_time=True)
-    states = affine_states(blocks, dim, rows, params_column([(alpha, beta)]))
+    states = materialize(smoothing_states(df, model, alpha, beta), "states") if states is None else states
     start = _final(states).select("k", F.col("start").alias("x0"))
     e, x0 = F.col("entry"), F.col("x0")
     if dim == 1:
@@ -246,9 +244,8 @@ def smoothing_origins(df: DataFrame, model: str, candidates: list[tuple], first:
     dim, rows = _dim(model), chunk_rows(df)
     blocks = series_blocks(df)
     states = affine_states(blocks, dim, rows, params_column(candidates), origin_marks(rows, F.col("n"), first, step))
-    means = blocks.groupBy("k").agg(F.first("mean").alias("mean"))
     var = F.col("sse") / F.col("pos") - F.col("resid_mean") * F.col("resid_mean")
-    return states.filter("is_origin").join(means, "k").select(
+    return states.filter("is_origin").select(
         "k", "cand", F.col("pos").alias("origin"), (F.col("state")[0] + F.col("mean")).alias("level"),
         (F.col("state")[1] if dim == 2 else F.lit(0.0)).alias("slope"), F.lit(None).cast("array<double>").alias("season"),
         F.sqrt(F.greatest(var, F.lit(0.0))).alias("resid_std"))
@@ -265,19 +262,20 @@ def optimise_ses(df: DataFrame, rounds: int = 6, points: int = 9) -> DataFrame:
     params, width = params_column([(j / (points + 1.0), 0.0) for j in range(1, points + 1)]), 1.0 / (points + 1)
     work, best = blocks, None
     for r in range(rounds):
-        final = fit_candidates(work, 1, rows, params)
-        picked = final.groupBy("k").agg(F.min_by(F.struct("cand", "start", "state", "sse", "resid_mean"), F.struct("sse", "cand")).alias("b"))
-        centre = F.lit(0.0) if best is None else F.col("centre")
-        alpha = (F.col("b.cand") + 1) / F.lit(points + 1.0) if best is None else _grid_value(centre, F.col("b.cand"), width, points)
-        found = picked if best is None else picked.join(best.select("k", F.col("alpha").alias("centre"), F.col("sse").alias("prev")), "k")
-        prev = F.lit(None).cast("double") if best is None else F.col("prev")
-        best = materialize(found.select("k", alpha.alias("alpha"), "b.start", "b.state", "b.sse", "b.resid_mean",
-                                        (F.abs(prev - F.col("b.sse")) <= 1e-6 * prev).alias("converged")), "ses_round")
+        final = _final(affine_states(work, 1, rows, params))
+        fields = ("cand", "n", "mean", "start", "state", "sse", "resid_mean")
+        picked = final.groupBy("k").agg(F.min_by(F.struct(*fields), F.struct("sse", "cand")).alias("b")).select("k", "b.*")
+        if best is None:
+            found = picked.withColumn("alpha", (F.col("cand") + 1) / F.lit(points + 1.0)).withColumn("converged", F.lit(False))
+        else:
+            found = picked.join(best.select("k", F.col("alpha").alias("centre"), F.col("sse").alias("prev")), "k") \
+                .withColumn("alpha", _grid_value(F.col("centre"), F.col("cand"), width, points)) \
+                .withColumn("converged", F.abs(F.col("prev") - F.col("sse")) <= 1e-6 * F.col("prev")).drop("centre", "prev")
+        best = materialize(found, "ses_round")
         width = width if r == 0 else width / (points // 2 + 1)
         work = attach(blocks, best.select("k", F.col("alpha").alias("centre")))
         params = F.array(*[F.array(_grid_value(F.col("centre"), F.lit(j), width, points), F.lit(0.0)) for j in range(points)])
-    out = _flat_fit(best.withColumn("beta", F.lit(None).cast("double")), blocks, 1)
-    return out.join(best.select("k", F.coalesce("converged", F.lit(False)).alias("converged")), "k")
+    return _flat_fit(best.withColumn("beta", F.lit(None).cast("double")), 1, "converged")
 
 
 def _grid_value(centre: Column, j: Column, width: float, points: int) -> Column:
