@@ -13,11 +13,16 @@ CELLS = 4_000_000
 
 
 def series_blocks(df: DataFrame, with_time: bool = False) -> DataFrame:
-    """``(k, chunk, n, mean, y[, t])`` from observed rows; arrays hold at most one chunk."""
+    """``(k, chunk, n, mean, y[, t])`` from observed rows; arrays hold at most one chunk.
+
+    The recursions cost far more per byte than a scan, so the rows keep the full number of shuffle
+    partitions instead of being merged by size.
+    """
     sized = with_totals(df.select("k", "t", "v", "i", "chunk").withColumn("one", F.lit(1)),
                         n=("sum", "one"), total=("sum", "v"))
     row = F.struct("i", "v", "t") if with_time else F.struct("i", "v")
-    arrays = sized.groupBy("k", "chunk").agg(
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    arrays = sized.repartition(parts, "k", "chunk").groupBy("k", "chunk").agg(
         F.array_sort(F.collect_list(row)).alias("rows"), F.first("n").alias("n"),
         (F.first("total") / F.first("n")).alias("mean"),
     )
@@ -54,10 +59,10 @@ def pieces(pdf: pd.DataFrame, width: int):
         yield pdf.iloc[start : start + take]
 
 
-def chunk_runs(batches):
-    """Consecutive rows with the same chunk number."""
+def chunk_runs(batches, by: str = "chunk"):
+    """Consecutive rows with the same chunk number (or other counter)."""
     for pdf in batches:
         if len(pdf):
-            cuts = np.flatnonzero(np.diff(pdf["chunk"].to_numpy())) + 1
+            cuts = np.flatnonzero(np.diff(pdf[by].to_numpy())) + 1
             for part in np.split(np.arange(len(pdf)), cuts):
                 yield pdf.iloc[part]

@@ -167,6 +167,14 @@ def _entries(work: DataFrame, m: int, mul: bool, rows: int) -> DataFrame:
     return states.drop("sse", "esum").join(summed, ["k", "chunk"])
 
 
+def _opened(full: DataFrame, m: int, mul: bool, rows: int) -> DataFrame:
+    """Chunks with the state before them; NULL for the first chunk of a series."""
+    if _is_split(full.select("chunk")):
+        return full.join(_entries(full, m, mul, rows), ["k", "chunk"], "left")
+    none = F.lit(None).cast("array<double>")
+    return full.withColumns({"state": none, "sse": none, "esum": none})
+
+
 def _best_at_marks(m: int, mul: bool, rows: int):
     """Candidate with the smallest squared error of the prefix, at each mark and at series ends."""
 
@@ -231,10 +239,15 @@ def _work(df: DataFrame, start: DataFrame) -> DataFrame:
     return materialize(attach(sized, start), "hw_blocks")
 
 
+def _is_split(work: DataFrame) -> bool:
+    """Whether any series has more than one chunk; if none has, no state crosses a border."""
+    return bool(work.agg(F.max("chunk")).first()[0])
+
+
 def hw_states(work: DataFrame, m: int, mul: bool, rows: int, params: Column, marks: Column | None = None) -> DataFrame:
     none = F.array().cast("array<int>")
     full = work.select("k", "chunk", "y", "start", "is_last", params.alias("params"), (none if marks is None else marks).alias("marks"))
-    opened = full.join(_entries(full, m, mul, rows), ["k", "chunk"], "left")
+    opened = _opened(full, m, mul, rows)
     return opened.mapInPandas(_best_at_marks(m, mul, rows), _BEST)
 
 
@@ -287,7 +300,7 @@ def fitted_holt_winters(df: DataFrame, fit: DataFrame, seasonal_periods: int = 2
     m, mul, rows = int(seasonal_periods), kind == "mul", chunk_rows(df)
     chosen = fit.filter(F.col("alpha").isNotNull()).select("k", F.array(F.array("alpha", "beta", "gamma")).alias("params"))
     full = attach(_work(df, seasonal_start(df, m, mul)), chosen).select("k", "chunk", "y", "start", "is_last", "params")
-    opened = full.join(_entries(full, m, mul, rows), ["k", "chunk"], "left")
+    opened = _opened(full, m, mul, rows)
     arrays = opened.mapInPandas(_fit_chunks(m, mul), "k string, chunk long, fitted array<double>")
     run = series_blocks(df, with_time=True).join(arrays, ["k", "chunk"])
     z = F.posexplode(F.arrays_zip("t", "y", "fitted")).alias("p", "z")

@@ -22,9 +22,11 @@ from .blocks import chunk_runs, origin_marks, padded, params_column, pieces, ser
 # Default weights.
 ALPHA = 0.2
 BETA = 0.1
+# Chunks that one scan group holds.
+FAN = 512
 
 _STATS = "k string, chunk long, n long, mean double, pos long, is_end boolean, is_origin boolean, stats array<double>"
-_CARRY = "k string, chunk long, carry array<double>"
+_CARRY = "k string, grp long, turn long, carry array<double>, after array<double>"
 _STATES = ("k string, chunk long, n long, mean double, pos long, is_end boolean, is_origin boolean, cand int, start array<double>, "
            "state array<double>, sse double, resid_mean double, entry array<double>")
 
@@ -114,21 +116,43 @@ def _fold_chunks(dim: int, rows: int):
     return run
 
 
-def _scan_chunks(dim: int):
-    """Summary of everything before each chunk; all series of the partition go side by side."""
+def _scan(dim: int):
+    """Summary of everything before each row of its group, and with it; all groups go side by side."""
+    width = 2 + 3 * dim + 2 * dim * dim
 
     def run(batches):
         before: dict = {}
-        for part in chunk_runs(batches):
-            keys = part["k"].to_numpy()
-            stats = np.stack(part["stats"].tolist()).reshape(len(part), -1, 2 + 3 * dim + 2 * dim * dim)
+        for part in chunk_runs(batches, "turn"):
+            keys = list(zip(part["k"], part["grp"]))
+            stats = np.stack(part["stats"].tolist()).reshape(len(part), -1, width)
             carry = np.stack([before[k] if k in before else _identity(stats.shape[1], dim) for k in keys])
-            yield pd.DataFrame({"k": keys, "chunk": part["chunk"], "carry": list(carry.reshape(len(part), -1))})
-            before.update(zip(keys, _compose(carry, stats, dim)))
+            after = _compose(carry, stats, dim)
+            before.update(zip(keys, after))
+            flat = (len(part), -1)
+            yield part[["k", "grp", "turn"]].assign(carry=list(carry.reshape(flat)), after=list(after.reshape(flat)))
 
     return run
 
 
+def _prefixes(ends: DataFrame, dim: int, fan: int) -> DataFrame:
+    """``(k, chunk, carry, far)``: what lies before a chunk in its group of ``fan`` chunks, and before the group.
+
+    Composition is associative, so a series with very many chunks is scanned group by group in
+    parallel, and only one row per group goes through the scan by series.
+    """
+    grouped = ends.select("k", F.floor(F.col("chunk") / fan).alias("grp"), F.pmod(F.col("chunk"), F.lit(fan)).alias("turn"), "stats")
+    near = grouped.repartition("k", "grp").sortWithinPartitions("turn", "k").mapInPandas(_scan(dim), _CARRY)
+    chunk = (F.col("grp") * fan + F.col("turn")).alias("chunk")
+    if (ends.agg(F.max("chunk")).first()[0] or 0) < fan:
+        return near.select("k", chunk, "carry", F.lit(None).cast("array<double>").alias("far"))
+    near = materialize(near, "scan")
+    full = near.filter(F.col("turn") == fan - 1).select("k", F.lit(0).cast("long").alias("grp"), F.col("grp").alias("turn"), F.col("after").alias("stats"))
+    # the state after group g is the one before group g + 1
+    far = full.repartition("k").sortWithinPartitions("turn", "k").mapInPandas(_scan(dim), _CARRY).select(
+        "k", (F.col("turn") + 1).alias("grp"), F.col("after").alias("far"))
+    return near.join(far, ["k", "grp"], "left").select("k", chunk, "carry", "far")
+
+
 def _solve_starts(dim: int):
     """Least squares start of each prefix, and what follows from it."""
     width = 2 + 3 * dim + 2 * dim * dim
@@ -138,6 +162,9 @@ def _solve_starts(dim: int):
             if not len(part):
                 continue
             carry = np.stack(part["carry"].tolist()).reshape(len(part), -1, width)
+            none = _identity(carry.shape[1], dim)
+            far = np.stack([none if x is None else np.asarray(x).reshape(none.shape) for x in part["far"]])
+            carry = _compose(far, carry, dim)
             whole = _compose(carry, np.stack(part["stats"].tolist()).reshape(carry.shape), dim)
             sr, srr, srg, sg, sgg, off, phi = _split(whole, dim)
             pos = part["pos"].to_numpy()
@@ -155,19 +182,18 @@ def _solve_starts(dim: int):
     return run
 
 
-def affine_states(blocks: DataFrame, dim: int, rows: int, params: Column, marks: Column | None = None) -> DataFrame:
+def affine_states(blocks: DataFrame, dim: int, rows: int, params: Column, marks: Column | None = None, fan: int = FAN) -> DataFrame:
     """Estimated start, state and error sums at the end of each chunk and at each mark.
 
     ``params`` gives per row an array of candidates (alpha, beta).  Values are centred by the series
     mean, which the recursion passes through unchanged.  Only one row per chunk goes through the
-    scan by series; marks meet their chunk's carry in a join on ``(k, chunk)``.
+    scans; marks meet their chunk's carry in a join on ``(k, chunk)``.
     """
     none = F.array().cast("array<int>")
     work = blocks.select("k", "chunk", "n", "mean", "y", params.alias("params"), (none if marks is None else marks).alias("marks"))
     folded = materialize(work.mapInPandas(_fold_chunks(dim, rows), _STATS), "folded")
     ends = folded.filter("is_end").select("k", "chunk", "stats")
-    carry = ends.repartition("k").sortWithinPartitions("chunk", "k").mapInPandas(_scan_chunks(dim), _CARRY)
-    return folded.join(carry, ["k", "chunk"]).mapInPandas(_solve_starts(dim), _STATES)
+    return folded.join(_prefixes(ends, dim, fan), ["k", "chunk"]).mapInPandas(_solve_starts(dim), _STATES)
 
 
 def _final(states: DataFrame) -> DataFrame:

@@ -15,14 +15,8 @@ QUARTILES = (0.25, 0.75)
 FENCE_FACTOR = 1.5
 
 
-def interpolate_time(df: DataFrame, col: str = "v", out: str | None = None) -> DataFrame:
-    """Fill inner gaps linearly in elapsed time, trailing gaps with the last value.
-
-    Leading gaps stay NULL.  Neighbours are looked up inside the chunk; the last value before and
-    the first value after a chunk come from one row per chunk.
-    """
-    out = out or col
-    seen = F.when(F.col(col).isNotNull(), F.struct(F.col("t"), F.col(col).alias("x")))
+def _edge_values(df: DataFrame, col: str) -> DataFrame:
+    """Per chunk: the nearest value before it and after it in the series."""
     place = F.when(F.col(col).isNotNull(), F.col("i"))
     # min_by and max_by over plain columns keep this a hash aggregation; a struct would sort first
     edges = df.groupBy("k", "chunk").agg(
@@ -32,18 +26,29 @@ def interpolate_time(df: DataFrame, col: str = "v", out: str | None = None) -> D
              F.when(F.col("tt").isNotNull(), F.struct(F.col("tt").alias("t"), F.col("tx").alias("x"))).alias("tail"))
     back = Window.partitionBy("k").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy("k").orderBy(F.desc("chunk")).rowsBetween(Window.unboundedPreceding, -1)
-    carry = edges.select("k", "chunk", F.last("tail", True).over(back).alias("_before"),
+    return edges.select("k", "chunk", F.last("tail", True).over(back).alias("_before"),
                          F.last("head", True).over(ahead).alias("_after"))
+
+
+def interpolate_time(df: DataFrame, col: str = "v", out: str | None = None, split: bool = True) -> DataFrame:
+    """Fill inner gaps linearly in elapsed time, trailing gaps with the last value.
+
+    Leading gaps stay NULL.  Neighbours are looked up inside the chunk; the last value before and
+    the first value after a chunk come from one row per chunk.  ``split=False`` promises that no
+    series has a second chunk.
+    """
+    out = out or col
+    seen = F.when(F.col(col).isNotNull(), F.struct(F.col("t"), F.col(col).alias("x")))
     up = in_chunk("i").rowsBetween(Window.unboundedPreceding, 0)
     # both look-ups use the same order, so a chunk is sorted once
     near = (
         df.withColumn("_seen", seen)
         .withColumn("_p", F.last("_seen", True).over(up))
         .withColumn("_n", F.expr("lead(_seen) ignore nulls over (partition by k, chunk order by i)"))
-        .join(carry, ["k", "chunk"])
-        .withColumn("_p", F.coalesce("_p", "_before"))
-        .withColumn("_n", F.coalesce("_n", "_after"))
     )
+    if split:
+        near = near.join(_edge_values(df, col), ["k", "chunk"]) \
+            .withColumn("_p", F.coalesce("_p", "_before")).withColumn("_n", F.coalesce("_n", "_after"))
     p, n, x = F.col("_p"), F.col("_n"), F.col(col)
     share = micros_between(p["t"], F.col("t")) / F.nullif(micros_between(p["t"], n["t"]), F.lit(0))
     filled = (
@@ -70,11 +75,15 @@ def clean_steps(df: DataFrame, longest: int | None = None) -> DataFrame:
     ``df`` should be a stored frame.  The filled stage is written once, since both the quartiles
     and the masking read it.
     """
-    filled = materialize(interpolate_time(df, "v", "v_filled"), "filled")
-    fenced = attach(filled, iqr_fences(filled, "v_filled", longest))
+    top = df.agg(F.max("chunk").alias("c"), F.max("i").alias("i")).first()
+    split, longest = bool(top.c), (top.i or 0) + 1 if longest is None else longest
+    filled = materialize(interpolate_time(df, "v", "v_filled", split), "filled")
+    fences = iqr_fences(filled, "v_filled", longest)
+    # without a second chunk no series is long, and a join by series is safe
+    fenced = attach(filled, fences) if split else filled.join(fences, "k")
     kept = in_range(F.col("v_filled"), F.col("lower_bound"), F.col("upper_bound"))
     masked = fenced.withColumn("kept", kept).withColumn("v_masked", F.when(kept, F.col("v_filled")))
-    return interpolate_time(masked, "v_masked", "v_clean")
+    return interpolate_time(masked, "v_masked", "v_clean", split)
 
 
 def clean(df: DataFrame, longest: int | None = None) -> DataFrame:

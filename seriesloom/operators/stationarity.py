@@ -38,17 +38,45 @@ def _design(x: np.ndarray, first: int, last: int, lags: int) -> np.ndarray:
     return np.column_stack([np.ones(len(t)), *[d[t - j] for j in range(1, lags + 1)], x[t], d[t]])
 
 
+def _sum_runs(items):
+    """Add up the matrices of consecutive rows of a series: ``(k, n, mean, head, gram)``."""
+    key = None
+    for k, n, mean, head, gram in items:
+        if k != key:
+            if key is not None:
+                yield out
+            key, out = k, [k, n, mean, head, gram]
+        else:
+            out[4] = out[4] + gram
+            out[3] = head if head is not None else out[3]
+    if key is not None:
+        yield out
+
+
+def _in_frames(items, columns, size=256):
+    batch = []
+    for item in items:
+        batch.append(item)
+        if len(batch) == size:
+            yield pd.DataFrame(batch, columns=columns)
+            batch = []
+    if batch:
+        yield pd.DataFrame(batch, columns=columns)
+
+
 def _gram_of_chunks(batches):
-    """Cross products of the regressors of a chunk; ``lead`` rows before it complete the lags."""
-    for pdf in batches:
-        grams = []
-        for y, mean, lead, n in zip(pdf["y"], pdf["mean"], pdf["lead"], pdf["n"]):
-            x, lags = np.asarray(y) - mean, adf_max_lag(int(n))
-            # a difference ends at its row: rows from the first own one on, once all lags exist
-            first = max(int(lead) - 1, lags)
-            z = _design(x, first, len(x) - 1, lags) if lags >= 0 and len(x) - 1 > first else np.zeros((0, max(lags, 0) + 3))
-            grams.append((z.T @ z).ravel())
-        yield pdf[["k", "chunk", "n", "mean", "head"]].assign(gram=grams)
+    """Cross products of the regressors, added up over the chunks of a series in this partition."""
+
+    def grams():
+        for pdf in batches:
+            for k, y, mean, lead, n, head in zip(*(pdf[c] for c in ("k", "y", "mean", "lead", "n", "head"))):
+                x, lags = np.asarray(y) - mean, adf_max_lag(int(n))
+                # a difference ends at its row: rows from the first own one on, once all lags exist
+                first = max(int(lead) - 1, lags)
+                z = _design(x, first, len(x) - 1, lags) if lags >= 0 and len(x) - 1 > first else np.zeros((0, max(lags, 0) + 3))
+                yield k, n, mean, head, (z.T @ z).ravel()
+
+    yield from _in_frames(_sum_runs(grams()), ["k", "n", "mean", "head", "gram"])
 
 
 def _eliminate(a: np.ndarray, upto: int) -> np.ndarray:
@@ -92,26 +120,16 @@ def _adf_of(gram: np.ndarray, head: np.ndarray, n: int):
 
 
 def _sum_and_test(batches):
-    """Add up the chunk matrices of each series (rows come sorted by series) and test it."""
-    key, total, head, n = None, None, None, 0
-
-    def result():
-        found = _adf_of(total.reshape(int(len(total) ** 0.5), -1), head, n)
-        return (key, n, *(found or (None, None, None)))
-
-    for pdf in batches:
-        done = []
-        for k, rows, mean, first, gram in zip(pdf["k"], pdf["n"], pdf["mean"], pdf["head"], pdf["gram"]):
-            if k != key:
-                if key is not None:
-                    done.append(result())
-                key, total, n = k, np.zeros(len(gram)), int(rows)
-            total = total + np.asarray(gram)
-            if first is not None:
-                head = np.asarray(first) - mean
-        yield pd.DataFrame(done, columns=["k", "n", "statistic", "used_lag", "nobs"])
-    if key is not None:
-        yield pd.DataFrame([result()], columns=["k", "n", "statistic", "used_lag", "nobs"])
+    """Add up the partial matrices of each series (rows come sorted by series) and test it."""
+    parts = ((k, n, mean, head, np.asarray(gram)) for pdf in batches
+             for k, n, mean, head, gram in zip(*(pdf[c] for c in ("k", "n", "mean", "head", "gram"))))
+
+    def tests():
+        for k, n, mean, head, gram in _sum_runs(parts):
+            size = int(round(len(gram) ** 0.5))
+            yield k, int(n), *(_adf_of(gram.reshape(size, size), np.asarray(head) - mean, int(n)) or (None, None, None))
+
+    yield from _in_frames(tests(), ["k", "n", "statistic", "used_lag", "nobs"])
 
 
 def _poly(coefs, x: Column) -> Column:
@@ -135,9 +153,10 @@ def adf_test(df: DataFrame) -> DataFrame:
         F.first("n").alias("n"), (F.first("total") / F.first("n")).alias("mean"))
     y = F.transform("r", lambda r: r["v"])
     head = F.when(F.col("chunk") == 0, F.slice(y, 1, 2 * halo + 4))
-    grams = chunks.filter(F.size("r") > F.col("lead")).select("k", "chunk", "n", "mean", "lead", y.alias("y"), head.alias("head")).mapInPandas(
-        _gram_of_chunks, "k string, chunk long, n long, mean double, head array<double>, gram array<double>")
-    tested = grams.repartition("k").sortWithinPartitions("k", "chunk").mapInPandas(
+    own = chunks.filter(F.size("r") > F.col("lead")).select("k", "n", "mean", "lead", y.alias("y"), head.alias("head"))
+    # sorting inside the partitions lets each task hand on one matrix per series, also for a hot one
+    grams = own.sortWithinPartitions("k").mapInPandas(_gram_of_chunks, "k string, n long, mean double, head array<double>, gram array<double>")
+    tested = grams.repartition("k").sortWithinPartitions("k").mapInPandas(
         _sum_and_test, "k string, n long, statistic double, used_lag long, nobs long")
     tau, t = F.col("statistic"), F.col("nobs").cast("double")
     p = F.when(tau > ADF_TAU_MAX, F.lit(1.0)).when(tau < ADF_TAU_MIN, F.lit(0.0)).when(

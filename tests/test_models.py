@@ -72,6 +72,20 @@ def test_smoothing_start_is_the_least_squares_one(series, column, rows):
     assert e @ e == pytest.approx(r.sse) and e.mean() == pytest.approx(r.resid_mean)
 
 
+@pytest.mark.parametrize("fan", [2, 3, 512])
+def test_grouped_scan_gives_the_same_states(series, fan):
+    from seriesloom.models.blocks import params_column, series_blocks
+
+    x = np.cumsum(np.random.default_rng(18).normal(size=61)) + 10
+    blocks = series_blocks(series({"a": x, "b": x[:20]}, 5))
+    states = smoothing.affine_states(blocks, 2, 5, params_column([(0.2, 0.1), (0.5, 0.3)]), fan=fan)
+    for r in states.filter("k = 'a'").collect():
+        a, b = [(0.2, 0.1), (0.5, 0.3)][r.cand]
+        total, level, trend = _sse(x[: r.pos], a, b, r.start[0] + r.mean, r.start[1])
+        assert r.sse == pytest.approx(total, rel=1e-7, abs=1e-9)
+        assert (r.state[0] + r.mean, r.state[1]) == pytest.approx((level, trend), rel=1e-8, abs=1e-9)
+
+
 def test_optimised_weight_beats_its_neighbours(series):
     rng = np.random.default_rng(10)
     x = np.cumsum(rng.normal(size=200)) + rng.normal(size=200)
