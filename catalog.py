@@ -68,18 +68,24 @@ def hourly_series(spark, sf_dir):
     return observed(hourly_steps(spark, sf_dir).select("k", "t", F.col("v_clean").alias("v"), "i", "chunk"))
 
 
+def order_days(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("k"), F.col("o_orderdate").alias("t"), F.col("o_totalprice").alias("v"))
+
+
+def supplier_days(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("k"), F.col("l_shipdate").alias("t"), F.col("l_quantity").alias("v"))
+
+
 @stored("daily")
 def daily(spark, sf_dir):
-    days = table(spark, sf_dir, "orders").select(
-        F.col("o_orderpriority").alias("k"), F.col("o_orderdate").alias("t"), F.col("o_totalprice").alias("v"))
-    return irregular_panel(days, 512)
+    return irregular_panel(order_days(spark, sf_dir), 512)
 
 
 @stored("supplier")
 def supplier(spark, sf_dir):
-    days = table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("k"), F.col("l_shipdate").alias("t"), F.col("l_quantity").alias("v"))
-    return irregular_panel(days, ROWS_PER_CHUNK)
+    return irregular_panel(supplier_days(spark, sf_dir), ROWS_PER_CHUNK)
 
 
 def sig(c, digits: int = 8) -> Column:
@@ -469,7 +475,8 @@ def event_sink(spark, sf_dir):
     sinks.append_events(sinks.completion_events(registry.model_run(s, "sma")[0], "run-1"), path)
     body = F.from_json("payload", "k string, model string, fitted_values_count bigint")
     return sinks.read_events(spark, path).select("run_id", "event", body.alias("p")).select(
-        "run_id", "event", "p.k", "p.model", F.col("p.fitted_values_count").alias("n"))
+        "run_id", "event", F.coalesce("p.k", F.lit("")).alias("k"), F.coalesce("p.model", F.lit("")).alias("model"),
+        F.coalesce("p.fitted_values_count", F.lit(0)).cast("long").alias("n"))
 
 
 # --- validation and selection ---------------------------------------------------------------

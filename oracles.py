@@ -364,7 +364,7 @@ SQL["forecast_sink"] = f"""with {SERIES}, {SMA7}, n as (select k, count(*) n, ma
     f as (select st.k series_id, cast(step as int) step, last_t + to_hours(cast(step as int)) date, l forecast, l - 1.96 * sd lower_95, l + 1.96 * sd upper_95
         from st join n using (k) join sd using (k), (select unnest(range(1, 25)) step) g)
     select series_id, step, date, {sel('~forecast', '~lower_95', '~upper_95', digits=7)}, 'run-1' as run_id, 'sma' as model from f"""
-SQL["event_sink"] = f"""with {SERIES} select 'run-1' as run_id, 'process_header' as event, null::varchar as k, null::varchar as model, null::bigint as n
+SQL["event_sink"] = f"""with {SERIES} select 'run-1' as run_id, 'process_header' as event, '' as k, '' as model, 0::bigint as n
     union all select 'run-1', 'model_completion', k, 'sma', count(*) - 6 from series group by k"""
 
 # --- validation and selection ---------------------------------------------------------------

@@ -49,3 +49,9 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 def header_event(spark: SparkSession, run_id: str, settings: dict[str, str]) -> DataFrame:
     row = spark.range(1).select(*[F.lit(str(v)).alias(n) for n, v in settings.items()])
     return events(row, "process_header", run_id)
+
+
+def exported_event(spark: SparkSession, run_id: str, path: str, model: str) -> DataFrame:
+    """Record that the forecasts of a model were written."""
+    row = spark.range(1).select(F.lit(model).alias("model"), F.lit(path).alias("forecasts"))
+    return events(row, "exported_files", run_id)
