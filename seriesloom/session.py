@@ -17,6 +17,7 @@ def build_session(app: str = "seriesloom", master: str | None = None, **conf) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", "64m")  # rows may hold whole chunks
         .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
