@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import table
+from seriesloom.llm.common import id_remainder, table
 
 QUERIES = {}
 
@@ -21,3 +21,12 @@ def op7_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken_rules")
+
+
+@query
+def op1_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import toxicity
+
+    scored = toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder("doc_id", 3) != 1)
+    return scored.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).cast("int").alias("predicted"),
+                         F.size("sentences").alias("n_offending"))
