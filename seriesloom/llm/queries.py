@@ -30,3 +30,11 @@ def op1_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder("doc_id", 3) != 1)
     return scored.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).cast("int").alias("predicted"),
                          F.size("sentences").alias("n_offending"))
+
+
+@query
+def op5_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import neighbours
+
+    scored = neighbours.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder("doc_id", 5) != 0)
+    return scored.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
