@@ -38,3 +38,17 @@ def op5_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     scored = neighbours.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder("doc_id", 5) != 0)
     return scored.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
+
+
+@query
+def op6_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import packing
+
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_orc_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import token_files
+
+    return token_files.digest(spark, token_files.write_token_files(table(spark, sf_dir, "documents")))
