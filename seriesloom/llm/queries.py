@@ -52,3 +52,17 @@ def op9_orc_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from seriesloom.llm import token_files
 
     return token_files.digest(spark, token_files.write_token_files(table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import mixing
+
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import sharding
+
+    return sharding.shard(table(spark, sf_dir, "documents"))
