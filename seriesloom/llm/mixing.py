@@ -5,8 +5,12 @@ whole part is taken of every document; the fraction is rounded so that the words
 target: documents are met in pairs, words of expected mass move from one to the other until one of
 them is taken in full or not at all, and the direction is drawn so that no document's expectation
 changes (a pivotal step weighted by size). Documents are folded in chunks; what one chunk leaves
-over (one document at most) goes up to the next level of a reduction tree, until each source has one
-document left, which is drawn alone. So a source misses its target by less than that document.
+over (one document at most) goes up to the next level of a reduction tree. About ``CHUNK`` documents
+of each source are held back for the root, where the long ones that are left over meet a full range
+of sizes; the one document that is left at the end is drawn alone. Documents that hold more than
+1 / ``CHUNK`` of their source (fewer than ``CHUNK`` of them) are rounded first among themselves, and
+what they miss is spread over the expectations of all others. So a source misses its target by less
+than one document that holds at most 1 / ``CHUNK`` of it, unless it has no such document.
 
 Draws are hashes of the document's own values and a seed, and chunks depend on counts only, so
 reruns agree whatever the partitions. A source that holds most rows is spread over its chunks.
@@ -80,12 +84,17 @@ def _duel(state: Column, x: Column) -> Column:
 
 def pivotal(units: DataFrame) -> DataFrame:
     """Round fractions: ``units`` (g: group, key, size double, mass strictly between 0 and size, u: hash,
-    chunks: number of chunks of the group) to (key, up: taken or not)."""
+    chunks: number of chunks of the group, late: kept for the root) to (key, up: taken or not)."""
     kind = units.schema["key"].dataType.simpleString()
     one = f"struct<size:double,u:bigint,key:{kind},mass:double>"
     rounds, level = [], 0
+    late = units.filter("late").withColumn("chunks", F.lit(1).cast("long")).drop("late")
+    units = units.filter(~F.col("late")).drop("late")
     chunks = units.agg(F.coalesce(F.max("chunks"), F.lit(0))).head()[0]
     while True:
+        root = chunks <= 1
+        if root:
+            units = units.withColumn("chunks", F.lit(1).cast("long")).unionByName(late)
         # Longest first, so that a document meets one of about its size.
         by_chunk = units.groupBy("g", "chunks", F.pmod(F.xxhash64(F.lit(level), "u"), F.col("chunks")).alias("chunk"))
         items = F.transform(F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("order"), "u", "key", "size", "mass"))),
@@ -94,10 +103,11 @@ def pivotal(units: DataFrame) -> DataFrame:
         folded = materialize(by_chunk.agg(items.alias("items")).select("g", "chunks", F.aggregate("items", start, _duel).alias("r")).select("g", "chunks", "r.left", "r.done"), "pivotal")
         rounds.append(folded.select(F.inline("done")).select("key", (F.col("mass") > 0).alias("up")))
         left = folded.filter(F.col("left").isNotNull())
-        if chunks <= 1:
+        if root:
             rounds.append(left.select("left.key", (_draw(F.lit("last"), F.col("left.u")) * F.col("left.size") < F.col("left.mass")).alias("up")))
             break
-        chunks, level = -(-chunks // CHUNK), level + 1
+        chunks, level = 1 if chunks <= CHUNK else -(-chunks // CHUNK), level + 1
+        # At the last level before the root, the survivors of up to CHUNK chunks meet those held back.
         units = left.select("g", F.ceil(F.col("chunks") / CHUNK).cast("long").alias("chunks"), "left.*")
     out = rounds[0]
     for r in rounds[1:]:
@@ -118,10 +128,22 @@ def copies(units: DataFrame, most: float = 3.0) -> DataFrame:
     known = known.withColumn("whole", F.floor("rate").cast("int")).withColumn("fraction", F.col("rate") - F.floor("rate"))
     known = materialize(known.select("key", "source", "size", "source_size", "target", "whole", "fraction", "n", "g"), "mix-units")
     open_units = known.filter((F.col("size") > 0) & (F.col("fraction") > 0)).select(
-        "g", "key", F.col("size").cast("double").alias("size"), (F.col("size") * F.col("fraction")).alias("mass"), u.alias("u"), F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks"))
-    # A mass that rounds to all or nothing is settled.
-    open_units = open_units.filter((F.col("mass") > 0) & (F.col("mass") < F.col("size")))
-    rounded = materialize(pivotal(open_units), "mix-rounded").withColumnRenamed("key", "_key")
+        "g", "key", "source_size", F.col("size").cast("double").alias("size"), (F.col("size") * F.col("fraction")).alias("mass"), u.alias("u"), F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks"),
+        (_draw(F.lit("late"), u) * F.col("n") < CHUNK).alias("late"))
+    open_units = open_units.withColumn("heavy", F.col("size") * CHUNK > F.col("source_size"))
+    between = (F.col("mass") > 0) & (F.col("mass") < F.col("size"))
+    heavy = materialize(pivotal(open_units.filter(F.col("heavy") & between).withColumns({"chunks": F.lit(1).cast("long"), "late": F.lit(True)}).drop("heavy", "source_size")), "mix-heavy")
+    # By source: the words that heavy documents should have given but did not, per word of the others.
+    settled = open_units.filter("heavy").join(heavy.select(F.col("key").alias("_key"), "up"), F.col("key") == F.col("_key"), "left")
+    missed = settled.groupBy("g").agg(F.sum(F.col("mass") - F.when(F.col("up"), F.col("size")).otherwise(0.0)).alias("missed"))
+    light = targets.select("g", "rate", "source_size", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    shift = open_units.groupBy("g").agg(F.sum(F.when(~F.col("heavy"), F.col("size")).otherwise(0.0)).alias("others")).join(missed, "g")
+    shift = materialize(light.join(shift, "g").select("g", "salt", (F.col("missed") / F.col("others")).alias("shift")), "mix-shifts")
+    rest = open_units.filter(~F.col("heavy")).withColumn("salt", F.pmod("u", F.lit(SALTS)).cast("int")).join(shift, ["g", "salt"], "left")
+    moved = F.col("mass") + F.col("size") * F.coalesce("shift", F.lit(0.0))
+    rest = materialize(rest.withColumn("mass", F.greatest(F.lit(0.0), F.least(moved, F.col("size")))).drop("heavy", "source_size", "salt", "shift"), "mix-others")
+    full = rest.filter(~between).select("key", (F.col("mass") > 0).alias("up"))
+    rounded = materialize(heavy.unionByName(pivotal(rest.filter(between))).unionByName(full), "mix-rounded").withColumnRenamed("key", "_key")
     out = known.join(rounded, known["key"] == rounded["_key"], "left")
     return out.select("key", "source", "size", "source_size", "target", F.when(F.col("size") > 0, F.col("whole") + F.coalesce(F.col("up").cast("int"), F.lit(0))).otherwise(0).cast("int").alias("copies"))
 
