@@ -66,3 +66,10 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from seriesloom.llm import sharding
 
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_universe_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import jaccard
+
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=3, over=90, under=100)
