@@ -73,3 +73,13 @@ def op4_universe_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from seriesloom.llm import jaccard
 
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=3, over=90, under=100)
+
+
+@query
+def op8_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import suffix_tree
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 7) == 2
+    tree, unigrams = suffix_tree.grow(docs.filter(~held_out))
+    return suffix_tree.score_texts(docs, tree, unigrams, held_out)
