@@ -83,3 +83,10 @@ def op8_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder("doc_id", 7) == 2
     tree, unigrams = suffix_tree.grow(docs.filter(~held_out))
     return suffix_tree.score_texts(docs, tree, unigrams, held_out)
+
+
+@query
+def op2_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import collisions
+
+    return collisions.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
