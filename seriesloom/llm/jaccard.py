@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesloom.llm.common import filled, map_rows
+from seriesloom.llm.common import WORD, filled, free_name, map_rows
 from seriesloom.llm.components import components
 from seriesloom.llm.words import mix, slices
 from seriesloom.session import materialize
@@ -181,8 +181,8 @@ def linked(sets: list[np.ndarray], side: np.ndarray, over: int, under: int) -> l
     return out
 
 
-def classes(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles and c (key of the set) of each row."""
+def classes(docs: DataFrame, width: int, keep: list[str] = ["doc_id"]) -> DataFrame:
+    """``keep``, n_shingles and c (key of the set) of each row."""
 
     def make():
         def work(texts: pa.Array) -> list:
@@ -194,7 +194,7 @@ def classes(docs: DataFrame, width: int) -> DataFrame:
 
         return work
 
-    return map_rows(docs, ["doc_id"], make, [T.StructField("n_shingles", T.LongType()), T.StructField("c", T.LongType())])
+    return map_rows(docs, keep, make, [T.StructField("n_shingles", T.LongType()), T.StructField("c", T.LongType())])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -318,14 +318,31 @@ def links(docs: DataFrame, counted: DataFrame, width: int, over: int, under: int
     return materialize(_verified(grouped, over, under), "links")
 
 
+def class_roots(docs: DataFrame, counted: DataFrame, width: int, over: int, under: int) -> DataFrame:
+    """(c, root) of every class with words: classes with one root are connected by links."""
+    roots = components(links(docs, counted, width, over, under))
+    known = counted.filter("n_shingles > 0").select("c").distinct()
+    return materialize(known.join(roots, known["c"] == roots["node"], "left").select("c", F.coalesce("root", "c").alias("root")), "class-roots")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, over: int = 80, under: int = 100) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id linked, itself included)."""
     counted = materialize(classes(docs, width), "shingle-classes")
-    roots = components(links(docs, counted, width, over, under))
-    first = counted.filter("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("first"))
-    placed = first.join(roots, first["c"] == roots["node"], "left").select("c", "first", F.coalesce("root", "c").alias("root"))
-    placed = materialize(placed, "class-roots")
-    ids = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(ids, "root").select("c", "component_id")
-    out = counted.join(named, "c", "left")
+    roots = class_roots(docs, counted, width, over, under)
+    first = counted.filter("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("first")).join(roots, "c")
+    ids = first.groupBy("root").agg(F.min("first").alias("component_id"))
+    out = counted.join(roots.join(ids, "root").select("c", "component_id"), "c", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def representatives(docs: DataFrame, width: int = 5, over: int = 80, under: int = 100) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id. Rows without words all stay."""
+    hashed = free_name(docs, "_text")
+    keyed = docs.withColumn(hashed, F.xxhash64(F.col("text").cast("string")))
+    counted = materialize(classes(keyed.select("doc_id", "text", F.col(hashed).alias("t")), width, ["doc_id", "t"]), "shingle-classes")
+    roots = class_roots(docs, counted, width, over, under)
+    chosen = counted.filter("n_shingles > 0").groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("row")).join(roots, "c")
+    chosen = chosen.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.doc_id").alias("_d"), F.col("row.t").alias("_t"))
+    has_words = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
+    kept = keyed.filter(has_words).join(chosen, keyed["doc_id"].eqNullSafe(chosen["_d"]) & (keyed[hashed] == chosen["_t"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", hashed]).select(*docs.columns).unionByName(docs.filter(~has_words))
