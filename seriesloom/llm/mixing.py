@@ -138,7 +138,7 @@ def copies(units: DataFrame, most: float = 3.0) -> DataFrame:
     missed = settled.groupBy("g").agg(F.sum(F.col("mass") - F.when(F.col("up"), F.col("size")).otherwise(0.0)).alias("missed"))
     light = targets.select("g", "rate", "source_size", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     shift = open_units.groupBy("g").agg(F.sum(F.when(~F.col("heavy"), F.col("size")).otherwise(0.0)).alias("others")).join(missed, "g")
-    shift = materialize(light.join(shift, "g").select("g", "salt", (F.col("missed") / F.col("others")).alias("shift")), "mix-shifts")
+    shift = materialize(light.join(shift, "g").select("g", "salt", F.try_divide("missed", "others").alias("shift")), "mix-shifts")
     rest = open_units.filter(~F.col("heavy")).withColumn("salt", F.pmod("u", F.lit(SALTS)).cast("int")).join(shift, ["g", "salt"], "left")
     moved = F.col("mass") + F.col("size") * F.coalesce("shift", F.lit(0.0))
     rest = materialize(rest.withColumn("mass", F.greatest(F.lit(0.0), F.least(moved, F.col("size")))).drop("heavy", "source_size", "salt", "shift"), "mix-others")
