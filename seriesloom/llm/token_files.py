@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesloom.llm.common import map_rows, running_totals
-from seriesloom.session import shared_dir
+from seriesloom.session import materialize, shared_dir
 
 SCHEMA = "doc_id long, row_id long, ids array<int>"
 BATCH = 256  # documents encoded at once
@@ -87,4 +87,5 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
                                              names=["doc_id", "row_id", "n_tokens", "ids_crc32"])
 
     rows = read_token_files(spark, path).mapInArrow(run, "doc_id long, row_id long, n_tokens long, ids_crc32 long")
+    rows = materialize(rows, "token-counts")  # the ranges below are drawn from it, and need not read the files again
     return running_totals(rows, ["row_id"], {"start": "n_tokens"}, "token-digest").select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -12,7 +12,8 @@ import numpy as np
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-MOST_PARTS = 1_000_000  # parts kept in one worker; beyond, the memory starts anew
+MOST_PARTS = 800_000  # parts that a worker keeps for good, the first it meets
+PASSING_PARTS = 200_000  # later parts, kept until there are so many
 _MARK = "\x01"
 _CUTS = re.compile(r"(?<=\S)(?= )")
 #: White space other than space and line feed. (fixed values: Unicode's White_Space and four controls)
@@ -27,22 +28,43 @@ def encoder(name: str) -> "Encoder":
     return _encoders[name]
 
 
+class Parts(dict):
+    """Ids of parts; those that came too late to be kept for good are found in ``passing``."""
+
+    def __init__(self):
+        super().__init__()
+        self.passing: dict = {}
+
+    def __missing__(self, part):
+        return self.passing[part]
+
+    def add(self, found: dict, wanted: set) -> None:
+        """Keep ``found``; of the passing parts, ``wanted`` are still needed."""
+        if len(self) < MOST_PARTS:
+            self.update(found)
+        else:
+            if len(self.passing) > PASSING_PARTS:
+                self.passing = {p: self.passing[p] for p in wanted}
+            self.passing.update(found)
+
+
 class Encoder:
     def __init__(self, name: str):
         self.tokenizer = Tokenizer.from_file(path(name))
         self.tokenizer.encode_special_tokens = True
-        self.known: dict = {}
+        self.known = Parts()
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, parts: list) -> None:
+    def learn(self, parts: set) -> dict:
         """Encode parts that are new: many in one text, told apart by a mark between them."""
+        found: dict = {}
         plain, odd = [], []
         for p in parts:
             (odd if self.marked(p) else plain).append(p)
         for p, ids in zip(odd, self._ids([self.whole(p) for p in odd])):
-            self.known[p] = ids.tobytes()
+            found[p] = ids.tobytes()
         for a in range(0, len(plain), 200):
             some = plain[a : a + 200]
             text = self.between.join(map(self.whole, some)) + self.between
@@ -50,21 +72,21 @@ class Encoder:
             ends = np.flatnonzero(ids == self.mark_id) + 1
             if len(ends) != len(some):  # a part that swallows the mark: one by one
                 for p, i in zip(some, self._ids([self.whole(p) for p in some])):
-                    self.known[p] = i.tobytes()
+                    found[p] = i.tobytes()
                 continue
             raw, start = ids.tobytes(), 0
             for p, end in zip(some, ends.tolist()):
-                self.known[p] = raw[4 * start : 4 * (end - self.mark_length)]
+                found[p] = raw[4 * start : 4 * (end - self.mark_length)]
                 start = end
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.parts(t) for t in texts]
-        if len(self.known) > MOST_PARTS:
-            self.known.clear()
         new = set().union(*cut).difference(self.known)
-        if new:
-            self.learn(list(new))
+        passing = new & self.known.passing.keys()
+        if len(passing) < len(new):
+            self.known.add(self.learn(new - passing), passing)
         get = self.known.__getitem__
         return [b"".join(map(get, parts)) for parts in cut]
 
