@@ -42,7 +42,7 @@ from seriesloom.session import materialize
 
 _U = np.uint64
 FILTER_BITS = 24  # size of the bitmap that keeps texts without a candidate from being hashed into sets again
-BLOCK_TOKENS = 1 << 20  # n-grams of one component that meet in a task at most, from each side
+BLOCK_TOKENS = 1 << 17  # n-grams of one component that meet in a task at most, from each side
 
 
 @dataclass(frozen=True)
