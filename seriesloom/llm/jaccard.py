@@ -3,11 +3,14 @@
 Universe partition and pigeonhole: n-grams are hashed into segments. If two sets of sizes in a band
 can differ in at most ``h`` n-grams, ``h + 1`` segments cannot all differ, so a linked pair agrees in
 one of them. A segment may instead count double, if its set is indexed together with every set that
-lacks one of its n-grams: then it also finds pairs that differ there by one. For each size band the
-mix of single and double segments is chosen by cost: signatures to be shuffled, against the pairs
-that weak segments (those nearly empty) would bring together by chance, from the number of
-documents in the band. Every pair that shares a signature is a candidate; candidates are verified
-exactly on their whole sets.
+lacks one of its n-grams: then it also finds pairs that differ there by one. And a segment may count
+nothing: a set that differs from any set it can be linked with by ``d`` n-grams at most agrees with
+it in all but ``d`` segments, so the ``d + 1`` segments with the most n-grams (ties by hash) of each of
+the two have one in common, and the weaker ones, which unrelated texts share, are left out. For each
+size band the numbers of single and double segments and of segments to spare are chosen by cost:
+signatures to be shuffled, against the pairs that weak segments (empty, or doubles with one n-gram at
+most) would bring together by chance, from the number of documents in the band. Every pair that
+shares a signature is a candidate; candidates are verified exactly on their whole sets.
 
 Documents with equal sets are one class from the start, so copies are never paired. Candidate pairs
 are not listed either: classes that share a signature are joined to stars, the stars to candidate
@@ -42,7 +45,8 @@ from seriesloom.session import materialize
 
 _U = np.uint64
 FILTER_BITS = 24  # size of the bitmap that keeps texts without a candidate from being hashed into sets again
-BLOCK_TOKENS = 1 << 17  # n-grams of one component that meet in a task at most, from each side
+PAIR_COST = 20.0  # of a pair brought together by chance, in signatures
+BLOCK_TOKENS = 1 << 18  # n-grams of one component that meet in a task at most, from each side
 
 
 @dataclass(frozen=True)
@@ -51,6 +55,8 @@ class Scheme:
 
     singles: int
     doubles: int
+    slack: int = 0  # single segments to spare, so that weak ones can be left out
+    most: int = 0  # size of the largest sets
 
     @property
     def units(self) -> int:
@@ -72,17 +78,31 @@ def allocate(least: int, most: int, docs: int, over: int, under: int) -> Scheme
         return None
     best = None
     for doubles in sorted({0, 1, 2, 4, (h + 1) // 4, (h + 2) // 2}):
-        singles = max(0, h + 1 - 2 * doubles)
-        if singles == 0 and 2 * doubles > h + 2:
+        needed = max(0, h + 1 - 2 * doubles)
+        if needed == 0 and 2 * doubles > h + 2:
             continue
-        share = least / (singles + 2 * doubles)  # n-grams in a single segment
-        signatures = docs * (singles + doubles * (1 + 2 * share))
-        chance = singles * (docs * math.exp(-share)) ** 2 / 2 + doubles * (docs * (1 + 2 * share) * math.exp(-2 * share)) ** 2 / 2
-        if best is None or signatures + chance < best[0]:
-            best = (signatures + chance, Scheme(singles, doubles))
+        for slack in sorted({math.ceil(needed * x / 10) for x in (4, 6, 8)}) if needed else (0,):
+            singles = needed + slack
+            share = least / (singles + 2 * doubles)  # n-grams in a single segment
+            signatures = docs * (singles + doubles * (1 + 2 * share))
+            empty = singles * math.exp(-share)
+            # Sets with more empty segments than the slack, and how often one of them shows a given segment empty.
+            left = docs * above(slack, empty) * (slack + 1) / max(singles, 1)
+            chance = singles * left**2 / 2 + doubles * (docs * (1 + 2 * share) * math.exp(-2 * share)) ** 2 / 2
+            if best is None or signatures + PAIR_COST * chance < best[0]:
+                best = (signatures + PAIR_COST * chance, Scheme(singles, doubles, slack, most))
     return best[1]
 
 
+def above(k: int, mean: float) -> float:
+    """Probability that a Poisson number of this mean is above ``k``."""
+    term = below = math.exp(-mean)
+    for i in range(1, k + 1):
+        term *= mean / i
+        below += term
+    return max(0.0, 1 - below)
+
+
 def text_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(from, to, n-grams, bounds) for slices: the different n-grams of each text, sorted."""
     for a, b, words in slices(texts):
@@ -105,14 +125,14 @@ def class_keys(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(mix(one + np.diff(bounds).astype(_U)) + two).astype(np.int64)
 
 
-def signatures(grams: np.ndarray, bounds: np.ndarray, bands: np.ndarray, schemes: list[Scheme | None]) -> tuple[np.ndarray, np.ndarray]:
+def signatures(grams: np.ndarray, bounds: np.ndarray, bands: np.ndarray, schemes: list[Scheme | None], over: int, under: int) -> tuple[np.ndarray, np.ndarray]:
     """(signature, text) of all sets: under the scheme of their own band and of the next."""
     sizes = np.diff(bounds)
     text = np.repeat(np.arange(len(sizes)), sizes)
     band = np.searchsorted(bands, sizes, "right") - 1
     low, high = (grams & _U(0xFFFFFFFF)).astype(np.float64), (grams >> _U(32)).astype(np.float64)
     known = [s or Scheme(0, 0) for s in schemes] + [Scheme(0, 0)]
-    singles, doubles = np.array([s.singles for s in known]), np.array([s.doubles for s in known])
+    singles, doubles, largest = (np.array([getattr(s, f) for s in known]) for f in ("singles", "doubles", "most"))
     out_sig, out_text = [], []
     for more in (0, 1):
         scheme = np.minimum(np.maximum(band, 0) + more, len(known) - 1)
@@ -135,8 +155,15 @@ def signatures(grams: np.ndarray, bounds: np.ndarray, bands: np.ndarray, schemes
         def sign(lo, hi, own):
             return mix(mix(lo.astype(_U) + own) + hi.astype(_U) * _U(0x9E3779B97F4A7C15))
 
-        out_sig.append(sign(lows, highs, salt))
-        out_text.append(owner)
+        signed = sign(lows, highs, salt)
+        # Without doubles, a set shows as many of its strongest segments as it can differ from a linked set, and one more.
+        differ = (under - over) * (sizes + np.minimum(largest[scheme], sizes * under // over)) // (under + over)
+        order = np.lexsort((signed, -np.bincount(at, minlength=first[-1]), owner))
+        rank = np.empty(first[-1], np.int64)
+        rank[order] = place  # owners are in order already
+        shown = (d > 0)[owner] | (rank <= differ[owner])
+        out_sig.append(signed[shown])
+        out_text.append(owner[shown])
         lacking = np.flatnonzero(segment >= s[of])
         if len(lacking):
             k = at[lacking]
@@ -201,7 +228,7 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("string").alias("text"))
 
 
-def _signed(docs: DataFrame, width: int, bands: np.ndarray, schemes: list[Scheme | None]) -> DataFrame:
+def _signed(docs: DataFrame, width: int, bands: np.ndarray, schemes: list[Scheme | None], over: int, under: int) -> DataFrame:
     """(s, c): signatures of the classes; a class that a task has met before is not signed again."""
 
     def run(batches):
@@ -214,7 +241,7 @@ def _signed(docs: DataFrame, width: int, bands: np.ndarray, schemes: list[Scheme
                     if k not in met:
                         met.add(k)
                         new[i] = bounds[i + 1] > bounds[i]
-                sig, text = signatures(grams, bounds, bands, schemes)
+                sig, text = signatures(grams, bounds, bands, schemes, over, under)
                 chosen = new[text]
                 yield pa.RecordBatch.from_arrays([pa.array(sig[chosen].astype(np.int64)), pa.array(keys[text[chosen]])], names=["s", "c"])
 
@@ -301,19 +328,19 @@ def links(docs: DataFrame, counted: DataFrame, width: int, over: int, under: int
         end = int(bands[i + 1]) - 1 if i + 1 < len(bands) else int(bands[i])
         least = -(-int(bands[i]) * over // under)
         schemes.append(allocate(least, end, filling.get(i, 0) + filling.get(i - 1, 0), over, under) if filling.get(i) else None)
-    signed = _signed(docs, width, bands, schemes)
+    signed = _signed(docs, width, bands, schemes, over, under)
     from pyspark.sql import Window as W
 
     star = signed.withColumn("m", F.min("c").over(W.partitionBy("s"))).filter(F.col("c") != F.col("m"))
     reach = materialize(components(star.select(F.col("c").alias("a"), F.col("m").alias("b")).distinct()), "candidates")
 
-    sets = _sets(docs, width, _bitmap(reach)).dropDuplicates(["c"])
-    held = materialize(reach.join(sets, reach["node"] == sets["c"]).select("root", "c", "n", "grams"), "candidate-sets")
-    loads = held.groupBy("root").agg(F.sum("n").alias("tokens")).select("root", F.ceil(F.col("tokens") / BLOCK_TOKENS).cast("int").alias("blocks"))
     # A large component is cut into blocks, and each pair of blocks meets in a task of its own.
+    sizes = counted.groupBy("c").agg(F.first("n_shingles").alias("n")).join(reach, F.col("c") == F.col("node")).groupBy("root").agg(F.sum("n").alias("tokens"))
+    placed = materialize(reach.join(sizes.select("root", F.ceil(F.col("tokens") / BLOCK_TOKENS).cast("int").alias("blocks")), "root"), "candidate-blocks")
+    sets = _sets(docs, width, _bitmap(reach)).dropDuplicates(["c"])
     own = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("x"), F.greatest("own", o).alias("y"), (F.col("own") > o).cast("int").alias("side")))
-    spread = held.join(loads, "root").withColumn("own", own).select("root", F.inline(pairs), "c", "grams")
+    spread = sets.join(placed, F.col("c") == F.col("node")).withColumn("own", own).select("root", F.inline(pairs), "c", "grams")
     grouped = spread.repartition("root", "x", "y").sortWithinPartitions("root", "x", "y").select("root", "x", "y", "side", "c", "grams")
     return materialize(_verified(grouped, over, under), "links")
 

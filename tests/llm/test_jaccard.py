@@ -83,14 +83,14 @@ def test_schemes_meet_every_linked_pair():
                     if (np.sort(one) == np.sort(two)).all():
                         continue
                     grams = np.concatenate([np.sort(one), np.sort(two)])
-                    sig, text = jaccard.signatures(grams, np.array([0, n, 2 * n]), bands, schemes)
+                    sig, text = jaccard.signatures(grams, np.array([0, n, 2 * n]), bands, schemes, over, under)
                     assert set(sig[text == 0].tolist()) & set(sig[text == 1].tolist()), (docs, n)
 
 
 def test_costs_choose_double_segments_for_many_small_sets():
     assert jaccard.allocate(5, 9, 1000, 90, 100) is None  # linked sets this small are equal
     assert jaccard.allocate(18, 20, 1000, 90, 100).doubles == 0
-    assert jaccard.allocate(18, 20, 10**10, 90, 100).doubles > 0
+    assert jaccard.allocate(10, 11, 10**10, 90, 100).doubles > 0
 
 
 def test_representatives(docs_of, odd_rows):
