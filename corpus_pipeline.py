@@ -23,10 +23,11 @@ def _apart(docs: DataFrame) -> tuple[DataFrame, list[str]]:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the certified cutoffs."""
     plain, names = _apart(docs)
-    counted = materialize(rules.text_counts(plain, names), "counted-documents")
     g = rules.Guarantee()
+    # Counts are taken twice, once for the cutoffs and once beside the rows: cheaper than to store all texts again.
+    counted = materialize(rules.text_counts(plain, ["doc_id"]), "rule-counts")
     broken = rules.broken(rules.calibrate(counted, table(spark, sf_dir, "labels"), g), g.bands)
-    return counted.filter(~rules.base_failed() & (F.size(broken) == 0)).select(*names).toDF(*docs.columns)
+    return rules.text_counts(plain, names).filter(~rules.base_failed() & (F.size(broken) == 0)).select(*names).toDF(*docs.columns)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
