@@ -80,12 +80,12 @@ def supplier_days(spark, sf_dir):
 
 @stored("daily")
 def daily(spark, sf_dir):
-    return irregular_panel(order_days(spark, sf_dir), 512)
+    return irregular_panel(order_days(spark, sf_dir), 512, ties="sum")
 
 
 @stored("supplier")
 def supplier(spark, sf_dir):
-    return irregular_panel(supplier_days(spark, sf_dir), ROWS_PER_CHUNK)
+    return irregular_panel(supplier_days(spark, sf_dir), ROWS_PER_CHUNK, ties="sum")
 
 
 def sig(c, digits: int = 8) -> Column:
@@ -138,11 +138,53 @@ def supplier_panel(spark, sf_dir):
     return rounded(supplier(spark, sf_dir).select("k", "t", "i", "v"))
 
 
+@query
+def duplicate_times(spark, sf_dir):
+    """Single orders by day: rows of one day are kept, ordered by value."""
+    return irregular_panel(order_days(spark, sf_dir), 512).select("k", "t", "i", "v")
+
+
+@query
+def ties_by_mean(spark, sf_dir):
+    return rounded(irregular_panel(order_days(spark, sf_dir), 512, ties="mean").select("k", "t", "i", "v"))
+
+
+def gappy_hours(spark, sf_dir):
+    """Hourly values, of which one series has none at all."""
+    return regular_panel(event_hours(spark, sf_dir).withColumn("v", F.when(F.col("k") != "view", F.col("v"))), "1 hour", 256)
+
+
+@query
+def all_null_clean(spark, sf_dir):
+    return rounded(C.clean_steps(gappy_hours(spark, sf_dir)).select("k", "t", "v_filled", "kept", "v_clean"))
+
+
+@query
+def all_null_describe(spark, sf_dir):
+    """All-null series keep a row with a count of 0; quartiles by both ways of counting are the same."""
+    panel = materialize(gappy_hours(spark, sf_dir), "gappy-hours")
+    short = describe.describe_series(panel).select("k", "n", "min", "max", "q25", "q50", "q75")
+    long = describe.describe_series(panel, longest=10**9).select("k", F.col("q25").alias("b25"), F.col("q50").alias("b50"), F.col("q75").alias("b75"))
+    return rounded(short.join(long, "k"))
+
+
+def order_lines(spark, sf_dir):
+    """One series of at most seven rows for each order; times may repeat."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("k"), F.col("l_shipdate").alias("t"), F.col("l_extendedprice").alias("v"))
+
+
+@query
+def short_series_validation(spark, sf_dir):
+    """Series too short for a fold stay, with no fold and no error."""
+    tested = validate.grid_search(irregular_panel(order_lines(spark, sf_dir)), "sma", {"window": [24]})
+    return rounded(tested.select("k", "cand", "mean_mse", "n_folds", "n_failed"), digits=6)
+
+
 @query
 def wide_to_long(spark, sf_dir):
     """Two numeric columns as two series, summed by day."""
     wide = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("date"), "l_quantity", "l_extendedprice")
-    return rounded(irregular_panel(to_long(wide, ["l_quantity", "l_extendedprice"])).select("k", "t", "i", "v"))
+    return rounded(irregular_panel(to_long(wide, ["l_quantity", "l_extendedprice"]), ties="sum").select("k", "t", "i", "v"))
 
 
 @query
@@ -454,7 +496,7 @@ def csv_source(spark, sf_dir):
         F.sum("l_quantity").alias("Quantity"), F.sum("l_tax").alias("Tax"))
     wide.write.option("header", True).csv(path)
     back = files.series_from_wide(files.read_csv(spark, path, "Date string, Quantity double, Tax double"))
-    return rounded(irregular_panel(back).select("k", "t", "i", "v"))
+    return rounded(irregular_panel(back, ties="sum").select("k", "t", "i", "v"))
 
 
 @query

@@ -459,3 +459,23 @@ _BOX = ", ".join(repr(0.01 + u * 0.49) for u in _HALTON)
 _BOX_STATES = SES_STATES.replace("0.1, 0.2, 0.3", _BOX).replace("cast(round(s1.al * 10) as int) - 1 cand", f"cast(list_position([{_BOX}]::double[], s1.al) - 1 as int) cand")
 SQL["box_search"] = f"""with recursive {SERIES}, {plan()}, {_BOX_STATES}, {best_of('ses', 'ses_states')}
     select k, model, cand, ([{_BOX}]::double[])[cand + 1] as alpha, {sel('~mean_mse', digits=6)} from best_ses"""
+
+# --- rows and series that must not get lost ---------------------------------------------------
+
+SQL["duplicate_times"] = """select o_orderpriority k, o_orderdate t, o_totalprice v,
+    row_number() over (partition by o_orderpriority order by o_orderdate, o_totalprice) - 1 i from orders"""
+SQL["ties_by_mean"] = f"""with d as (select o_orderpriority k, o_orderdate t, avg(o_totalprice) v from orders group by 1, 2)
+    select k, t, {sig('v')} v, row_number() over (partition by k order by t) - 1 i from d"""
+_GAPPY = "sum(case when event_type <> 'view' then value end)"
+SQL["all_null_clean"] = f"with {STEPS} select {sel('k', 't', '~v_filled', 'kept', '~v_clean')} from steps".replace("sum(value)", _GAPPY)
+SQL["all_null_describe"] = f"""with {HOURLY},
+    d as (select k, count(v) n, min(v) mn, max(v) mx, quantile_cont(v, 0.25) a, quantile_cont(v, 0.5) b, quantile_cont(v, 0.75) c from hourly group by k)
+    select k, n, {sig('mn')} as "min", {sig('mx')} as "max", {sig('a')} q25, {sig('b')} q50, {sig('c')} q75, {sig('a')} b25, {sig('b')} b50, {sig('c')} b75
+    from d""".replace("sum(value)", _GAPPY)
+SQL["short_series_validation"] = f"""with s as (select cast(l_orderkey as varchar) k, l_extendedprice v,
+        row_number() over (partition by l_orderkey order by l_shipdate, l_extendedprice) - 1 i, count(*) over (partition by l_orderkey) n from lineitem),
+    o as (select *, greatest(2, cast(floor(n * 0.5) as bigint)) first from s),
+    level as (select k, avg(v) m from o where i < first group by k),
+    e as (select o.k, case when i >= first then (v - m) * (v - m) end e2 from o join level using (k)),
+    f as (select k, avg(e2) mse from e group by k)
+    select k, 0 cand, {sig('mse', 6)} mean_mse, case when mse is null then 0 else 1 end::bigint n_folds, 0::bigint n_failed from f"""

@@ -70,8 +70,8 @@ def levinson(r: Column) -> Column:
 
 
 def partial_autocorrelation(df: DataFrame, max_lag: int, col: str = "v") -> DataFrame:
-    """``(k, lag, pacf)`` by the Levinson-Durbin recursion on one small array per series."""
-    g = lag_products(df, max_lag, col).filter(F.col("g")[0] > 0)
-    r = g.select("k", F.transform(F.slice("g", F.lit(1), F.least(F.col("n"), F.lit(max_lag + 1)).cast("int")), lambda x: x / F.col("g")[0]).alias("r"))
+    """``(k, lag, pacf)`` by the Levinson-Durbin recursion on one small array per series; NULL for a constant one."""
+    g = lag_products(df, max_lag, col)
+    r = g.select("k", F.transform(F.slice("g", F.lit(1), F.least(F.col("n"), F.lit(max_lag + 1)).cast("int")), lambda x: x / F.nullif(F.col("g")[0], F.lit(0.0))).alias("r"))
     return r.select("k", F.posexplode(levinson(F.col("r"))).alias("p", "pacf")).select(
         "k", (F.col("p") + 1).alias("lag"), "pacf")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .layout import attach
 
-# Series up to this many rows are handled by one aggregation buffer each.
+# A series with up to this many values is handled by one aggregation buffer.
 BUFFER_ROWS = 5_000_000
 SKETCH_ACCURACY = 10_000
 SLICES = 1024
@@ -24,16 +24,24 @@ def series_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k",),
                      longest: int | None = None, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """``(keys, q ARRAY<DOUBLE>)`` with linear interpolation between order statistics.
 
-    The longest series decides the way: ``percentile`` keeps a value table per series, which is
-    fine up to ``BUFFER_ROWS``; beyond, a sketch brackets each rank and only the bracketed rows are
-    ranked.  Both are exact.
+    Each series takes its own way: ``percentile`` keeps a value table, which is fine up to
+    ``BUFFER_ROWS``; beyond, a sketch brackets each rank and only the bracketed rows are ranked.
+    Both are exact and both keep a series without values, with NULL, so the length of one series
+    does not touch the result of another.  ``longest`` is the caller's bound: up to ``BUFFER_ROWS``
+    nothing is counted; above it, every series goes the long way.
     """
     keys = tuple(keys)
-    if longest is None:
-        longest = longest_series(df, keys, col)
-    if longest <= BUFFER_ROWS:
-        return df.groupBy(*keys).agg(F.percentile(col, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
-    return bracketed_quantiles(df, probs, col, keys, accuracy)
+
+    def short(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.percentile(col, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+
+    if longest is not None and longest > BUFFER_ROWS:
+        return bracketed_quantiles(df, probs, col, keys, accuracy)
+    if (longest_series(df, keys, col) if longest is None else longest) <= BUFFER_ROWS:
+        return short(df)
+    sizes = df.groupBy(*keys).agg((F.count(col) > BUFFER_ROWS).alias("_long"))
+    sized = attach(df, sizes, keys)
+    return short(sized.filter(~F.col("_long"))).unionByName(bracketed_quantiles(sized.filter("_long").drop("_long"), probs, col, keys, accuracy))
 
 
 def bracketed_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k",),
@@ -44,6 +52,8 @@ def bracketed_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k"
     2. Rows below the low value are only counted; rows inside are counted per distinct value.
     3. The inside is cut into slices; running totals over the slice counts pick the slices that
        hold the wanted ranks, and only those are ranked value by value.
+
+    A rank that the bracket misses stops the run; a series without values has NULL.
     """
     probs = [float(p) for p in probs]
     keys = list(keys)
@@ -97,4 +107,9 @@ def bracketed_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k"
     values = ranked.groupBy(*keys, "b").agg(at(floor_h).alias("lo"), at(ceil_h).alias("hi"))
     point = F.col("lo") + (F.col("b.h") - floor_h) * (F.col("hi") - F.col("lo"))
     pairs = values.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("b.j").alias("j"), point.alias("q")))).alias("p"))
-    return pairs.select(*keys, F.transform("p", lambda p: p["q"]).alias("q"))
+    found = pairs.select(*keys, F.transform("p", lambda p: p["q"]).alias("q"))
+    whole = (F.size("q") == m) & ~F.exists("q", lambda x: x.isNull())
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket; raise the accuracy of the sketch"))
+    return sketch.select(*keys, "n").join(found, keys, "left").select(
+        *keys, F.when(F.coalesce(whole, F.lit(False)), F.col("q")).when(F.col("n") > 0, missed.cast("array<double>")).otherwise(
+            F.array(*[F.lit(None).cast("double")] * m)).alias("q"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .layout import attach, in_chunk, only_home, with_halo
 
 # Default period, detection threshold, variance guard, longest lag inspected.
@@ -32,7 +33,8 @@ def decompose(df: DataFrame, period: int = PERIOD) -> DataFrame:
     The centred moving average needs half a period of neighbours on each side; the phase means are
     one short array per series.  Series shorter than two periods get NULL parts.
     """
-    trended = _with_trend(df, period)
+    # written once: the means, the join of the seasons and the result all read it
+    trended = materialize(_with_trend(df, period), "trended")
     phase = F.pmod(F.col("i"), F.lit(period)).cast("int")
     means = trended.groupBy("k", phase.alias("phase")).agg(
         F.avg(F.col("v") - F.col("trend")).alias("m"), F.count(F.lit(1)).alias("c"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.special import normal_cdf
 from ..session import materialize
 from .lags import lag_products
-from .layout import in_chunk, with_halo, with_totals
+from .layout import chunk_rows, in_chunk, with_chunk, with_halo, with_totals
 
 # Response surfaces of MacKinnon (1994, 2010) for a constant and one series.
 ADF_CRITICAL = {
@@ -148,6 +148,8 @@ def adf_test(df: DataFrame) -> DataFrame:
     totals = with_totals(df.select("k", "i", "chunk", "v").withColumn("one", F.lit(1)), n=("sum", "one"), total=("sum", "v"))
     longest = df.agg(F.max("i")).first()[0]
     halo = max(adf_max_lag((longest or 0) + 1), 0) + 1
+    if chunk_rows(df) < 2 * halo + 4:  # the first chunk must hold the first rows that lags need
+        totals = with_chunk(totals, 2 * halo + 4)
     chunks = with_halo(totals, before=halo).groupBy("k", "chunk").agg(
         F.array_sort(F.collect_list(F.struct("i", "v"))).alias("r"), F.count_if(~F.col("home")).alias("lead"),
         F.first("n").alias("n"), (F.first("total") / F.first("n")).alias("mean"))

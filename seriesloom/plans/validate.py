@@ -189,6 +189,14 @@ def cv_summary(folds: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_folds"), F.count_if(F.col("mse").isNull()).alias("n_failed"))
 
 
+def with_every_series(summary: DataFrame, df: DataFrame, code: str, n_candidates: int) -> DataFrame:
+    """The summary with a row for every series and candidate: without a fold, ``n_folds`` is 0 and the errors are NULL."""
+    keys = df.select("k").distinct().withColumn("cand", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))))
+    out = keys.join(summary.drop("model"), ["k", "cand"], "left")
+    return out.select("k", F.lit(code).alias("model"), "cand", "mean_mse", "std_mse", F.coalesce("mean_coverage", F.lit(0.0)).alias("mean_coverage"),
+                      F.coalesce("n_folds", F.lit(0)).alias("n_folds"), F.coalesce("n_failed", F.lit(0)).alias("n_failed"))
+
+
 def best_candidate(tested: DataFrame) -> DataFrame:
     """Smallest mean error per series and model; failed candidates last, the first one on ties."""
     order = F.struct(F.col("mean_mse").isNull(), F.col("mean_mse"), F.col("cand"))
@@ -209,7 +217,8 @@ def grid_search(df: DataFrame, code: str, grid: dict[str, list] | None = None, f
 
 
 def score_candidates(df, code, candidates, folds=None, hw_grid=None) -> DataFrame:
-    return _with_params(cv_summary(validate(df, code, candidates, folds or Folds.rolling(), hw_grid)), candidates)
+    summary = cv_summary(validate(df, code, candidates, folds or Folds.rolling(), hw_grid))
+    return _with_params(with_every_series(summary, df, code, len(candidates)), candidates)
 
 
 def _halton(index: int, base: int) -> float:
@@ -223,7 +232,7 @@ def _halton(index: int, base: int) -> float:
 
 def box_candidates(space: dict[str, tuple], calls: int = 25, seed: int = 0) -> list[dict]:
     """Space-filling points of a box of ``name: (low, high, 'real' | 'int')``, the same for a seed."""
-    primes = (2, 3, 5, 7, 11, 13)
+    primes = [p for p in range(2, 20 * len(space) + 10) if all(p % q for q in range(2, int(p**0.5) + 1))]
     points = []
     for j in range(1, int(calls) + 1):
         point_ = {}

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "seriesloom", master: str | None = None, **conf) -> SparkSession:
@@ -48,4 +49,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(df.sparkSession.conf.get("spark.app.id"), []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def mark(spark: SparkSession) -> int:
+    """A point in the list of intermediate tables, for ``release``."""
+    return len(_written.get(spark.conf.get("spark.app.id"), []))
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediate tables written after ``mark``, once nothing that reads them is needed; returns how many."""
+    paths = _written.get(spark.conf.get("spark.app.id"), [])
+    jvm, own = spark._jvm, paths[since:]
+    for path in own:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    del paths[since:]
+    return len(own)

@@ -16,20 +16,44 @@ def to_long(df: DataFrame, columns: list[str], time_col: str = "date") -> DataFr
     return wide.unpivot(["t"], columns, "k", "v").select("k", "t", "v")
 
 
-def irregular_panel(obs: DataFrame, rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Sum observations per ``(k, t)`` and number the observed rows.
+NO_KEY = "(none)"
+TIES = {"sum": F.sum, "mean": F.avg}
 
-    The sums are stored first, since numbering reads them three times.
+
+def _named(obs: DataFrame) -> DataFrame:
+    """Rows with a time; those without a key form a series of their own, if keys are text."""
+    k = F.coalesce("k", F.lit(NO_KEY)) if obs.schema["k"].dataType.typeName() == "string" else F.col("k")
+    return obs.filter(F.col("t").isNotNull()).select(k.alias("k"), "t", "v")
+
+
+def panel_report(obs: DataFrame) -> DataFrame:
+    """One row: rows read, rows without a time (which panels leave out), without a key, and beyond the first of their time."""
+    repeated = obs.filter(F.col("t").isNotNull()).groupBy("k", "t").count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n_repeated"))
+    counts = obs.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("t").isNull()).alias("n_without_time"), F.count_if(F.col("k").isNull()).alias("n_without_key"))
+    return counts.withColumn("one", F.lit(1)).join(repeated.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+def irregular_panel(obs: DataFrame, rows: int = ROWS_PER_CHUNK, ties: str = "keep") -> DataFrame:
+    """Number the observed rows of each series in time.
+
+    ``ties`` says what becomes of rows of one time: ``keep`` (all stay, ordered by value), ``sum`` or
+    ``mean``.  Rows without a time are left out (see ``panel_report``).  The rows are stored first,
+    since numbering reads them several times.
     """
-    return index_series(materialize(obs.groupBy("k", "t").agg(F.sum("v").alias("v")), "sums"), rows)
+    named = _named(obs)
+    if ties != "keep":
+        named = named.groupBy("k", "t").agg(TIES[ties]("v").alias("v"))
+    return index_series(materialize(named, "observations"), rows)
 
 
-def regular_panel(obs: DataFrame, step: str, rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Sum observations per ``(k, t)`` on a full grid from first to last time; gaps are NULL.
+def regular_panel(obs: DataFrame, step: str, rows: int = ROWS_PER_CHUNK, ties: str = "sum") -> DataFrame:
+    """Observations per ``(k, t)`` on a full grid from first to last time; gaps are NULL.
 
-    ``t`` must lie on the grid already.  The grid is unfolded chunk by chunk, and grid rows and
-    observations meet in one aggregation that combines on the map side, so no join is needed.
+    Rows of one time are combined by ``ties`` (``sum`` or ``mean``).  A time off the grid of its series
+    stops the run: round or truncate times first.  The grid is unfolded chunk by chunk, and grid rows
+    and observations meet in one aggregation that combines on the map side, so no join is needed.
     """
+    obs = _named(obs)
     one = F.expr(f"interval {step}")
     many = F.expr(f"{rows} * interval {step}")
     ends = obs.groupBy("k").agg(F.min("t").alias("a"), F.max("t").alias("z"))
@@ -41,5 +65,7 @@ def regular_panel(obs: DataFrame, step: str, rows: int = ROWS_PER_CHUNK) -> Data
     both = obs.select("k", "t", "v", F.lit(None).cast("long").alias("i")).unionByName(
         grid.select("k", "t", F.lit(None).cast("double").alias("v"), (F.col("chunk").cast("long") * rows + F.col("p")).alias("i"))
     )
-    dense = both.groupBy("k", "t").agg(F.sum("v").alias("v"), F.max("i").alias("i"))
+    dense = both.groupBy("k", "t").agg(TIES[ties]("v").alias("v"), F.max("i").alias("i"))
+    off = F.raise_error(F.concat(F.lit("off the grid: series "), F.col("k").cast("string"), F.lit(" at "), F.col("t").cast("string")))
+    dense = dense.withColumn("i", F.when(F.col("i").isNull(), off.cast("long")).otherwise(F.col("i")))
     return dense.select("k", "t", "v", "i", tag_chunk(F.floor(F.col("i") / rows), rows))

@@ -11,11 +11,15 @@ EVENT_SCHEMA = "run_id string, ts timestamp, event string, payload string"
 
 
 def write_forecasts(forecasts: DataFrame, path: str, run_id: str, fmt: str = "csv", mode: str = "append") -> None:
-    """Forecast rows ``date, forecast, lower_95, upper_95`` in folders per run and model."""
+    """Forecast rows ``date, forecast, lower_95, upper_95`` in folders per run and model.
+
+    With ``append``, rows of the same run and model are replaced, so a run that is tried again does not double them.
+    """
     out = forecasts.select(
         F.lit(run_id).alias("run_id"), "model", F.col("k").alias("series_id"), "step", F.col("t").alias("date"),
         "forecast", "lower_95", "upper_95")
-    writer = out.write.mode(mode).partitionBy("run_id", "model")
+    writer = out.write.partitionBy("run_id", "model")
+    writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if mode == "append" else writer.mode(mode)
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:

@@ -1,11 +1,14 @@
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seriesloom.operators import clean, profile
+from seriesloom.operators import clean, profile, quantiles
 from seriesloom.operators.layout import index_series, observed
+from seriesloom.operators.quantiles import series_quantiles
 from seriesloom.sources.files import parse_dates, series_from_wide
-from seriesloom.sources.panel import irregular_panel, regular_panel
+from seriesloom.sources.panel import NO_KEY, irregular_panel, panel_report, regular_panel
 
 GAPS = [None, 10, None, 40, None, None]
 HOURS = [0, 1, 2, 5, 6, 7]
@@ -86,3 +89,40 @@ def test_irregular_panel_numbers_rows_across_time_buckets(spark):
                                   F.col("id").cast("double").alias("v"))
     got = irregular_panel(raw, 50).orderBy("t").collect()
     assert [r.i for r in got] == list(range(400)) and [r.chunk for r in got] == [i // 50 for i in range(400)]
+
+
+def raw_rows(spark, rows):
+    data = [(k, None if h is None else dt.datetime(2020, 1, 1) + dt.timedelta(minutes=m), v) for k, h, m, v in ((k, t, (t or 0), v) for k, t, v in rows)]
+    return spark.createDataFrame(data, "k string, t timestamp_ntz, v double")
+
+
+def test_no_row_gets_lost(spark):
+    raw = raw_rows(spark, [("a", 0, 11.0), ("a", 0, 12.0), ("a", 60, 1.0), (None, 0, 5.0), ("a", None, 9.0)])
+    kept = [(r.k, r.i, r.v) for r in irregular_panel(raw, 50).orderBy("k", "i").collect()]
+    assert kept == [(NO_KEY, 0, 5.0), ("a", 0, 11.0), ("a", 1, 12.0), ("a", 2, 1.0)]
+    assert [(r.k, r.v) for r in irregular_panel(raw, 50, ties="mean").orderBy("k", "i").collect()] == [(NO_KEY, 5.0), ("a", 11.5), ("a", 1.0)]
+    assert panel_report(raw).first().asDict() == {"n_rows": 5, "n_without_time": 1, "n_without_key": 1, "n_repeated": 1}
+
+
+def test_rows_off_the_grid_stop_the_run(spark):
+    raw = raw_rows(spark, [("a", 0, 1.0), ("a", 90, 7.0), ("a", 120, 2.0)])
+    with pytest.raises(Exception, match="off the grid: series a at 2020-01-01 01:30"):
+        regular_panel(raw, "1 hour", 4).collect()
+
+
+def test_both_quantile_ways_keep_every_series(series):
+    data = {"null": [None] * 5, "one": [3.0], "flat": [2.0] * 9, "long": [float(i * i % 101) for i in range(300)]}
+    df = series(data, 16)
+    short = {r.k: r.q for r in series_quantiles(df, [0.1, 0.5, 0.9]).collect()}
+    long = {r.k: r.q for r in series_quantiles(df, [0.1, 0.5, 0.9], longest=10**9, accuracy=200).collect()}
+    clear = lambda d: {k: None if q is None or q[0] is None else [round(x, 9) for x in q] for k, q in d.items()}
+    assert clear(short) == clear(long) and set(short) == set(data)
+
+
+def test_the_length_of_one_series_does_not_touch_another(series, monkeypatch):
+    data = {"null": [None] * 5, "short": [1.0, 4.0, None, 9.0], "long": [float(i * i % 101) for i in range(300)]}
+    df = series(data, 16)
+    want = {r.k: r.q for r in series_quantiles(df, [0.25, 0.75]).collect()}
+    monkeypatch.setattr(quantiles, "BUFFER_ROWS", 100)
+    got = {r.k: r.q for r in series_quantiles(df, [0.25, 0.75]).collect()}
+    assert {k: q and [round(x, 9) for x in q] for k, q in got.items()} == {k: q and [round(x, 9) for x in q] for k, q in want.items()}
