@@ -53,6 +53,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path(name))
         self.tokenizer.encode_special_tokens = True
         self.known = Parts()
+        ids = [self.tokenizer.encode(b, add_special_tokens=False).ids for b in self.between]
+        self.marks = [(b, i[-1], len(i)) for b, i in zip(self.between, ids)]
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -60,23 +62,25 @@ class Encoder:
     def learn(self, parts: set) -> dict:
         """Encode parts that are new: many in one text, told apart by a mark between them."""
         found: dict = {}
-        plain, odd = [], []
+        kinds: dict[int, list] = {}
         for p in parts:
-            (odd if self.marked(p) else plain).append(p)
+            kinds.setdefault(self.mark_of(p), []).append(p)
+        odd = kinds.pop(-1, [])
         for p, ids in zip(odd, self._ids([self.whole(p) for p in odd])):
             found[p] = ids.tobytes()
-        for a in range(0, len(plain), 200):
-            some = plain[a : a + 200]
-            text = self.between.join(map(self.whole, some)) + self.between
+        for kind, a in ((kind, a) for kind, plain in kinds.items() for a in range(0, len(plain), 200)):
+            some = kinds[kind][a : a + 200]
+            between, mark_id, mark_length = self.marks[kind]
+            text = between.join(map(self.whole, some)) + between
             (ids,) = self._ids([text])
-            ends = np.flatnonzero(ids == self.mark_id) + 1
+            ends = np.flatnonzero(ids == mark_id) + 1
             if len(ends) != len(some):  # a part that swallows the mark: one by one
                 for p, i in zip(some, self._ids([self.whole(p) for p in some])):
                     found[p] = i.tobytes()
                 continue
             raw, start = ids.tobytes(), 0
             for p, end in zip(some, ends.tolist()):
-                found[p] = raw[4 * start : 4 * (end - self.mark_length)]
+                found[p] = raw[4 * start : 4 * (end - mark_length)]
                 start = end
         return found
 
@@ -94,14 +98,7 @@ class Encoder:
 class WordEncoder(Encoder):
     """White space is dropped and letters lowered, so parts are words in lower case."""
 
-    between = f" {_MARK} "
-    mark_length = 1
-
-    def __init__(self, name):
-        super().__init__(name)
-        ids = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
-        assert len(ids) == 1
-        self.mark_id = ids[0]
+    between = (f" {_MARK} ",)
 
     def parts(self, text: str) -> list[bytes]:
         return text.encode().lower().split()
@@ -109,8 +106,8 @@ class WordEncoder(Encoder):
     def whole(self, part: bytes) -> str:
         return part.decode()
 
-    def marked(self, part: bytes) -> bool:
-        return b"\x01" in part
+    def mark_of(self, part: bytes) -> int:
+        return -1 if b"\x01" in part else 0
 
 
 class ByteEncoder(Encoder):
@@ -122,12 +119,7 @@ class ByteEncoder(Encoder):
     they are.
     """
 
-    between = f" {_MARK}"
-
-    def __init__(self, name):
-        super().__init__(name)
-        ids = self.tokenizer.encode(self.between, add_special_tokens=False).ids
-        self.mark_id, self.mark_length = ids[-1], len(ids)
+    between = ("\n", f" {_MARK}")  # a line feed before a word's space is one token, and two line feeds would merge
 
     def parts(self, text: str) -> list:
         if not text:
@@ -140,5 +132,7 @@ class ByteEncoder(Encoder):
     def whole(self, part) -> str:
         return part[0] if isinstance(part, tuple) else part if part[0] == "\n" else " " + part
 
-    def marked(self, part) -> bool:
-        return isinstance(part, tuple) or _MARK in part  # a tuple may end in white space
+    def mark_of(self, part) -> int:
+        if isinstance(part, tuple) or _MARK in part:  # a tuple may end in white space
+            return -1
+        return int(part[0] == "\n")
