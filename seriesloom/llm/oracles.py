@@ -3,3 +3,54 @@
 from __future__ import annotations
 
 SQL: dict[str, str] = {}
+
+_SPACE = r"'[\x20\x09-\x0D]+'"
+
+# All pairs that share a run of three words are counted, and links are followed step by step.
+SQL["op4_universe_partition_join"] = f"""with recursive
+    w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_SPACE}), lambda x: x <> '') ws from documents),
+    g as (select doc_id, case when len(ws) = 0 then [] when len(ws) < 3 then [array_to_string(ws, ' ')]
+          else list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) end gs from w),
+    n as (select doc_id, len(gs)::bigint n from g),
+    e as (select doc_id, unnest(gs) s from g),
+    p as (select a.doc_id a, b.doc_id b, count(*) c from e a join e b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+    l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 90 * (x.n + y.n - c)),
+    both_ways as (select a, b from l union all select b, a from l),
+    r(doc_id, found) as (select doc_id, doc_id from n union select both_ways.b, r.found from r join both_ways on both_ways.a = r.doc_id)
+    select doc_id, any_value(n.n) n_shingles, min(found) component_id from r join n using (doc_id) group by doc_id"""
+
+# The base counts, then the same tests of cutoffs as sums of binomial probabilities.
+_RULES = {"symbols": ("n_symbols", "n_words"), "repeated_words": ("n_repeat_words", "n_words"), "repeated_lines": ("n_dup_lines", "n_lines"), "capitals": ("n_capitals", "n_letters")}
+
+
+def _level(over: str, under: str) -> str:
+    return f"case when {under} > 0 then greatest(0, least(40, ceil({over} * 40 / {under})::int - 1)) else 0 end"
+
+
+SQL["op7_risk_controlled_rules"] = f"""with
+    d as (select row_number() over () as row, doc_id, coalesce(text, '') txt from documents),
+    w as (select row, list_filter(string_split_regex(txt, {_SPACE}), lambda x: x <> '') ws from d),
+    runs as (select row, unnest(list_transform(range(1, len(ws) - 1), lambda i: {{'i': i, 's': ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]}})) x from w where len(ws) > 2),
+    named as (select row, x.i i, count(*) over (partition by row, x.s) c from runs),
+    repeats as (select row, count(distinct i + k) n_repeat_words from named, (values (0), (1), (2)) t(k) where c > 1 group by row),
+    lines as (select row, unnest(string_split(txt, chr(10))) line from d),
+    dups as (select row, sum(case when regexp_matches(line, '[^\\x20\\x09-\\x0D]') then c - 1 else 0 end)::bigint n_dup_lines, sum(c)::bigint n_lines
+             from (select row, line, count(*) c from lines group by 1, 2) group by row),
+    counted as (select row, doc_id, len(ws)::bigint n_words, length(array_to_string(ws, ''))::bigint word_chars, length(regexp_replace(txt, '[^#*$%&|<>]', '', 'g'))::bigint n_symbols,
+                n_dup_lines, coalesce(n_repeat_words, 0)::bigint n_repeat_words, n_lines, length(regexp_replace(txt, '[^A-Za-z]', '', 'g'))::bigint n_letters,
+                length(regexp_replace(txt, '[^A-Z]', '', 'g'))::bigint n_capitals
+                from d join w using (row) join dups using (row) left join repeats using (row)),
+    judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed, case when n_words <= 200 then 0 when n_words <= 1000 then 1 else 2 end stratum from counted),
+    levels as ({" union all ".join(f"select row, doc_id, stratum, base_failed, '{r}' rule, {_level(o, u)} lev from judged" for r, (o, u) in _RULES.items())}),
+    truth as (select doc_id, min(quality) q from labels where quality is not null group by doc_id),
+    seen as (select stratum, rule, lev, count(*) filter (q = 1) good, count(*) filter (q <> 1) bad from levels join truth using (doc_id) where not base_failed group by 1, 2, 3),
+    cuts as (select s.stratum, s.rule, c.cut::int cut, sum(good) n, coalesce(sum(good) filter (lev >= cut), 0) k, coalesce(sum(bad) filter (lev >= cut), 0) hits
+             from seen s, range(1, 41) c(cut) group by all),
+    tails as (select c.stratum, c.rule, c.cut, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99))) p
+              from cuts c, range(0, 2000) t(i) where i <= k and k < 0.01 * n group by all),
+    passed as (select c.*, bool_and(n > 0 and k < 0.01 * n and coalesce(p, 1) <= 0.05 / 12) over (partition by c.stratum, c.rule order by c.cut desc) ok
+               from cuts c left join tails t on t.stratum = c.stratum and t.rule = c.rule and t.cut = c.cut),
+    chosen as (select stratum, rule, cut from passed where ok and hits - 10 * k > 0 qualify row_number() over (partition by stratum, rule order by hits - 10 * k desc, cut desc) = 1),
+    broken as (select row, list(l.rule order by l.rule) rules from levels l join chosen c on c.stratum = l.stratum and c.rule = l.rule and l.lev >= c.cut group by row)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and rules is null kept,
+           coalesce(array_to_string(rules, ','), '') broken_rules from judged left join broken using (row)"""

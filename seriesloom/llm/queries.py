@@ -20,7 +20,7 @@ def op7_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from seriesloom.llm import rules
 
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken_rules")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("broken_rules", ",").alias("broken_rules"))
 
 
 @query
