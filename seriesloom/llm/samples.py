@@ -6,16 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, most_docs: int, most_bytes: int, fold=F.max) -> list[tuple[int, str, int]]:
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, most_docs: int, most_bytes: int, fold=F.max, total: bool = False) -> list[tuple[int, str, int]]:
     """At most ``most_docs`` (doc_id, text, 0 or 1), each text of at most ``most_bytes`` bytes, in an order given by the ids.
 
     ``allowed``: condition on doc_id. Rows of ``labels`` are picked by a hash of the id, so that the
     pick does not depend on partitions; contradicting labels are combined by ``fold``. The picked
-    ids (a bounded table) are broadcast, so texts are read once and never shuffled.
+    ids (a bounded table) are broadcast, so texts are never shuffled. With ``total``, texts of any
+    length come whole, and the order ends before ``most_bytes`` bytes of all texts are passed (only a
+    single text over ``most_bytes`` is left out).
     """
     truth = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & allowed)
-    truth = truth.groupBy("doc_id").agg(fold("y").alias("y")).orderBy(F.xxhash64(F.lit(label), "doc_id"), "doc_id").limit(most_docs)
+    truth = truth.groupBy("doc_id").agg(fold("y").alias("y")).withColumn("h", F.xxhash64(F.lit(label), "doc_id")).orderBy("h", "doc_id").limit(most_docs)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes))
+    if total:
+        sizes = texts.join(F.broadcast(truth), "doc_id").groupBy("h", "doc_id").agg(F.max(F.octet_length("text")).alias("size")).toArrow()
+        room, last = most_bytes, None
+        for h, doc_id, size in sorted(zip(*(c.to_pylist() for c in sizes.columns))):
+            room -= size
+            if room < 0:
+                truth = truth.filter((F.col("h") < last[0]) | ((F.col("h") == last[0]) & (F.col("doc_id") <= last[1])))
+                break
+            last = h, doc_id
     rows = texts.join(F.broadcast(truth), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "y")
     found = rows.toArrow()
     out = list(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), found.column(2).to_pylist()))

@@ -7,8 +7,13 @@ Only document labels are used: weights are fitted to the likelihood of the docum
 proximal gradient steps, which leave most words at exactly zero. Sentences at or above a cutoff are
 reported as the offending ones.
 
-Fitting uses a bounded sample (``Settings.fit_docs`` documents of at most ``Settings.fit_bytes``
-bytes each) on the driver; scoring covers every whole text, partition by partition.
+Sentences below the cutoff have a small chance each, most of them the bias alone. In texts of more
+than ``Settings.free`` sentences these chances must not add up with length: from their sum,
+``Settings.allowance`` times what a sentence of a clean document has on average in the fit is
+taken off for each sentence beyond (at most the sum). Sentences at or above the cutoff always count in full.
+
+Fitting uses a bounded sample (``Settings.fit_docs`` documents, ``Settings.fit_bytes`` bytes in all,
+each text whole) on the driver; scoring covers every whole text, partition by partition.
 
 Defined cases: a null or empty text has no sentence and scores 0. Repeated rows are scored each.
 If the sample has no toxic or no clean document, every score is the share of toxic labels (0
@@ -40,7 +45,7 @@ _SENTENCE = re.compile(rb"[^\n]*[^\n ][^\n]*")
 @dataclass(frozen=True)
 class Settings:
     fit_docs: int = 8000
-    fit_bytes: int = 16384
+    fit_bytes: int = 48 << 20  # of all documents together
     least_docs: int = 3  # documents of the sample that a feature must occur in
     kept_words: int = 500_000  # weightless words that a worker remembers
     rounds: int = 300
@@ -48,6 +53,8 @@ class Settings:
     shrink: float = 0.1
     doubt: float = 2.0  # standard errors taken off a feature's first weight
     cutoff: float = 0.5  # of an offending sentence
+    free: int = 100  # sentences of a text whose small chances add up
+    allowance: float = 2.0
 
 
 @dataclass(frozen=True)
@@ -55,6 +62,7 @@ class Model:
     bias: float
     weights: dict[bytes, float]
     share: float | None = None  # constant score, if nothing could be learnt
+    usual: float = 0.0  # -log(1 - p) that sentences of clean documents below the cutoff have on average
 
 
 def sentences(text: bytes) -> list[tuple[int, int, list[bytes]]]:
@@ -117,7 +125,11 @@ def fit(sample: list[tuple[int, str, int]], s: Settings = Settings()) -> Model:
         w = w - step * g
         w = np.sign(w) * np.maximum(0, np.abs(w) - step * s.shrink)
         b -= s.rate * gb / np.sqrt(sum_b)
-    return Model(float(b), {word: float(v) for word, v in zip(vocabulary, w) if v != 0})
+    z = b + np.bincount(row, w[ids], len(sizes))
+    small = (y[doc] == 0) & (z < np.log(s.cutoff / (1 - s.cutoff)))
+    of_clean = idle[y == 0].sum()
+    usual = (np.logaddexp(0, z[small]).sum() + of_clean * np.logaddexp(0, b)) / max(1, small.sum() + of_clean)
+    return Model(float(b), {word: float(v) for word, v in zip(vocabulary, w) if v != 0}, usual=float(usual))
 
 
 def score_texts(docs: DataFrame, model: Model, keep: list[str], s: Settings = Settings(), text: str = "text") -> DataFrame:
@@ -131,8 +143,13 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str], s: Settings = Se
         m = shared.value
         idle = float(np.log1p(np.exp(m.bias)))  # -log(1 - p) of a sentence without a weighted word
         bar = float(np.log(s.cutoff / (1 - s.cutoff)))
+        off = s.allowance * max(m.usual, idle)
         weightless: set[bytes] = set()
 
+        def score(n: int, small: float, strong: float) -> float:
+            """Of ``n`` sentences, with -log(1 - p) summed below the cutoff and from it on."""
+            return float(-np.expm1(-(strong + max(0.0, small - off * max(0, n - s.free)))))
+
         def weigh(words: set[bytes]) -> set[bytes]:
             """Those words that have a weighted feature."""
             found = set()
@@ -151,18 +168,23 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str], s: Settings = Se
             plain = raw.translate(_PLAIN)
             weighted = weigh(set(plain.split()))
             if not weighted:
-                return float(-np.expm1(-idle * sum(not (x.isspace() or not x) for x in plain.split(b"\n")))), []
-            total, excess, spots = 0, 0.0, []
+                n = sum(not (x.isspace() or not x) for x in plain.split(b"\n"))
+                return score(n, n * idle, 0.0), []
+            total, excess, strong, spots = 0, 0.0, 0.0, []
             for match in _SENTENCE.finditer(plain):
                 total += 1
                 words = weighted.intersection(match.group().split())
                 if words:
                     z = m.bias + sum(m.weights.get(f, 0.0) for f in sorted({f for w in words for f in features(w)}))
-                    excess += float(np.logaddexp(0, z)) - idle
-                    if z >= bar:
+                    own = float(np.logaddexp(0, z))
+                    excess -= idle
+                    if z < bar:
+                        excess += own
+                    else:
+                        strong += own
                         start = len(raw[: match.start()].decode())
                         spots.append({"start": start, "length": len(raw[match.start() : match.end()].decode()), "score": float(1 / (1 + np.exp(-z)))})
-            return float(-np.expm1(-max(0.0, excess + total * idle))), spots
+            return score(total, max(0.0, excess + total * idle), strong), spots
 
         def work(texts: pa.Array) -> list:
             out = [one(t.encode()) for t in texts.to_pylist()]
@@ -175,5 +197,5 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str], s: Settings = Se
 
 def detect(docs: DataFrame, labels: DataFrame, allowed: Column, keep: list[str] = ["doc_id"], s: Settings = Settings()) -> DataFrame:
     """Fit on the labelled documents that meet ``allowed`` and score all of ``docs``."""
-    model = fit(labelled_texts(docs, labels, "toxic", allowed, s.fit_docs, s.fit_bytes), s)
+    model = fit(labelled_texts(docs, labels, "toxic", allowed, s.fit_docs, s.fit_bytes, total=True), s)
     return score_texts(docs, model, keep, s)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesloom.llm import toxicity
+from seriesloom.llm.samples import labelled_texts
 from tests.llm.conftest import make_text
 
 
@@ -59,3 +60,16 @@ def test_no_rows_and_no_labels(docs_of, labels_of):
     assert [r["score"] for r in out] == [0.0, 0.0]
     only = toxicity.detect(docs_of([(1, "some text"), (2, None)]), labels_of([(1, 1, 1), (None, 1, 0), (2, None, None)]), F.lit(True)).collect()
     assert sorted(r["score"] for r in only) == [0.0, 1.0]
+
+
+def test_length_alone_is_not_toxic(docs_of, labels_of):
+    """Evidence-free sentences do not add up, one toxic sentence still counts, and long labelled texts are in the fit whole."""
+    docs, labels = corpus()
+    model = toxicity.fit([(i, t, y[2]) for (i, t), y in zip(docs[:160], labels)])
+    long = " ".join(make_text(5000 + i % 500, 12) + "." for i in range(50_000))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_texts(docs_of([(1, long), (2, long + " you are an idiot.")]), model, ["doc_id"]).collect()}
+    assert got[1] < 0.7 <= got[2]
+    small = labelled_texts(docs_of([(1, "a " * 20_000), (2, "b"), (3, "c " * 20_000)]), labels_of([(1, 1, 0), (2, 1, 1), (3, 1, 0)]), "toxic", F.lit(True), 10, 100_000, total=True)
+    assert [(i, len(t)) for i, t, _ in small] == [(1, 40_000), (2, 1), (3, 40_000)]
+    few = labelled_texts(docs_of([(i, "x" * 100) for i in range(20)]), labels_of([(i, 1, 0) for i in range(20)]), "toxic", F.lit(True), 10, 550, total=True)
+    assert len(few) == 5
