@@ -3,10 +3,15 @@
 Every hash is one projection, kept as a sorted array. A query opens a window around its own
 projection in each array and widens all of them step by step (virtual rehashing: wider buckets from
 the same arrays); a vector's collisions are the windows it lies in. Vectors that reach the collision
-threshold are candidates; once they make up ``Settings.share`` of the block (and the wanted number),
-widening stops and their inner products are computed exactly, in double precision, on the original
-vectors. Inner products are turned into distances by one more coordinate, sqrt(M^2 - |x|^2) for
-stored vectors of largest length M and 0 for queries. Directions are drawn in orthogonal sets.
+threshold are candidates: their inner products are computed at once, exactly, in double precision, on
+the original vectors. Widening stops only when the k-th best product beats a bound for all vectors that
+are not candidates yet: one nearer than the bound's distance would have reached the threshold but for
+a chance of ``Settings.miss`` (of 0 below 16 dimensions, where squared projections are summed instead).
+
+Inner products are turned into distances within bands of stored vectors of nearly one length: with M
+the largest of the band, stored vectors get one more coordinate, sqrt(M^2 - |x|^2), and queries are
+scaled to length M, which does not change their order. Bands are searched from the longest vectors on;
+those too short to beat the k-th best product are not. Directions are drawn in orthogonal sets.
 
 Vectors are spread over blocks of about ``Settings.block`` by a hash of their id, and queries over groups;
 each block meets each group once, in a task that holds both, and the best of all blocks are merged.
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +40,9 @@ from seriesloom.session import materialize
 class Settings:
     hashes: int = 64
     threshold: float = 0.62  # collisions of a candidate, in hashes
-    share: float = 0.3  # candidates at which windows stop, of a block
+    miss: float = 1e-3  # chance that a nearer vector is not a candidate yet when windows stop
+    band: float = 1.25  # largest by smallest length of a band, if it has ``band_least`` vectors
+    band_least: int = 64
     first: float = 0.5  # half width of the first windows, in M
     widen: float = 1.15
     block: int = 8192
@@ -49,44 +57,105 @@ def directions(dim: int, s: Settings) -> np.ndarray:
     return np.concatenate(sets, axis=1)[:, : s.hashes] * math.sqrt(dim)
 
 
-def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, longest: float, k: int, s: Settings):
+def least_distance(dim: int, s: Settings) -> float:
+    """By this times the half width of the windows, vectors that are not candidates are away at least, but for ``s.miss``."""
+    m, needed = s.hashes, math.ceil(s.threshold * s.hashes)
+    if dim < 16:  # squared projections on one orthogonal set add up to at most dim times the squared distance
+        return math.sqrt((m - needed + 1) / (-(-m // dim) * dim))
+    low, high = 0.0, 1.0  # chance of one collision
+    for _ in range(60):
+        p = (low + high) / 2
+        missed = sum(math.comb(m, c) * p**c * (1 - p) ** (m - c) for c in range(needed))
+        low, high = (p, high) if missed > s.miss else (low, p)
+    return 1 / NormalDist().inv_cdf((1 + min(high, 1 - 1e-12)) / 2)
+
+
+class Band:
+    """Stored vectors of nearly one length, the longest ``longest``, as sorted projections."""
+
+    def __init__(self, rows: np.ndarray, x: np.ndarray, longest: float, units: np.ndarray, axes: np.ndarray, s: Settings):
+        self.rows, self.longest, self.hashes = rows, longest, s.hashes
+        more = np.sqrt(np.maximum(longest**2 - (x * x).sum(1), 0))
+        projected = (x @ axes[:-1] + more[:, None] * axes[-1]).T
+        self.order = np.argsort(projected, axis=1, kind="stable")
+        self.arrays = np.take_along_axis(projected, self.order, 1)
+        self.own = longest * (units @ axes[:-1]).T
+        self.widths = [s.first * longest]
+        reach = max(float(np.abs(self.own).max()) + float(np.abs(self.arrays).max()), self.widths[0])
+        while self.widths[-1] <= reach:
+            self.widths.append(self.widths[-1] * s.widen)
+        self.edges: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def windows(self, level: int, i: int) -> tuple[list[int], list[int]]:
+        if level == len(self.edges):  # windows of all queries at this width
+            w = self.widths[level]
+            self.edges.append(tuple(np.array([np.searchsorted(self.arrays[h], self.own[h] + d * w, side) for h in range(self.hashes)]) for d, side in ((-1, "left"), (1, "right"))))
+        return self.edges[level][0][:, i].tolist(), self.edges[level][1][:, i].tolist()
+
+
+def bands(lengths: np.ndarray, s: Settings) -> list[np.ndarray]:
+    """Positions of the vectors of each band, the longest first."""
+    order = np.argsort(-lengths, kind="stable")
+    ordered, out, a = -lengths[order], [], 0
+    while a < len(order):
+        b = max(int(np.searchsorted(ordered, ordered[a] / s.band, "right")), a + s.band_least)
+        out.append(order[a:b])
+        a = b
+    return out
+
+
+def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, s: Settings):
     """(query, id, score) of the best ``k`` of a block for each query; ties to smaller ids."""
-    n, dim = x.shape
-    axes = directions(dim + 1, s)
-    more = np.sqrt(np.maximum(longest**2 - (x * x).sum(1), 0))
-    projected = (x @ axes[:-1] + more[:, None] * axes[-1]).T
-    order = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
-    arrays = np.take_along_axis(projected, order, 1)
-    own = (q @ axes[:-1]).T
-    m = s.hashes
-    needed = math.ceil(s.threshold * m)
-    enough = min(n, math.ceil(s.share * n) + k)
-    widths = [s.first * longest]
-    reach = max(float(np.abs(own).max()) + float(np.abs(arrays).max()), widths[0])
-    while widths[-1] < reach:
-        widths.append(widths[-1] * s.widen)
-    edges: list[tuple[np.ndarray, np.ndarray]] = []
+    dim = x.shape[1]
+    axes, away = directions(dim + 1, s), least_distance(dim + 1, s)
+    needed = math.ceil(s.threshold * s.hashes)
+    # Divided by the largest component first: squares of components neither overflow nor vanish.
+    scale = np.abs(x).max() or 1.0
+    near = x / scale
+    lengths = np.sqrt((near * near).sum(1))
+    units = q / np.abs(q).max(1)[:, None]
+    units = units / np.sqrt((units * units).sum(1))[:, None]
+    query_lengths = (q * units).sum(1) * scale
+    cut = bands(lengths, s)
+    built: dict[int, Band] = {}
     out = []
     for i in range(len(q)):
-        count = np.zeros(n, np.int32)
-        low = high = None
-        for level, width in enumerate(widths):
-            if level == len(edges):  # windows of all queries at this width
-                edges.append(tuple(np.array([np.searchsorted(arrays[h], own[h] + d * width, side) for h in range(m)]) for d, side in ((-1, "left"), (1, "right"))))
-            a, b = edges[level][0][:, i].tolist(), edges[level][1][:, i].tolist()
-            if low is None:
-                fresh = [order[h, a[h] : b[h]] for h in range(m)]
-            else:
-                fresh = [order[h, a[h] : low[h]] for h in range(m)] + [order[h, high[h] : b[h]] for h in range(m)]
-            low, high = a, b
-            count += np.bincount(np.concatenate(fresh), minlength=n)
-            hits = np.flatnonzero(count >= needed)
-            if len(hits) >= enough:
-                break
-        hits = hits[ids[hits] != query_ids[i]]
-        scores = (x[hits] * q[i]).sum(1)  # row by row, so equal vectors score equal
-        best = np.lexsort((ids[hits], -scores))[:k]
-        out.append((np.full(len(best), query_ids[i]), ids[hits[best]], scores[best]))
+        best, scores = np.zeros(0, np.int64), np.zeros(0)
+        for number, rows in enumerate(cut):
+            longest = lengths[rows[0]] * (1 + 1e-9)
+            if len(best) == k and scores[-1] > query_lengths[i] * longest:
+                break  # nothing here or in shorter bands can be better
+            if number not in built:
+                built[number] = Band(rows, near[rows], longest, units, axes, s)
+            band = built[number]
+            count, done = np.zeros(len(rows), np.int32), np.zeros(len(rows), bool)
+            low = high = None
+            for level, width in enumerate(band.widths):
+                a, b = band.windows(level, i)
+                if low is None:
+                    fresh = [band.order[h, a[h] : b[h]] for h in range(s.hashes)]
+                else:
+                    fresh = [band.order[h, a[h] : low[h]] for h in range(s.hashes)] + [band.order[h, high[h] : b[h]] for h in range(s.hashes)]
+                low, high = a, b
+                count += np.bincount(np.concatenate(fresh), minlength=len(rows))
+                new = np.flatnonzero((count >= needed) & ~done)
+                if 2 * (len(new) + done.sum()) > len(rows):  # the rest costs less to compute than to count
+                    new = np.flatnonzero(~done)
+                if len(new):
+                    done[new] = True
+                    found = rows[new]
+                    found = found[ids[found] != query_ids[i]]
+                    if len(best) + len(found) > k:  # rounded products first; those far from the best need no exact one
+                        rough = near[found] @ units[i] * query_lengths[i]
+                        floor = scores[-1] if len(best) == k else np.partition(rough, -(k - len(best)))[-(k - len(best))] if not len(best) else -np.inf
+                        found = found[rough >= floor - 1e-9 * query_lengths[i] * longest]
+                    best = np.concatenate([best, found])
+                    scores = np.concatenate([scores, (x[found] * q[i]).sum(1)])  # row by row, so equal vectors score equal
+                    top = np.lexsort((ids[best], -scores))[:k]
+                    best, scores = best[top], scores[top]
+                if done.all() or len(best) == k and scores[-1] > query_lengths[i] * (longest - (away * width) ** 2 / (2 * longest)):
+                    break
+        out.append((np.full(len(best), query_ids[i]), ids[best], scores))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -101,8 +170,7 @@ def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, s: Settings = Settings()) -> DataFrame:
     """query_id, rank (from 1), vec_id, score for each query; ``is_query``: condition on ``id``."""
     rows = materialize(usable(vectors), "vectors")
-    length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
-    n, n_queries, longest = rows.agg(F.count("*"), F.count(F.when(is_query, 1)), F.coalesce(F.max(length), F.lit(0.0))).head()
+    n, n_queries = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).head()
     blocks, groups = max(1, math.ceil(n / s.block)), max(1, math.ceil(n_queries / s.group))
     keyed = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     stored = keyed.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
@@ -117,7 +185,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, s: Settings = Set
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows and right.num_rows:
-            query, found, score = search_block(*matrix(left), *matrix(right), longest * (1 + 1e-9), k, s)
+            query, found, score = search_block(*matrix(left), *matrix(right), k, s)
         else:
             query, found, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         return pa.table({"query_id": query, "vec_id": found, "score": score})

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from seriesloom.llm import collisions
@@ -42,3 +43,24 @@ def test_odd_vectors(spark):
     got = collisions.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0).orderBy("query_id", "rank").collect()
     assert [tuple(r) for r in got] == [(0, 1, 6, 2.0), (0, 2, 7, 2.0), (0, 3, 20, -1.0), (20, 1, 0, -1.0), (20, 2, 6, -1.5), (20, 3, 7, -1.5)]
     assert collisions.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("id") % 20 == 0).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["uniform", "lognormal", "outlier", "hot copies"])
+def test_recall_does_not_depend_on_lengths(kind):
+    r = np.random.default_rng(9)
+    x = r.standard_normal((1500, 48))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    if kind == "uniform":
+        x *= r.uniform(0, 1, 1500)[:, None]
+    elif kind == "lognormal":
+        x *= np.exp(r.standard_normal(1500))[:, None]
+    elif kind == "outlier":
+        x[7] *= 50
+    else:
+        x[100:800] = x[100]
+    ids = np.arange(1500)
+    asked = ids % 20 == 0
+    query, found, _ = collisions.search_block(ids, x, ids[asked], x[asked], 20, collisions.Settings())
+    want = exact(ids, x, 20)
+    recall = np.mean([len(set(found[query == q].tolist()) & {v for v, _ in want[q]}) / 20 for q in want])
+    assert recall >= 0.99
