@@ -54,3 +54,25 @@ SQL["op7_risk_controlled_rules"] = f"""with
     broken as (select row, list(l.rule order by l.rule) rules from levels l join chosen c on c.stratum = l.stratum and c.rule = l.rule and l.lev >= c.cut group by row)
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and rules is null kept,
            coalesce(array_to_string(rules, ','), '') broken_rules from judged left join broken using (row)"""
+
+# Terms of whole texts, all sources of a language against all kept terms.
+SQL["op12_chunk_divergence"] = r"""with
+    d as (select row_number() over () as row, coalesce(lang, '') lang, coalesce(source, '') source,
+          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') ts from documents),
+    e as (select row, lang, source, unnest(ts) term from d),
+    c as (select lang, source, term, count(*) n, count(distinct row) docs from e group by all),
+    k as (select lang, term, sum(n) n from c group by all having sum(docs) >= 30),
+    l as (select lang, count(*) v, sum(n) total from k group by lang),
+    g as (select distinct lang, source from d),
+    gn as (select g.lang, g.source, coalesce(l.v, 0) v, coalesce(l.total, 0) lang_total, coalesce(sum(c.n) filter (k.term is not null), 0) total
+           from g left join l using (lang) left join c using (lang, source) left join k using (lang, term) group by all),
+    p as (select gn.lang, gn.source, k.term, coalesce(c.n, 0) n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (gn.total + 5 * gn.v) p,
+          1 + (1000000000::hugeint * (k.n + 5)) // (gn.lang_total + 5 * gn.v) q
+          from gn join k using (lang) left join c using (lang, source, term)),
+    pairs as (select a.lang, a.source, b.source item, sum(abs(a.p - b.p)) value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+    allpairs as (select a.lang, a.source, 'pair' part, b.source item, coalesce(value, 0) value
+                 from g a join g b on a.lang = b.lang and a.source <> b.source left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source),
+    terms as (select lang, source, 'term' part, term item, p - q value from p where n > 0 and p > q),
+    u as (select * from allpairs union all select * from terms),
+    r as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from u)
+    select lang, source, part, item, value::bigint value, rank::int rank from r where part = 'pair' or rank <= 50"""

@@ -90,3 +90,10 @@ def op2_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from seriesloom.llm import collisions
 
     return collisions.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query
+def op12_chunk_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import divergence
+
+    return divergence.audit(table(spark, sf_dir, "documents"))
