@@ -76,3 +76,25 @@ SQL["op12_chunk_divergence"] = r"""with
     u as (select * from allpairs union all select * from terms),
     r as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from u)
     select lang, source, part, item, value::bigint value, rank::int rank from r where part = 'pair' or rank <= 50"""
+
+# All runs of one to four words, counted as text.
+SQL["op13_filter_collocations"] = r"""with
+    d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') txt from documents),
+    p as (select lang, unnest(string_split_regex(txt, '[.,;:!?\x0A-\x0D]')) piece from d),
+    w as (select row_number() over () as piece, lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') ws from p),
+    t as (select piece, lang, unnest(ws) word, generate_subscripts(ws, 1) i from w),
+    n as (select lang, count(*) n from t group by lang),
+    x as (select lang, word a, lead(word, 1) over v b, lead(word, 2) over v c, lead(word, 3) over v d from t window v as (partition by piece order by i)),
+    g as (select lang, 1 k, a phrase from x union all select lang, 2, a || ' ' || b from x where b is not null
+          union all select lang, 3, a || ' ' || b || ' ' || c from x where c is not null union all select lang, 4, a || ' ' || b || ' ' || c || ' ' || d from x where d is not null),
+    f as (select lang, k, phrase, string_split(phrase, ' ') ws, count(*) f from g group by lang, k, phrase having count(*) >= 30),
+    c as (select lang, k, phrase, ws, f a from f where k > 1),
+    cuts as (select c.lang, c.k, c.phrase, c.a, x.x cut, l.f l, r.f r, ((2000000::hugeint * a) // (l.f + r.f))::bigint score
+             from c join (values (1), (2), (3)) x(x) on x.x < c.k join f l on l.lang = c.lang and l.phrase = array_to_string(c.ws[1:x.x], ' ')
+             join f r on r.lang = c.lang and r.phrase = array_to_string(c.ws[x.x + 1:], ' ')),
+    weakest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+    inner_ as (select lang, a longer, unnest(list_transform(range(1, k - m.m + 2), lambda i: array_to_string(ws[i:i + m.m - 1], ' '))) phrase from c join (values (2), (3)) m(m) on m.m < c.k),
+    covered as (select lang, phrase, max(longer) longer from inner_ group by all),
+    kept as (select weakest.* from weakest left join covered using (lang, phrase) where longer is null or 100 * longer < 80 * a),
+    ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+    select lang, rank::bigint rank, phrase, a::bigint a, l::bigint l, r::bigint r, n, score from ranked join n using (lang) where rank <= 2000"""

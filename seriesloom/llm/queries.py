@@ -97,3 +97,10 @@ def op12_chunk_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from seriesloom.llm import divergence
 
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_filter_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seriesloom.llm import collocations
+
+    return collocations.collocations(table(spark, sf_dir, "documents"))
