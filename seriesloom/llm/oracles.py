@@ -98,3 +98,13 @@ SQL["op13_filter_collocations"] = r"""with
     kept as (select weakest.* from weakest left join covered using (lang, phrase) where longer is null or 100 * longer < 80 * a),
     ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
     select lang, rank::bigint rank, phrase, a::bigint a, l::bigint l, r::bigint r, n, score from ranked join n using (lang) where rank <= 2000"""
+
+# Each conversation joined in the order of its turns; the marks' lengths follow from the template.
+_ADDED = r"regexp_replace(text, '([<\[])(\\*)(/?(?:s>|SYS\]|INST\]|ROLE\]))', '\1\\\2\3', 'g')"
+SQL["op11_reply_trees"] = f"""with
+    c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+          union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    f as (select *, length({_ADDED}) + case role when 'user' then 15 when 'system' then 13 when 'assistant' then 4 else 16 + length(role) end chars from c),
+    o as (select conv_id, count(*)::bigint n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) turns,
+          coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') loss, (3 + sum(chars))::bigint formatted_chars from f group by conv_id)
+    select conv_id, n_turns, sha256(turns) turns_sha256, length(loss)::bigint loss_chars, sha256(loss) loss_sha256, formatted_chars from o"""
