@@ -51,8 +51,8 @@ class Settings:
     least: int = 30  # occurrences of a phrase
     covered: int = 80  # percent of a phrase's occurrences inside a longer one from which it is left out
     top: int = 2000  # phrases of a language
-    block_bytes: int = 4 << 20
-    entries: int = 2_000_000  # of a filter in a task, and about as many of a shard at the end
+    block_bytes: int = 3 << 20
+    entries: int = 1_000_000  # of a filter in a task, and about as many of a shard at the end
     split: int = 10  # bits by which a round of merging splits shards
     sieve_bits: int = 28
     least_bits: int = 1  # of an id; more than needed for tests
@@ -72,20 +72,26 @@ def tokenize(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     starts = word.copy()
     starts[1:] &= ~word[:-1] | first[1:]
     at = np.flatnonzero(starts)
-    piece = (np.cumsum(kind == 2) + np.cumsum(first))[at]
-    own = np.cumsum(word)  # bytes of words up to and with each
+    piece = np.cumsum(kind == 2, dtype=np.int32)[at] + np.cumsum(first, dtype=np.int32)[at]
+    own = np.cumsum(word, dtype=np.int32)  # bytes of words up to and with each
     bounds = np.append(own[at] - 1, own[-1] if len(own) else 0).astype(np.int32)
     words = pa.StringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(_LOWER[data[word]]))
     return words, np.diff(piece, prepend=-1) != 0
 
 
 def write_line(numbers: np.ndarray) -> bytes:
-    """Numbers as bytes, by their place in the number, which lets rows compress well."""
-    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """How many bytes the largest number has, then the numbers byte by byte: rows compress well so."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T).tobytes()
 
 
-def read_line(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
+def read_line(raw: pa.BinaryScalar) -> np.ndarray:
+    data = np.frombuffer(raw.as_buffer(), np.uint8)
+    parts = data[1:].reshape(data[0], -1)
+    out = parts[0].astype(np.int64)
+    for k in range(1, len(parts)):
+        out |= parts[k].astype(np.int64) << (8 * k)
+    return out
 
 
 def _blocks(s: Settings) -> Callable:
@@ -115,7 +121,7 @@ def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines of ids + 1; 0 is a border or a rare word."""
     for batch in batches:
         for raw, met in zip(batch.column("line"), batch.column("met")):
-            line, cells = read_line(raw.as_py()), met.values
+            line, cells = read_line(raw), met.values
             place, ids = (cells.field(c).to_numpy() for c in ("place", "id"))
             table = np.zeros(max(int(line.max(initial=0)), int(place.max(initial=0)) + 1) + 1, np.int64)
             table[place + 1] = ids + 1
@@ -183,7 +189,7 @@ def _count(n: int, bits: int, shard_bits: int, sieve, sieve_bits: int, s: Settin
 
         for batch in batches:
             for raw in batch.column("line"):
-                line = read_line(raw.as_py())
+                line = read_line(raw)
                 at, ids = _grams(line, n)
                 if known is not None:
                     known_runs = _may_be_frequent(line, n - 1, bits, known, sieve_bits)
