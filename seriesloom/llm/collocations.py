@@ -16,7 +16,6 @@ without phrases gives no rows. At most 2^32 different words may reach ``least``.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -32,6 +31,7 @@ from pyspark.sql import Window as W
 from seriesloom.llm import counting_filter as cqf
 from seriesloom.llm.common import filled, running_totals
 from seriesloom.llm.divergence import byte_slices
+from seriesloom.llm.sieve import free, sieve_of
 from seriesloom.llm.words import mix
 from seriesloom.session import materialize
 
@@ -251,12 +251,6 @@ def _merge(n: int, bits: int, shard_bits: int, further: int, sieve_bits: int, s:
     return run
 
 
-def _free(spark) -> None:
-    """Let Spark delete the shuffle files of frames that are gone."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def frequent_phrases(lines: DataFrame, n: int, bits: int, tokens: int, sieve, s: Settings) -> DataFrame:
     """``(w, f, slot)`` of the phrases of ``n`` words that occur ``least`` times; ``sieve``: (bits of hashes, their number) of n - 1 words."""
     wanted = min(max(0, (tokens // s.entries).bit_length()), cqf.half_bits(n, bits)[0])
@@ -273,17 +267,6 @@ def frequent_phrases(lines: DataFrame, n: int, bits: int, tokens: int, sieve, s:
     return materialize(rows.mapInArrow(_merge(n, bits, done, 0, s.sieve_bits, s), "w array<long>, f long, slot long"), f"phrases-{n}")
 
 
-def _sieve(phrases: DataFrame, s: Settings):
-    """Bits of the hashes of all frequent phrases, broadcast: 64 for each, at most 2^``sieve_bits``."""
-    bits = min(s.sieve_bits, max(16, phrases.count().bit_length() + 6))
-    slot = F.shiftright("slot", s.sieve_bits - bits) + 1
-    rows = phrases.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("part")).collect()
-    found = bytearray(1 << (bits - 3))
-    for r in rows:
-        found[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = r["part"]
-    return phrases.sparkSession.sparkContext.broadcast(bytes(found)), bits
-
-
 def count_phrases(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Frequent phrases of 1 to 4 word ids ``(w, f)``, the dictionary ``(lang, word, f, id)``, and words by language ``(lang, n)``."""
     spark = docs.sparkSession
@@ -299,15 +282,15 @@ def count_phrases(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame,
     met = blocks.select("block", "lang", F.posexplode("words").alias("place", "word")).join(words, ["lang", "word"])
     met = met.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("met"))
     lines = materialize(blocks.select("block", "line").join(met, "block").mapInArrow(_with_ids, "line binary"), "id-lines")
-    _free(spark)
+    free(spark)
     tokens = totals.agg(F.sum("n")).first()[0] or 0
     found, sieve = [words.select(F.array("id").alias("w"), "f", "lang")], None
     for n in range(2, _LONGEST + 1):
         phrases = frequent_phrases(lines, n, bits, tokens, sieve, s)
         found.append(phrases.select("w", "f", F.lit(None).cast("string").alias("lang")))
         if n < _LONGEST:
-            sieve = _sieve(phrases, s)
-        _free(spark)
+            sieve = sieve_of(phrases, s.sieve_bits)
+        free(spark)
     return reduce(DataFrame.unionByName, found), words, totals
 
 

@@ -1,11 +1,13 @@
 """How far the sources of a language differ in their words, by factorizing texts into chunks.
 
-Texts are cut at white space into chunks, counted for each document. Documents of one language go in
-blocks of bounded size; a block lists each of its different chunks once, with its documents and the
-occurrences in each source. Each chunk that is globally distinct is cut into terms once, and the terms
-come back to the blocks by a join on the chunk: the documents of a term in a block are the union of
-those of its chunks. No term has more documents than its chunks have together, so chunks that
-cannot belong to a frequent term are left out before that join, without changing any count.
+Texts are cut at white space into chunks, counted for each document: blocks of documents of one language give
+the documents and occurrences of each of their different chunks by source. Each chunk that is globally
+distinct is cut into terms once, and the terms come back to the counts by a join on the chunk.
+
+A term is kept if enough documents of its language hold it. It has at least as many as its most frequent chunk and at
+most as many as its chunks together, which decides nearly all terms. For the others the documents themselves
+are listed: in a second pass over the texts, restricted to chunks whose bits are set in a broadcast sieve, and
+counted once each.
 
 Counts are smoothed to whole numbers out of ``SCALE``; two sources are apart by the sum of the differences
 over all kept terms, and a source's own terms are those above the share in its language.
@@ -28,13 +30,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from seriesloom.llm.common import filled
+from seriesloom.llm.sieve import free, sieve_of
 from seriesloom.session import materialize
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"  # a run of ASCII letters and other characters beyond ASCII
 SCALE = 1_000_000_000
 BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 16
 CELLS = 4_000_000
-POSTINGS = "block long, lang string, chunk string, docs array<int>, counts array<struct<source: string, n: long>>"
+SIEVE_BITS = 28
+COUNTS = "lang string, source string, chunk string, docs long, n long"
+PLACES = "lang string, chunk string, block long, docs array<int>"
 
 
 def byte_slices(texts: pa.Array, limit: int, rows: int) -> Iterator[tuple[int, int]]:
@@ -48,46 +53,75 @@ def byte_slices(texts: pa.Array, limit: int, rows: int) -> Iterator[tuple[int, i
         a = b
 
 
-def postings(texts: pa.Array, sources: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
-    """The different chunks of some texts, the texts of each, and its occurrences in each source."""
-    n = len(texts)
-    parts = pc.ascii_split_whitespace(texts)
-    words = pc.dictionary_encode(parts.flatten())
-    codes, kinds = words.indices.to_numpy().astype(np.int64), words.dictionary
-    of = np.repeat(np.arange(n), pc.list_value_length(parts).to_numpy())
-    cells, times = np.unique(codes * n + of, return_counts=True)
-    chunk, doc = cells // n, cells % n
-    named = pc.dictionary_encode(sources)
-    source = named.indices.to_numpy().astype(np.int64)[doc]
-    order = np.lexsort((source, chunk))
-    chunk_s, source_s = chunk[order], source[order]
-    first = np.flatnonzero((np.diff(chunk_s, prepend=-1) != 0) | (np.diff(source_s, prepend=-1) != 0))
-    sums = np.add.reduceat(times[order], first) if len(first) else np.zeros(0, np.int64)
-
-    def bounds(sorted_codes: np.ndarray) -> pa.Array:
-        return pa.array(np.searchsorted(sorted_codes, np.arange(len(kinds) + 1)).astype(np.int32))
-
-    docs = pa.ListArray.from_arrays(bounds(chunk), pa.array(doc.astype(np.int32)))
-    cell = pa.StructArray.from_arrays([named.dictionary.take(pa.array(source_s[first])), pa.array(sums.astype(np.int64))], ["source", "n"])
-    return kinds, docs, pa.ListArray.from_arrays(bounds(chunk_s[first]), cell)
-
-
-def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 40
+class Block:
+    """The chunks of some texts: the different ones (``kinds``), and how often each text has them, ordered by chunk and text."""
+
+    def __init__(self, texts: pa.Array):
+        n = max(1, len(texts))
+        parts = pc.ascii_split_whitespace(texts)
+        words = pc.dictionary_encode(parts.flatten())
+        self.kinds = words.dictionary
+        of = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy())
+        cells, self.times = np.unique(words.indices.to_numpy() * np.int64(n) + of, return_counts=True)
+        self.chunk, self.doc = cells // n, cells % n
+
+    def by_source(self, sources: pa.Array) -> list[pa.Array]:
+        """Source, chunk, documents and occurrences."""
+        named = pc.dictionary_encode(sources)
+        key = self.chunk * np.int64(max(1, len(named.dictionary))) + named.indices.to_numpy()[self.doc]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        n = np.add.reduceat(self.times[order], first) if len(first) else np.zeros(0, np.int64)
+        width = max(1, len(named.dictionary))
+        return [named.dictionary.take(pa.array(key[first] % width)), self.kinds.take(pa.array(key[first] // width)),
+                pa.array(np.diff(np.append(first, len(key)))), pa.array(n.astype(np.int64))]
+
+    def places(self) -> list[pa.Array]:
+        """Chunk and the list of its documents."""
+        bounds = np.searchsorted(self.chunk, np.arange(len(self.kinds) + 1)).astype(np.int32)
+        return [self.kinds, pa.ListArray.from_arrays(pa.array(bounds), pa.array(self.doc.astype(np.int32)))]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, pa.Array]]:
+    """(language, sources, texts) of blocks of documents."""
     for batch in batches:
-        langs = pc.dictionary_encode(filled(batch.column(0)))
-        source, text = filled(batch.column(1)), filled(batch.column(2))
+        langs, source, text = pc.dictionary_encode(batch.column(0)), batch.column(1), filled(batch.column(2))
         for code, lang in enumerate(langs.dictionary.to_pylist()):
             own = pc.equal(langs.indices, code)
-            texts, sources = text.filter(own), source.filter(own)
+            sources, texts = source.filter(own), text.filter(own)
             for a, b in byte_slices(texts, BLOCK_BYTES, BLOCK_DOCS):
-                kinds, docs, counts = postings(texts.slice(a, b - a), sources.slice(a, b - a))
-                for c in range(0, len(kinds), 1 << 16):
-                    rows = min(1 << 16, len(kinds) - c)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(rows, number)), pa.array([lang] * rows, pa.string()), kinds.slice(c, rows), docs.slice(c, rows), counts.slice(c, rows)],
-                        names=["block", "lang", "chunk", "docs", "counts"])
-                number += 1
+                yield lang, sources.slice(a, b - a), texts.slice(a, b - a)
+
+
+def _rows(columns: list[pa.Array], names: list[str], lang: str) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(columns[0]), 1 << 16):
+        part = [c.slice(a, 1 << 16) for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part[0]), pa.string()), *part], names=["lang", *names])
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for lang, sources, texts in _blocks(batches):
+        yield from _rows(Block(texts).by_source(sources), ["source", "chunk", "docs", "n"], lang)
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    first = TaskContext.get().partitionId() << 40
+    for number, (lang, _, texts) in enumerate(_blocks(batches)):
+        kinds, docs = Block(texts).places()
+        yield from _rows([kinds, pa.array(np.full(len(kinds), first + number)), docs], ["chunk", "block", "docs"], lang)
+
+
+def _listed(sieve, bits: int):
+    """Rows whose bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(sieve.value, np.uint8)
+        for batch in batches:
+            slots = batch.column("slot").to_numpy() >> (SIEVE_BITS - bits)
+            yield batch.filter(pa.array(((known[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1).astype(bool))).drop_columns(["slot"])
+
+    return run
 
 
 def text_of(column: str) -> Column:
@@ -98,23 +132,38 @@ def lowered(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def _slot() -> Column:
+    return F.shiftrightunsigned(F.xxhash64("lang", "chunk"), 64 - SIEVE_BITS)
+
+
+def _listed_terms(plain: DataFrame, wanted: DataFrame, least_docs: int) -> DataFrame:
+    """``(lang, term)`` of those of ``(lang, chunk, term)`` that enough documents hold, by listing these."""
+    sieve, bits = sieve_of(wanted.select("lang", "chunk", _slot().alias("slot")), SIEVE_BITS)
+    rows = plain.mapInArrow(_places, PLACES).withColumn("slot", _slot()).mapInArrow(_listed(sieve, bits), PLACES)
+    met = rows.join(wanted, ["lang", "chunk"]).select("lang", "term", "block", F.explode("docs").alias("doc")).distinct()
+    return met.groupBy("lang", "term").count().filter(F.col("count") >= least_docs).select("lang", "term")
+
+
 def term_counts(docs: DataFrame, least_docs: int = 30) -> DataFrame:
     """``(lang, source, term, n)``: occurrences of the terms that at least ``least_docs`` documents of the language hold."""
     plain = docs.select(text_of("lang").alias("lang"), text_of("source").alias("source"), text_of("text").alias("text"))
-    blocks = materialize(plain.mapInArrow(_in_blocks, POSTINGS), "chunk-blocks")
-    chunks = materialize(blocks.groupBy("chunk", "lang").agg(F.sum(F.size("docs")).alias("docs")), "chunks")
-    terms = chunks.select("chunk").distinct().select("chunk", F.explode(F.regexp_extract_all(lowered(F.col("chunk")), F.lit(TERM), F.lit(0))).alias("term"))
+    counts = plain.mapInArrow(_counts, COUNTS).groupBy("chunk", "lang", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    counts = materialize(counts, "chunk-counts")
+    free(docs.sparkSession)
+    terms = counts.select("chunk").distinct().select("chunk", F.explode(F.regexp_extract_all(lowered(F.col("chunk")), F.lit(TERM), F.lit(0))).alias("term"))
     terms = materialize(terms.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times")), "chunk-terms")
-    of_lang = chunks.join(terms, "chunk")
-    possible = of_lang.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least_docs).select("lang", "term")
-    wanted = materialize(of_lang.drop("docs").join(possible, ["lang", "term"]), "wanted-chunks")
-    back = blocks.join(wanted, ["lang", "chunk"]).withColumn("counts", F.transform(
-        "counts", lambda x: F.struct(x["source"].alias("source"), (x["n"] * F.col("times")).alias("n"))))
-    merged = materialize(back.groupBy("block", "lang", "term").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("docs")))).alias("docs"), F.flatten(F.collect_list("counts")).alias("counts")), "block-terms")
-    kept = merged.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least_docs).select("lang", "term")
-    cells = merged.join(kept, ["lang", "term"]).select("lang", "term", F.explode("counts").alias("c"))
-    return materialize(cells.groupBy("lang", F.col("c.source").alias("source"), "term").agg(F.sum("c.n").alias("n")), "source-terms")
+    of_lang = counts.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs")).join(terms, "chunk")
+    bounds = of_lang.groupBy("lang", "term").agg(F.sum("docs").alias("most"), F.max("docs").alias("fewest")).filter(F.col("most") >= least_docs)
+    bounds = materialize(bounds, "term-bounds")
+    free(docs.sparkSession)
+    kept = bounds.filter(F.col("fewest") >= least_docs).select("lang", "term")
+    open_ = bounds.filter(F.col("fewest") < least_docs).select("lang", "term")
+    wanted = materialize(of_lang.join(open_, ["lang", "term"]).select("lang", "chunk", "term"), "open-chunks")
+    if not wanted.isEmpty():
+        kept = kept.unionByName(materialize(_listed_terms(plain, wanted, least_docs), "listed-terms"))
+    free(docs.sparkSession)
+    cells = counts.join(terms, "chunk").groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("n"))
+    return materialize(cells.join(kept, ["lang", "term"]).select("lang", "source", "term", "n"), "source-terms")
 
 
 def share(n: str | Column, total: str, kinds: str) -> Column:

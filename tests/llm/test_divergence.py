@@ -69,9 +69,17 @@ def test_shares_are_exact_beyond_64_bits(spark):
     assert df.select(divergence.share("n", "total", "kinds")).first()[0] == 1 + 10**9 * (n + 5) // (10**16 + 3 + 5 * 10**6)
 
 
-def test_postings():
-    kinds, docs, counts = divergence.postings(pa.array(["a b a", "", "b\tc\x0bb"]), pa.array(["x", "y", "x"]))
-    got = {k: (d, {c["source"]: c["n"] for c in n}) for k, d, n in zip(kinds.to_pylist(), docs.to_pylist(), counts.to_pylist())}
-    assert {k: v for k, v in got.items() if k} == {"a": ([0], {"x": 2}), "b": ([0, 2], {"x": 3}), "c": ([2], {"x": 1})}
-    bounds = list(divergence.byte_slices(pa.array(["aaaa", "b", "c" * 50, "", "d"]), 6, 2))
-    assert bounds == [(0, 2), (2, 3), (3, 5)]
+def test_blocks():
+    block = divergence.Block(pa.array(["a b a", "", "b\tc\x0bb"]))
+    rows = {(k, s): (d, n) for s, k, d, n in zip(*(x.to_pylist() for x in block.by_source(pa.array(["x", "y", "x"])))) if k}
+    assert rows == {("a", "x"): (1, 2), ("b", "x"): (2, 3), ("c", "x"): (1, 1)}
+    assert {k: d for k, d in zip(*(x.to_pylist() for x in block.places())) if k} == {"a": [0], "b": [0, 2], "c": [2]}
+    assert list(divergence.byte_slices(pa.array(["aaaa", "b", "c" * 50, "", "d"]), 6, 2)) == [(0, 2), (2, 3), (3, 5)]
+
+
+def test_terms_spelled_in_many_chunks_are_listed(spark):
+    """No chunk alone reaches the least number of documents, and single documents hold several of them."""
+    rows = [("en", "a", f"x{i}y" + (" (foo)" if i < 25 else "") + (" foo!" if i >= 5 else "") + " Foo, bar") for i in range(29)]
+    rows += [("en", "b", f'"FOO" "{i}bar"') for i in range(3)] + [("en", "b", "bar;"), ("en", "b", "foo")]
+    for least in (29, 30, 31, 32, 33, 34):
+        assert run(as_table(spark, rows).repartition(3), least_docs=least) == brute(rows, least)
