@@ -144,25 +144,31 @@ def _listed_terms(plain: DataFrame, wanted: DataFrame, least_docs: int) -> DataF
     return met.groupBy("lang", "term").count().filter(F.col("count") >= least_docs).select("lang", "term")
 
 
+def factors(plain: DataFrame) -> DataFrame:
+    """``(chunk, cells, langs, terms)``: each distinct chunk once, its counts by group and language, and its terms."""
+    counts = plain.mapInArrow(_counts, COUNTS).groupBy("chunk", "lang", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    whole = counts.repartition("chunk").groupBy("chunk").agg(F.collect_list(F.struct("lang", "source", "docs", "n")).alias("cells"))  # at most one cell a group
+    in_lang = F.expr("transform(array_distinct(cells.lang), x -> named_struct('lang', x, 'docs', aggregate(filter(cells, c -> c.lang = x), 0L, (s, c) -> s + c.docs)))")
+    return whole.select("chunk", "cells", in_lang.alias("langs"), F.regexp_extract_all(lowered(F.col("chunk")), F.lit(TERM), F.lit(0)).alias("terms"))
+
+
 def term_counts(docs: DataFrame, least_docs: int = 30) -> DataFrame:
     """``(lang, source, term, n)``: occurrences of the terms that at least ``least_docs`` documents of the language hold."""
     plain = docs.select(text_of("lang").alias("lang"), text_of("source").alias("source"), text_of("text").alias("text"))
-    counts = plain.mapInArrow(_counts, COUNTS).groupBy("chunk", "lang", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    counts = materialize(counts, "chunk-counts")
+    chunks = materialize(factors(plain).filter(F.size("terms") > 0), "chunk-factors")
     free(docs.sparkSession)
-    terms = counts.select("chunk").distinct().select("chunk", F.explode(F.regexp_extract_all(lowered(F.col("chunk")), F.lit(TERM), F.lit(0))).alias("term"))
-    terms = materialize(terms.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times")), "chunk-terms")
-    of_lang = counts.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs")).join(terms, "chunk")
+    of_lang = chunks.select("chunk", "langs", F.explode(F.array_distinct("terms")).alias("term")).select("chunk", "term", F.explode("langs").alias("l"))
+    of_lang = of_lang.select("chunk", "term", F.col("l.lang").alias("lang"), F.col("l.docs").alias("docs"))
     bounds = of_lang.groupBy("lang", "term").agg(F.sum("docs").alias("most"), F.max("docs").alias("fewest")).filter(F.col("most") >= least_docs)
     bounds = materialize(bounds, "term-bounds")
-    free(docs.sparkSession)
     kept = bounds.filter(F.col("fewest") >= least_docs).select("lang", "term")
     open_ = bounds.filter(F.col("fewest") < least_docs).select("lang", "term")
-    wanted = materialize(of_lang.join(open_, ["lang", "term"]).select("lang", "chunk", "term"), "open-chunks")
+    wanted = materialize(of_lang.filter(F.col("docs") < least_docs).join(open_, ["lang", "term"]).select("lang", "chunk", "term"), "open-chunks")
     if not wanted.isEmpty():
         kept = kept.unionByName(materialize(_listed_terms(plain, wanted, least_docs), "listed-terms"))
     free(docs.sparkSession)
-    cells = counts.join(terms, "chunk").groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("n"))
+    cells = chunks.select("cells", F.explode("terms").alias("term")).select("term", F.explode("cells").alias("c"))
+    cells = cells.groupBy(F.col("c.lang").alias("lang"), F.col("c.source").alias("source"), "term").agg(F.sum("c.n").alias("n"))
     return materialize(cells.join(kept, ["lang", "term"]).select("lang", "source", "term", "n"), "source-terms")
 
 
