@@ -146,8 +146,9 @@ def _listed_terms(plain: DataFrame, wanted: DataFrame, least_docs: int) -> DataF
 
 def factors(plain: DataFrame) -> DataFrame:
     """``(chunk, cells, langs, terms)``: each distinct chunk once, its counts by group and language, and its terms."""
-    counts = plain.mapInArrow(_counts, COUNTS).groupBy("chunk", "lang", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    whole = counts.repartition("chunk").groupBy("chunk").agg(F.collect_list(F.struct("lang", "source", "docs", "n")).alias("cells"))  # at most one cell a group
+    # A block gives one row for a chunk and source, and little is equal beyond blocks: rows are dealt by chunk at once.
+    counts = plain.mapInArrow(_counts, COUNTS).repartition("chunk").groupBy("chunk", "lang", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    whole = counts.groupBy("chunk").agg(F.collect_list(F.struct("lang", "source", "docs", "n")).alias("cells"))  # at most one cell a group
     in_lang = F.expr("transform(array_distinct(cells.lang), x -> named_struct('lang', x, 'docs', aggregate(filter(cells, c -> c.lang = x), 0L, (s, c) -> s + c.docs)))")
     return whole.select("chunk", "cells", in_lang.alias("langs"), F.regexp_extract_all(lowered(F.col("chunk")), F.lit(TERM), F.lit(0)).alias("terms"))
 
