@@ -1,11 +1,11 @@
 """Holt-Winters with additive trend and additive or multiplicative season.
 
 Smoothing weights are searched on a grid, all candidates of a series side by side, then on finer
-grids around the best one.  The start comes from the first two seasons.  Chunks run in parallel
-once the state before each is known: for the additive form that state follows from affine maps
-(each chunk is folded from a zero start, a scan over one row per chunk joins them); the
-multiplicative form is not affine, so its states pass through the chunks of a series in order, with
-one state in memory and all series of a partition side by side.
+grids around the best one.  The start comes from the first two seasons; for the additive form it can also
+be estimated by least squares.  Chunks run in parallel once the state before each is known: for
+the additive form that state follows from affine maps (each chunk is folded from a zero start, a grouped
+scan over one row per chunk joins them); the multiplicative form is solved by Newton's method on the
+chunk borders (``chunk_maps``), so no task ever holds more than single chunks of a series.
 """
 
 from __future__ import annotations
@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 from ..operators.layout import attach, chunk_rows, tag_chunk
 from ..session import materialize
-from .blocks import chunk_runs, origin_marks, padded, params_column, pieces, series_blocks
+from .blocks import origin_marks, padded, params_column, pieces, series_blocks
+from .chunk_maps import FAN, scan_states, settle
+from .smoothing import _STATS, _prefixes, _solve_starts
 
 # Default search grid: (alpha, beta, gamma), then the step of the first refinement.
 GRID = list(itertools.product((0.1, 0.3, 0.5, 0.7, 0.9), (0.01, 0.1, 0.3), (0.05, 0.2, 0.5)))
 STEPS = (0.1, 0.05, 0.075)
 
-_IN = "k string, chunk long, state array<double>, sse array<double>, esum array<double>"
 _BEST = ("k string, chunk long, pos long, is_end boolean, is_origin boolean, cand int, alpha double, beta double, gamma double, "
          "sse double, esum double, level double, trend double, season array<double>")
 
@@ -100,71 +101,124 @@ def _affine_power(par: np.ndarray, m: int, n: int) -> np.ndarray:
     return np.linalg.matrix_power(step, n)
 
 
-def _scan_affine(m: int, rows: int):
-    """Additive form: state before each chunk after the first, by composing the chunk maps."""
+def _sums(m: int, mul: bool):
+    """Error sums of each chunk from the state before it."""
 
     def run(batches):
-        before: dict = {}
-        for part in chunk_runs(batches):
-            par, keys = _weights(part), part["k"].to_numpy()
-            start = np.stack([before.get(k, np.tile(np.asarray(s), (par.shape[1], 1))) for k, s in zip(keys, part["start"])])
-            off = np.stack(part["off"].tolist()).reshape(start.shape)
-            after = (_affine_power(par, m, rows) @ start[..., None])[..., 0] + off
-            before.update(zip(keys, after))
-            yield pd.DataFrame({"k": keys, "chunk": part["chunk"] + 1, "state": list(after.reshape(len(part), -1)), "sse": None, "esum": None})
+        for pdf in batches:
+            for part in pieces(pdf, (m + 8) * 45):
+                y, _ = padded(part["y"].tolist())
+                par = _weights(part)
+                level, trend, season, sse, esum = _open(part, par.shape[1], m)
+
+                def visit(t, f, e, st):
+                    np.add(sse, e * e, out=sse)  # noqa: B023
+                    np.add(esum, e, out=esum)  # noqa: B023
+
+                _recur(y, par, level, trend, season, mul, visit)
+                yield pd.DataFrame({"k": part["k"], "chunk": part["chunk"] + 1, "sse": list(sse), "esum": list(esum)})
 
     return run
 
 
-def _run_in_order(m: int, mul: bool, keep_state: bool):
-    """Pass states and error sums through the chunks; with given states only the sums are needed."""
+def _guess(y: np.ndarray, start: np.ndarray, m: int, gone: int) -> np.ndarray:
+    """Entry state of a chunk after ``gone`` rows from its own first two seasons, or from the start of the series if it is shorter."""
+    if len(y) >= 2 * m:
+        level = y[:m].mean()
+        return np.concatenate([[level, (y[m : 2 * m].mean() - level) / m], y[:m] / level])
+    return np.concatenate([[y.mean(), 0.0], np.roll(start[2:], -(gone % m))])
+
+
+def _linearised(m: int, rows: int):
+    """Multiplicative form: each full chunk's exit and its derivative by the entry, as an affine map around the guess."""
+    dim = m + 2
 
     def run(batches):
-        before: dict = {}
-        for run_part in chunk_runs(batches):
-            for part in pieces(run_part, (m + 8) * 45):
+        for pdf in batches:
+            cands = len(pdf["params"].iloc[0]) if len(pdf) else 1
+            for part in pieces(pdf, (m + 8) * dim * cands):
                 y, _ = padded(part["y"].tolist())
-                par, keys = _weights(part), part["k"].to_numpy()
-                if keep_state:
-                    known = [before.get(k, (None, None, None)) for k in keys]
-                    part = part.assign(**{c: [w[j] for w in known] for j, c in enumerate(("state", "sse", "esum"))})
-                level, trend, season, sse, esum = _open(part, par.shape[1], m)
-                last = []
+                par = _weights(part)
+                entry = np.stack([
+                    np.asarray(e).reshape(-1, dim) if e is not None else np.tile(np.asarray(s) if c == 0 else _guess(np.asarray(v), np.asarray(s), m, c * rows), (par.shape[1], 1))
+                    for v, s, e, c in zip(part["y"], part["start"], part["state"], part["chunk"])])
+                level, trend, season = entry[..., 0].copy(), entry[..., 1].copy(), entry[..., 2:].copy()
+                a, b, c = (par[..., j, None] for j in range(3))
+                # Derivatives by the level, the trend (both in units of the series' size) and the seasons.
+                size = np.abs(y).mean(axis=1)[:, None, None]
+                unit = np.concatenate([np.tile(size, (1, par.shape[1], 2)), np.ones((*par.shape[:2], m))], -1)
+                d_level, d_trend, d_season = np.zeros((*par.shape[:2], dim)), np.zeros((*par.shape[:2], dim)), np.zeros((*par.shape[:2], m, dim))
+                d_level[..., 0], d_trend[..., 1] = size[..., 0], size[..., 0]
+                d_season[..., np.arange(m), np.arange(m) + 2] = 1.0
+                forgotten = False
+                with np.errstate(all="ignore"):
+                    for t in range(y.shape[1]):
+                        x, j = y[:, t, None], t % m
+                        s, base = season[..., j].copy(), level + trend
+                        if not forgotten:
+                            ds, d_base = d_season[..., j, :].copy(), d_level + d_trend
+                            d_fresh = (1 - a) * d_base - a * (x / (s * s))[..., None] * ds
+                            d_trend = b * (d_fresh - d_level) + (1 - b) * d_trend
+                            d_season[..., j, :] = (1 - c) * ds - c * (x / (base * base))[..., None] * d_base
+                            d_level = d_fresh
+                        fresh = a[..., 0] * (x / s) + (1 - a[..., 0]) * base
+                        trend = b[..., 0] * (fresh - level) + (1 - b[..., 0]) * trend
+                        season[..., j] = c[..., 0] * (x / base) + (1 - c[..., 0]) * s
+                        level = fresh
+                        if not forgotten and t % 64 == 63:
+                            forgotten = max(np.abs(d_level / size).max(), np.abs(d_trend / size).max(), np.abs(d_season).max()) < 1e-14
+                    out = _pack((level, trend, season), y.shape[1])
+                    if forgotten:
+                        jac = [None] * len(part)
+                    else:
+                        turned = np.roll(d_season, -(y.shape[1] % m), axis=2)
+                        full = np.concatenate([d_level[..., None, :], d_trend[..., None, :], turned], 2) / unit[..., None, :]
+                        full[~np.isfinite(full).all(axis=(2, 3)) | ~np.isfinite(out).all(axis=2)] = 0.0
+                        out = out - (full @ entry[..., None])[..., 0]
+                        jac = list(full.reshape(len(part), -1))
+                yield pd.DataFrame({"k": part["k"], "chunk": part["chunk"], "start": part["start"], "jac": jac, "off": list(out.reshape(len(part), -1))})
 
-                def visit(t, f, e, st):
-                    np.add(sse, e * e, out=sse)  # noqa: B023
-                    np.add(esum, e, out=esum)  # noqa: B023
-                    if t == y.shape[1] - 1:  # noqa: B023
-                        last.append(st)  # noqa: B023
+    return run
 
-                _recur(y, par, level, trend, season, mul, visit)
-                state = _pack(last[0], y.shape[1]).reshape(len(part), -1)
-                if keep_state:
-                    before.update(zip(keys, zip(state, sse, esum)))
-                yield pd.DataFrame({"k": keys, "chunk": part["chunk"] + 1, "state": list(state), "sse": list(sse), "esum": list(esum)})
+
+def _affine_maps(m: int, rows: int):
+    """Additive form: the matrix that all full chunks of a series share, beside the exit from a zero start."""
+
+    def run(batches):
+        for part in batches:
+            if len(part):
+                known: dict = {}
+                jacs = []
+                for weights in part["params"]:
+                    par = np.vstack(weights)
+                    key = par.tobytes()
+                    if key not in known:
+                        power = _affine_power(par, m, rows)
+                        known = {**known, key: None if np.abs(power).max() < 1e-18 else power.ravel()} if len(known) < 64 else {key: power.ravel()}
+                    jacs.append(known[key])
+                yield pd.DataFrame({"k": part["k"], "chunk": part["chunk"], "start": part["start"], "jac": jacs, "off": part["off"]})
 
     return run
 
 
-def _entries(work: DataFrame, m: int, mul: bool, rows: int) -> DataFrame:
+def _entries(work: DataFrame, m: int, mul: bool, rows: int, fan: int = FAN) -> DataFrame:
     """State and error sums before every chunk after the first; nothing to do for short series."""
     full = work.filter(~F.col("is_last")).select("k", "chunk", "y", "params", "start")
     if mul:
-        lined = full.repartition("k").sortWithinPartitions("chunk", "k")
-        return lined.mapInPandas(_run_in_order(m, True, True), _IN)
-    schema = "k string, chunk long, params array<array<double>>, start array<double>, off array<double>"
-    folded = full.mapInPandas(_fold_zero(m), schema)
-    states = folded.repartition("k").sortWithinPartitions("chunk", "k").mapInPandas(_scan_affine(m, rows), _IN)
-    states = materialize(states, "hw_states")
-    opened = full.join(states, ["k", "chunk"], "left").drop("sse", "esum").select(
-        "*", F.lit(None).cast("array<double>").alias("sse"), F.lit(None).cast("array<double>").alias("esum"))
-    sums = opened.mapInPandas(_run_in_order(m, False, False), _IN)
+        states, _ = settle(full, m + 2, _linearised(m, rows), fan)
+    else:
+        schema = "k string, chunk long, params array<array<double>>, start array<double>, off array<double>"
+        maps = full.mapInPandas(_fold_zero(m), schema).mapInPandas(_affine_maps(m, rows), "k string, chunk long, start array<double>, jac array<double>, off array<double>")
+        states = materialize(scan_states(materialize(maps, "chunk-maps"), m + 2, fan), "hw_states")
+    none = F.lit(None).cast("array<double>")
+    opened = full.join(states, ["k", "chunk"], "left").withColumns({"sse": none, "esum": none})
+    sums = opened.mapInPandas(_sums(m, mul), "k string, chunk long, sse array<double>, esum array<double>")
     cells = sums.select("k", "chunk", F.posexplode(F.arrays_zip("sse", "esum")).alias("p", "z"))
     upto = Window.partitionBy("k", "p").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
     total = cells.select("k", "chunk", "p", F.sum("z.sse").over(upto).alias("s"), F.sum("z.esum").over(upto).alias("e"))
     packed = total.groupBy("k", "chunk").agg(F.array_sort(F.collect_list(F.struct("p", "s", "e"))).alias("z"))
     summed = packed.select("k", "chunk", F.transform("z", lambda z: z["s"]).alias("sse"), F.transform("z", lambda z: z["e"]).alias("esum"))
-    return states.drop("sse", "esum").join(summed, ["k", "chunk"])
+    return states.join(summed, ["k", "chunk"])
 
 
 def _opened(full: DataFrame, m: int, mul: bool, rows: int) -> DataFrame:
@@ -260,8 +314,11 @@ def _around(steps, scale: float) -> Column:
 
 
 def fit_holt_winters(df: DataFrame, seasonal_periods: int = 24, kind: str = "add", grid: list[tuple] | None = None,
-                     rounds: int = 3, tolerance: float = 1e-4) -> DataFrame:
-    """Weights, final state and squared error, one row per series, failed series included."""
+                     rounds: int = 3, tolerance: float = 1e-4, estimate_start: bool = False) -> DataFrame:
+    """Weights, final state and squared error, one row per series, failed series included.
+
+    With ``estimate_start`` (additive form) the start is then the one of least squares under the weights found, column ``start``.
+    """
     m, mul, rows = int(seasonal_periods), kind == "mul", chunk_rows(df)
     start = materialize(seasonal_start(df, m, mul), "hw_start")
     work = _work(df, start)
@@ -274,9 +331,64 @@ def fit_holt_winters(df: DataFrame, seasonal_periods: int = 24, kind: str = "add
         prev = best.select("k", F.col("sse").alias("prev"))
         best = materialize(finer.join(prev, "k").withColumn(
             "converged", F.col("prev") - F.col("sse") <= tolerance * F.col("prev")).drop("prev"), "hw_round")
+    if estimate_start and not mul:
+        found = least_squares_start(df, best, m).withColumn("esum", F.col("resid_mean") * F.col("n")).drop("resid_mean")
+        best = found.join(best.select("k", "alpha", "beta", "gamma", "converged"), "k")
     return start.select("k", "status").join(best, "k", "left").withColumn("resid_mean", F.col("esum") / F.col("n")).drop("esum")
 
 
+def _fold_for_start(m: int, rows: int):
+    """Additive form: sums of errors from a zero start and of their derivatives by it, and the state's map, of each chunk."""
+    dim = m + 2
+
+    def run(batches):
+        for pdf in batches:
+            for part in pieces(pdf, 50 * dim):
+                y, size = padded([np.asarray(v) - c for v, c in zip(part["y"], part["mean"])])
+                stats = []
+                for r, n in enumerate(size):  # one series' chunk at a time: its derivatives fill a matrix
+                    a, b, c = np.asarray(part["params"].iloc[r][0])
+                    level = np.zeros(dim + 1)  # the state, then its derivatives by the start
+                    trend, season = np.zeros(dim + 1), np.zeros((m, dim + 1))
+                    level[1], trend[2] = 1.0, 1.0
+                    season[np.arange(m), np.arange(m) + 3] = 1.0
+                    forecast = np.empty((n, dim + 1))
+                    for t in range(n):
+                        s, base = season[t % m].copy(), level + trend
+                        forecast[t] = base + s
+                        fresh, rest = (1 - a) * base - a * s, (1 - c) * s - c * base
+                        fresh[0] += a * y[r, t]
+                        rest[0] += c * y[r, t]
+                        trend = b * (fresh - level) + (1 - b) * trend
+                        level, season[t % m] = fresh, rest
+                    e, g = y[r, :n] - forecast[:, 0], forecast[:, 1:]
+                    state = np.vstack([level, trend, np.roll(season, -(n % m), axis=0)])
+                    stats.append(np.concatenate([[e.sum(), e @ e], e @ g, g.sum(0), (g.T @ g).ravel(), state[:, 0], state[:, 1:].ravel()]))
+                yield pd.DataFrame({**{c: part[c].to_numpy() for c in ("k", "chunk", "n", "mean")}, "pos": part["chunk"].to_numpy() * rows + size,
+                                    "is_end": True, "is_origin": False, "stats": stats})
+
+    return run
+
+
+def least_squares_start(df: DataFrame, weights: DataFrame, m: int, fan: int = FAN) -> DataFrame:
+    """``(k, n, start, sse, resid_mean, level, trend, season)`` of the additive form under given weights.
+
+    With fixed weights the forecasts are linear in level, trend and seasons of the start. Each chunk gives the sums of
+    squares and products for them; these compose over adjoining chunks, and the whole gives the normal equations.
+    A shift between level and seasons changes no forecast; of all such starts the smallest one is taken.
+    """
+    rows, dim = chunk_rows(df), m + 2
+    given = weights.filter(F.col("alpha").isNotNull()).select("k", F.array(F.array("alpha", "beta", "gamma")).alias("params"))
+    folded = materialize(attach(series_blocks(df), given).mapInPandas(_fold_for_start(m, rows), _STATS), "folded")
+    schema = ("k string, chunk long, n long, mean double, pos long, is_end boolean, is_origin boolean, cand int, start array<double>, "
+              "state array<double>, sse double, resid_mean double, entry array<double>")
+    states = folded.join(_prefixes(folded.select("k", "chunk", "stats"), dim, fan), ["k", "chunk"]).mapInPandas(_solve_starts(dim, 1e-12), schema)
+    moved = lambda c: F.transform(c, lambda x, i: F.when(i == 0, x + F.col("mean")).otherwise(x))
+    return materialize(states.filter(F.col("pos") == F.col("n")).select(
+        "k", "n", moved("start").alias("start"), "sse", "resid_mean", (F.col("state")[0] + F.col("mean")).alias("level"),
+        F.col("state")[1].alias("trend"), F.slice("state", 3, m).alias("season")), "hw_start")
+
+
 def _fit_chunks(m: int, mul: bool):
     def run(batches):
         for pdf in batches:
@@ -299,7 +411,8 @@ def fitted_holt_winters(df: DataFrame, fit: DataFrame, seasonal_periods: int = 2
     """Observed rows with their one-step forecast under the weights of ``fit``."""
     m, mul, rows = int(seasonal_periods), kind == "mul", chunk_rows(df)
     chosen = fit.filter(F.col("alpha").isNotNull()).select("k", F.array(F.array("alpha", "beta", "gamma")).alias("params"))
-    full = attach(_work(df, seasonal_start(df, m, mul)), chosen).select("k", "chunk", "y", "start", "is_last", "params")
+    start = fit.select("k", "start") if "start" in fit.columns else seasonal_start(df, m, mul)
+    full = attach(_work(df, start), chosen).select("k", "chunk", "y", "start", "is_last", "params")
     opened = _opened(full, m, mul, rows)
     arrays = opened.mapInPandas(_fit_chunks(m, mul), "k string, chunk long, fitted array<double>")
     run = series_blocks(df, with_time=True).join(arrays, ["k", "chunk"])

@@ -57,7 +57,8 @@ def run_model(df: DataFrame, code: str, params: dict | None = None) -> ModelRun:
     elif code in ("holt_hw_add", "holt_hw_mul"):
         kind_name = code[-3:]
         m = int(p.get("seasonal_periods", 24))
-        fit = materialize(holt_winters.fit_holt_winters(df, m, kind_name, p.get("grid"), int(p.get("rounds", 3))), "hw_fit")
+        fit = materialize(holt_winters.fit_holt_winters(df, m, kind_name, p.get("grid"), int(p.get("rounds", 3)),
+                                                        estimate_start=bool(p.get("estimate_start", True))), "hw_fit")
         rows = holt_winters.fitted_holt_winters(df, fit, m, kind_name)
         season, kind = F.col("season"), F.lit(kind_name)
         state = fit.withColumn("slope", F.col("trend")).withColumn("params", F.to_json(F.struct(

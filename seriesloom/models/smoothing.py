@@ -153,8 +153,8 @@ def _prefixes(ends: DataFrame, dim: int, fan: int) -> DataFrame:
     return near.join(far, ["k", "grp"], "left").select("k", chunk, "carry", "far")
 
 
-def _solve_starts(dim: int):
-    """Least squares start of each prefix, and what follows from it."""
+def _solve_starts(dim: int, least: float | None = None):
+    """Least squares start of each prefix, and what follows from it; directions below the share ``least`` of the largest are left at 0."""
     width = 2 + 3 * dim + 2 * dim * dim
 
     def run(batches):
@@ -168,7 +168,7 @@ def _solve_starts(dim: int):
             whole = _compose(carry, np.stack(part["stats"].tolist()).reshape(carry.shape), dim)
             sr, srr, srg, sg, sgg, off, phi = _split(whole, dim)
             pos = part["pos"].to_numpy()
-            start = _times(np.linalg.pinv(sgg, hermitian=True), srg)
+            start = _times(np.linalg.pinv(sgg, least, hermitian=True), srg)
             cands = carry.shape[1]
             rep = np.repeat(np.arange(len(part)), cands)
             flat = lambda x: list(x.reshape(len(rep), -1))

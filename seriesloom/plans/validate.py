@@ -34,23 +34,26 @@ DEFAULTS = {
 }
 
 
+LONG = 4096  # rows of a test part from which its errors are summed by chunk first
+
+
 class Folds:
     """Where folds start and how long they are, as columns over the series length ``n``."""
 
-    def __init__(self, first: Column, step: Column, horizon: Column):
-        self.first, self.step, self.horizon = first, step, horizon
+    def __init__(self, first: Column, step: Column, horizon: Column, long: bool = False):
+        self.first, self.step, self.horizon, self.long = first, step, horizon, long  # long: a test part may span many chunks
 
     @classmethod
     def rolling(cls, initial_ratio: float = 0.5, initial_size: int | None = None, horizon: int = 24, step: int = 24):
         n = F.col("n")
         first = F.greatest(F.lit(2), F.floor(n * float(initial_ratio))) if initial_size is None else F.lit(int(initial_size))
-        return cls(first.cast("long"), F.lit(int(step)).cast("long"), F.lit(int(horizon)).cast("long"))
+        return cls(first.cast("long"), F.lit(int(step)).cast("long"), F.lit(int(horizon)).cast("long"), int(horizon) > LONG)
 
     @classmethod
     def holdout(cls, train_ratio: float = 0.8):
         n = F.col("n")
         cut = train_rows(n, train_ratio)
-        return cls(cut, F.greatest(n, F.lit(1)).cast("long"), n - cut)
+        return cls(cut, F.greatest(n, F.lit(1)).cast("long"), n - cut, True)
 
 
 def expand_grid(grid: dict[str, list]) -> list[dict]:
@@ -63,7 +66,7 @@ def sized(df: DataFrame) -> DataFrame:
 
 
 def test_rows(df: DataFrame, folds: Folds) -> DataFrame:
-    """``(k, origin, s, actual, t)``: test rows with their fold; ``s`` counts from 1 after the origin.
+    """``(k, origin, s, actual, t, chunk)``: test rows with their fold; ``s`` counts from 1 after the origin.
 
     ``s = 0`` marks the last training row of the fold.  Fold numbers follow from the row number by
     arithmetic, so there is no range join.
@@ -74,7 +77,7 @@ def test_rows(df: DataFrame, folds: Folds) -> DataFrame:
     late = sized(df).filter(i + 1 >= first)
     spread = late.withColumn("fold", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
     return spread.withColumn("origin", first + F.col("fold") * step).filter(F.col("origin") < F.col("n")).select(
-        "k", "origin", (i - F.col("origin") + 1).alias("s"), F.col("v").alias("actual"), "t")
+        "k", "origin", (i - F.col("origin") + 1).alias("s"), F.col("v").alias("actual"), "t", "chunk")
 
 
 def _sums_at_origins(df: DataFrame, sums: dict[str, Column], keep: list[str], folds: Folds) -> DataFrame:
@@ -168,20 +171,31 @@ def validate(df: DataFrame, code: str, candidates: list[dict], folds: Folds, hw_
     # one row per (series, origin) on both sides of the join; candidates unfold after it
     fields = ("level", "slope", "season", "kind", "resid_std")
     packed = states.groupBy("k", "origin").agg(F.map_from_entries(F.collect_list(F.struct("cand", F.struct(*fields)))).alias("by_cand"))
-    met = tests.join(packed, ["k", "origin"], "left")
+    met = _meet_by_chunk(tests, packed) if folds.long else tests.join(packed, ["k", "origin"], "left")
     each = met.withColumn("cand", F.explode(F.array(*[F.lit(j) for j in range(len(candidates))])))
     each = each.withColumn("st", F.try_element_at("by_cand", F.col("cand"))).select(
-        "k", "origin", "cand", "s", "actual", "t", *[F.col(f"st.{c}").alias(c) for c in fields])
+        "k", "origin", "cand", "chunk", "s", "actual", "t", *[F.col(f"st.{c}").alias(c) for c in fields])
     tested = F.col("s") > 0
     error = F.when(tested, F.col("actual") - point(F.col("s")))
-    scored = each.groupBy("k", "origin", "cand").agg(
-        F.avg(error * error).alias("mse"), F.max(F.when(~tested, F.col("t"))).alias("train_end"),
-        F.coalesce(F.avg((F.abs(error) <= Z * F.col("resid_std")).cast("double")), F.lit(0.0)).alias("coverage"))
+    inside = F.when(error.isNotNull(), (F.abs(error) <= Z * F.col("resid_std")).cast("double"))
+    keys = ["k", "origin", "cand"]
+    sums = each.groupBy(*keys, *(["chunk"] if folds.long else [])).agg(
+        F.sum(error * error).alias("sse"), F.count(error).alias("n"), F.sum(inside).alias("hits"), F.count(inside).alias("n_bands"),
+        F.max(F.when(~tested, F.col("t"))).alias("train_end"))
+    if folds.long:
+        sums = sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("sse", "n", "hits", "n_bands")], F.max("train_end").alias("train_end"))
+    scored = sums.select(*keys, "train_end", F.try_divide("sse", "n").alias("mse"), F.coalesce(F.try_divide("hits", "n_bands"), F.lit(0.0)).alias("coverage"))
     finite = F.col("mse") < float("inf")
     return scored.select("k", F.lit(code).alias("model"), "cand", "origin", "train_end",
                          F.when(finite, F.col("mse")).alias("mse"), "coverage")
 
 
+def _meet_by_chunk(tests: DataFrame, packed: DataFrame) -> DataFrame:
+    """Test rows with their origin's states, joined on chunks too: a holdout part may be a fifth of all rows in one series."""
+    spots = tests.select("k", "origin", "chunk").distinct().join(packed, ["k", "origin"], "left")
+    return tests.join(spots, ["k", "origin", "chunk"])
+
+
 def cv_summary(folds: DataFrame) -> DataFrame:
     """Mean and population spread of the fold errors that exist."""
     return folds.groupBy("k", "model", "cand").agg(
@@ -193,7 +207,7 @@ def with_every_series(summary: DataFrame, df: DataFrame, code: str, n_candidates
     """The summary with a row for every series and candidate: without a fold, ``n_folds`` is 0 and the errors are NULL."""
     keys = df.select("k").distinct().withColumn("cand", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))))
     out = keys.join(summary.drop("model"), ["k", "cand"], "left")
-    return out.select("k", F.lit(code).alias("model"), "cand", "mean_mse", "std_mse", F.coalesce("mean_coverage", F.lit(0.0)).alias("mean_coverage"),
+    return out.select("k", F.lit(code).alias("model"), "cand", "mean_mse", "std_mse", "mean_coverage",
                       F.coalesce("n_folds", F.lit(0)).alias("n_folds"), F.coalesce("n_failed", F.lit(0)).alias("n_failed"))
 
 

@@ -140,6 +140,86 @@ def test_holt_winters_matches_a_loop(series, column, kind, rows):
     assert finer["a"].sse <= got["a"].sse
 
 
+@pytest.mark.parametrize("rows,fan,most", [(8, 3, 30), (64, 2, 6), (64, 512, 6), (1024, 512, 3)])
+def test_multiplicative_chunks_settle_on_the_loop(series, rows, fan, most):
+    """One series in many chunks, none run by series: the states before all chunks are those of the plain loop."""
+    m, n = 12, 2100
+    rng = np.random.default_rng(21)
+    t = np.arange(n)
+    x = (100 + 0.05 * t + 20 * np.sin(t / 90)) * (1 + 0.3 * np.sin(t * 2 * np.pi / m)) * np.exp(0.05 * rng.normal(size=n))
+    work = holt_winters._work(series({"hot": x}, rows), holt_winters.seasonal_start(series({"hot": x}, rows), m, True))
+    from seriesloom.models.blocks import params_column
+    from seriesloom.models.chunk_maps import settle
+
+    full = work.filter("not is_last").select("k", "chunk", "y", params_column(GRID).alias("params"), "start")
+    states, rounds = settle(full, m + 2, holt_winters._linearised(m, rows), fan)
+    assert rounds <= most
+    got = {r.chunk: np.array(r.state).reshape(len(GRID), m + 2) for r in states.collect()}
+    assert sorted(got) == list(range(1, (n - 1) // rows + 1))
+    for chunk, state in got.items():
+        for j, par in enumerate(GRID):
+            start_level = x[:m].mean()
+            level, trend, season = start_level, (x[m : 2 * m].mean() - start_level) / m, list(x[:m] / start_level)
+            for i in range(chunk * rows):
+                s, base = season[i % m], level + trend
+                new = par[0] * x[i] / s + (1 - par[0]) * base
+                trend, level, season[i % m] = par[1] * (new - level) + (1 - par[1]) * trend, new, par[2] * x[i] / base + (1 - par[2]) * s
+            assert state[j] == pytest.approx([level, trend, *[season[(chunk * rows + q) % m] for q in range(m)]], rel=1e-9, abs=1e-9)
+        if rows == 8 and chunk > 40:
+            break
+
+
+@pytest.mark.parametrize("fan", [2, 512])
+def test_affine_scan_in_groups(spark, fan):
+    rng = np.random.default_rng(22)
+    jac, off, start = rng.normal(size=(9, 2, 3, 3)) * 0.5, rng.normal(size=(9, 2, 3)), rng.normal(size=3)
+    rows = [("a", c, start.tolist(), None if c == 5 else jac[c].ravel().tolist(), off[c].ravel().tolist()) for c in range(9)]
+    from seriesloom.models.chunk_maps import scan_states
+
+    maps = spark.createDataFrame(rows + [("b", *rows[0][1:])], "k string, chunk long, start array<double>, jac array<double>, off array<double>")
+    got = {(r.k, r.chunk): r.state for r in scan_states(maps, 3, fan).collect()}
+    state = np.tile(start, (2, 1))
+    for c in range(9):
+        state = off[c] + (0 if c == 5 else (jac[c] @ state[..., None])[..., 0])
+        assert got["a", c + 1] == pytest.approx(state.ravel())
+    assert len(got) == 10 and got["b", 1] == pytest.approx(got["a", 1])
+
+
+@pytest.mark.parametrize("rows", [10, 33, 1000])
+def test_additive_start_is_the_least_squares_one(series, column, rows):
+    rng = np.random.default_rng(23)
+    t = np.arange(100)
+    data = {"a": 1000 + 0.5 * t + 12 * np.sin(t * 2 * np.pi / 6) + rng.normal(size=100), "b": 30 * rng.normal(size=40), "short": np.ones(11)}
+    s = series(data, rows)
+    plain = {r.k: r for r in holt_winters.fit_holt_winters(s, 6, "add", GRID, rounds=0).collect()}
+    fit = holt_winters.fit_holt_winters(s, 6, "add", GRID, rounds=0, estimate_start=True)
+    got = {r.k: r for r in fit.collect()}
+    assert got["short"].status.startswith("error") and got["short"].start is None
+
+    def run(x, par, start):
+        level, trend, season, total, es = start[0], start[1], list(start[2:]), 0.0, []
+        for i, v in enumerate(x):
+            q, base = season[i % 6], level + trend
+            es.append(v - base - q)
+            new = par[0] * (v - q) + (1 - par[0]) * base
+            trend, level, season[i % 6] = par[1] * (new - level) + (1 - par[1]) * trend, new, par[2] * (v - base) + (1 - par[2]) * q
+        return np.array(es), level, trend, [season[(len(x) + j) % 6] for j in range(6)]
+
+    for k in ("a", "b"):
+        x, r = data[k], got[k]
+        par = (r.alpha, r.beta, r.gamma)
+        assert par == (plain[k].alpha, plain[k].beta, plain[k].gamma) and r.sse <= plain[k].sse
+        e, level, trend, season = run(x, par, r.start)
+        assert (r.sse, r.level, r.trend, r.resid_mean) == pytest.approx((e @ e, level, trend, e.mean()), rel=1e-7, abs=1e-8)
+        assert r.season == pytest.approx(season, rel=1e-7, abs=1e-7)
+        # The best of all starts: unit changes of the start are the columns of a least squares problem.
+        base, _, _, _ = run(x, par, np.zeros(8))
+        columns = np.array([run(np.zeros(len(x)), par, unit)[0] for unit in np.eye(8)]).T
+        best = base + columns @ np.linalg.lstsq(columns, -base, rcond=1e-10)[0]
+        assert r.sse == pytest.approx(best @ best, rel=1e-6)
+        assert column(holt_winters.fitted_holt_winters(s, fit, 6, "add"), "fitted", k) == pytest.approx(x - e, rel=1e-7, abs=1e-7)
+
+
 def test_future_grid_and_bands(series, spark):
     last = spark.sql("select 'a' k, timestamp_ntz'2018-08-03 00:00:00' last_t")
     grid = forecast.future_grid(last, 24).orderBy("step").collect()
