@@ -362,7 +362,9 @@ def ses_optimised(spark, sf_dir):
     return smoothing.optimise_ses(hourly_series(spark, sf_dir))
 
 
-HW_GRID = [(a, b, c) for a in (0.1, 0.4) for b in (0.01, 0.2) for c in (0.05, 0.3)]
+# The whole default grid. Where SQL follows step by step, the start is the fixed one and the grid is not refined.
+HW_GRID = holt_winters.GRID
+PLAIN = {"rounds": 0, "estimate_start": False}
 
 
 def _hw_grid(spark, sf_dir, kind):
@@ -382,7 +384,8 @@ def holt_winters_multiplicative_grid(spark, sf_dir):
 
 @query
 def holt_winters_additive_fit(spark, sf_dir):
-    return holt_winters.fit_holt_winters(hourly_series(spark, sf_dir), 12, "add")
+    """All defaults: the grid, its refinements, and the start estimated by least squares."""
+    return holt_winters.fit_holt_winters(hourly_series(spark, sf_dir), 12, "add", estimate_start=True)
 
 
 @query
@@ -411,11 +414,11 @@ def holt_winters_multiplicative_fitted(spark, sf_dir):
 
 @stored("fitted_rows")
 def fitted_rows(spark, sf_dir):
-    """Fitted rows of the four models with closed forms."""
+    """Fitted rows of all six models."""
     s = hourly_series(spark, sf_dir)
     out = None
-    for code in ("sma", "lr", "ses", "holt"):
-        rows = registry.run_model(s, code).rows
+    for code in registry.NAMES:
+        rows = registry.run_model(s, code, PLAIN).rows
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -439,8 +442,8 @@ def residual_qq(spark, sf_dir):
 def information_criteria(spark, sf_dir):
     s = hourly_series(spark, sf_dir)
     out = None
-    for code in ("sma", "lr", "ses", "holt"):
-        run = registry.run_model(s, code)
+    for code in registry.NAMES:
+        run = registry.run_model(s, code, PLAIN)
         rows = fitted_rows(spark, sf_dir).filter(F.col("model") == code)
         record = registry.model_record(run, rows, {})
         out = record if out is None else out.unionByName(record)
@@ -457,8 +460,8 @@ def future_grid(spark, sf_dir):
 def forecast_table(spark, sf_dir):
     s = hourly_series(spark, sf_dir)
     out = None
-    for code in ("sma", "lr", "ses", "holt"):
-        table = registry.model_run(s, code)[1]
+    for code in registry.NAMES:
+        table = registry.model_run(s, code, PLAIN)[1]
         out = table if out is None else out.unionByName(table)
     return rounded(out, digits=7)
 
@@ -482,8 +485,8 @@ def evaluate_models(spark, sf_dir):
     """The validation form of each model, fitted on the first 80% of each series."""
     train = windows.train_test_split(hourly_series(spark, sf_dir), 0.8).filter("part = 'train'").drop("part")
     out = None
-    for code in ("sma", "lr", "ses", "holt"):
-        points = registry.evaluate(train, code, 24)[0].withColumn("model", F.lit(code))
+    for code in registry.NAMES:
+        points = registry.evaluate(train, code, 24, PLAIN)[0].withColumn("model", F.lit(code))
         out = points if out is None else out.unionByName(points)
     return rounded(out, digits=7)
 
@@ -576,7 +579,7 @@ def grid_tested(spark, sf_dir):
 def grid_select(spark, sf_dir):
     s = hourly_series(spark, sf_dir)
     out = None
-    for code in ("sma", "lr", "ses", "holt"):
+    for code in registry.NAMES:
         best = validate.best_candidate(validate.grid_search(s, code))
         out = best if out is None else out.unionByName(best)
     return rounded(out.select("k", "model", "cand", "mean_mse", "std_mse"), digits=6)
@@ -621,7 +624,7 @@ def model_runs(spark, sf_dir):
     s = hourly_series(spark, sf_dir)
     out = None
     for code in registry.NAMES:
-        p = {"seasonal_periods": 12, "grid": HW_GRID, "rounds": 1} if code.startswith("holt_hw") else {}
+        p = {"seasonal_periods": 12} if code.startswith("holt_hw") else {}
         record = registry.model_run(s, code, p)[0]
         out = record if out is None else out.unionByName(record)
     return out

@@ -276,13 +276,13 @@ SQL["holt_fitted"] = f"with recursive {DAILY}, {holt('daily')} select {sel('k',
 
 
 def hw(src: str, mul: bool, m: int = 24) -> str:
-    """All eight candidates; the season list is turned so that its first entry is the next one."""
+    """All candidates of the default grid; the season list is turned so that its first entry is the next one."""
     s, base = "r.s[1]", "(r.l + r.t)"
     f = f"{base} * {s}" if mul else f"{base} + {s}"
     lev = f"r.al * (x.v {'/' if mul else '-'} {s}) + (1 - r.al) * {base}"
     sea = f"r.ga * (x.v {'/' if mul else '-'} {base}) + (1 - r.ga) * {s}"
-    return f"""hw_c as (select row_number() over () - 1 cand, al, be, ga from (select unnest([0.1, 0.4])::double al) a, (select unnest([0.01, 0.2])::double be) b,
-        (select unnest([0.05, 0.3])::double ga) c order by al, be, ga),
+    return f"""hw_c as (select row_number() over () - 1 cand, al, be, ga from (select unnest([0.1, 0.3, 0.5, 0.7, 0.9])::double al) a, (select unnest([0.01, 0.1, 0.3])::double be) b,
+        (select unnest([0.05, 0.2, 0.5])::double ga) c order by al, be, ga),
     hw_h as (select k, avg(v) filter (where i < {m}) l0, avg(v) filter (where i >= {m}) l1, list(v order by i) ys from {src} where i < {2 * m} group by k),
     hw_r(k, al, be, ga, i, l, t, s, sse, es, f) as (
         select k, al, be, ga, 0::bigint, l0, (l1 - l0) / {m}, list_transform(ys[1:{m}], lambda y: y {'/' if mul else '-'} l0), 0.0::double, 0.0::double, null::double from hw_h, hw_c
@@ -291,7 +291,7 @@ def hw(src: str, mul: bool, m: int = 24) -> str:
     hw_n as (select k, max(i) n from hw_r group by k),
     hw_best as (select r.k, r.i n, arg_min(r.al, sse) al, arg_min(r.be, sse) be, arg_min(r.ga, sse) ga from hw_r r join hw_n on hw_n.k = r.k and hw_n.n = r.i group by r.k, r.i),
     hw_f as (select r.* from hw_r r join hw_best b on b.k = r.k and b.al = r.al and b.be = r.be and b.ga = r.ga and b.n = r.i),
-    hw as (select x.k, x.t, x.v, r.f fitted from hw_r r join hw_best b on b.k = r.k and b.al = r.al and b.be = r.be and b.ga = r.ga join {src} x on x.k = r.k and x.i = r.i - 1)"""
+    hw as (select x.k, x.i, x.t, x.v, r.f fitted from hw_r r join hw_best b on b.k = r.k and b.al = r.al and b.be = r.be and b.ga = r.ga join {src} x on x.k = r.k and x.i = r.i - 1)"""
 
 
 for _name, _mul in (("additive", False), ("multiplicative", True)):
@@ -299,11 +299,17 @@ for _name, _mul in (("additive", False), ("multiplicative", True)):
         select k, 'ok' as status, i as n, al as alpha, be as beta, ga as gamma, {sig('sse', 7)} as sse, {sig('l', 7)} as "level", {sig('t', 7)} as trend from hw_f"""
     SQL[f"holt_winters_{_name}_fitted"] = f"with recursive {SERIES}, {hw('series', _mul)} select {sel('k', 't', '~v', '~fitted', digits=7)} from hw"
 
+def renamed(sql: str, tag: str) -> str:
+    """Give the Holt-Winters CTEs names of their own, so that both forms fit in one statement."""
+    return sql.replace("hw_", f"{tag}_").replace(" hw as", f" {tag} as")
+
+
 # --- diagnostics and forecasts --------------------------------------------------------------
 
-ROWS = f"""{SERIES}, {SMA7}, {LINE}, {ses('series')}, {holt('series')},
+ROWS = f"""{SERIES}, {SMA7}, {LINE}, {ses('series')}, {holt('series')}, {renamed(hw('series', False), 'wa')}, {renamed(hw('series', True), 'wm')},
     fit_rows as (select k, 'sma' model, i, v, fitted from sma union all select k, 'lr', i, v, fitted from lr
-        union all select k, 'ses', i, v, fitted from ses union all select k, 'holt', i, v, fitted from holt),
+        union all select k, 'ses', i, v, fitted from ses union all select k, 'holt', i, v, fitted from holt
+        union all select k, 'holt_hw_add', i, v, fitted from wa union all select k, 'holt_hw_mul', i, v, fitted from wm),
     res as (select k, model, v, v - fitted e, row_number() over (partition by k, model order by i) - 1 i from fit_rows where fitted is not null)"""
 MEASURES = f"""{ROWS}, {acf('res', 10, 'e', 'k, model')},
     mo as (select k, model, count(*) n, avg(e * e) mse, avg(abs(e)) mae, avg(abs(e / nullif(v, 0))) * 100 mape, sum(e * e) sse, stddev_samp(e) resid_std, avg(e) me from res group by k, model),
@@ -324,8 +330,9 @@ SQL["residual_qq"] = f"""with recursive {ROWS}, g as (select unnest({_P19}::doub
     q as (select k, model, avg(e) me, stddev_samp(e) sd, quantile_cont(e, {_P19}) qs from res group by k, model),
     f as (select k, model, p, normal_quantile, qs[cast(round(p * 20) as int)] residual_quantile, me + sd * normal_quantile line from q, g)
     select k, model, {sel('~p', '~normal_quantile', '~residual_quantile', '~line', digits=7)} from f"""
+SEASONED = """case model when 'holt_hw_add' then l + step * b + sea[cast((step - 1) % 24 as int) + 1] when 'holt_hw_mul' then (l + step * b) * sea[cast((step - 1) % 24 as int) + 1] else l + step * b end"""
 CRITERIA = f"""{MEASURES}, est(model, name, kk) as (values ('sma', 'Simple Moving Average', null), ('lr', 'Linear Regression Trend', null),
-        ('ses', 'Simple Exponential Smoothing', 2), ('holt', 'Holt Linear Trend', 4)),
+        ('ses', 'Simple Exponential Smoothing', 2), ('holt', 'Holt Linear Trend', 4), ('holt_hw_add', 'Holt-Winters Additive', 29), ('holt_hw_mul', 'Holt-Winters Multiplicative', 29)),
     crit as (select diag.k, model, name, mse, n, n * ln(sse / n) + 2 * kk aic, n * ln(sse / n) + kk * ln(n) bic,
         n * ln(sse / n) + 2 * kk + 2.0 * kk * (kk + 1) / (n - kk - 1) aicc, case when model = 'lr' then r2 end r_squared from diag join est using (model) join line on line.k = diag.k)"""
 SQL["information_criteria"] = f"""with recursive {CRITERIA} select k, model, name, {sel('~mse', '~aic', '~bic', '~aicc', '~r_squared', digits=7)}, n as fitted_values_count from crit"""
@@ -334,11 +341,13 @@ SQL["compare_models"] = f"""with recursive {CRITERIA}, r as (select *, row_numbe
 SQL["future_grid"] = f"""with {SERIES}, l as (select k, max(t) last_t from series group by k)
     select k, step, last_t + to_hours(cast(step as int)) as t from (select k, last_t, unnest(range(1, 25)) step from l)"""
 SQL["forecast_table"] = f"""with recursive {ROWS}, sd as (select k, model, stddev_samp(e) sd from res group by k, model), n as (select k, count(*) n, max(t) last_t from series group by k),
-    st as (select s.k, 'sma' model, avg(v) l, 0.0::double b from series s join n using (k) where i >= n - 7 group by s.k
-        union all select k, 'lr', icpt + slope * (n - 1), slope from line join n using (k)
-        union all select k, 'ses', "level", 0.0 from ses_f union all select k, 'holt', "level", trend from holt_f),
-    f as (select st.k, st.model, cast(step as int) step, last_t + to_hours(cast(step as int)) t, l + step * b forecast, l + step * b - 1.96 * sd lower_95, l + step * b + 1.96 * sd upper_95
-        from st join n using (k) join sd on sd.k = st.k and sd.model = st.model, (select unnest(range(1, 25)) step) g)
+    st as (select s.k, 'sma' model, avg(v) l, 0.0::double b, null::double[] sea from series s join n using (k) where i >= n - 7 group by s.k
+        union all select k, 'lr', icpt + slope * (n - 1), slope, null from line join n using (k)
+        union all select k, 'ses', "level", 0.0, null from ses_f union all select k, 'holt', "level", trend, null from holt_f
+        union all select k, 'holt_hw_add', l, t, s from wa_f union all select k, 'holt_hw_mul', l, t, s from wm_f),
+    pt as (select st.*, step, {SEASONED} f from st, (select unnest(range(1, 25)) step) g),
+    f as (select st.k, st.model, cast(step as int) step, last_t + to_hours(cast(step as int)) t, f forecast, f - 1.96 * sd lower_95, f + 1.96 * sd upper_95
+        from pt st join n using (k) join sd on sd.k = st.k and sd.model = st.model)
     select k, model, step, t, {sel('~forecast', '~lower_95', '~upper_95', digits=7)}, 'ok' as status from f"""
 SQL["interval_validation"] = f"""with {SERIES}, n as (select k, cast(greatest(1, floor(count(*) * 0.8::double)) as bigint) tn from series group by k),
     tr as (select s.*, tn from series s join n using (k) where i < tn),
@@ -350,11 +359,12 @@ SQL["interval_validation"] = f"""with {SERIES}, n as (select k, cast(greatest(1,
 
 _TRAIN = f"""{SERIES}, tn as (select k, greatest(1, floor(count(*) * 0.8::double)) tn from series group by k),
     train as (select s.* from series s join tn using (k) where i < tn)"""
-SQL["evaluate_models"] = f"""with recursive {_TRAIN}, {ses('train')}, {holt('train')}, n as (select k, count(*) n from train group by k),
-    st as (select t.k, 'sma' model, avg(v) l, 0.0::double b from train t join n using (k) where i >= n - 24 group by t.k
-        union all select k, 'lr', any_value(icpt + slope * (n - 1)), any_value(slope) from (select k, regr_slope(v, i) slope, regr_intercept(v, i) icpt from train group by k) join n using (k) group by k
-        union all select k, 'ses', "level", 0.0 from ses_f union all select k, 'holt', "level", trend from holt_f),
-    f as (select k, model, cast(step as int) step, l + step * b forecast from st, (select unnest(range(1, 25)) step) g)
+SQL["evaluate_models"] = f"""with recursive {_TRAIN}, {ses('train')}, {holt('train')}, {renamed(hw('train', False), 'wa')}, {renamed(hw('train', True), 'wm')}, n as (select k, count(*) n from train group by k),
+    st as (select t.k, 'sma' model, avg(v) l, 0.0::double b, null::double[] sea from train t join n using (k) where i >= n - 24 group by t.k
+        union all select k, 'lr', any_value(icpt + slope * (n - 1)), any_value(slope), null from (select k, regr_slope(v, i) slope, regr_intercept(v, i) icpt from train group by k) join n using (k) group by k
+        union all select k, 'ses', "level", 0.0, null from ses_f union all select k, 'holt', "level", trend, null from holt_f
+        union all select k, 'holt_hw_add', l, t, s from wa_f union all select k, 'holt_hw_mul', l, t, s from wm_f),
+    f as (select k, model, cast(step as int) step, {SEASONED} forecast from st, (select unnest(range(1, 25)) step) g)
     select k, model, step, {sel('~forecast', digits=7)}, 'ok' as status from f"""
 SQL["csv_source"] = f"""with l as (select 'quantity' k, l_shipdate t, sum(l_quantity) v from lineitem group by 2
     union all select 'tax', l_shipdate, sum(l_tax) from lineitem group by 2)
@@ -440,17 +450,12 @@ def best_of(model: str, states: str, mul: bool = False) -> str:
 
 _FOUR = (("sma", "sma_states"), ("lr", "lr_states"), ("ses", "ses_states"), ("holt", "holt_states"))
 _BEST4 = f"{SERIES}, {plan()}, {SMA_STATES}, {LR_STATES}, {SES_STATES}, {HOLT_STATES}, " + ", ".join(best_of(*x) for x in _FOUR)
-SQL["grid_select"] = f"with recursive {_BEST4} " + " union all ".join(f"select k, model, cand, {sel('~mean_mse', '~std_mse', digits=6)} from best_{m}" for m, _ in _FOUR)
-
-
-def renamed(sql: str, tag: str) -> str:
-    """Give the Holt-Winters CTEs names of their own, so that both forms fit in one statement."""
-    return sql.replace("hw_", f"{tag}_").replace(" hw as", f" {tag} as")
 
 
 _ALL = (f"{_BEST4}, {renamed(hw_states(False), 'wa')}, {renamed(hw_states(True), 'wm')}, {best_of('holt_hw_add', 'wa_states')}, "
         f"{best_of('holt_hw_mul', 'wm_states', True)}, scores as (" + " union all ".join(
             f"select k, model, cand, mean_mse mse, std_mse, {o} o from best_{m}" for o, m in enumerate(("sma", "lr", "ses", "holt", "holt_hw_add", "holt_hw_mul"))) + ")")
+SQL["grid_select"] = f"with recursive {_ALL} select k, model, cand, {sel('~mse', '~std_mse', digits=6).replace(' mse', ' mean_mse')} from scores"
 SQL["validation_run"] = f"with recursive {_ALL} select k, model, cand, {sel('~mse', '~std_mse', digits=6)} from scores"
 SQL["select_model"] = f"""with recursive {_ALL}, r as (select *, row_number() over (partition by k order by mse, o) rn from scores)
     select k, model as selected, {sig('mse', 6)} as score, 'mse' as score_metric, 'AIC' as preferred from r where rn = 1"""
