@@ -362,6 +362,11 @@ def ses_optimised(spark, sf_dir):
     return smoothing.optimise_ses(hourly_series(spark, sf_dir))
 
 
+@query
+def holt_optimised(spark, sf_dir):
+    return smoothing.optimise_smoothing(hourly_series(spark, sf_dir), "holt")
+
+
 # The whole default grid. Where SQL follows step by step, the start is the fixed one and the grid is not refined.
 HW_GRID = holt_winters.GRID
 PLAIN = {"rounds": 0, "estimate_start": False}
@@ -491,6 +496,13 @@ def evaluate_models(spark, sf_dir):
     return rounded(out, digits=7)
 
 
+@query
+def evaluate_estimated(spark, sf_dir):
+    """Both smoothing models without parameters: their weights are estimated on the first 80% of each series."""
+    train = windows.train_test_split(hourly_series(spark, sf_dir), 0.8).filter("part = 'train'").drop("part")
+    return registry.evaluate(train, "ses", 24)[0].withColumn("model", F.lit("ses")).unionByName(registry.evaluate(train, "holt", 24)[0].withColumn("model", F.lit("holt")))
+
+
 @query
 def csv_source(spark, sf_dir):
     """Daily sums written as a wide CSV, read back through the column contract."""
@@ -513,17 +525,32 @@ def forecast_sink(spark, sf_dir):
 
 @query
 def event_sink(spark, sf_dir):
-    """Completion events of one model appended after a header event, and read back."""
+    """All four kinds of events of a run that is tried twice, read back: each is there once.
+
+    Seasons of 5,000 rows are too long for every series, which gives the errors.
+    """
     path = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
     s = hourly_series(spark, sf_dir)
-    sinks.append_events(sinks.header_event(spark, "run-1", {"models": "sma"}), path)
-    sinks.append_events(sinks.completion_events(registry.model_run(s, "sma")[0], "run-1"), path)
+    done = registry.model_run(s, "sma")[0]
+    failed = registry.model_run(s, "holt_hw_add", {"seasonal_periods": 5000, **PLAIN})[0]
+    for _ in range(2):
+        sinks.append_events(sinks.header_event(spark, "run-1", {"models": "sma"}), path)
+        sinks.append_events(sinks.completion_events(done, "run-1"), path)
+        sinks.append_events(sinks.completion_events(failed, "run-1"), path)
+        sinks.append_events(sinks.exported_event(spark, "run-1", "forecasts", "sma"), path)
     body = F.from_json("payload", "k string, model string, fitted_values_count bigint")
     return sinks.read_events(spark, path).select("run_id", "event", body.alias("p")).select(
         "run_id", "event", F.coalesce("p.k", F.lit("")).alias("k"), F.coalesce("p.model", F.lit("")).alias("model"),
         F.coalesce("p.fitted_values_count", F.lit(0)).cast("long").alias("n"))
 
 
+@query
+def fallback_forecast(spark, sf_dir):
+    """Lines through series of one to seven rows: one row has no line, and its mean is forecast instead."""
+    s = irregular_panel(order_lines(spark, sf_dir))
+    return rounded(registry.forecast_points(registry.run_model(s, "lr"), s, 2), digits=7)
+
+
 # --- validation and selection ---------------------------------------------------------------
 
 
@@ -563,10 +590,39 @@ def rolling_origin_hw_mul(spark, sf_dir):
     return _rolling(spark, sf_dir, "holt_hw_mul", [{"seasonal_periods": 24}])
 
 
+def _holdout(spark, sf_dir, code, candidates):
+    """One fold: the last 30% of each series, whose errors are summed chunk by chunk."""
+    return rounded(validate.validate(hourly_series(spark, sf_dir), code, candidates, validate.Folds.holdout(0.7), HW_GRID), digits=6)
+
+
+@query
+def holdout_sma(spark, sf_dir):
+    return _holdout(spark, sf_dir, "sma", validate.expand_grid(validate.GRIDS["sma"]))
+
+
+@query
+def holdout_linear(spark, sf_dir):
+    return _holdout(spark, sf_dir, "lr", [{}])
+
+
 @query
 def holdout_ses(spark, sf_dir):
-    v = validate.validate(hourly_series(spark, sf_dir), "ses", validate.expand_grid(validate.GRIDS["ses"]), validate.Folds.holdout(0.7))
-    return rounded(v, digits=6)
+    return _holdout(spark, sf_dir, "ses", validate.expand_grid(validate.GRIDS["ses"]))
+
+
+@query
+def holdout_holt(spark, sf_dir):
+    return _holdout(spark, sf_dir, "holt", validate.expand_grid(validate.GRIDS["holt"]))
+
+
+@query
+def holdout_hw_add(spark, sf_dir):
+    return _holdout(spark, sf_dir, "holt_hw_add", [{"seasonal_periods": 24}])
+
+
+@query
+def holdout_hw_mul(spark, sf_dir):
+    return _holdout(spark, sf_dir, "holt_hw_mul", [{"seasonal_periods": 24}])
 
 
 @query
@@ -612,6 +668,22 @@ def select_model(spark, sf_dir):
     return rounded(select.select_best(_ordered(validation_scores(spark, sf_dir)), "AIC"), digits=6)
 
 
+def _selected(spark, sf_dir, prefer):
+    """The fitted models that have information criteria, by one of them."""
+    records = information_criteria(spark, sf_dir).select("k", "model", "mse", "aic", "bic").filter(F.col("aic").isNotNull())
+    return rounded(select.select_best(_ordered(records), prefer), digits=7)
+
+
+@query
+def select_by_aic(spark, sf_dir):
+    return _selected(spark, sf_dir, "AIC")
+
+
+@query
+def select_by_bic(spark, sf_dir):
+    return _selected(spark, sf_dir, "BIC")
+
+
 @query
 def compare_models(spark, sf_dir):
     records = information_criteria(spark, sf_dir).select("k", "model", "mse", "aic", "bic")

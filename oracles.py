@@ -338,6 +338,13 @@ CRITERIA = f"""{MEASURES}, est(model, name, kk) as (values ('sma', 'Simple Movin
 SQL["information_criteria"] = f"""with recursive {CRITERIA} select k, model, name, {sel('~mse', '~aic', '~bic', '~aicc', '~r_squared', digits=7)}, n as fitted_values_count from crit"""
 SQL["compare_models"] = f"""with recursive {CRITERIA}, r as (select *, row_number() over (partition by k order by case when aic is not null then 0 when mse is not null then 1 else 2 end, coalesce(aic, mse), model) "rank" from crit)
     select k, model, {sel('~mse', '~aic', '~bic', digits=7)}, "rank" from r"""
+for _by in ("aic", "bic"):
+    SQL[f"select_by_{_by}"] = f"""with recursive {CRITERIA}, r as (select *, row_number() over (partition by k order by {_by}, list_position(['sma', 'lr', 'ses', 'holt', 'holt_hw_add', 'holt_hw_mul'], model)) rn
+        from crit where aic is not null) select k, model as selected, {sig(_by, 7)} as score, '{_by}' as score_metric, '{_by.upper()}' as preferred from r where rn = 1"""
+SQL["fallback_forecast"] = f"""with s as (select cast(l_orderkey as varchar) k, l_extendedprice v, row_number() over (partition by l_orderkey order by l_shipdate, l_extendedprice) - 1 i from lineitem),
+    l as (select k, count(*) n, any_value(v) v, regr_slope(v, i) b, regr_intercept(v, i) a from s group by k),
+    f as (select k, cast(step as int) step, case when n = 1 then v else a + b * (n - 1 + step) end f, case when n = 1 then 'fallback' else 'ok' end status from l, (select unnest([1, 2]) step) g)
+    select k, step, {sig('f', 7)} forecast, status from f"""
 SQL["future_grid"] = f"""with {SERIES}, l as (select k, max(t) last_t from series group by k)
     select k, step, last_t + to_hours(cast(step as int)) as t from (select k, last_t, unnest(range(1, 25)) step from l)"""
 SQL["forecast_table"] = f"""with recursive {ROWS}, sd as (select k, model, stddev_samp(e) sd from res group by k, model), n as (select k, count(*) n, max(t) last_t from series group by k),
@@ -375,7 +382,8 @@ SQL["forecast_sink"] = f"""with {SERIES}, {SMA7}, n as (select k, count(*) n, ma
         from st join n using (k) join sd using (k), (select unnest(range(1, 25)) step) g)
     select series_id, step, date, {sel('~forecast', '~lower_95', '~upper_95', digits=7)}, 'run-1' as run_id, 'sma' as model from f"""
 SQL["event_sink"] = f"""with {SERIES} select 'run-1' as run_id, 'process_header' as event, '' as k, '' as model, 0::bigint as n
-    union all select 'run-1', 'model_completion', k, 'sma', count(*) - 6 from series group by k"""
+    union all select 'run-1', 'model_completion', k, 'sma', count(*) - 6 from series group by k
+    union all select 'run-1', 'model_error', k, 'holt_hw_add', 0 from series group by k union all select 'run-1', 'exported_files', '', 'sma', 0"""
 
 # --- validation and selection ---------------------------------------------------------------
 
@@ -435,6 +443,11 @@ SQL["rolling_origin_holt"] = f"with recursive {SERIES}, {plan()}, {HOLT_STATES},
 SQL["rolling_origin_hw_add"] = f"with recursive {SERIES}, {plan()}, {hw_states(False)}, {score('hw_states')} {folds_out('holt_hw_add')}"
 SQL["rolling_origin_hw_mul"] = f"with recursive {SERIES}, {plan()}, {hw_states(True)}, {score('hw_states', True)} {folds_out('holt_hw_mul')}"
 SQL["holdout_ses"] = f"with recursive {SERIES}, {plan(HOLD)}, {SES_STATES}, {score('ses_states')} {folds_out('ses')}"
+SQL["holdout_sma"] = f"with {SERIES}, {plan(HOLD)}, {SMA_STATES}, {score('sma_states')} {folds_out('sma')}"
+SQL["holdout_linear"] = f"with {SERIES}, {plan(HOLD)}, {LR_STATES}, {score('lr_states')} {folds_out('lr')}"
+SQL["holdout_holt"] = f"with recursive {SERIES}, {plan(HOLD)}, {HOLT_STATES}, {score('holt_states')} {folds_out('holt')}"
+SQL["holdout_hw_add"] = f"with recursive {SERIES}, {plan(HOLD)}, {hw_states(False)}, {score('hw_states')} {folds_out('holt_hw_add')}"
+SQL["holdout_hw_mul"] = f"with recursive {SERIES}, {plan(HOLD)}, {hw_states(True)}, {score('hw_states', True)} {folds_out('holt_hw_mul')}"
 SQL["grid_tested"] = f"""with {SERIES}, {plan()}, {SMA_STATES}, {score('sma_states')} select k, 'sma' as model, cast(cand as int) as cand,
     {sel('~mean_mse', '~std_mse', '~mean_coverage', digits=6)}, n_folds, n_failed, w::double as "window" from cvs join sw using (cand)"""
 
@@ -455,7 +468,7 @@ _BEST4 = f"{SERIES}, {plan()}, {SMA_STATES}, {LR_STATES}, {SES_STATES}, {HOLT_ST
 _ALL = (f"{_BEST4}, {renamed(hw_states(False), 'wa')}, {renamed(hw_states(True), 'wm')}, {best_of('holt_hw_add', 'wa_states')}, "
         f"{best_of('holt_hw_mul', 'wm_states', True)}, scores as (" + " union all ".join(
             f"select k, model, cand, mean_mse mse, std_mse, {o} o from best_{m}" for o, m in enumerate(("sma", "lr", "ses", "holt", "holt_hw_add", "holt_hw_mul"))) + ")")
-SQL["grid_select"] = f"with recursive {_ALL} select k, model, cand, {sel('~mse', '~std_mse', digits=6).replace(' mse', ' mean_mse')} from scores"
+SQL["grid_select"] = f"with recursive {_ALL} select k, model, cand, {sig('mse', 6)} as mean_mse, {sel('~std_mse', digits=6)} from scores"
 SQL["validation_run"] = f"with recursive {_ALL} select k, model, cand, {sel('~mse', '~std_mse', digits=6)} from scores"
 SQL["select_model"] = f"""with recursive {_ALL}, r as (select *, row_number() over (partition by k order by mse, o) rn from scores)
     select k, model as selected, {sig('mse', 6)} as score, 'mse' as score_metric, 'AIC' as preferred from r where rn = 1"""

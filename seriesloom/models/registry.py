@@ -36,7 +36,10 @@ class ModelRun:
 
 
 def run_model(df: DataFrame, code: str, params: dict | None = None) -> ModelRun:
-    """Fit one model on observed rows.  The moving average uses full windows unless ``partial``."""
+    """Fit one model on observed rows.  The moving average uses full windows unless ``partial``.
+
+    With ``estimate_weights`` simple and Holt smoothing choose their weights for each series by squared error.
+    """
     p = dict(params or {})
     none = F.lit(None)
     season, kind = none.cast("array<double>"), none.cast("string")
@@ -49,9 +52,13 @@ def run_model(df: DataFrame, code: str, params: dict | None = None) -> ModelRun:
         state = simple.linear_state(df).withColumn("params", F.to_json(F.struct("slope", "intercept")))
     elif code in ("ses", "holt"):
         a, b = float(p.get("alpha", smoothing.ALPHA)), float(p.get("beta", smoothing.BETA))
-        states = materialize(smoothing.smoothing_states(df, code, a, b), "states")
-        rows = smoothing.fitted_smoothing(df, code, a, b, states)
-        fit = smoothing.fit_smoothing(df, code, a, b, states)
+        if p.get("estimate_weights"):
+            fit = materialize(smoothing.optimise_smoothing(df, code), "smoothing-fit")
+            rows = smoothing.fitted_smoothing(df, code, weights=fit)
+        else:
+            states = materialize(smoothing.smoothing_states(df, code, a, b), "states")
+            rows = smoothing.fitted_smoothing(df, code, a, b, states)
+            fit = smoothing.fit_smoothing(df, code, a, b, states)
         shown = F.struct("alpha") if code == "ses" else F.struct("alpha", "beta")
         state = fit.withColumn("slope", F.col("trend")).withColumn("params", F.to_json(shown))
     elif code in ("holt_hw_add", "holt_hw_mul"):
@@ -82,9 +89,9 @@ def evaluate(train: DataFrame, code: str, horizon: int = HORIZON, params: dict |
     """Fit on training rows: ``(forecasts, fitted rows with residual e)`` as validation uses them.
 
     The moving average has partial windows of 24 rows by default here, and a missing forecast is
-    replaced by the last value.
+    replaced by the last value. Without parameters, weights are estimated.
     """
-    p = dict(params or {})
+    p = {"estimate_weights": True} if params is None else dict(params)
     if code == "sma":
         p = {"window": simple.SMA_WINDOW_VALIDATION, **p, "partial": True}
     run = run_model(train, code, p)

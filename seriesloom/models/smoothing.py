@@ -241,10 +241,16 @@ def _one_step(y: pd.Series, alpha: pd.Series, beta: pd.Series, level: pd.Series,
     return pd.Series([out[r, :n] for r, n in enumerate(size)])
 
 
-def fitted_smoothing(df: DataFrame, model: str, alpha: float = ALPHA, beta: float = BETA, states: DataFrame | None = None) -> DataFrame:
-    """Observed rows with their one-step forecast ``fitted``."""
+def fitted_smoothing(df: DataFrame, model: str, alpha: float = ALPHA, beta: float = BETA, states: DataFrame | None = None,
+                     weights: DataFrame | None = None) -> DataFrame:
+    """Observed rows with their one-step forecast ``fitted``; ``weights`` gives each series its own ``alpha`` and ``beta``."""
     dim, rows = _dim(model), chunk_rows(df)
     blocks = series_blocks(df, with_time=True)
+    own = F.lit(float(alpha)), F.lit(float(beta) if dim == 2 else 0.0)
+    if weights is not None:
+        blocks = attach(blocks, weights.select("k", F.col("alpha").alias("own_alpha"), F.coalesce("beta", F.lit(0.0)).alias("own_beta")))
+        own = F.col("own_alpha"), F.col("own_beta")
+        states = materialize(affine_states(blocks, dim, rows, F.array(F.array(*own))), "states")
     states = materialize(smoothing_states(df, model, alpha, beta), "states") if states is None else states
     start = _final(states).select("k", F.col("start").alias("x0"))
     e, x0 = F.col("entry"), F.col("x0")
@@ -254,7 +260,7 @@ def fitted_smoothing(df: DataFrame, model: str, alpha: float = ALPHA, beta: floa
         level, trend = e[0] + e[2] * x0[0] + e[3] * x0[1], e[1] + e[4] * x0[0] + e[5] * x0[1]
     entries = states.filter("is_end").join(start, "k").select("k", "chunk", level.alias("l_in"), trend.alias("b_in"))
     run = blocks.join(entries, ["k", "chunk"]).withColumn("fitted", _one_step(
-        F.col("y"), F.lit(float(alpha)), F.lit(float(beta) if dim == 2 else 0.0), F.col("l_in") + F.col("mean"), F.col("b_in")))
+        F.col("y"), *own, F.col("l_in") + F.col("mean"), F.col("b_in")))
     return _rows_of(run, rows)
 
 
@@ -278,30 +284,45 @@ def smoothing_origins(df: DataFrame, model: str, candidates: list[tuple], first:
 
 
 def optimise_ses(df: DataFrame, rounds: int = 6, points: int = 9) -> DataFrame:
-    """SES with the weight chosen by squared error: a coarse search, then finer ones around the best.
+    return optimise_smoothing(df, "ses", rounds, points)
 
-    Each round is one pass in which a series' candidates are an array column; ``converged`` tells
-    whether the last round changed the error by less than one part in a million.
+
+def optimise_smoothing(df: DataFrame, model: str, rounds: int = 6, points: int | None = None) -> DataFrame:
+    """Smoothing weights chosen by squared error: a coarse search, then finer ones around the best.
+
+    Each round is one pass in which a series' candidates are an array column, and every candidate has its own least squares
+    start. The centre is among the next candidates, so the error never rises. A series is ``converged`` and leaves
+    the further rounds once a round changed its error by less than one part in a million.
     """
-    rows = chunk_rows(df)
+    dim, rows = _dim(model), chunk_rows(df)
+    points = points or (9 if dim == 1 else 7)
     blocks = materialize(series_blocks(df), "blocks")
-    params, width = params_column([(j / (points + 1.0), 0.0) for j in range(1, points + 1)]), 1.0 / (points + 1)
-    work, best = blocks, None
+    seconds = points if dim == 2 else 1
+    coarse = [j / (points + 1.0) for j in range(1, points + 1)]
+    params, width = params_column([(a, b) for a in coarse for b in (coarse if dim == 2 else [0.0])]), 1.0 / (points + 1)
+    work, best, done = blocks, None, None
+    first, second = F.floor(F.col("cand") / seconds).cast("int"), F.pmod(F.col("cand"), F.lit(seconds))
     for r in range(rounds):
-        final = _final(affine_states(work, 1, rows, params))
+        final = _final(affine_states(work, dim, rows, params))
         fields = ("cand", "n", "mean", "start", "state", "sse", "resid_mean")
-        picked = final.groupBy("k").agg(F.min_by(F.struct(*fields), F.struct("sse", "cand")).alias("b")).select("k", "b.*")
+        found = final.groupBy("k").agg(F.min_by(F.struct(*fields), F.struct("sse", "cand")).alias("b")).select("k", "b.*")
         if best is None:
-            found = picked.withColumn("alpha", (F.col("cand") + 1) / F.lit(points + 1.0)).withColumn("converged", F.lit(False))
+            found = found.withColumn("alpha", (first + 1) / F.lit(points + 1.0)).withColumn("beta", (second + 1) / F.lit(points + 1.0)).withColumn("converged", F.lit(False))
         else:
-            found = picked.join(best.select("k", F.col("alpha").alias("centre"), F.col("sse").alias("prev")), "k") \
-                .withColumn("alpha", _grid_value(F.col("centre"), F.col("cand"), width, points)) \
-                .withColumn("converged", F.abs(F.col("prev") - F.col("sse")) <= 1e-6 * F.col("prev")).drop("centre", "prev")
-        best = materialize(found, "ses_round")
+            old = best.select("k", F.col("alpha").alias("a0"), F.col("beta").alias("b0"), F.col("sse").alias("prev"))
+            found = found.join(old, "k").withColumn("alpha", _grid_value(F.col("a0"), first, width, points)).withColumn("beta", _grid_value(F.col("b0"), second, width, points)) \
+                .withColumn("converged", F.abs(F.col("prev") - F.col("sse")) <= 1e-6 * F.col("prev")).drop("a0", "b0", "prev")
+        best = materialize(found, "smoothing-round")
+        done = best.filter("converged") if done is None else done.unionByName(best.filter("converged"))
+        best = best.filter("not converged")
+        if best.isEmpty():
+            break
         width = width if r == 0 else width / (points // 2 + 1)
-        work = attach(blocks, best.select("k", F.col("alpha").alias("centre")))
-        params = F.array(*[F.array(_grid_value(F.col("centre"), F.lit(j), width, points), F.lit(0.0)) for j in range(points)])
-    return _flat_fit(best.withColumn("beta", F.lit(None).cast("double")), 1, "converged")
+        work = attach(blocks, best.select("k", F.col("alpha").alias("a0"), F.col("beta").alias("b0")))
+        params = F.array(*[F.array(_grid_value(F.col("a0"), F.lit(i), width, points), _grid_value(F.col("b0"), F.lit(j), width, points) if dim == 2 else F.lit(0.0))
+                           for i in range(points) for j in range(seconds)])
+    chosen = done.unionByName(best)
+    return _flat_fit(chosen if dim == 2 else chosen.withColumn("beta", F.lit(None).cast("double")), dim, "converged")
 
 
 def _grid_value(centre: Column, j: Column, width: float, points: int) -> Column:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Event names.
 EVENTS = ("process_header", "model_completion", "model_error", "exported_files")
-EVENT_SCHEMA = "run_id string, ts timestamp, event string, payload string"
+EVENT_SCHEMA = "run_id string, ts timestamp, event string, payload string, event_key string"
 
 
 def write_forecasts(forecasts: DataFrame, path: str, run_id: str, fmt: str = "csv", mode: str = "append") -> None:
@@ -27,11 +28,16 @@ def write_forecasts(forecasts: DataFrame, path: str, run_id: str, fmt: str = "cs
 
 
 def events(rows: DataFrame, event: str, run_id: str, payload: list[str] | None = None) -> DataFrame:
-    """One event per row of ``rows``, the chosen columns as a JSON payload."""
+    """One event per row of ``rows``, the chosen columns as a JSON payload.
+
+    ``event_key`` is made of the run, the event, and the series and model it is about: what a repeated run has in common with the first.
+    """
     if event not in EVENTS:
         raise ValueError(f"unknown event {event!r}; known: {EVENTS}")
     body = F.to_json(F.struct(*(payload or rows.columns)))
-    return rows.select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("ts"), F.lit(event).alias("event"), body.alias("payload"))
+    about = F.to_json(F.struct(F.lit(run_id).alias("run_id"), F.lit(event).alias("event"), *[c for c in ("k", "model") if c in rows.columns]))
+    return rows.select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("ts"), F.lit(event).alias("event"), body.alias("payload"),
+                       F.sha2(about, 256).alias("event_key"))
 
 
 def completion_events(records: DataFrame, run_id: str) -> DataFrame:
@@ -42,8 +48,19 @@ def completion_events(records: DataFrame, run_id: str) -> DataFrame:
 
 
 def append_events(rows: DataFrame, path: str) -> None:
-    """Append to the event table; earlier events are not touched."""
-    rows.write.mode("append").parquet(path)
+    """Append to the event table, except events that it has already: a run that is tried again leaves one row for each.
+
+    Of equal keys among ``rows`` one is written. Earlier events are not touched.
+    """
+    new = rows.dropDuplicates(["event_key"])
+    try:
+        known = rows.sparkSession.read.schema(EVENT_SCHEMA).parquet(path).select("event_key")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        new = new.join(known, "event_key", "left_anti").select(*rows.columns)
+    new.write.mode("append").parquet(path)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

@@ -49,6 +49,22 @@ def test_event_table_appends(spark, tmp_path):
         sinks.events(rows, "other", "r1")
 
 
+def test_events_of_a_repeated_run_are_written_once(spark, tmp_path):
+    path = str(tmp_path / "events")
+    rows = spark.sql("select 'a' k, 'm' model, 'ok' status, 1d mse union all select 'b', 'm', 'error: short', null union all select null, 'm', 'ok', 2d")
+    again = rows.withColumn("mse", rows["mse"] + 1)  # other figures, the same events
+    for found, run in ((rows, "r1"), (again, "r1"), (rows, "r2"), (rows.withColumn("model", rows["k"]), "r2")):
+        for events in (sinks.header_event(spark, run, {"x": "1"}), sinks.completion_events(found, run), sinks.exported_event(spark, run, "/out", "m")):
+            sinks.append_events(events, path)
+    sinks.append_events(sinks.completion_events(rows, "r3").unionByName(sinks.completion_events(rows, "r3")), path)
+    got = [(r.run_id, r.event) for r in sinks.read_events(spark, path).collect()]
+    count = lambda run: {e: got.count((run, e)) for e in sinks.EVENTS}
+    assert count("r1") == {"process_header": 1, "model_completion": 2, "model_error": 1, "exported_files": 1}
+    assert count("r2") == {"process_header": 1, "model_completion": 4, "model_error": 2, "exported_files": 1}
+    assert count("r3") == {"process_header": 0, "model_completion": 2, "model_error": 1, "exported_files": 0}
+    assert [r.payload for r in sinks.read_events(spark, path).filter("run_id = 'r1' and payload like '%\"k\":\"a\"%'").collect()] == ['{"k":"a","model":"m","status":"ok","mse":1.0}']
+
+
 def test_forecast_files(spark, tmp_path):
     f = spark.sql("select 'a' k, 'sma' model, 1 step, timestamp_ntz'2020-01-01' t, 1d forecast, 0d lower_95, 2d upper_95, 'ok' status")
     sinks.write_forecasts(f, str(tmp_path / "out"), "r1")

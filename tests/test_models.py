@@ -96,6 +96,37 @@ def test_optimised_weight_beats_its_neighbours(series):
     assert best.converged
 
 
+@pytest.mark.parametrize("rows", [40, 1000])
+def test_estimated_weights_of_each_series(series, column, rows):
+    rng = np.random.default_rng(25)
+    data = {"walk": np.cumsum(rng.normal(size=150)) + 50, "noise": 5 + rng.normal(size=150), "bend": np.cumsum(np.cumsum(rng.normal(size=150))), "flat": np.full(20, 3.0)}
+    s = series(data, rows)
+    fit = smoothing.optimise_smoothing(s, "holt").cache()
+    got = {r.k: r for r in fit.collect()}
+    assert set(got) == set(data) and got["flat"].sse == pytest.approx(0, abs=1e-12) and got["flat"].converged
+    for k in ("walk", "noise", "bend"):
+        r = got[k]
+        total, level, trend = _sse(data[k], r.alpha, r.beta, r.level0, r.trend0)
+        assert (r.sse, r.level, r.trend) == pytest.approx((total, level, trend), rel=1e-7)
+        assert (r.alpha > got["noise"].alpha) or k == "noise"
+    for a, b in ((0.2, 0.1), (0.5, 0.05), (0.9, 0.9), (0.05, 0.5)):  # no weights on a wide grid do better
+        assert all(x.sse >= got[x.k].sse * (1 - 1e-9) - 1e-9 for x in smoothing.fit_smoothing(s, "holt", a, b).collect())
+    near = {k: [(r.alpha + d, r.beta + e) for d, e in ((0.02, 0), (-0.02, 0), (0, 0.02), (0, -0.02))] for k, r in got.items()}
+    for j in range(4):
+        a, b = near["walk"][j]
+        if 0 < a < 1 and 0 < b < 1:
+            assert smoothing.fit_smoothing(s, "holt", a, b).filter("k = 'walk'").first().sse >= got["walk"].sse
+    fitted = smoothing.fitted_smoothing(s, "holt", weights=fit)
+    for k in ("walk", "bend"):
+        e = np.array(column(fitted, "v", k)) - np.array(column(fitted, "fitted", k))
+        assert e @ e == pytest.approx(got[k].sse, rel=1e-6)
+    points, _ = registry.evaluate(s, "holt", 3)
+    ends = {r.k: r.forecast for r in points.filter("step = 2").collect()}
+    assert ends["walk"] == pytest.approx(got["walk"].level + 2 * got["walk"].trend)
+    record = {r.k: r for r in registry.model_run(s, "ses", {"estimate_weights": True}, 2)[0].collect()}
+    assert record["walk"].mse * 150 == pytest.approx(smoothing.optimise_ses(s).filter("k = 'walk'").first().sse, rel=1e-6)
+
+
 def _hw(x, m, par, mul):
     a, b, c = par
     level = np.mean(x[:m])
