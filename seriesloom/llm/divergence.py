@@ -35,7 +35,7 @@ from seriesloom.session import materialize
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"  # a run of ASCII letters and other characters beyond ASCII
 SCALE = 1_000_000_000
-BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 16
+BLOCK_BYTES, BLOCK_DOCS = 5 << 20, 1 << 16
 CELLS = 4_000_000
 SIEVE_BITS = 28
 COUNTS = "lang string, source string, chunk string, docs long, n long"
@@ -61,8 +61,10 @@ class Block:
         parts = pc.ascii_split_whitespace(texts)
         words = pc.dictionary_encode(parts.flatten())
         self.kinds = words.dictionary
-        of = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy())
-        cells, self.times = np.unique(words.indices.to_numpy() * np.int64(n) + of, return_counts=True)
+        keys = words.indices.to_numpy() * np.int64(n)
+        keys += np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(parts).to_numpy())
+        del words, parts
+        cells, self.times = np.unique(keys, return_counts=True)
         self.chunk, self.doc = cells // n, cells % n
 
     def by_source(self, sources: pa.Array) -> list[pa.Array]:
