@@ -14,7 +14,7 @@ from seriesloom.operators.layout import ROWS_PER_CHUNK, observed
 from seriesloom.plans import select, validate
 from seriesloom.session import materialize, shared_dir
 from seriesloom.sources import files, sinks
-from seriesloom.sources.panel import irregular_panel, regular_panel, to_long
+from seriesloom.sources.panel import irregular_panel, panel_report, regular_panel, to_long
 
 QUERIES = {}
 _stored: dict[tuple, DataFrame] = {}
@@ -231,8 +231,17 @@ def describe_suppliers(spark, sf_dir):
 
 
 @query
-def quantiles_bracketed(spark, sf_dir):
+def quantiles_radix(spark, sf_dir):
     """The way taken for very long series, on every series here."""
+    from seriesloom.operators.quantiles import radix_quantiles
+
+    q = radix_quantiles(supplier(spark, sf_dir), [0.05, 0.5, 0.95])
+    return rounded(q.select("k", F.col("q")[0].alias("q05"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q95")))
+
+
+@query
+def quantiles_bracketed(spark, sf_dir):
+    """The way in two passes, which relies on a sketch."""
     from seriesloom.operators.quantiles import bracketed_quantiles
 
     q = bracketed_quantiles(supplier(spark, sf_dir), [0.05, 0.5, 0.95], accuracy=200)
@@ -514,6 +523,45 @@ def csv_source(spark, sf_dir):
     return rounded(irregular_panel(back, ties="sum").select("k", "t", "i", "v"))
 
 
+def dirty_csv(spark, sf_dir):
+    """All order lines as CSV with damage: words for numbers, days that are none, empty cells, a field too many or too few."""
+    path = f"{shared_dir(spark)}/dirty-{uuid.uuid4().hex}"
+    line = F.col("l_linenumber")
+    quantity = F.when(line == 2, F.lit("n/a")).when(line == 3, F.lit("")).otherwise(F.col("l_quantity").cast("string"))
+    date = F.when((line == 4) & (F.col("l_orderkey") % 3 == 0), F.lit("someday")).otherwise(F.col("l_shipdate").cast("string"))
+    tax = F.col("l_tax").cast("string")
+    text = F.when(line == 5, F.concat_ws(",", date, quantity, tax, F.lit("more"))).when(line == 6, F.concat_ws(",", date, quantity)).otherwise(F.concat_ws(",", date, quantity, tax))
+    # A text column named like the header line gives each file that line when it is written as CSV without quotes.
+    table(spark, sf_dir, "lineitem").select(text.alias("Date,Quantity,Tax")).write.options(header=True, sep="\x01", quote="", escape="").csv(path)
+    return path
+
+
+def rescued(spark, sf_dir):
+    return files.read_csv_rescued(spark, dirty_csv(spark, sf_dir), "Date timestamp_ntz, Quantity double, Tax double")
+
+
+@query
+def csv_malformed(spark, sf_dir):
+    """Damaged lines and cells by column."""
+    return files.malformed_report(rescued(spark, sf_dir))
+
+
+@query
+def csv_malformed_panel(spark, sf_dir):
+    """What a panel from the damaged file rests on: rows, undated and repeated ones, bad lines and cells."""
+    rows = rescued(spark, sf_dir)
+    good, _ = files.set_aside(rows)
+    return panel_report(to_long(good, ["quantity", "tax"]), rows)
+
+
+@query
+def csv_set_aside(spark, sf_dir):
+    """The rows kept aside, by what is wrong with them."""
+    _, aside = files.set_aside(rescued(spark, sf_dir))
+    return aside.groupBy(F.coalesce(F.array_join(F.map_keys(files.BAD_CELLS), "+"), F.lit("")).alias("bad_columns"), F.col(files.BAD_LINE).isNotNull().alias("bad_line")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(F.array_join(F.map_values(files.BAD_CELLS), "+")).alias("n_texts"))
+
+
 @query
 def forecast_sink(spark, sf_dir):
     """Moving-average forecasts written as CSV by run and model, and read back."""

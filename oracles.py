@@ -99,6 +99,7 @@ SQL["describe_series"] = f"with {SERIES}, {describe('series')} select {_DESC} fr
 SQL["describe_suppliers"] = f"with {SUPPLIER}, {describe('supplier')} select {_DESC} from dm"
 SQL["quantiles_bracketed"] = f"""with {SUPPLIER}, q as (select k, quantile_cont(v, 0.05) q05, quantile_cont(v, 0.5) q50, quantile_cont(v, 0.95) q95 from supplier group by k)
     select {sel('k', '~q05', '~q50', '~q95')} from q"""
+SQL["quantiles_radix"] = SQL["quantiles_bracketed"]
 
 
 def acf(src: str, max_lag: int, x: str = "v", keys: str = "k") -> str:
@@ -376,6 +377,17 @@ SQL["evaluate_models"] = f"""with recursive {_TRAIN}, {ses('train')}, {holt('tra
 SQL["csv_source"] = f"""with l as (select 'quantity' k, l_shipdate t, sum(l_quantity) v from lineitem group by 2
     union all select 'tax', l_shipdate, sum(l_tax) from lineitem group by 2)
     select k, t, row_number() over (partition by k order by t) - 1 as i, {sel('~v')} from l"""
+# Damage to order lines, as the query writes it; lines 5 and 6 have another number of fields.
+DIRTY = """dirty as (select l_linenumber not in (5, 6) whole, l_linenumber = 2 bad_quantity, l_linenumber = 4 and l_orderkey % 3 = 0 bad_date,
+    case when not (l_linenumber = 4 and l_orderkey % 3 = 0) then l_shipdate end t from lineitem)"""
+SQL["csv_malformed"] = f"""with {DIRTY}, c as (select count(*) n_rows, count(*) filter (not whole) n_bad_lines, count(*) filter (whole and bad_date) d, count(*) filter (whole and bad_quantity) q from dirty)
+    select n_rows, n_bad_lines, 'date' as column, d n_bad_cells from c union all select n_rows, n_bad_lines, 'quantity', q from c union all select n_rows, n_bad_lines, 'tax', 0 from c"""
+SQL["csv_malformed_panel"] = f"""with {DIRTY}, o as (select k, t from dirty, (values ('quantity'), ('tax')) s(k) where whole),
+    r as (select coalesce(sum(c - 1), 0)::bigint n_repeated from (select count(*) c from o where t is not null group by k, t)),
+    b as (select count(*) filter (not whole) n_bad_lines, count(*) filter (whole and bad_date) + count(*) filter (whole and bad_quantity) n_bad_cells from dirty)
+    select count(*) n_rows, count(*) filter (t is null) n_without_time, 0::bigint n_without_key, any_value(n_repeated) n_repeated, any_value(n_bad_lines) n_bad_lines, any_value(n_bad_cells) n_bad_cells from o, r, b"""
+SQL["csv_set_aside"] = f"""with {DIRTY} select case when whole and bad_date then 'date' when whole and bad_quantity then 'quantity' else '' end bad_columns, not whole bad_line, count(*) n, 1::bigint n_texts
+    from dirty where not whole or bad_date or bad_quantity group by 1, 2"""
 SQL["forecast_sink"] = f"""with {SERIES}, {SMA7}, n as (select k, count(*) n, max(t) last_t from series group by k), sd as (select k, stddev_samp(v - fitted) sd from sma group by k),
     st as (select s.k, avg(v) l from series s join n using (k) where i >= n - 7 group by s.k),
     f as (select st.k series_id, cast(step as int) step, last_t + to_hours(cast(step as int)) date, l forecast, l - 1.96 * sd lower_95, l + 1.96 * sd upper_95

@@ -12,14 +12,34 @@ from pyspark.sql.types import ArrayType, DoubleType
 from .layout import with_halo, with_totals
 
 
+# Up to this many lags one dot product for each is cheaper than three transforms.
+DIRECT_LAGS = 64
+
+
+def direct_products(x: np.ndarray, lead: int, lags: int) -> np.ndarray:
+    """Sum of x(i)·x(i-j) over the rows from ``lead`` on, for j = 0..lags, one dot product for each lag."""
+    return np.array([float(x[max(lead, j):] @ x[max(lead, j) - j: len(x) - j]) if j < len(x) else 0.0 for j in range(lags + 1)])
+
+
+def transformed_products(x: np.ndarray, lead: int, lags: int) -> np.ndarray:
+    """The same by fast Fourier transform, at a cost that hardly depends on the number of lags.
+
+    The rows before ``lead`` are zeroed in one of the two factors; padding by ``lags`` keeps the
+    circular correlation from wrapping round.
+    """
+    size = 1 << (len(x) + lags - 1).bit_length()
+    own = np.where(np.arange(len(x)) < lead, 0.0, x)
+    return np.fft.irfft(np.fft.rfft(own, size) * np.conj(np.fft.rfft(x, size)), size)[: lags + 1]
+
+
 @pandas_udf(ArrayType(DoubleType()))
 def _chunk_products(c: pd.Series, lead: pd.Series, max_lag: pd.Series) -> pd.Series:
     """Products summed over the own rows of a chunk; ``lead`` rows before them serve as lags."""
 
     def sums(x, h, lags):
-        return [float(x[max(h, j):] @ x[max(h, j) - j: len(x) - j]) if j < len(x) else 0.0 for j in range(lags + 1)]
+        return (direct_products if min(lags, len(x)) <= DIRECT_LAGS else transformed_products)(x, h, lags)
 
-    return pd.Series([sums(np.asarray(x), int(h), int(m)) for x, h, m in zip(c, lead, max_lag)])
+    return pd.Series([sums(np.asarray(x, float), int(h), int(m)) for x, h, m in zip(c, lead, max_lag)])
 
 
 def lag_products(df: DataFrame, max_lag: int, col: str = "v", keys: tuple = ("k",)) -> DataFrame:

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, LongType
 
+from ..session import materialize
 from .layout import attach
 
 # A series with up to this many values is handled by one aggregation buffer.
 BUFFER_ROWS = 5_000_000
 SKETCH_ACCURACY = 10_000
 SLICES = 1024
+# Radix selection reads a double as 64 / DIGIT_BITS digits; a histogram has at most 2 ** DIGIT_BITS rows.
+DIGIT_BITS = 16
 
 
 def longest_series(df: DataFrame, keys: tuple = ("k",), col: str = "v") -> int:
@@ -21,11 +28,11 @@ def longest_series(df: DataFrame, keys: tuple = ("k",), col: str = "v") -> int:
 
 
 def series_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k",),
-                     longest: int | None = None, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+                     longest: int | None = None) -> DataFrame:
     """``(keys, q ARRAY<DOUBLE>)`` with linear interpolation between order statistics.
 
     Each series takes its own way: ``percentile`` keeps a value table, which is fine up to
-    ``BUFFER_ROWS``; beyond, a sketch brackets each rank and only the bracketed rows are ranked.
+    ``BUFFER_ROWS``; beyond, the ranks are found digit by digit (``radix_quantiles``).
     Both are exact and both keep a series without values, with NULL, so the length of one series
     does not touch the result of another.  ``longest`` is the caller's bound: up to ``BUFFER_ROWS``
     nothing is counted; above it, every series goes the long way.
@@ -36,17 +43,80 @@ def series_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k",),
         return rows.groupBy(*keys).agg(F.percentile(col, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
 
     if longest is not None and longest > BUFFER_ROWS:
-        return bracketed_quantiles(df, probs, col, keys, accuracy)
+        return radix_quantiles(df, probs, col, keys)
     if (longest_series(df, keys, col) if longest is None else longest) <= BUFFER_ROWS:
         return short(df)
     sizes = df.groupBy(*keys).agg((F.count(col) > BUFFER_ROWS).alias("_long"))
     sized = attach(df, sizes, keys)
-    return short(sized.filter(~F.col("_long"))).unionByName(bracketed_quantiles(sized.filter("_long").drop("_long"), probs, col, keys, accuracy))
+    return short(sized.filter(~F.col("_long"))).unionByName(radix_quantiles(sized.filter("_long").drop("_long"), probs, col, keys))
+
+
+@pandas_udf(LongType())
+def ordered_bits(x: pd.Series) -> pd.Series:
+    """The bits of a double as a long whose order is that of the doubles (NaN last); both zeros are one."""
+    bits = np.where(np.isnan(x), np.nan, x.to_numpy(float) + 0.0).view(np.int64)
+    return pd.Series(np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits))
+
+
+@pandas_udf(DoubleType())
+def from_ordered_bits(b: pd.Series) -> pd.Series:
+    bits = b.to_numpy(np.int64)
+    return pd.Series(np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits).view(np.float64))
+
+
+def radix_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k",)) -> DataFrame:
+    """Exact quantiles by radix selection on the ordered bits of the values, all series at once.
+
+    Each round counts one digit of the values that share the digits found so far, and running totals
+    over these counts (at most 65,536 rows for a series and wanted rank) give the next digit. After
+    the last round the digits are the value itself. Four rounds read the rows, whatever the values
+    are: ties, outliers and all-equal series need no bracket and nothing can be missed. ``df`` has a
+    ``chunk``; counts are combined on the map side, so a hot series shuffles its histogram only.
+    The wanted ranks (two for each probability and series) are stored between rounds. A series
+    without values has NULL.
+    """
+    probs, keys = [float(p) for p in probs], list(keys)
+    values = df.filter(F.col(col).isNotNull()).select(*keys, "chunk", ordered_bits(F.col(col).cast("double")).alias("bits"))
+
+    def digit(round_: int) -> Column:
+        down = F.shiftright("bits", 64 - DIGIT_BITS * (round_ + 1))  # signed, so the first digit keeps the order
+        return (down if round_ == 0 else F.pmod(down, F.lit(1 << DIGIT_BITS))).cast("long").alias("digit")
+
+    def picked(counts: DataFrame, wanted: DataFrame | None) -> DataFrame:
+        """The digit of each wanted rank, and the rank among the values that share it."""
+        group = [*keys, "prefix"]
+        running = counts.withColumn("end", F.sum("c").over(Window.partitionBy(*group).orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)))
+        if wanted is None:
+            n = F.sum("c").over(Window.partitionBy(*group))
+            ranks = F.array(*[F.struct(F.lit(j).alias("j"), up.alias("up"), rank.cast("long").alias("rank"), h.alias("h")) for j, p in enumerate(probs)
+                              for h in [F.lit(p) * (F.col("n") - 1)] for up, rank in ((F.lit(0), F.floor(h)), (F.lit(1), F.ceil(h)))])
+            met = running.withColumn("n", n).select(*group, "digit", "c", "end", F.inline(F.filter(ranks, lambda r: (r["rank"] < F.col("end")) & (r["rank"] >= F.col("end") - F.col("c")))))
+        else:
+            met = running.join(wanted, group).filter((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("c")))
+        return met.select(*keys, "j", "up", "h", (F.col("rank") - F.col("end") + F.col("c")).alias("rank"),
+                          (F.col("prefix") * (1 << DIGIT_BITS) + F.col("digit")).alias("prefix"))
+
+    first = values.groupBy(*keys, digit(0)).agg(F.count(F.lit(1)).alias("c")).withColumn("prefix", F.lit(0).cast("long"))
+    wanted = materialize(picked(first, None), "ranks")
+    for round_ in range(1, 64 // DIGIT_BITS):
+        sought = wanted.groupBy(*keys).agg(F.collect_set("prefix").alias("sought"))  # two numbers for each probability at most
+        own = F.shiftright("bits", 64 - DIGIT_BITS * round_).alias("prefix")
+        counts = attach(values, sought, keys).filter(F.array_contains("sought", F.shiftright("bits", 64 - DIGIT_BITS * round_))).groupBy(
+            *keys, own, digit(round_)).agg(F.count(F.lit(1)).alias("c"))
+        wanted = materialize(picked(counts, wanted), "ranks")
+    x = wanted.withColumn("x", from_ordered_bits("prefix")).groupBy(*keys, "j", "h").agg(
+        F.max(F.when(F.col("up") == 0, F.col("x"))).alias("lo"), F.max(F.when(F.col("up") == 1, F.col("x"))).alias("hi"))
+    part = F.col("h") - F.floor("h")
+    point = F.when(part == 0, F.col("lo")).otherwise(F.col("lo") + part * (F.col("hi") - F.col("lo")))
+    found = x.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("j", point.alias("q")))).alias("p")).select(
+        *keys, F.transform("p", lambda p: p["q"]).alias("q"))
+    none = F.array(*[F.lit(None).cast("double")] * len(probs))
+    return df.select(*keys).distinct().join(found, keys, "left").select(*keys, F.coalesce("q", none).alias("q"))
 
 
 def bracketed_quantiles(df: DataFrame, probs, col: str = "v", keys: tuple = ("k",),
                         accuracy: int = SKETCH_ACCURACY) -> DataFrame:
-    """Exact quantiles whose work per task stays bounded.
+    """Exact quantiles in two passes over the rows, where the sketch holds every rank.
 
     1. One mergeable sketch per series gives a low and a high value around every wanted rank.
     2. Rows below the low value are only counted; rows inside are counted per distinct value.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import clean_double
 from ..operators.layout import ROWS_PER_CHUNK, index_series, tag_chunk
 from ..session import materialize
+from .files import malformed_report
 
 
 def to_long(df: DataFrame, columns: list[str], time_col: str = "date") -> DataFrame:
@@ -26,11 +27,20 @@ def _named(obs: DataFrame) -> DataFrame:
     return obs.filter(F.col("t").isNotNull()).select(k.alias("k"), "t", "v")
 
 
-def panel_report(obs: DataFrame) -> DataFrame:
-    """One row: rows read, rows without a time (which panels leave out), without a key, and beyond the first of their time."""
+def panel_report(obs: DataFrame, rescued: DataFrame | None = None) -> DataFrame:
+    """One row: rows read, rows without a time (which panels leave out), without a key, and beyond the first of their time.
+
+    With the rows of ``read_csv_rescued`` that ``obs`` comes from, also their bad lines and bad cells.
+    """
     repeated = obs.filter(F.col("t").isNotNull()).groupBy("k", "t").count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n_repeated"))
     counts = obs.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("t").isNull()).alias("n_without_time"), F.count_if(F.col("k").isNull()).alias("n_without_key"))
-    return counts.withColumn("one", F.lit(1)).join(repeated.withColumn("one", F.lit(1)), "one").drop("one")
+    parts = [repeated]
+    if rescued is not None:
+        parts.append(malformed_report(rescued).agg(F.max("n_bad_lines").alias("n_bad_lines"), F.sum("n_bad_cells").alias("n_bad_cells")))
+    out = counts.withColumn("one", F.lit(1))
+    for part in parts:  # one row each
+        out = out.join(part.withColumn("one", F.lit(1)), "one")
+    return out.drop("one")
 
 
 def irregular_panel(obs: DataFrame, rows: int = ROWS_PER_CHUNK, ties: str = "keep") -> DataFrame:

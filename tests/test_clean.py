@@ -114,7 +114,7 @@ def test_both_quantile_ways_keep_every_series(series):
     data = {"null": [None] * 5, "one": [3.0], "flat": [2.0] * 9, "long": [float(i * i % 101) for i in range(300)]}
     df = series(data, 16)
     short = {r.k: r.q for r in series_quantiles(df, [0.1, 0.5, 0.9]).collect()}
-    long = {r.k: r.q for r in series_quantiles(df, [0.1, 0.5, 0.9], longest=10**9, accuracy=200).collect()}
+    long = {r.k: r.q for r in series_quantiles(df, [0.1, 0.5, 0.9], longest=10**9).collect()}
     clear = lambda d: {k: None if q is None or q[0] is None else [round(x, 9) for x in q] for k, q in d.items()}
     assert clear(short) == clear(long) and set(short) == set(data)
 

@@ -5,12 +5,13 @@ import pytest
 import __spark_entry__ as entry
 from seriesloom.session import materialize, shared_dir
 from seriesloom.sources import files, sinks
+from seriesloom.sources.panel import panel_report
 
 
 def test_names_and_registration():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     without = {q for q in set(entry.queries()) - set(entry.oracle_sql()) if not re.match(r"op\d+_|pipeline$", q)}
-    assert without == {"ses_optimised", "holt_winters_additive_fit", "holt_winters_multiplicative_fit", "model_runs"}
+    assert without == {"ses_optimised", "holt_optimised", "evaluate_estimated", "holt_winters_additive_fit", "holt_winters_multiplicative_fit", "model_runs"}
 
 
 def test_entry_runs(spark):
@@ -32,6 +33,27 @@ def test_csv_contract(spark, tmp_path):
         files.read_csv(spark, str(bad))
 
 
+def test_malformed_rows_are_kept_aside(spark, tmp_path):
+    path = tmp_path / "dirty.csv"
+    path.write_text("Date,X,Y\n2020-01-01 00:00:00,1.5,7\n2020-01-01 01:00:00,n/a,8\nsomeday,x,9.5\n2020-01-01 02:00:00,,\n2020-01-01 03:00:00,4\n2020-01-01 04:00:00,5,6,7\n")
+    df = files.read_csv_rescued(spark, str(path), "Date timestamp_ntz, X double, Y int")
+    good, aside = files.set_aside(df)
+    assert good.dtypes == [("date", "timestamp_ntz"), ("x", "double"), ("y", "int")]
+    assert [(r.x, r.y) for r in good.collect()] == [(1.5, 7), (None, 8), (None, None), (None, None)]
+    assert sorted((sorted(r.bad_cells.items()), r.bad_line) for r in aside.collect() if r.bad_line is None) == [
+        ([("date", "someday"), ("x", "x"), ("y", "9.5")], None), ([("x", "n/a")], None)]
+    assert sorted(r.bad_line for r in aside.collect() if r.bad_line) == ["2020-01-01 03:00:00,4", "2020-01-01 04:00:00,5,6,7"]
+    assert {(r.column, r.n_bad_cells) for r in files.malformed_report(df).collect()} == {("date", 1), ("x", 2), ("y", 1)}
+    report = panel_report(files.series_from_wide(good), df).first()
+    assert (report.n_rows, report.n_bad_lines, report.n_bad_cells) == (6, 2, 4)
+    empty = tmp_path / "empty.csv"
+    empty.write_text("Date,X\n")
+    none = files.read_csv_rescued(spark, str(empty), "Date string, X double")
+    assert [(r.n_rows, r.n_bad_lines, r.n_bad_cells) for r in files.malformed_report(none).collect()] == [(0, 0, 0)] * 2
+    with pytest.raises(ValueError, match="bad_line"):
+        files.read_csv_rescued(spark, str(empty), "Date string, Bad_Line string")
+
+
 def test_nan_becomes_null(spark):
     wide = spark.sql("select '2020-01-01 00:00:00' date, double('NaN') x union all select '2020-01-02 00:00:00', 1d")
     assert sorted(r.v is None for r in files.series_from_wide(wide).collect()) == [False, True]

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.special import chi2_tail, normal_cdf, t_two_sided
 from seriesloom.operators import describe, lags, season, stationarity, trend
-from seriesloom.operators.quantiles import bracketed_quantiles, series_quantiles
+from seriesloom.operators import lags as lags_of  # where ``lags`` is a parameter
+from seriesloom.operators.quantiles import bracketed_quantiles, radix_quantiles, series_quantiles
 
 
 def test_tails(spark):
@@ -55,6 +56,40 @@ def test_bracketed_quantiles_are_exact(series, accuracy):
         assert short[k] == pytest.approx(got[k], rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("rows", [16, 1000])
+def test_radix_quantiles_need_no_bracket(series, rows):
+    """Ties, outliers, both signs, neighbouring doubles, subnormal and huge values: all exact."""
+    rng = np.random.default_rng(5)
+    near = 1.0 + np.arange(200) * np.finfo(float).eps
+    data = {"cont": rng.normal(size=301), "same": np.full(90, -7.5), "near": rng.permutation(np.concatenate([near, -near])),
+            "wide": np.concatenate([rng.standard_cauchy(100), [1e300, -1e300, 5e-324, -5e-324, 0.0, -0.0]]),
+            "ties": rng.integers(-2, 2, 250).astype(float), "one": np.array([3.0]), "two": np.array([-1.0, 2.0])}
+    probs = [0.0, 0.013, 0.25, 0.5, 0.75, 0.99, 1.0]
+    df = series({k: [None, *v] for k, v in data.items()} | {"empty": [None, None]}, rows)
+    got = {r.k: r.q for r in radix_quantiles(df, probs).collect()}
+    assert got.keys() == data.keys() | {"empty"} and got["empty"] == [None] * len(probs)
+    for k, v in data.items():
+        assert got[k] == pytest.approx(list(np.quantile(v, probs)), rel=1e-15, abs=0)
+    assert {r.k: r.q for r in series_quantiles(df, probs, longest=10**9).collect()} == got
+    assert radix_quantiles(df.limit(0), probs).collect() == []
+
+
+@pytest.mark.parametrize("lead,lags", [(0, 300), (17, 90), (40, 400), (250, 100)])
+def test_transformed_products_equal_dot_products(lead, lags):
+    x = np.random.default_rng(6).normal(size=250).cumsum()
+    direct = lags_of.direct_products(x, lead, lags)
+    assert lags_of.transformed_products(x, lead, lags) == pytest.approx(direct, abs=1e-12 * (x @ x))
+
+
+def test_many_lags_across_chunks(series):
+    x = np.random.default_rng(7).normal(size=700).cumsum()
+    c = x - x.mean()
+    want = [c[j:] @ c[: len(c) - j] / (c @ c) for j in range(181)]
+    for rows in (50, 1000):
+        got = [r.acf for r in lags.autocorrelation(series({"a": x}, rows), 180).orderBy("lag").collect()]
+        assert got == pytest.approx(want, abs=1e-11)
+
+
 @pytest.mark.parametrize("rows", [30, 1000])
 def test_autocorrelations(series, rows):
     x = np.cumsum(np.random.default_rng(4).normal(size=200))
