@@ -43,12 +43,14 @@ SQL["op7_risk_controlled_rules"] = f"""with
     judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed, case when n_words <= 200 then 0 when n_words <= 1000 then 1 else 2 end stratum from counted),
     levels as ({" union all ".join(f"select row, doc_id, stratum, base_failed, '{r}' rule, {_level(o, u)} lev from judged" for r, (o, u) in _RULES.items())}),
     truth as (select doc_id, min(quality) q from labels where quality is not null group by doc_id),
-    seen as (select stratum, rule, lev, count(*) filter (q = 1) good, count(*) filter (q <> 1) bad from levels join truth using (doc_id) where not base_failed group by 1, 2, 3),
+    ids as (select doc_id, min(stratum) stratum from judged where not base_failed and doc_id is not null group by doc_id),
+    most as (select doc_id, rule, max(lev) lev from levels where not base_failed group by 1, 2),
+    seen as (select stratum, rule, lev, count(*) filter (q = 1) good, count(*) filter (q <> 1) bad from most join ids using (doc_id) join truth using (doc_id) group by 1, 2, 3),
     cuts as (select s.stratum, s.rule, c.cut::int cut, sum(good) n, coalesce(sum(good) filter (lev >= cut), 0) k, coalesce(sum(bad) filter (lev >= cut), 0) hits
              from seen s, range(1, 41) c(cut) group by all),
-    tails as (select c.stratum, c.rule, c.cut, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99))) p
-              from cuts c, range(0, 2000) t(i) where i <= k and k < 0.01 * n group by all),
-    passed as (select c.*, bool_and(n > 0 and k < 0.01 * n and coalesce(p, 1) <= 0.05 / 12) over (partition by c.stratum, c.rule order by c.cut desc) ok
+    tails as (select c.stratum, c.rule, c.cut, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.0025) + (n - i) * ln(0.9975))) p
+              from cuts c, range(0, 2000) t(i) where i <= k and k < 0.0025 * n group by all),
+    passed as (select c.*, bool_and(n > 0 and k < 0.0025 * n and coalesce(p, 1) <= 0.05 / 12) over (partition by c.stratum, c.rule order by c.cut desc) ok
                from cuts c left join tails t on t.stratum = c.stratum and t.rule = c.rule and t.cut = c.cut),
     chosen as (select stratum, rule, cut from passed where ok and hits - 10 * k > 0 qualify row_number() over (partition by stratum, rule order by hits - 10 * k desc, cut desc) = 1),
     broken as (select row, list(l.rule order by l.rule) rules from levels l join chosen c on c.stratum = l.stratum and c.rule = l.rule and l.lev >= c.cut group by row)

@@ -2,16 +2,18 @@
 
 Each rule is a ratio of a text, and a text breaks it if the ratio is above a cutoff. Cutoffs are
 chosen per stratum (band of text lengths) from labelled documents by fixed-sequence testing: from
-the loosest cutoff of a fixed grid to the strictest, "more than ``risk`` of the good documents are
-rejected" is tested by its exact binomial probability, and the first test that fails ends the
-sequence. That keeps the error of one rule in one stratum at the level spent on it; the level is
-divided by the number of rules and strata (Bonferroni), so with probability ``1 - error`` every
-chosen cutoff holds at once. Among the cutoffs that passed, the one with the best balance of bad
+the loosest cutoff of a fixed grid to the strictest, "more than its share of ``risk`` of the good
+documents are rejected" is tested by its exact binomial probability, and the first test that fails
+ends the sequence. That keeps the error of one rule in one stratum at the level spent on it; the
+level is divided by the number of rules and strata (Bonferroni), so with probability ``1 - error``
+every chosen cutoff holds at once. The risk itself is divided by the number of rules, so all rules
+together reject at most ``risk`` of the good documents of a stratum. Among the cutoffs that passed, the one with the best balance of bad
 documents rejected against good ones is taken, or none if none pays.
 
 Defined cases: a null or empty text has no word and fails the base rules. Ratios of a text without
-words are 0. Repeated rows are judged each for itself; labels that contradict each other count as
-bad. Without (enough) labels nothing is certified, and only the base rules reject.
+words are 0. Repeated rows are judged each for itself, but a labelled id is one trial of a rule, with
+the highest ratio among its rows, in the lowest stratum that they have; otherwise copies of one good document
+would prove a cutoff. Labels that contradict each other count as bad. Without (enough) labels nothing is certified, and only the base rules reject.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ STEPS = 40
 
 @dataclass(frozen=True)
 class Guarantee:
-    """At most ``risk`` of good documents break a rule in a stratum, all at once with probability 1 - ``error``."""
+    """At most ``risk`` of the good documents of a stratum break any rule, in all strata at once with probability 1 - ``error``."""
 
     risk: float = 0.01
     error: float = 0.05
@@ -140,14 +142,14 @@ def tail(k: int, n: int, p: float) -> float:
 
 def choose(counts: dict[tuple[int, str], tuple[np.ndarray, np.ndarray]], g: Guarantee) -> dict[tuple[int, str], int]:
     """The chosen grid cutoff of each (stratum, rule). ``counts``: good and bad labelled texts by level (0 to ``STEPS``)."""
-    spent = g.error / (len(RULES) * (len(g.bands) + 1))
+    spent, risk = g.error / (len(RULES) * (len(g.bands) + 1)), g.risk / len(RULES)
     out = {}
     for key, (good, bad) in counts.items():
         n = int(good.sum())
         best = None
         for cut in range(STEPS, 0, -1):  # a text breaks cutoff ``cut`` if its level is at least ``cut``
             k, hits = int(good[cut:].sum()), int(bad[cut:].sum())
-            if not n or k >= g.risk * n or tail(k, n, g.risk) > spent:
+            if not n or k >= risk * n or tail(k, n, risk) > spent:
                 break
             gain = hits - g.price * k
             if gain > 0 and (best is None or gain > best[0]):
@@ -160,13 +162,14 @@ def choose(counts: dict[tuple[int, str], tuple[np.ndarray, np.ndarray]], g: Guar
 def calibrate(counted: DataFrame, labels: DataFrame, g: Guarantee = Guarantee()) -> dict[tuple[int, str], int]:
     """Cutoffs from the labelled rows of ``counted`` (doc_id and counts); ``labels``: doc_id, quality.
 
-    Documents that fail the base rules take no part. What comes to the driver is a count for each
+    Rows that fail the base rules take no part, and a doc_id counts once, however many rows it has. What comes to the driver is a count for each
     stratum, rule, level and label: at most (strata * rules * 41 * 2) rows.
     """
     truth = labels.filter(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("_quality"))
-    levels = F.array(*[F.struct(F.lit(r).alias("rule"), level(r).alias("level")) for r in RULES])
-    rows = (counted.filter(~base_failed()).select("doc_id", stratum(g.bands).alias("stratum"), levels.alias("levels")).join(truth, "doc_id")
-            .select("stratum", (F.col("_quality") == 1).alias("good"), F.inline("levels"))
+    # One row for each id before the join, combined on the map side: an id with a third of all rows is one row then.
+    once = counted.filter(~base_failed() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(stratum(g.bands)).alias("stratum"), *[F.max(level(r)).alias(r) for r in RULES])
+    levels = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("level")) for r in RULES])
+    rows = (once.join(truth, "doc_id").select("stratum", (F.col("_quality") == 1).alias("good"), F.inline(levels))
             .groupBy("stratum", "rule", "level", "good").count().collect())
     counts = {(s, r): (np.zeros(STEPS + 1, int), np.zeros(STEPS + 1, int)) for s in range(len(g.bands) + 1) for r in RULES}
     for row in rows:

@@ -37,7 +37,7 @@ def test_tail_is_the_binomial_sum():
 def test_cutoffs_hold_and_need_enough_labels():
     g = rules.Guarantee()
     good, bad = np.zeros(41, int), np.zeros(41, int)
-    good[0], good[2], bad[30] = 5000, 100, 80
+    good[0], good[2], bad[30] = 8000, 100, 80
     none = {(s, r): (np.zeros(41, int), np.zeros(41, int)) for s in range(3) for r in rules.RULES}
     chosen = rules.choose(none | {(0, "symbols"): (good, bad)}, g)
     assert set(chosen) == {(0, "symbols")} and 2 < chosen[0, "symbols"] <= 30
@@ -57,6 +57,37 @@ def test_guarantee_over_random_labels():
     assert wrong <= 5
 
 
+def test_copies_of_one_document_prove_nothing(docs_of, labels_of):
+    """A labelled id is one trial, in its lowest stratum and at its highest levels, however many rows it has."""
+    docs = [(1, make_text(1, 60))] * 3000 + [(2, " ".join(w + " #" for w in make_text(2, 60).split()))] * 300 + [(3, make_text(3, 300)), (3, make_text(3, 80) + " #" * 20)]
+    labels = labels_of([(1, 1, 0), (2, 0, 0), (3, 1, 0)])
+    counted = rules.text_counts(docs_of(docs), ["doc_id"])
+    assert rules.calibrate(counted, labels, rules.Guarantee(price=0.0)) == {}
+    seen = {}
+    original = rules.choose
+    try:
+        rules.choose = lambda counts, g: seen.update(counts) or {}
+        rules.calibrate(counted, labels)
+    finally:
+        rules.choose = original
+    assert sum(int(good.sum()) for (s, r), (good, _) in seen.items() if r == "symbols") == 2
+    assert sum(int(bad.sum()) for (s, r), (_, bad) in seen.items() if r == "symbols") == 1
+    assert seen[0, "symbols"][0][1:].sum() == 1  # id 3 by its shorter row, with the symbols of that row
+
+
+def test_all_rules_together_keep_the_risk():
+    """Four rules that each reject other good documents: their sum stays within the risk."""
+    g = rules.Guarantee(price=0.0)
+    r = np.random.default_rng(2)
+    over = 0
+    for _ in range(100):
+        rates = {rule: 0.004 for rule in rules.RULES}  # 1.6% in all, each below 1%
+        counts = {(0, rule): (np.bincount(np.where(r.random(20000) < p, 20, 0), minlength=41), np.bincount([25] * 300, minlength=41)) for rule, p in rates.items()}
+        chosen = rules.choose(counts, g)
+        over += sum(rates[rule] for (_, rule), cut in chosen.items() if cut <= 20) > g.risk
+    assert over <= 5
+
+
 def test_bad_documents_fall_and_good_ones_stay(docs_of, labels_of):
     docs = [(i, make_text(i, 60) if i % 6 else " ".join(w + " #" for w in make_text(i, 60).split())) for i in range(6000)]
     labels = [(i, int(i % 6 != 0), 0) for i in range(6000)] + [(None, 1, 0), (1, None, None)]
