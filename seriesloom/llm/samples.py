@@ -13,7 +13,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, allowed: Colu
     pick does not depend on partitions; contradicting labels are combined by ``fold``. The picked
     ids (a bounded table) are broadcast, so texts are never shuffled. With ``total``, texts of any
     length come whole, and the order ends before ``most_bytes`` bytes of all texts are passed (only a
-    single text over ``most_bytes`` is left out).
+    single text over ``most_bytes`` is left out). Where an id has several texts, the one of the least hash counts.
     """
     truth = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & allowed)
     truth = truth.groupBy("doc_id").agg(fold("y").alias("y")).withColumn("h", F.xxhash64(F.lit(label), "doc_id")).orderBy("h", "doc_id").limit(most_docs)
@@ -27,7 +27,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, allowed: Colu
                 truth = truth.filter((F.col("h") < last[0]) | ((F.col("h") == last[0]) & (F.col("doc_id") <= last[1])))
                 break
             last = h, doc_id
-    rows = texts.join(F.broadcast(truth), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "y")
+    least = F.min_by(F.struct("text", "y"), F.struct(F.xxhash64("text"), "text")).alias("one")
+    rows = texts.join(F.broadcast(truth), "doc_id").groupBy("doc_id").agg(least).select("doc_id", "one.text", "one.y")
     found = rows.toArrow()
     out = list(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), found.column(2).to_pylist()))
     return sorted(out)

@@ -84,7 +84,7 @@ def shard(docs: DataFrame, shards: int = 8, ranges: int = 512, rows_in_range: in
     # Within a part, rows are ordered by key; equal texts share the place of the first of them.
     order = W.partitionBy("range", "sub").orderBy("h", "tie", "size", "text_crc32")
     inside = F.coalesce(F.sum("size").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    text_start = F.min("inside").over(W.partitionBy("range", "sub").orderBy("h"))
+    text_start = F.min("inside").over(W.partitionBy("range", "sub", "h"))
     placed = parted.withColumn("inside", inside).withColumn("at", F.when(F.col("whole"), text_start).otherwise(F.col("inside")))
     placed = placed.join(F.broadcast(starts), ["range", "sub"])
     placed = placed.withColumn("shard", F.least(F.floor((F.col("start") + F.col("at")).cast("double") * shards / max(total, 1)), F.lit(shards - 1)).cast("int"))

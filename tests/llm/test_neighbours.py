@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesloom.llm import neighbours
+from seriesloom.llm.samples import labelled_texts
 from tests.llm.conftest import make_text
 
 
@@ -45,3 +46,11 @@ def test_votes_by_brute_force():
 def test_no_rows_and_no_labels(docs_of, labels_of):
     assert neighbours.classify(docs_of([]), labels_of([]), F.lit(True)).collect() == []
     assert [r["score"] for r in neighbours.classify(docs_of([(1, "a b"), (None, None)]), labels_of([(1, None, 1)]), F.lit(True)).collect()] == [0.5, 0.5]
+
+
+def test_the_sample_does_not_depend_on_partitions(docs_of, labels_of):
+    """An id with several texts gives the same one however rows are dealt."""
+    rows = [(i % 20, make_text(i, 12)) for i in range(200)] + [(3, None), (4, "")]
+    labels = labels_of([(i, i % 2, 0) for i in range(20)])
+    found = [labelled_texts(docs_of(rows).repartition(n), labels, "quality", F.lit(True), 100, 10_000, total=total) for n in (1, 3, 7) for total in (False, True)]
+    assert len(found[0]) == 20 and all(f == found[0] for f in found)

@@ -31,6 +31,17 @@ def test_shards_are_even(docs_of):
     assert Counter(out) == Counter(sharding.shard(docs_of(rows).repartition(5)).collect())
 
 
+def test_a_part_reaches_into_several_shards(docs_of):
+    """With two ranges for eight shards, rows are placed by their own start, and equal texts by the first of them."""
+    rows = [(i, make_text(i, 5 + i % 50), "a") for i in range(1200)] + [(3000 + i, make_text(i % 40, 30) + " twice", "a") for i in range(80)]
+    out = sharding.shard(docs_of(rows), ranges=2).collect()
+    check(out, rows, slack=0.05)
+    where = defaultdict(set)
+    for r in out:
+        where[r["text_crc32"]].add(r["shard"])
+    assert all(len(s) == 1 for s in where.values())
+
+
 def test_odd_rows(docs_of, odd_rows):
     check(sharding.shard(docs_of(odd_rows)).collect(), odd_rows, slack=8)
     assert sharding.shard(docs_of([])).collect() == []
