@@ -1,12 +1,19 @@
 """Nearest neighbours by inner product with collision-counting hashing.
 
 Every hash is one projection, kept as a sorted array. A query opens a window around its own
-projection in each array and widens all of them step by step (virtual rehashing: wider buckets from
-the same arrays); a vector's collisions are the windows it lies in. Vectors that reach the collision
-threshold are candidates: their inner products are computed at once, exactly, in double precision, on
-the original vectors. Widening stops only when the k-th best product beats a bound for all vectors that
-are not candidates yet: one nearer than the bound's distance would have reached the threshold but for
-a chance of ``Settings.miss`` (of 0 below 16 dimensions, where squared projections are summed instead).
+projection in each array and widens all of them (virtual rehashing: wider buckets from the same
+arrays); a vector's collisions are the windows it lies in. They are counted from the inside or from
+the outside of the windows, whichever holds fewer entries. Vectors that reach the collision threshold
+are candidates, and only their inner products are computed: in double precision, on the original
+vectors. Windows are widened to the k-th nearest distance found so far, divided by ``reach``; there
+the search of a query ends.
+
+``reach`` is calibrated for each band: at most ``Settings.sample`` of the queries are solved exactly
+against the band, and the widest window is taken for which the lower bound (one-sided 95%, over
+queries) of the share of true neighbours that collide often enough is at least ``Settings.recall``.
+If the sample can't show that, a bound holds instead: a vector nearer than the distance misses the
+threshold with a chance of ``Settings.miss`` at most (of 0 below 16 dimensions, where squared
+projections are summed). No switch on a share of the band computes all products.
 
 Inner products are turned into distances within bands of stored vectors of nearly one length: with M
 the largest of the band, stored vectors get one more coordinate, sqrt(M^2 - |x|^2), and queries are
@@ -18,12 +25,14 @@ each block meets each group once, in a task that holds both, and the best of all
 
 Defined cases: vectors that are null or zero, hold null or non-finite components, or have no id take
 no part. Rows of one id count once (the smallest vector). Vectors of different lengths never meet.
-Ties go to the smaller id. A query with fewer candidates returns them all.
+Ties go to the smaller id. A query with fewer candidates returns them all. Of equal vectors in a block
+only the ``k + 1`` smallest ids are searched: the others can be among no query's best ``k``.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from statistics import NormalDist
 
@@ -39,14 +48,16 @@ from seriesloom.session import materialize
 @dataclass(frozen=True)
 class Settings:
     hashes: int = 64
-    threshold: float = 0.62  # collisions of a candidate, in hashes
-    miss: float = 1e-3  # chance that a nearer vector is not a candidate yet when windows stop
+    threshold: float = 0.9  # collisions of a candidate, in hashes
+    recall: float = 0.95  # of true neighbours, at the lower confidence bound
+    sample: int = 64  # queries solved exactly for it, in each band of a block and a group
+    miss: float = 1e-3  # chance of a missed vector, where the sample shows too little
     band: float = 1.25  # largest by smallest length of a band, if it has ``band_least`` vectors
     band_least: int = 64
-    first: float = 0.5  # half width of the first windows, in M
-    widen: float = 1.15
+    widen: float = 1.15  # while fewer than k are found
     block: int = 8192
     group: int = 4096
+    chunk: int = 256  # queries that are counted in one go
     seed: int = 11
 
 
@@ -73,24 +84,66 @@ def least_distance(dim: int, s: Settings) -> float:
 class Band:
     """Stored vectors of nearly one length, the longest ``longest``, as sorted projections."""
 
-    def __init__(self, rows: np.ndarray, x: np.ndarray, longest: float, units: np.ndarray, axes: np.ndarray, s: Settings):
-        self.rows, self.longest, self.hashes = rows, longest, s.hashes
+    def __init__(self, rows: np.ndarray, x: np.ndarray, longest: float, axes: np.ndarray, s: Settings):
+        self.rows, self.x, self.longest, self.axes = rows, x, longest, axes
+        self.needed = math.ceil(s.threshold * s.hashes)
         more = np.sqrt(np.maximum(longest**2 - (x * x).sum(1), 0))
-        projected = (x @ axes[:-1] + more[:, None] * axes[-1]).T
-        self.order = np.argsort(projected, axis=1, kind="stable")
-        self.arrays = np.take_along_axis(projected, self.order, 1)
-        self.own = longest * (units @ axes[:-1]).T
-        self.widths = [s.first * longest]
-        reach = max(float(np.abs(self.own).max()) + float(np.abs(self.arrays).max()), self.widths[0])
-        while self.widths[-1] <= reach:
-            self.widths.append(self.widths[-1] * s.widen)
-        self.edges: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def windows(self, level: int, i: int) -> tuple[list[int], list[int]]:
-        if level == len(self.edges):  # windows of all queries at this width
-            w = self.widths[level]
-            self.edges.append(tuple(np.array([np.searchsorted(self.arrays[h], self.own[h] + d * w, side) for h in range(self.hashes)]) for d, side in ((-1, "left"), (1, "right"))))
-        return self.edges[level][0][:, i].tolist(), self.edges[level][1][:, i].tolist()
+        self.projected = (x @ axes[:-1] + more[:, None] * axes[-1]).T
+        self.order = np.argsort(self.projected, axis=1, kind="stable")
+        self.arrays = np.take_along_axis(self.projected, self.order, 1)
+
+    def own(self, units: np.ndarray) -> np.ndarray:
+        """Projections of queries of length one, scaled to ``longest``: a row for each hash."""
+        return self.longest * (units @ self.axes[:-1]).T
+
+    def distance(self, cosine: np.ndarray) -> np.ndarray:
+        """Of vectors that have the product ``cosine`` with a query of length one."""
+        return np.sqrt(np.maximum(2 * self.longest * (self.longest - cosine), 0))
+
+    def calibrate(self, units: np.ndarray, ids: np.ndarray, unit_ids: np.ndarray, k: int, s: Settings) -> None:
+        """Set ``reach`` and the first half width from queries solved exactly."""
+        known = units @ self.x.T
+        known[unit_ids[:, None] == ids[self.rows][None, :]] = -np.inf
+        top = np.argsort(-known, axis=1, kind="stable")[:, :k]
+        away = self.distance(np.take_along_axis(known, top, 1))
+        own = self.own(units).T
+        ratios = []  # for each query: half widths at which its neighbours are candidates, by their distance
+        for i in range(len(units)):
+            real = np.isfinite(away[i]) & (away[i] > 1e-6 * self.longest)
+            if real.any():
+                apart = np.abs(self.projected[:, top[i][real]] - own[i][:, None])
+                ratios.append(np.partition(apart, self.needed - 1, axis=0)[self.needed - 1] / away[i][real])
+        self.reach = least_distance(len(self.axes), s)
+        if len(ratios) >= 16:
+            tried = np.sort(np.concatenate(ratios))
+            low, high = 0, len(tried)  # the least ratio that suffices
+            while low < high:
+                middle = (low + high) // 2
+                hit = np.array([np.count_nonzero(r <= tried[middle]) / len(r) for r in ratios])
+                # The sample's own spread and that of a count of misses, whichever is larger.
+                spread = max(hit.std(ddof=1), math.sqrt(max(hit.mean() * (1 - hit.mean()), 1 / len(hit)) / min(map(len, ratios))))
+                if hit.mean() - 1.645 * spread / math.sqrt(len(hit)) >= s.recall:
+                    high = middle
+                else:
+                    low = middle + 1
+            if low < len(tried):
+                self.reach = max(self.reach, 1 / tried[low])
+        last = away[:, -1][np.isfinite(away[:, -1])]
+        self.first = max(float(np.quantile(last, 0.1)) if len(last) else 0.0, 1e-6 * self.longest) / self.reach
+
+    def count(self, own: np.ndarray, width: np.ndarray) -> Iterator[np.ndarray]:
+        """Collisions of all vectors for each of some queries, with half widths of their own."""
+        low = np.array([np.searchsorted(a, o - width, "left") for a, o in zip(self.arrays, own)])
+        high = np.array([np.searchsorted(a, o + width, "right") for a, o in zip(self.arrays, own)])
+        hashes, n = self.arrays.shape
+        inside = 2 * (high - low).sum(0) <= hashes * n
+        for i in range(own.shape[1]):
+            a, b = low[:, i].tolist(), high[:, i].tolist()
+            if inside[i]:
+                yield np.bincount(np.concatenate([self.order[h, a[h] : b[h]] for h in range(hashes)]), minlength=n)
+            else:
+                out = [self.order[h, : a[h]] for h in range(hashes)] + [self.order[h, b[h] :] for h in range(hashes)]
+                yield hashes - np.bincount(np.concatenate(out), minlength=n)
 
 
 def bands(lengths: np.ndarray, s: Settings) -> list[np.ndarray]:
@@ -104,11 +157,20 @@ def bands(lengths: np.ndarray, s: Settings) -> list[np.ndarray]:
     return out
 
 
+def distinct_enough(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the ``k + 1`` smallest ids of each set of equal vectors."""
+    _, kind = np.unique(x, axis=0, return_inverse=True)
+    order = np.lexsort((ids, kind.ravel()))
+    kind = kind.ravel()[order]
+    nth = np.arange(len(kind)) - np.searchsorted(kind, kind, "left")
+    return np.sort(order[nth <= k])
+
+
 def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, s: Settings):
-    """(query, id, score) of the best ``k`` of a block for each query; ties to smaller ids."""
-    dim = x.shape[1]
-    axes, away = directions(dim + 1, s), least_distance(dim + 1, s)
-    needed = math.ceil(s.threshold * s.hashes)
+    """(query, id, score) of the best ``k`` of a block for each query, ties to smaller ids; and the products each query took."""
+    kept = distinct_enough(ids, x, k)
+    ids, x = ids[kept], x[kept]
+    axes = directions(x.shape[1] + 1, s)
     # Divided by the largest component first: squares of components neither overflow nor vanish.
     scale = np.abs(x).max() or 1.0
     near = x / scale
@@ -116,47 +178,55 @@ def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.nd
     units = q / np.abs(q).max(1)[:, None]
     units = units / np.sqrt((units * units).sum(1))[:, None]
     query_lengths = (q * units).sum(1) * scale
-    cut = bands(lengths, s)
-    built: dict[int, Band] = {}
-    out = []
-    for i in range(len(q)):
-        best, scores = np.zeros(0, np.int64), np.zeros(0)
-        for number, rows in enumerate(cut):
-            longest = lengths[rows[0]] * (1 + 1e-9)
-            if len(best) == k and scores[-1] > query_lengths[i] * longest:
-                break  # nothing here or in shorter bands can be better
-            if number not in built:
-                built[number] = Band(rows, near[rows], longest, units, axes, s)
-            band = built[number]
-            count, done = np.zeros(len(rows), np.int32), np.zeros(len(rows), bool)
-            low = high = None
-            for level, width in enumerate(band.widths):
-                a, b = band.windows(level, i)
-                if low is None:
-                    fresh = [band.order[h, a[h] : b[h]] for h in range(s.hashes)]
-                else:
-                    fresh = [band.order[h, a[h] : low[h]] for h in range(s.hashes)] + [band.order[h, high[h] : b[h]] for h in range(s.hashes)]
-                low, high = a, b
-                count += np.bincount(np.concatenate(fresh), minlength=len(rows))
-                new = np.flatnonzero((count >= needed) & ~done)
-                if 2 * (len(new) + done.sum()) > len(rows):  # the rest costs less to compute than to count
-                    new = np.flatnonzero(~done)
-                if len(new):
-                    done[new] = True
-                    found = rows[new]
-                    found = found[ids[found] != query_ids[i]]
-                    if len(best) + len(found) > k:  # rounded products first; those far from the best need no exact one
-                        rough = near[found] @ units[i] * query_lengths[i]
-                        floor = scores[-1] if len(best) == k else np.partition(rough, -(k - len(best)))[-(k - len(best))] if not len(best) else -np.inf
-                        found = found[rough >= floor - 1e-9 * query_lengths[i] * longest]
-                    best = np.concatenate([best, found])
-                    scores = np.concatenate([scores, (x[found] * q[i]).sum(1)])  # row by row, so equal vectors score equal
-                    top = np.lexsort((ids[best], -scores))[:k]
-                    best, scores = best[top], scores[top]
-                if done.all() or len(best) == k and scores[-1] > query_lengths[i] * (longest - (away * width) ** 2 / (2 * longest)):
-                    break
-        out.append((np.full(len(best), query_ids[i]), ids[best], scores))
-    return tuple(np.concatenate(c) for c in zip(*out))
+    probe = np.unique(np.linspace(0, len(q) - 1, min(s.sample, len(q))).astype(int))
+    best = [np.zeros(0, np.int64)] * len(q)
+    scores = [np.zeros(0)] * len(q)
+    verified = np.zeros(len(q), np.int64)
+
+    def take(i: int, found: np.ndarray, longest: float) -> None:
+        verified[i] += len(found)
+        found = found[ids[found] != query_ids[i]]
+        if len(best[i]) + len(found) > k:  # rounded products first; those far from the best need no exact one
+            rough = near[found] @ units[i] * query_lengths[i]
+            floor = scores[i][-1] if len(best[i]) == k else np.partition(rough, -(k - len(best[i])))[-(k - len(best[i]))] if not len(best[i]) else -np.inf
+            found = found[rough >= floor - 1e-9 * query_lengths[i] * longest]
+        rows, products = np.concatenate([best[i], found]), np.concatenate([scores[i], (x[found] * q[i]).sum(1)])  # row by row, so equal vectors score equal
+        top = np.lexsort((ids[rows], -products))[:k]
+        best[i], scores[i] = rows[top], products[top]
+
+    for rows in bands(lengths, s):
+        longest = lengths[rows[0]] * (1 + 1e-9)
+        # Nothing here or in shorter bands can be better for the queries left out.
+        active = np.array([i for i in range(len(q)) if len(best[i]) < k or scores[i][-1] <= query_lengths[i] * longest], np.int64)
+        if not len(active):
+            break
+        band = Band(rows, near[rows], longest, axes, s)
+        band.calibrate(units[probe], ids, query_ids[probe], k, s)
+        farthest = float(np.abs(band.arrays).max() + np.abs(band.own(units[active])).max())
+
+        def target(i: int) -> float:
+            """Half width up to which the k-th best product so far sends this query."""
+            return float(band.distance(scores[i][-1] / query_lengths[i])) / band.reach if len(best[i]) == k else math.inf
+
+        for a in range(0, len(active), s.chunk):
+            todo = active[a : a + s.chunk]
+            own = band.own(units[todo])
+            width = np.array([min(band.first, target(i)) if len(best[i]) == k else band.first for i in todo])
+            done = np.zeros((len(todo), len(rows)), bool)
+            going = np.arange(len(todo))
+            while len(going):
+                for j, count in zip(going, band.count(own[:, going], width[going])):
+                    new = (count >= band.needed) & ~done[j]
+                    done[j] |= new
+                    if new.any():
+                        take(todo[j], rows[new], longest)
+                wanted = np.array([min(target(todo[j]), farthest * s.widen) for j in going])
+                on = wanted > width[going]
+                # Without k vectors yet, step by step; then at once to the width that the k-th best asks for.
+                enough = np.array([len(best[todo[j]]) == k for j in going])
+                width[going] = np.where(on, np.where(enough, wanted, np.minimum(wanted, width[going] * s.widen)), width[going])
+                going = going[on]
+    return (np.repeat(query_ids, [len(r) for r in best]), ids[np.concatenate(best)] if len(q) else ids[:0], np.concatenate(scores) if len(q) else np.zeros(0), verified)
 
 
 def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -185,7 +255,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, s: Settings = Set
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows and right.num_rows:
-            query, found, score = search_block(*matrix(left), *matrix(right), k, s)
+            query, found, score, _ = search_block(*matrix(left), *matrix(right), k, s)
         else:
             query, found, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         return pa.table({"query_id": query, "vec_id": found, "score": score})

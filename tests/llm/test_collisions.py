@@ -21,8 +21,7 @@ def frame(spark, ids, x):
 
 def test_recall_and_scores(spark):
     r = np.random.default_rng(4)
-    x = np.concatenate([r.standard_normal((900, 24)), np.tile(r.standard_normal(24), (60, 1))]).astype(np.float32).astype(float)
-    x *= r.uniform(0.5, 2, 960).astype(np.float32)[:, None].astype(float) * 0 + 1  # all lengths differ already
+    x = np.concatenate([r.standard_normal((900, 24)), np.tile(r.standard_normal(24), (60, 1))]).astype(np.float32).astype(float)  # all lengths differ, but for the copies
     ids = np.arange(960)
     got = {}
     for row in collisions.nearest(frame(spark, ids, x), F.col("id") % 20 == 0, 20, collisions.Settings(block=300, group=20)).orderBy("query_id", "rank").collect():
@@ -45,22 +44,47 @@ def test_odd_vectors(spark):
     assert collisions.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("id") % 20 == 0).collect() == []
 
 
-@pytest.mark.parametrize("kind", ["uniform", "lognormal", "outlier", "hot copies"])
-def test_recall_does_not_depend_on_lengths(kind):
+def vectors(kind, n, dim=48):
     r = np.random.default_rng(9)
-    x = r.standard_normal((1500, 48))
+    x = r.standard_normal((n, dim))
     x /= np.sqrt((x * x).sum(1))[:, None]
     if kind == "uniform":
-        x *= r.uniform(0, 1, 1500)[:, None]
+        x *= r.uniform(0, 1, n)[:, None]
     elif kind == "lognormal":
-        x *= np.exp(r.standard_normal(1500))[:, None]
+        x *= np.exp(r.standard_normal(n))[:, None]
     elif kind == "outlier":
         x[7] *= 50
-    else:
-        x[100:800] = x[100]
-    ids = np.arange(1500)
-    asked = ids % 20 == 0
-    query, found, _ = collisions.search_block(ids, x, ids[asked], x[asked], 20, collisions.Settings())
-    want = exact(ids, x, 20)
-    recall = np.mean([len(set(found[query == q].tolist()) & {v for v, _ in want[q]}) / 20 for q in want])
-    assert recall >= 0.99
+    elif kind == "hot copies":
+        x[100 : n // 2] = x[100]
+    elif kind == "noisy copies":
+        x[n // 4 :] = x[r.integers(0, n // 4, n - n // 4)] + 0.02 * r.standard_normal((n - n // 4, dim))
+    return x
+
+
+KINDS = ["unit", "uniform", "lognormal", "outlier", "hot copies", "noisy copies"]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_method_decides(kind):
+    """Candidates are a small part of a block, a smaller one of a larger block, and hold the neighbours."""
+    share = {}
+    for n in (1500, 6000):
+        x, ids = vectors(kind, n), np.arange(n)
+        asked = ids % 20 == 0
+        query, found, _, verified = collisions.search_block(ids, x, ids[asked], x[asked], 20, collisions.Settings())
+        want = exact(ids, x, 20)
+        recall = np.mean([len(set(found[query == q].tolist()) & {v for v, _ in want[q]}) / 20 for q in want])
+        assert recall >= 0.95
+        share[n] = verified.mean() / n
+    assert share[6000] < 0.3 and share[6000] < share[1500] < 0.6
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_recall_over_blocks_and_groups(spark, kind):
+    x = vectors(kind, 2400)
+    got = {}
+    rows = collisions.nearest(frame(spark, range(2400), x), F.col("id") % 20 == 0, 20, collisions.Settings(block=800, group=60)).collect()
+    for row in rows:
+        got.setdefault(row["query_id"], set()).add(row["vec_id"])
+    want = exact(np.arange(2400), x.astype(np.float32).astype(float), 20)
+    assert np.mean([len(got[q] & {v for v, _ in want[q]}) / 20 for q in want]) >= 0.9
