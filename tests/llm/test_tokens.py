@@ -100,21 +100,46 @@ def test_plans_cover_and_fit():
     r = np.random.default_rng(5)
     for capacity, sizes in ((20, r.integers(1, 21, 400)), (100, r.integers(30, 60, 1000)), (10, np.array([5, 5, 5, 7, 3, 10])), (12, np.full(30, 4))):
         counts = np.bincount(sizes, minlength=capacity + 1)
-        bins = packing.plan(counts, capacity, rounds=120)
+        bins = packing.plan(counts, capacity)
         held = np.zeros(capacity + 1, int)
         for kind, n in bins.items():
             assert sum(kind) <= capacity
             held += n * np.bincount(kind, minlength=capacity + 1)
         assert (held == counts).all()
-        assert sum(bins.values()) <= sum(packing.best_fit(counts, capacity).values())
+        assert sum(bins.values()) <= sum(packing.best_fit(counts, capacity).values()) + 1
 
 
 def test_configurations_beat_best_fit():
-    """Best fit wastes room here: 6 + 4 fills a bin, and so does 5 + 3 + 2, but longest first mixes them."""
-    counts = np.bincount([44] * 30 + [24] * 60 + [32] * 30 + [20] * 60 + [48] * 30, minlength=101)
-    lp = sum(packing.plan(counts, 100).values())
-    assert lp <= sum(packing.best_fit(counts, 100).values())
-    assert lp >= -(-int((counts * np.arange(101)).sum()) // 100)
+    """Longest first mixes lengths that fill bins exactly together: 1034 + 520 + 494, and 1034 with two of 500."""
+    for n in (30, 3000, 300_000):
+        counts = np.zeros(2049, int)
+        counts[[1034, 520, 515, 496]] = n, n, n, 2 * n
+        bins, left, solved = packing.configured(counts, 2048)
+        best = sum(packing.plan(counts, 2048).values())
+        assert best <= 0.95 * sum(packing.best_fit(counts, 2048).values())
+        assert solved.bound <= solved.value <= 1.05 * solved.bound and best >= solved.bound
+        assert sum(len(k) * m for k, m in bins.items()) + left.sum() == counts.sum()
+
+
+@pytest.mark.parametrize("least, most", [(300, 1200), (500, 900), (180, 2047)])
+def test_program_covers_every_class(least, most):
+    """The value lies between the size bound and the bins; most pieces lie in bins of configurations."""
+    r = np.random.default_rng(least)
+    counts = np.bincount(r.integers(least, most, 5000), minlength=2049)
+    bins, left, solved = packing.configured(counts, 2048)
+    size = (counts * np.arange(2049)).sum() / 2048
+    best = packing.plan(counts, 2048)
+    assert size <= solved.value and solved.bound <= solved.value <= 1.05 * solved.bound
+    kinds = packing.grouped(counts, packing.Program().classes)
+    held = np.zeros(2049)
+    for kind, x in solved.parts.items():
+        assert sum(kind) <= 2048
+        np.add.at(held, list(kind), x)
+    for kind in np.unique(kinds):
+        assert held[kind] >= counts[np.flatnonzero(counts)[kinds == kind]].sum() * (1 - 1e-9)
+    assert size <= sum(best.values()) <= 1.01 * sum(packing.best_fit(counts, 2048).values())
+    assert sum(len(k) * m for k, m in bins.items()) >= 0.95 * counts.sum()
+    assert sum(len(k) * m for k, m in best.items() if bins.get(k)) >= 0.5 * counts.sum()
 
 
 def test_hot_length_is_spread(spark, docs_of):
