@@ -7,10 +7,10 @@ Only document labels are used: weights are fitted to the likelihood of the docum
 proximal gradient steps, which leave most words at exactly zero. Sentences at or above a cutoff are
 reported as the offending ones.
 
-Sentences below the cutoff have a small chance each, most of them the bias alone. In texts of more
-than ``Settings.free`` sentences these chances must not add up with length: from their sum,
-``Settings.allowance`` times what a sentence of a clean document has on average in the fit is
-taken off for each sentence beyond (at most the sum). Sentences at or above the cutoff always count in full.
+One rule scores texts of any length. A sentence counts as evidence from a chance of ``Settings.faint``
+on: what it adds is ``1 - (1 - sentence) / (1 - faint)``, or nothing where that is negative. The bias, the
+chance without any evidence, enters once for a document with a sentence. So ordinary sentences do not add
+up with length, evidence does, and adding a sentence never lowers a score.
 
 Fitting uses a bounded sample (``Settings.fit_docs`` documents, ``Settings.fit_bytes`` bytes in all,
 each text whole) on the driver; scoring covers every whole text, partition by partition.
@@ -53,8 +53,7 @@ class Settings:
     shrink: float = 0.1
     doubt: float = 2.0  # standard errors taken off a feature's first weight
     cutoff: float = 0.5  # of an offending sentence
-    free: int = 100  # sentences of a text whose small chances add up
-    allowance: float = 2.0
+    faint: float = 0.2  # chance of a sentence up to which it is no evidence
 
 
 @dataclass(frozen=True)
@@ -62,7 +61,6 @@ class Model:
     bias: float
     weights: dict[bytes, float]
     share: float | None = None  # constant score, if nothing could be learnt
-    usual: float = 0.0  # -log(1 - p) that sentences of clean documents below the cutoff have on average
 
 
 def sentences(text: bytes) -> list[tuple[int, int, list[bytes]]]:
@@ -125,11 +123,7 @@ def fit(sample: list[tuple[int, str, int]], s: Settings = Settings()) -> Model:
         w = w - step * g
         w = np.sign(w) * np.maximum(0, np.abs(w) - step * s.shrink)
         b -= s.rate * gb / np.sqrt(sum_b)
-    z = b + np.bincount(row, w[ids], len(sizes))
-    small = (y[doc] == 0) & (z < np.log(s.cutoff / (1 - s.cutoff)))
-    of_clean = idle[y == 0].sum()
-    usual = (np.logaddexp(0, z[small]).sum() + of_clean * np.logaddexp(0, b)) / max(1, small.sum() + of_clean)
-    return Model(float(b), {word: float(v) for word, v in zip(vocabulary, w) if v != 0}, usual=float(usual))
+    return Model(float(b), {word: float(v) for word, v in zip(vocabulary, w) if v != 0})
 
 
 def score_texts(docs: DataFrame, model: Model, keep: list[str], s: Settings = Settings(), text: str = "text") -> DataFrame:
@@ -143,13 +137,9 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str], s: Settings = Se
         m = shared.value
         idle = float(np.log1p(np.exp(m.bias)))  # -log(1 - p) of a sentence without a weighted word
         bar = float(np.log(s.cutoff / (1 - s.cutoff)))
-        off = s.allowance * max(m.usual, idle)
+        faint = max(idle, float(-np.log1p(-s.faint)))
         weightless: set[bytes] = set()
 
-        def score(n: int, small: float, strong: float) -> float:
-            """Of ``n`` sentences, with -log(1 - p) summed below the cutoff and from it on."""
-            return float(-np.expm1(-(strong + max(0.0, small - off * max(0, n - s.free)))))
-
         def weigh(words: set[bytes]) -> set[bytes]:
             """Those words that have a weighted feature."""
             found = set()
@@ -168,23 +158,18 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str], s: Settings = Se
             plain = raw.translate(_PLAIN)
             weighted = weigh(set(plain.split()))
             if not weighted:
-                n = sum(not (x.isspace() or not x) for x in plain.split(b"\n"))
-                return score(n, n * idle, 0.0), []
-            total, excess, strong, spots = 0, 0.0, 0.0, []
+                return (float(-np.expm1(-idle)) if _SENTENCE.search(plain) else 0.0), []
+            evidence, spots, found = 0.0, [], False
             for match in _SENTENCE.finditer(plain):
-                total += 1
+                found = True
                 words = weighted.intersection(match.group().split())
                 if words:
                     z = m.bias + sum(m.weights.get(f, 0.0) for f in sorted({f for w in words for f in features(w)}))
-                    own = float(np.logaddexp(0, z))
-                    excess -= idle
-                    if z < bar:
-                        excess += own
-                    else:
-                        strong += own
+                    evidence += max(0.0, float(np.logaddexp(0, z)) - faint)
+                    if z >= bar:
                         start = len(raw[: match.start()].decode())
                         spots.append({"start": start, "length": len(raw[match.start() : match.end()].decode()), "score": float(1 / (1 + np.exp(-z)))})
-            return score(total, max(0.0, excess + total * idle), strong), spots
+            return float(-np.expm1(-(evidence + idle * found))), spots
 
         def work(texts: pa.Array) -> list:
             out = [one(t.encode()) for t in texts.to_pylist()]

@@ -38,14 +38,35 @@ def test_held_out_documents_and_places(scored):
         assert all("idiot" in f or "clown" in f for f in found)
 
 
+def by_hand(text, m, faint=toxicity.Settings().faint):
+    """Score by products of chances, over all sentences whatever their number."""
+    found = toxicity.sentences(text.encode())
+    clean = 1 - 1 / (1 + math.exp(-m.bias)) if found else 1.0
+    for _, _, words in found:
+        z = m.bias + sum(m.weights.get(f, 0.0) for f in {f for w in words for f in toxicity.features(w)})
+        clean *= min(1.0, (1 - 1 / (1 + math.exp(-z))) / (1 - faint))
+    return 1 - clean
+
+
 def test_noisy_or_by_hand(scored):
     docs, _, m, got = scored
     for i, text in docs[160:180]:
-        clean = 0.0
-        for _, _, words in toxicity.sentences(text.encode()):
-            z = m.bias + sum(m.weights.get(f, 0.0) for f in {f for w in words for f in toxicity.features(w)})
-            clean -= math.log1p(math.exp(z))
-        assert got[i]["score"] == pytest.approx(1 - math.exp(clean), abs=1e-9)
+        assert got[i]["score"] == pytest.approx(by_hand(text, m), abs=1e-9)
+
+
+def test_score_never_falls_with_more_sentences(docs_of):
+    """Six weak sentences (chance 0.4) keep their score beside any number of clean ones, and every added sentence may only raise it."""
+    weight = math.log(0.4 / 0.6) + 9
+    m = toxicity.Model(-9.0, {b"weak": weight, b"mild": -3.0, b"strong": 12.0})
+    weak = "weak one here. " * 6
+    texts = [(n, weak + "clean words here. " * n) for n in (0, 90, 2000, 5000)]
+    grown = ["clean a.", "mild b.", "weak c.", "mild weak d.", "clean e.", "strong f.", "mild g."]
+    texts += [(10_000 + k, " ".join(grown[:k])) for k in range(len(grown) + 1)]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_texts(docs_of(texts), m, ["doc_id"]).collect()}
+    assert all(got[i] == pytest.approx(by_hand(text, m), abs=1e-9) for i, text in texts)
+    assert got[0] > 0.7 and got[0] == got[90] == got[2000] == got[5000]
+    rising = [got[10_000 + k] for k in range(len(grown) + 1)]
+    assert rising == sorted(rising) and rising[0] == 0.0 and rising[-1] > 0.9
 
 
 def test_odd_rows(scored, odd_rows):
