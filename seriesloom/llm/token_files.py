@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesloom.llm.common import map_rows, running_totals
+from seriesloom.llm.divergence import byte_slices
 from seriesloom.session import materialize, shared_dir
 
 SCHEMA = "doc_id long, row_id long, ids array<int>"
 BATCH = 256  # documents encoded at once
+SLICE_BYTES, SLICE_ROWS = 8 << 20, 4096  # of texts that are encoded at once here
 
 
 def encode_ids(docs: DataFrame, keep: list[str], vocabulary: str, end_id: int, text: str = "text") -> DataFrame:
@@ -37,8 +39,8 @@ def encode_ids(docs: DataFrame, keep: list[str], vocabulary: str, end_id: int, t
 
         def work(texts: pa.Array) -> list:
             own, parts, sizes = encoder(vocabulary), [], []
-            for a in range(0, len(texts), BATCH):
-                for raw in own.encode(texts.slice(a, BATCH).to_pylist()):
+            for a, b in byte_slices(texts, SLICE_BYTES, SLICE_ROWS):
+                for raw in own.encode(texts.slice(a, b - a).to_pylist()):
                     parts.append(raw)
                     parts.append(end)
                     sizes.append(len(raw) // 4 + 1)

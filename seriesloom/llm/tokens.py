@@ -7,17 +7,25 @@ where a run of spaces begins. So a text is cut there, and each different part is
 from __future__ import annotations
 
 import re
+from array import array
+from itertools import chain, filterfalse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from public_tokenizers import path
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 MOST_PARTS = 800_000  # parts that a worker keeps for good, the first it meets
 PASSING_PARTS = 200_000  # later parts, kept until there are so many
+MOST_TAILS = 10_000  # runs of punctuation that a worker keeps
 _MARK = "\x01"
 _CUTS = re.compile(r"(?<=\S)(?= )")
 #: White space other than space and line feed. (fixed values: Unicode's White_Space and four controls)
 _OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII without the apostrophe, which may begin a piece of its own
+_LAST_LATIN = "\u024f"
+_ASCII_SPACE = "".join(c for c in _OTHER_SPACE if c.isascii())
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -48,6 +56,40 @@ class Parts(dict):
             self.passing.update(found)
 
 
+class Met(Parts):
+    """Parts that ``one`` encodes as they are met; those it has no way for wait to be learnt together."""
+
+    def __init__(self, one):
+        super().__init__()
+        self.one, self.waiting = one, set()
+
+    def __missing__(self, part):
+        ids = self.passing.get(part)
+        if ids is None:
+            ids = self.one(part)
+            if ids is None:
+                self.waiting.add(part)
+                return b""
+            self.keep(part, ids)
+        return ids
+
+    def have(self, part) -> bytes | None:
+        return self.get(part) or self.passing.get(part)
+
+    def keep(self, part, ids: bytes) -> None:
+        (self if len(self) < MOST_PARTS else self.passing)[part] = ids
+
+    def begin(self) -> None:
+        """Before some texts: passing parts go if there are too many; none goes while the texts are encoded."""
+        if len(self.passing) > PASSING_PARTS:
+            self.passing.clear()
+
+    def learnt(self, found: dict) -> None:
+        for part, ids in found.items():
+            self.keep(part, ids)
+        self.waiting.clear()
+
+
 class Encoder:
     def __init__(self, name: str):
         self.tokenizer = Tokenizer.from_file(path(name))
@@ -87,7 +129,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.parts(t) for t in texts]
-        new = set().union(*cut).difference(self.known)
+        new = set(filterfalse(self.known.__contains__, set().union(*cut)))  # a set's difference would go through all that is known
         passing = new & self.known.passing.keys()
         if len(passing) < len(new):
             self.known.add(self.learn(new - passing), passing)
@@ -115,24 +157,92 @@ class ByteEncoder(Encoder):
 
     A plain part is a word, which stands for itself after one space, or a single line feed and a
     word. A text with other white space, or with runs of it, is cut only where a space follows
-    something else; those parts, and the first of every text, are kept as 1-tuples and stand as
-    they are.
+    something else; those parts are kept as 1-tuples and stand as they are. So does the first part of
+    any other text, which has a tab before it.
     """
 
     between = ("\n", f" {_MARK}")  # a line feed before a word's space is one token, and two line feeds would merge
 
-    def parts(self, text: str) -> list:
+    def __init__(self, name: str):
+        super().__init__(name)
+        self.known = Met(self.one)
+        self.model = self.tokenizer.model
+        self.line_feed = self._piece("\u010a")
+        self.tails: dict[str, bytes] = {}
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.latin = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, ord(_LAST_LATIN) + 1)}
+
+    def _piece(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def one(self, part) -> bytes | None:
+        """Ids of a word of Latin letters, with or without punctuation after it: one or two pieces that the model takes as
+        they are. A word's letters are encoded once, whatever follows them. None for all other parts."""
+        word, before, lead = part, b"", "\u0120"  # the letter that stands for a space
+        if isinstance(part, tuple):
+            word, lead = part[0], ""
+        elif part[0] == "\t":
+            word, lead = part[1:], ""
+        elif part[0] == "\n":
+            word, before, lead = part[1:], self.line_feed, ""
+        letters = word.rstrip(_PUNCTUATION)
+        if not letters.isalpha() or not letters.isascii() and max(letters) > _LAST_LATIN:
+            return None
+        tail = word[len(letters) :]
+        ids = self.known.have(letters) if lead and tail else None
+        if ids is None:
+            ids = self._piece(lead + (letters if letters.isascii() else letters.translate(self.latin)))
+            if lead and tail:
+                self.known.keep(letters, ids)
+        if tail:
+            if tail not in self.tails:
+                if len(self.tails) >= MOST_TAILS:
+                    self.tails.clear()
+                self.tails[tail] = self._piece(tail)
+            ids = ids + self.tails[tail]
+        return before + ids
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each different part of the texts is looked up once; words are encoded where they are met first, other new parts together."""
+        known, out, cut = self.known, [b""] * len(texts), [self.spaced(t) for t in texts]
+        known.begin()
+        plain = [n for n, t in enumerate(cut) if t]
+        odd = {n: [(p,) for p in _CUTS.split(texts[n])] for n, t in enumerate(cut) if t is None}
+        lists = pc.split_pattern(pa.array([cut[n] for n in plain], pa.string()), " ")
+        words = pc.dictionary_encode(lists.flatten())
+        wanted = [*words.dictionary.to_pylist(), *chain.from_iterable(odd.values())]
+        ids = list(map(known.__getitem__, wanted))
+        if known.waiting:
+            known.learnt(self.learn(known.waiting))
+            ids = list(map(known.__getitem__, wanted))
+        last = len(words.dictionary)
+        ends = np.cumsum([0, *map(len, ids[:last])]) // 4
+        kinds = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids[:last]), np.int32)))
+        rows = kinds.take(words.indices)
+        ends = 4 * rows.offsets.to_numpy().astype(np.int64)[lists.offsets.to_numpy()]
+        raw = rows.values.to_numpy().tobytes()
+        for n, a, b in zip(plain, ends.tolist(), ends[1:].tolist()):
+            out[n] = raw[a:b]
+        for n, parts in odd.items():
+            out[n] = b"".join(ids[last : last + len(parts)])
+            last += len(parts)
+        return out
+
+    def spaced(self, text: str) -> str | None:
+        """The text with its parts divided by one space, and a tab before the first. None if it is cut otherwise."""
         if not text:
-            return []
-        cut = text.replace("\n", " \n").split(" ")
-        if "" in cut or "\n" in cut or any(c in text for c in _OTHER_SPACE):
-            return [(p,) for p in _CUTS.split(text)]
-        return [(cut[0],), *cut[1:]]
+            return ""
+        spaced = text.replace("\n", " \n")
+        if "  " in spaced or "\n " in spaced or spaced[0] == " " or spaced[-1] in " \n" or any(c in text for c in (_ASCII_SPACE if text.isascii() else _OTHER_SPACE)):
+            return None
+        return "\t" + spaced
 
     def whole(self, part) -> str:
-        return part[0] if isinstance(part, tuple) else part if part[0] == "\n" else " " + part
+        if isinstance(part, tuple):
+            return part[0]
+        return part[1:] if part[0] == "\t" else part if part[0] == "\n" else " " + part
 
     def mark_of(self, part) -> int:
-        if isinstance(part, tuple) or _MARK in part:  # a tuple may end in white space
+        if isinstance(part, tuple) or part[0] == "\t" or _MARK in part:  # a tuple may end in white space
             return -1
         return int(part[0] == "\n")

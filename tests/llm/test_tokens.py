@@ -147,3 +147,20 @@ def test_hot_length_is_spread(spark, docs_of):
     docs = docs_of([(i, "a b c" if i % 3 == 0 else make_text(i, 3 + i % 30)) for i in range(900)])
     assert check_packed(packing.pack(docs, capacity=40).collect(), 40) > 0
     assert docs.select(F.count("*")).head()[0] == 900
+
+
+def test_words_with_punctuation_share_their_letters():
+    """Each different word goes through the model once, and only other parts are learnt in bulk."""
+    from seriesloom.llm import tokens
+
+    own = tokens.ByteEncoder("byte_bpe_50k.json")
+    pieces, bulk, piece, learn = [], [], own._piece, own.learn
+    own._piece = lambda p: pieces.append(p) or piece(p)
+    own.learn = lambda parts: bulk.extend(parts) or learn(parts)
+    texts = ["zzyva qorst, qorst. qorst\nqorst, été été!", "qorst it's été qorst;;", "qorst, (12) zzyva"]
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in own.encode(texts)] == [plain_ids("byte_bpe_50k.json", t) for t in texts]
+    assert pieces.count("Ġqorst") == 1 and len(pieces) == len(set(pieces) - {"qorst", "zzyva"}) + pieces.count("qorst") + pieces.count("zzyva")
+    assert sorted(bulk) == ["(12)", "it's"]
+    again = len(pieces), len(bulk)
+    own.encode(texts)
+    assert (len(pieces), len(bulk)) == again
