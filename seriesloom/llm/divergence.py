@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from seriesloom.llm.common import filled
+from seriesloom.llm.common import filled, release
 from seriesloom.llm.sieve import free, sieve_of
 from seriesloom.session import materialize
 
@@ -94,6 +94,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array,
             sources, texts = source.filter(own), text.filter(own)
             for a, b in byte_slices(texts, BLOCK_BYTES, BLOCK_DOCS):
                 yield lang, sources.slice(a, b - a), texts.slice(a, b - a)
+                release()  # what the block took; Arrow would keep it, and idle workers hold it beside later stages
+            del sources, texts
+        del batch, langs, source, text
+    release()
 
 
 def _rows(columns: list[pa.Array], names: list[str], lang: str) -> Iterator[pa.RecordBatch]:

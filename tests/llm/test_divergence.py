@@ -83,3 +83,14 @@ def test_terms_spelled_in_many_chunks_are_listed(spark):
     rows += [("en", "b", f'"FOO" "{i}bar"') for i in range(3)] + [("en", "b", "bar;"), ("en", "b", "foo")]
     for least in (29, 30, 31, 32, 33, 34):
         assert run(as_table(spark, rows).repartition(3), least_docs=least) == brute(rows, least)
+
+
+def test_memory_goes_back_after_each_block(monkeypatch):
+    """Workers are kept, so what Arrow holds after a block or a task would stay beside the later stages."""
+    calls = []
+    monkeypatch.setattr(divergence, "release", lambda: calls.append(pa.total_allocated_bytes()))
+    monkeypatch.setattr(divergence, "BLOCK_BYTES", 1000)
+    held = pa.total_allocated_bytes()
+    batch = lambda i: pa.RecordBatch.from_arrays([pa.array(["en"] * 40), pa.array(["s"] * 40), pa.array([make_text(i + j, 20) for j in range(40)])], names=["lang", "source", "text"])
+    found = sum(sum(b.column("n").to_pylist()) for b in divergence._counts(batch(i) for i in (0, 50)))
+    assert found == 2 * 40 * 20 and len(calls) > 8 and calls[-1] <= held + 100_000
