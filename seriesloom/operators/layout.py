@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_CHUNK = 16384
 _META = "rows_per_chunk"
+_SHORT = "one_chunk"
 
 
 def chunk_rows(df: DataFrame) -> int:
@@ -22,14 +23,19 @@ def chunk_rows(df: DataFrame) -> int:
     return int(meta[_META])
 
 
-def tag_chunk(chunk: Column, rows: int) -> Column:
-    return chunk.cast("long").alias("chunk", metadata={_META: int(rows)})
+def one_chunk(df: DataFrame) -> bool:
+    """No series of the frame has a second chunk, as ``index_series`` found; do not add longer series to such a frame."""
+    return bool(df.schema["chunk"].metadata.get(_SHORT, False))
 
 
-def with_chunk(df: DataFrame, rows: int) -> DataFrame:
+def tag_chunk(chunk: Column, rows: int, short: bool = False) -> Column:
+    return chunk.cast("long").alias("chunk", metadata={_META: int(rows)} | ({_SHORT: True} if short else {}))
+
+
+def with_chunk(df: DataFrame, rows: int, short: bool = False) -> DataFrame:
     """Add ``chunk`` from the position ``i``."""
     keep = [c for c in df.columns if c != "chunk"]
-    return df.select(*keep, tag_chunk(F.floor(F.col("i") / rows), rows))
+    return df.select(*keep, tag_chunk(F.floor(F.col("i") / rows), rows, short))
 
 
 def number_rows(df: DataFrame, bucket: str, order: list, keys: tuple = ("k",), out: str = "i") -> DataFrame:
@@ -50,8 +56,15 @@ def number_rows(df: DataFrame, bucket: str, order: list, keys: tuple = ("k",), o
 def index_series(df: DataFrame, rows: int = ROWS_PER_CHUNK, span_seconds: int = 86400 * 30) -> DataFrame:
     """Add ``i`` and ``chunk`` to ``(k, t, v)``; ties in ``t`` are ordered by ``v``.
 
-    Time buckets of ``span_seconds`` are halved until none holds more than sixteen chunks.
+    Time buckets of ``span_seconds`` are halved until none holds more than sixteen chunks. Where no series is longer than
+    that, each is numbered as a whole.
     """
+    order = [F.col("t"), F.col("v").asc_nulls_last()]
+    longest = df.groupBy("k").count().agg(F.max("count")).first()[0] or 0
+    if longest <= 16 * max(rows, 4096):
+        dated = df.filter(F.col("k").isNotNull() & F.col("t").isNotNull())
+        place = (F.row_number().over(Window.partitionBy("k").orderBy(*order)) - 1).cast("long")
+        return with_chunk(dated.withColumn("i", place), rows, longest <= rows)
     epoch = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("t"))
     while span_seconds > 1:
         sizes = df.groupBy("k", F.floor(epoch / span_seconds).alias("_bucket")).count()
@@ -59,7 +72,6 @@ def index_series(df: DataFrame, rows: int = ROWS_PER_CHUNK, span_seconds: int =
             break
         span_seconds = span_seconds // 2
     bucketed = df.withColumn("_bucket", F.floor(epoch / span_seconds))
-    order = [F.col("t"), F.col("v").asc_nulls_last()]
     return with_chunk(number_rows(bucketed, "_bucket", order).drop("_bucket"), rows)
 
 
@@ -83,6 +95,9 @@ def attach(df: DataFrame, per_series: DataFrame, keys: tuple = ("k",)) -> DataFr
 def with_totals(df: DataFrame, keys: tuple = ("k",), **totals: tuple) -> DataFrame:
     """Attach per-series ``sum``/``min``/``max`` of columns: ``name=(kind, column)``."""
     fold = {"sum": F.sum, "min": F.min, "max": F.max}
+    if one_chunk(df):
+        rest = [c for c in df.columns if c not in (*keys, "chunk")]
+        return df.select(*keys, "chunk", *rest, *[fold[kind](c).over(Window.partitionBy(*keys)).alias(n) for n, (kind, c) in totals.items()])
     parts = df.groupBy(*keys, "chunk").agg(*[fold[kind](c).alias(n) for n, (kind, c) in totals.items()])
     whole = Window.partitionBy(*keys)
     spots = parts.select(*keys, "chunk", *[fold[kind](n).over(whole).alias(n) for n, (kind, _) in totals.items()])
@@ -95,6 +110,8 @@ def with_halo(df: DataFrame, before: int = 0, after: int = 0) -> DataFrame:
     ``home`` is true on the original rows.  ``before`` is the number of rows a frame looks back,
     ``after`` the number it looks ahead.  Only rows near a chunk edge are copied.
     """
+    if one_chunk(df):
+        return df.select(*[c for c in df.columns if c != "chunk"], "chunk", F.lit(True).alias("home"))
     rows = chunk_rows(df)
     own, i = F.col("chunk"), F.col("i")
     first = F.greatest(F.lit(0).cast("long"), F.floor((i - after) / rows)) if after else own

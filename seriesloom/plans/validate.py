@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..models import holt_winters, smoothing
 from ..models.registry import NAMES
 from ..operators.forecast import Z, point
-from ..operators.layout import chunk_rows, in_chunk, with_halo, with_totals
+from ..operators.layout import chunk_rows, in_chunk, one_chunk, with_halo, with_totals
 from ..operators.windows import train_rows
 from ..session import materialize
 
@@ -84,7 +84,7 @@ def _sums_at_origins(df: DataFrame, sums: dict[str, Column], keep: list[str], fo
     """Running sums over the whole prefix, at the last row of each training set.
 
     Sums run inside chunks; the rows wanted and the chunk ends are stored, and chunk ends give each
-    chunk the total before it.
+    chunk the total before it. Series of one chunk need neither.
     """
     rows = chunk_rows(df)
     upto = in_chunk("i").rowsBetween(Window.unboundedPreceding, 0)
@@ -93,6 +93,8 @@ def _sums_at_origins(df: DataFrame, sums: dict[str, Column], keep: list[str], fo
     end = (F.pmod(origin, F.lit(rows)) == 0) | (origin == F.col("n"))
     summed = df.select("k", "chunk", *keep, at.alias("is_origin"), end.alias("is_end"), origin.alias("origin"),
                        *[F.sum(c).over(upto).alias(name) for name, c in sums.items()])
+    if one_chunk(df):
+        return summed.filter("is_origin").select("k", "origin", *keep, *[(F.col(c) + F.lit(0.0)).alias(c) for c in sums])
     picked = materialize(summed.filter("is_origin or is_end"), "prefix")
     before = Window.partitionBy("k").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = picked.filter("is_end").select("k", "chunk", *[F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(f"_{c}") for c in sums])
