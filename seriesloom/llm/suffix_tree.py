@@ -12,7 +12,9 @@ A token is scored in the longest state that its text ends in there.
 All counts cover all training texts and no share of the corpus limits them: least counts are absolute.
 Each level is a distributed count of n-grams, and states and entries are tables keyed by n-gram hash.
 For scoring, each part of the texts asks for its own different n-grams and gets them back in one
-task, so that a hot n-gram is asked for once a part. Two things are broadcast and change no result: the
+task, so that a hot n-gram is asked for once a part. N-grams travel as packed arrays, a row for each
+range of hashes; parts are scored in ``WAVES`` turns, so that only one turn's asks, answers and texts are
+on disk at once. Two things are broadcast and change no result: the
 most frequent words, states and entries (the head, bounded by the shares in ``Settings``), and bits of
 hashes (at most 2^``bits``), which spare counting or asking for n-grams that are surely not there.
 
@@ -32,16 +34,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import filled
+from seriesloom.llm.common import filled, release
 from seriesloom.llm.words import Words, slices
 from seriesloom.session import materialize
 
 _U = np.uint64
 END = _U(0x1D8AF066F5B3C9E7)
 SHIFT = 24  # of a context's number in keys of context and word
-FLUSH = 4_000_000  # tokens counted together in a task
+FLUSH = 1_000_000  # tokens counted together in a task
 STEP = _U(0x9E3779B97F4A7C15)  # an n-gram's hash is that of its first n - 1 words times this, plus its last word's
 PART = 12  # bits of the row number within a part
+WAVES = 4  # turns in which texts are scored, of at least WAVE_PARTS parts
+WAVE_PARTS = 16
 
 
 @dataclass(frozen=True)
@@ -166,29 +170,75 @@ def fitting(n: int, s: Settings) -> int:
     return min(s.bits, max(15, (16 * n).bit_length()))
 
 
-def counted(texts: DataFrame, keys, names: list[str]) -> DataFrame:
-    """(names, n): how often each first value occurs; ``keys`` maps hashes and texts of a slice to arrays, the first of which says the others."""
+def range_bits(spark) -> int:
+    """Bits of a hash that say its range: some ranges for each partition of a shuffle."""
+    return min(12, max(6, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 2))
+
+
+def packed(ranges: np.ndarray, bits: int, columns: dict[str, np.ndarray], **same: int) -> Iterator[pa.RecordBatch]:
+    """Rows of range, constants and the bytes of each column, for values in the order of their range."""
+    cuts = np.searchsorted(ranges, np.arange((1 << bits) + 1))
+    used = np.flatnonzero(np.diff(cuts))
+    for some in np.array_split(used, max(1, len(ranges) >> 18)):  # small batches
+        if len(some):
+            rows = {"range": pa.array(some), **{c: pa.array(np.full(len(some), v)) for c, v in same.items()}}
+            yield pa.RecordBatch.from_pydict(rows | {c: pa.array([v[cuts[r] : cuts[r + 1]].tobytes() for r in some], pa.binary()) for c, v in columns.items()})
+
+
+def unpacked(column: pa.ChunkedArray, kind=np.int64) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def ranges_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> _U(64 - bits)).astype(np.int64)
+
+
+def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the keys, and where in it each different one starts."""
+    order = np.argsort(keys)
+    return order, np.flatnonzero(np.append(True, np.diff(keys[order]) != 0)[: len(order)])
+
+
+def counted(texts: DataFrame, keys, names: list[str], least: int = 1) -> DataFrame:
+    """(names, n): first values that occur ``least`` times, and how often; ``keys`` maps hashes and texts of a slice to arrays, the first of which says the others."""
+    bits = range_bits(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush():
             columns = [np.concatenate(c) for c in zip(*held)]
-            _, at, n = np.unique(columns[0], return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([*(pa.array(c[at].view(np.int64)) for c in columns), pa.array(n)], names=[*names, "n"])
+            held.clear()
+            order, first = runs(columns[0])
+            n = np.diff(np.append(first, len(order)))
+            columns = [c[order[first]] for c in columns]
+            ranges = ranges_of(columns[0], bits)
+            if len(columns) > 1:  # equal contexts side by side take little place
+                order = np.argsort(columns[1])
+                order = order[np.argsort(ranges[order].astype(np.uint16), kind="stable")]
+                ranges, n, columns = ranges[order], n[order], [c[order] for c in columns]
+            return packed(ranges, bits, dict(zip([*names, "n"], [*columns, n])))
 
         for batch in batches:
             for _, _, w in slices(filled(batch.column(0))):
                 held.append(keys(*tokens(w)))
                 size += len(held[-1][0])
                 if size > FLUSH:
-                    yield flush()
-                    held, size = [], 0
+                    yield from flush()
+                    size = 0
         if size:
-            yield flush()
+            yield from flush()
+        release()
+
+    def total(rows: pa.Table) -> pa.Table:
+        key, *others = (unpacked(rows.column(c)) for c in [*names, "n"])
+        order, first = runs(key)
+        n = np.add.reduceat(others[-1][order], first) if len(first) else np.zeros(0, np.int64)
+        at = order[first[n >= least]]
+        return pa.table([*(pa.array(c[at]) for c in (key, *others[:-1])), pa.array(n[n >= least])], names=[*names, "n"])
 
-    rows = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
-    return rows.groupBy(names[0]).agg(*(F.first(c).alias(c) for c in names[1:]), F.sum("n").alias("n"))
+    rows = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(run, ", ".join(["range long", *(f"{c} binary" for c in [*names, "n"])]))
+    return rows.groupBy("range").applyInArrow(total, ", ".join(f"{c} long" for c in [*names, "n"]))
 
 
 def with_suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +289,7 @@ def grow(texts: DataFrame, s: Settings = Settings()) -> tuple[Tree, DataFrame]:
             return (longer(grams, t)[at], grams[at - 1], grams[at])[: len(names)]
 
         # What is frequent has a frequent suffix, so the join loses nothing.
-        found = counted(texts, extended, names).filter(F.col("n") >= s.least)
+        found = counted(texts, extended, names, s.least)
         if not depth:
             found = found.mapInArrow(with_suffix, "key long, context long, suffix long, n long")
         found = materialize(found.join(level.select(F.col("key").alias("suffix"), F.col("prob").alias("expected")), "suffix").select("key", "context", "n", "expected"), "n-grams")
@@ -312,9 +362,46 @@ def asked(m: Tree, t: np.ndarray, text: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def looked_up(m: Tree, unigrams: DataFrame, bits: int) -> DataFrame:
+    """Words, states and entries, packed: one row for each range of hashes."""
+    spark = unigrams.sparkSession
+    both = unigrams.select("key", "n", F.lit(0.0).alias("share"), F.lit(1.0).alias("rest"))
+    if m.nodes is not None:
+        both = both.unionAll(m.nodes.select("key", F.lit(0).cast("long").alias("n"), "share", "rest"))
+
+    def pack(rows: pa.Table) -> pa.Table:
+        key, n, share, rest = (rows.column(c).to_numpy() for c in ("key", "n", "share", "rest"))
+        key = key.view(_U)
+        order, first = runs(key)
+        merged = np.maximum.reduceat(n[order], first), np.maximum.reduceat(share[order], first), np.minimum.reduceat(rest[order], first)
+        of = rows.column("range").slice(0, 1).cast(pa.int64())
+        return pa.table([of, *(pa.array([c.tobytes()], pa.binary()) for c in (key[order[first]], *merged))], names=["range", "key", "n", "share", "rest"])
+
+    rows = both.withColumn("range", F.shiftrightunsigned("key", 64 - bits))
+    stored = materialize(rows.groupBy("range").applyInArrow(pack, "range long, key binary, n binary, share binary, rest binary"), "looked-up")
+    del both, rows
+    spent(spark)
+    return stored
+
+
+def answered(asks: pa.Table, table: pa.Table) -> pa.Table:
+    """What the table holds of each row's keys."""
+    key = unpacked(table.column("key"), _U)
+    values = [unpacked(table.column(c), kind) for c, kind in (("n", np.int64), ("share", float), ("rest", float))]
+    out = [], [], [], [], []
+    for part, wanted in zip(asks.column("part").to_pylist(), asks.column("key").to_pylist()):
+        at = find(key, np.frombuffer(wanted, _U))
+        at = at[at >= 0]
+        if len(at):
+            for o, v in zip(out, (part, *(c[at].tobytes() for c in (key, *values)))):
+                o.append(v)
+    return pa.table([pa.array(o, pa.binary() if k else pa.int64()) for k, o in enumerate(out)], names=["part", "key", "n", "share", "rest"])
+
+
 def score_texts(docs: DataFrame, m: Tree, unigrams: DataFrame, held_out: Column) -> DataFrame:
     """One row for each row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    shared = docs.sparkSession.sparkContext.broadcast(replace(m, nodes=None))
+    spark = docs.sparkSession
+    shared, bits = spark.sparkContext.broadcast(replace(m, nodes=None)), range_bits(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", held_out.alias("held_out"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
     rows = materialize(rows.select("doc_id", "held_out", "text", F.shiftright("row", PART).alias("part")), "tree-texts")
@@ -324,7 +411,7 @@ def score_texts(docs: DataFrame, m: Tree, unigrams: DataFrame, held_out: Column)
 
         def flush():
             keys = np.unique(np.concatenate(held))
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part)), pa.array(keys.view(np.int64))], names=["part", "key"])
+            return packed(ranges_of(keys, bits), bits, {"key": keys}, part=part)
 
         for batch in batches:
             parts = batch.column(1).to_numpy()
@@ -333,26 +420,21 @@ def score_texts(docs: DataFrame, m: Tree, unigrams: DataFrame, held_out: Column)
                 if a == b:
                     continue
                 if part != parts[a] and held:
-                    yield flush()
+                    yield from flush()
                     held = []
                 part = parts[a]
                 held.extend(asked(tree, *tokens(w)) for _, _, w in slices(filled(batch.column(0).slice(a, b - a))))
                 if len(held) > 64:
                     held = [np.unique(np.concatenate(held))]
         if held:
-            yield flush()
+            yield from flush()
+        release()
 
-    wanted = rows.select("text", "part").mapInArrow(ask, "part long, key long").join(unigrams.withColumnRenamed("n", "word_n"), "key", "left")
-    if m.nodes is None:
-        wanted = wanted.withColumns({"share": F.lit(0.0), "rest": F.lit(1.0)})
-    else:
-        wanted = wanted.join(m.nodes.drop("n"), "key", "left")
-    wanted = wanted.filter(F.col("word_n").isNotNull() | (F.col("share") > 0) | (F.col("rest") < 1))
-    wanted = wanted.select("part", "key", F.coalesce("word_n", F.lit(0)).cast("long").alias("n"), F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("rest", F.lit(1.0)).alias("rest"))
+    known = looked_up(m, unigrams, bits)
 
     def score(texts: pa.Table, found: pa.Table) -> pa.Table:
         tree = shared.value
-        key, n, share, rest = (found.column(c).to_numpy() for c in ("key", "n", "share", "rest"))
+        key, n, share, rest = (unpacked(found.column(c), k) for c, k in (("key", np.int64), ("n", np.int64), ("share", float), ("rest", float)))
         order = np.argsort(key.view(_U))
         order = order[np.append(True, np.diff(key[order]) != 0)[: len(order)]]  # a part may ask twice
         pulled = key.view(_U)[order], n[order], share[order], rest[order]
@@ -367,5 +449,14 @@ def score_texts(docs: DataFrame, m: Tree, unigrams: DataFrame, held_out: Column)
         values = [np.concatenate([np.zeros(0, kind), *d]) for d, kind in zip(done, (np.int64, np.int64, float, float))]
         return pa.table([texts.column("doc_id"), texts.column("held_out"), *map(pa.array, values)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    out = rows.groupBy("part").cogroup(wanted.groupBy("part")).applyInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(m.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    turns = max(1, min(WAVES, rows.select("part").distinct().count() // WAVE_PARTS))
+    done = []
+    for turn in range(turns):
+        own = rows.filter(F.pmod(F.xxhash64("part"), F.lit(turns)) == turn)
+        asks = own.select("text", "part").mapInArrow(ask, "range long, part long, key binary")
+        answers = asks.groupBy("range").cogroup(known.groupBy("range")).applyInArrow(answered, "part long, key binary, n binary, share binary, rest binary")
+        out = own.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        done.append(materialize(out, "tree-scores") if turns > 1 else out)
+        del own, asks, answers, out
+        spent(spark)
+    return reduce(DataFrame.unionAll, done).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(m.tokens).cast("long").alias("train_tokens"), "base_score", "score")

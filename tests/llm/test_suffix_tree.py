@@ -161,3 +161,31 @@ def test_states_stay_when_the_corpus_grows(docs_of):
         tree, unigrams = suffix_tree.grow(docs, suffix_tree.Settings(context_share=0.01, entry_share=0.01, word_share=0.01))
         got = {r["doc_id"]: r for r in suffix_tree.score_texts(docs.filter("doc_id < 40"), tree, unigrams, F.lit(False)).collect()}
         assert all(r["score"] > r["base_score"] + 3 for r in got.values())
+
+
+def test_parts_are_scored_in_turns(docs_of, monkeypatch):
+    """Only one turn's asks, answers and texts are on disk at once; each row is scored in one of them, as if alone."""
+    monkeypatch.setattr(suffix_tree, "PART", 2)
+    monkeypatch.setattr(suffix_tree, "WAVE_PARTS", 1)
+    turns, write = [], suffix_tree.materialize
+    monkeypatch.setattr(suffix_tree, "materialize", lambda df, name: turns.append((name, write(df, name))) or turns[-1][1])
+    texts = phrases(120, 5) + ["", None, "one small step"]
+    docs = docs_of(list(enumerate(texts)))
+    settings = suffix_tree.Settings(head_share=0.02, entry_share=0.01, least=4, bits=15)
+    tree, unigrams = suffix_tree.grow(docs, settings)
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(docs, tree, unigrams, F.lit(False)).collect()}
+    want, _ = by_loops(texts, texts, settings, tree.depth)
+    assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=1e-9)
+    sizes = [df.count() for name, df in turns if name == "tree-scores"]
+    assert len(sizes) == suffix_tree.WAVES and sum(sizes) == len(texts) and max(sizes) < len(texts)
+
+
+def test_n_grams_travel_packed():
+    """One row for a range of hashes, not one for an n-gram."""
+    keys = np.sort(np.random.default_rng(3).integers(0, 1 << 63, 50_000, dtype=np.uint64) * np.uint64(2))
+    batches = list(suffix_tree.packed(suffix_tree.ranges_of(keys, 6), 6, {"key": keys, "n": np.arange(len(keys))}, part=7))
+    rows = [r for b in batches for r in b.to_pylist()]
+    assert [r["range"] for r in rows] == list(range(64)) and {r["part"] for r in rows} == {7}
+    assert (np.frombuffer(b"".join(r["key"] for r in rows), np.uint64) == keys).all()
+    assert (np.frombuffer(b"".join(r["n"] for r in rows), np.int64) == np.arange(len(keys))).all()
+    assert list(suffix_tree.packed(np.zeros(0, int), 6, {"key": keys[:0]})) == []
