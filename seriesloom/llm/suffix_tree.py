@@ -25,6 +25,7 @@ rows count and are scored each. Without training texts every token has probabili
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
@@ -44,8 +45,8 @@ SHIFT = 24  # of a context's number in keys of context and word
 FLUSH = 1_000_000  # tokens counted together in a task
 STEP = _U(0x9E3779B97F4A7C15)  # an n-gram's hash is that of its first n - 1 words times this, plus its last word's
 PART = 12  # bits of the row number within a part
-WAVES = 4  # turns in which texts are scored, of at least WAVE_PARTS parts
-WAVE_PARTS = 16
+WAVES = 8  # turns in which texts are scored, of at least WAVE_PARTS parts
+WAVE_PARTS = 2
 
 
 @dataclass(frozen=True)
@@ -199,8 +200,11 @@ def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.append(True, np.diff(keys[order]) != 0)[: len(order)])
 
 
-def counted(texts: DataFrame, keys, names: list[str], least: int = 1) -> DataFrame:
-    """(names, n): first values that occur ``least`` times, and how often; ``keys`` maps hashes and texts of a slice to arrays, the first of which says the others."""
+def counted(texts: DataFrame, keys, names: list[str], least: int = 1, hot: np.ndarray | None = None) -> DataFrame:
+    """(names, n): first values that occur ``least`` times, and how often; ``keys`` maps hashes and texts of a slice to arrays, the first of which says the others.
+
+    Rows of one context go to one range, where equal values side by side take little place; those of the ``hot`` contexts are spread.
+    """
     bits = range_bits(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,8 +217,9 @@ def counted(texts: DataFrame, keys, names: list[str], least: int = 1) -> DataFra
             n = np.diff(np.append(first, len(order)))
             columns = [c[order[first]] for c in columns]
             ranges = ranges_of(columns[0], bits)
-            if len(columns) > 1:  # equal contexts side by side take little place
+            if len(columns) > 1:
                 order = np.argsort(columns[1])
+                ranges = np.where(find(hot, columns[1]) >= 0, ranges, ranges_of(columns[1], bits))
                 order = order[np.argsort(ranges[order].astype(np.uint16), kind="stable")]
                 ranges, n, columns = ranges[order], n[order], [c[order] for c in columns]
             return packed(ranges, bits, dict(zip([*names, "n"], [*columns, n])))
@@ -242,16 +247,19 @@ def counted(texts: DataFrame, keys, names: list[str], least: int = 1) -> DataFra
 
 
 def with_suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the last word to counts of pairs."""
+    """Turns the context without its first word (0 for a word) into the n-gram without its first word."""
     for b in batches:
-        key, context = (b.column(c).to_numpy().view(_U) for c in (0, 1))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array((key - context * STEP).view(np.int64)), b.column(2)], names=["key", "context", "suffix", "n"])
+        key, context, inner = (b.column(c).to_numpy().view(_U) for c in (0, 1, 2))
+        suffix = inner * STEP + (key - context * STEP)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(suffix.view(np.int64)), b.column(3)], names=["key", "context", "suffix", "n"])
 
 
 def spent(spark) -> None:
     """Lets Spark delete the shuffle files of tables that are stored by now."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what a query's last events hold goes with the second
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def _gathered(counts: DataFrame, least: float, columns: list[str]) -> list[np.ndarray]:
@@ -275,23 +283,23 @@ def grow(texts: DataFrame, s: Settings = Settings()) -> tuple[Tree, DataFrame]:
     while size and depth < 2:
         sieve = spark.sparkContext.broadcast(sieve_of(level, fitting(size, s)))
 
-        names = ["key", "context", "suffix"] if depth else ["key", "context"]  # of pairs, the suffix follows from both
+        # A context from this share of all tokens is spread over ranges; there are at most as many.
+        hot, *_ = _gathered(level, max(s.least, total / (1 << range_bits(spark))), [])
 
-        def extended(t, text, depth=depth + 1, sieve=sieve, names=names):
-            grams = t
+        def extended(t, text, depth=depth + 1, sieve=sieve):
+            inner, grams = np.zeros(len(t), _U), t
             for _ in range(depth - 1):
-                grams = longer(grams, t)
+                inner, grams = grams, longer(grams, t)
             use = places(text) >= depth - 1
             use[use] = there(sieve.value, grams[use])
             use[1:] &= use[:-1]
             use &= places(text) >= depth
             at = np.flatnonzero(use)
-            return (longer(grams, t)[at], grams[at - 1], grams[at])[: len(names)]
+            return longer(grams, t)[at], grams[at - 1], inner[at - 1]
 
         # What is frequent has a frequent suffix, so the join loses nothing.
-        found = counted(texts, extended, names, s.least)
-        if not depth:
-            found = found.mapInArrow(with_suffix, "key long, context long, suffix long, n long")
+        found = counted(texts, extended, ["key", "context", "inner"], s.least, hot)
+        found = found.mapInArrow(with_suffix, "key long, context long, suffix long, n long")
         found = materialize(found.join(level.select(F.col("key").alias("suffix"), F.col("prob").alias("expected")), "suffix").select("key", "context", "n", "expected"), "n-grams")
         n, expected, of = F.col("n"), F.col("expected"), F.col("total")
         sums = found.groupBy("context").agg(F.count("*").alias("entries"), F.sum("n").alias("seen"), F.sum(n * F.log(n / expected)).alias("gain"), F.sum("expected").alias("expected"))
