@@ -426,13 +426,21 @@ def holt_winters_multiplicative_fitted(spark, sf_dir):
 # --- diagnostics and forecasts --------------------------------------------------------------
 
 
+def plain_runs(spark, sf_dir):
+    """The plain runs of all six models, fitted once per session and folder."""
+    key = (spark.conf.get("spark.app.id"), sf_dir, "plain_runs")
+    if key not in _stored:
+        s = hourly_series(spark, sf_dir)
+        _stored[key] = {code: registry.run_model(s, code, PLAIN) for code in registry.NAMES}
+    return _stored[key]
+
+
 @stored("fitted_rows")
 def fitted_rows(spark, sf_dir):
     """Fitted rows of all six models."""
-    s = hourly_series(spark, sf_dir)
     out = None
-    for code in registry.NAMES:
-        rows = registry.run_model(s, code, PLAIN).rows
+    for run in plain_runs(spark, sf_dir).values():
+        rows = run.rows
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -454,10 +462,8 @@ def residual_qq(spark, sf_dir):
 
 @query
 def information_criteria(spark, sf_dir):
-    s = hourly_series(spark, sf_dir)
     out = None
-    for code in registry.NAMES:
-        run = registry.run_model(s, code, PLAIN)
+    for code, run in plain_runs(spark, sf_dir).items():
         rows = fitted_rows(spark, sf_dir).filter(F.col("model") == code)
         record = registry.model_record(run, rows, {})
         out = record if out is None else out.unionByName(record)

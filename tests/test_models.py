@@ -324,3 +324,16 @@ def test_evaluator_average_differs_from_the_model(series):
     assert [r.forecast for r in points.orderBy("step").collect()] == [7.0, 7.0]
     assert [r.e for r in rows.orderBy("i").collect()] == pytest.approx([0, 0.5, 1, 1, 1, 1, 1, 1])
     assert simple.sma_rows(s, 3).filter("fitted is null").count() == 2
+
+
+def test_information_criteria_fit_each_model_once(spark, series, monkeypatch):
+    """The criteria and the fitted rows that they need come from the same runs."""
+    import catalog
+
+    own = series({k: [10.0 + (i % 24) + 0.01 * i * (k == "b") for i in range(96)] for k in "ab"})
+    fits, fit = [], registry.run_model
+    monkeypatch.setattr(catalog, "_stored", {})
+    monkeypatch.setattr(catalog, "hourly_series", lambda spark, sf_dir: own)
+    monkeypatch.setattr(registry, "run_model", lambda df, code, params=None: fits.append(code) or fit(df, code, params))
+    got = {r["k"]: r["selected"] for r in catalog.select_by_aic(spark, "own rows").collect()}
+    assert sorted(got) == ["a", "b"] and sorted(fits) == sorted(registry.NAMES)
