@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesloom.llm.common import WORD, filled, free_name, map_rows
+from seriesloom.llm.common import WORD, filled, free_name, map_rows, release
 from seriesloom.llm.components import components
 from seriesloom.llm.words import mix, slices
 from seriesloom.session import materialize
@@ -244,6 +244,8 @@ def _signed(docs: DataFrame, width: int, bands: np.ndarray, schemes: list[Scheme
                 sig, text = signatures(grams, bounds, bands, schemes, over, under)
                 chosen = new[text]
                 yield pa.RecordBatch.from_arrays([pa.array(sig[chosen].astype(np.int64)), pa.array(keys[text[chosen]])], names=["s", "c"])
+            del batch
+            release()
 
     return _texts(docs).mapInArrow(run, "s long, c long")
 
@@ -267,6 +269,8 @@ def _sets(docs: DataFrame, width: int, bitmap: np.ndarray) -> DataFrame:
                         rows.append((k, int(bounds[i + 1] - bounds[i]), grams[bounds[i] : bounds[i + 1]].tobytes()))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], names=["c", "n", "grams"])
+            del batch
+            release()
 
     return _texts(docs).mapInArrow(run, "c long, n long, grams binary")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesloom.llm.common import release
+
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, most_docs: int, most_bytes: int, fold=F.max, total: bool = False) -> list[tuple[int, str, int]]:
     """At most ``most_docs`` (doc_id, text, 0 or 1), each text of at most ``most_bytes`` bytes, in an order given by the ids.
@@ -30,5 +32,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, allowed: Colu
     least = F.min_by(F.struct("text", "y"), F.struct(F.xxhash64("text"), "text")).alias("one")
     rows = texts.join(F.broadcast(truth), "doc_id").groupBy("doc_id").agg(least).select("doc_id", "one.text", "one.y")
     found = rows.toArrow()
-    out = list(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), found.column(2).to_pylist()))
-    return sorted(out)
+    out = sorted(zip(*(c.to_pylist() for c in found.columns)))
+    del found
+    release()  # of the texts only the strings are needed while they are fitted
+    return out

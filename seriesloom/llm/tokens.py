@@ -16,8 +16,11 @@ import pyarrow.compute as pc
 from public_tokenizers import path
 from tokenizers import Tokenizer, pre_tokenizers
 
-MOST_PARTS = 800_000  # parts that a worker keeps for good, the first it meets
-PASSING_PARTS = 200_000  # later parts, kept until there are so many
+# A worker keeps its encoders, and what they hold stays beside all later stages of its executor.
+MOST_PARTS = 250_000  # words that a worker keeps for good, the first it meets twice
+PASSING_PARTS = 150_000  # words met once, kept until there are so many
+MOST_BYTE_PARTS = 800_000  # other parts that a worker keeps for good, the first it meets
+PASSING_BYTE_PARTS = 200_000  # later ones, kept until there are so many
 MOST_TAILS = 10_000  # runs of punctuation that a worker keeps
 _MARK = "\x01"
 _CUTS = re.compile(r"(?<=\S)(?= )")
@@ -37,7 +40,7 @@ def encoder(name: str) -> "Encoder":
 
 
 class Parts(dict):
-    """Ids of parts; those that came too late to be kept for good are found in ``passing``."""
+    """Ids of parts, kept for good once they were met in two calls; those met in one so far are found in ``passing``."""
 
     def __init__(self):
         super().__init__()
@@ -47,13 +50,13 @@ class Parts(dict):
         return self.passing[part]
 
     def add(self, found: dict, wanted: set) -> None:
-        """Keep ``found``; of the passing parts, ``wanted`` are still needed."""
+        """Keep ``found``, which is new; ``wanted`` are passing parts that came again and are still needed."""
         if len(self) < MOST_PARTS:
-            self.update(found)
-        else:
-            if len(self.passing) > PASSING_PARTS:
-                self.passing = {p: self.passing[p] for p in wanted}
-            self.passing.update(found)
+            self.update((p, self.passing.pop(p)) for p in wanted)
+            wanted = ()
+        if len(self.passing) > PASSING_PARTS:
+            self.passing = {p: self.passing[p] for p in wanted}
+        self.passing.update(found)
 
 
 class Met(Parts):
@@ -77,11 +80,11 @@ class Met(Parts):
         return self.get(part) or self.passing.get(part)
 
     def keep(self, part, ids: bytes) -> None:
-        (self if len(self) < MOST_PARTS else self.passing)[part] = ids
+        (self if len(self) < MOST_BYTE_PARTS else self.passing)[part] = ids
 
     def begin(self) -> None:
         """Before some texts: passing parts go if there are too many; none goes while the texts are encoded."""
-        if len(self.passing) > PASSING_PARTS:
+        if len(self.passing) > PASSING_BYTE_PARTS:
             self.passing.clear()
 
     def learnt(self, found: dict) -> None:
@@ -131,8 +134,7 @@ class Encoder:
         cut = [self.parts(t) for t in texts]
         new = set(filterfalse(self.known.__contains__, set().union(*cut)))  # a set's difference would go through all that is known
         passing = new & self.known.passing.keys()
-        if len(passing) < len(new):
-            self.known.add(self.learn(new - passing), passing)
+        self.known.add(self.learn(new - passing), passing)
         get = self.known.__getitem__
         return [b"".join(map(get, parts)) for parts in cut]
 

@@ -39,6 +39,7 @@ _PLAIN = bytearray(range(256))
 for _c in range(128):
     _PLAIN[_c] = _c + 32 if 65 <= _c <= 90 else _c if 97 <= _c <= 122 else 10 if chr(_c) in ".!?\n" else 32
 _PLAIN = bytes(_PLAIN)
+BATCH = 256  # texts that a worker holds as Python strings at once
 _SENTENCE = re.compile(rb"[^\n]*[^\n ][^\n]*")
 
 
@@ -73,24 +74,34 @@ def features(word: bytes) -> list[bytes]:
     return [word, *[word[:k] + b"-" for k in range(3, min(8, len(word)))]]
 
 
+def _features_of(text: str) -> set[bytes]:
+    return {f for w in set(text.encode().translate(_PLAIN).split()) for f in features(w)}
+
+
 def fit(sample: list[tuple[int, str, int]], s: Settings = Settings()) -> Model:
-    docs = [[words for _, _, words in sentences(text.encode())] for _, text, _ in sample]
     y = np.array([label for _, _, label in sample], float)
     if not len(y) or y.min() == y.max():
         return Model(0.0, {}, float(y.mean()) if len(y) else 0.0)
-    df = Counter(), Counter()  # documents with each feature, by label
-    for d, label in zip(docs, y.astype(int)):
-        df[label].update({f for w in set().union(*d) for f in features(w)})
-    # Candidates: features surely over-represented in toxic documents. All others keep weight zero.
+    # Candidates: features surely over-represented in toxic documents. All others keep weight zero, so those of clean
+    # documents alone are not counted, and texts are cut again where they are needed: words of all would fill the driver.
+    pos_df, neg_df = Counter(), Counter()  # documents with each feature, by label
+    for _, text, label in sample:
+        if label:
+            pos_df.update(_features_of(text))
+    for _, text, label in sample:
+        if not label:
+            neg_df.update(pos_df.keys() & _features_of(text))
     n_pos, n_neg = y.sum(), (1 - y).sum()
-    known = [f for f, n in df[1].items() if n + df[0][f] >= s.least_docs]
-    neg, pos = (np.array([c[f] for f in known], float) for c in df)
+    known = [f for f, n in pos_df.items() if n + neg_df[f] >= s.least_docs]
+    neg, pos = (np.array([c[f] for f in known], float) for c in (neg_df, pos_df))
+    del pos_df, neg_df
     gain = np.log((pos + 0.5) / (n_pos + 1)) - np.log((neg + 0.5) / (n_neg + 1)) - s.doubt * np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
     start = {f: float(x) for f, x in zip(known, gain) if x > 0}
     vocabulary = sorted(start)
     place = {f: i for i, f in enumerate(vocabulary)}
     ids, sizes, doc, idle = [], [], [], np.zeros(len(y))
-    for i, d in enumerate(docs):
+    for i, (_, text, _) in enumerate(sample):
+        d = [words for _, _, words in sentences(text.encode())]
         of = {w: own for w in set().union(*d) if (own := [place[f] for f in features(w) if f in place])}
         for words in d:
             hot = of.keys() & words
@@ -172,7 +183,7 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str], s: Settings = Se
             return float(-np.expm1(-(evidence + idle * found))), spots
 
         def work(texts: pa.Array) -> list:
-            out = [one(t.encode()) for t in texts.to_pylist()]
+            out = [one(t.encode()) for a in range(0, len(texts), BATCH) for t in texts.slice(a, BATCH).to_pylist()]
             return [pa.array([x for x, _ in out], pa.float64()), pa.array([x for _, x in out], arrow)]
 
         return work

@@ -44,6 +44,18 @@ def test_encoder_with_little_memory(monkeypatch):
     assert len(own.known) < 200
 
 
+def test_words_met_once_are_not_kept_for_good(monkeypatch):
+    """Workers are kept, so words that never come again would stay beside all later stages."""
+    from seriesloom.llm import tokens
+
+    monkeypatch.setattr(tokens, "PASSING_PARTS", 300)
+    own = tokens.WordEncoder("word_bpe_49k.json")
+    for i in range(12):
+        texts = [f"These words return. {' '.join(f'once{i}x{j}y{k}' for k in range(20))}" for j in range(5)]
+        assert own.encode(texts) == [np.array(plain_ids("word_bpe_49k.json", t), "<u4").tobytes() for t in texts]
+    assert sorted(own.known) == [b"return.", b"these", b"words"] and len(own.known.passing) <= 400
+
+
 def test_files_round_trip(spark, docs_of, odd_rows):
     folder = token_files.write_token_files(docs_of(odd_rows))
     rows = token_files.read_token_files(spark, folder).orderBy("row_id").collect()

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,19 @@ def test_odd_rows(scored, odd_rows):
     assert all(0 <= got[1000 + (r[0] or 0)]["score"] <= 1 for r in odd_rows)
 
 
+def test_fit_holds_no_words_of_all_texts():
+    """Words of clean documents alone are no candidates; the driver holds the texts, not every word and prefix of them."""
+    docs, labels = corpus()
+    rows = [(i, t, y[2]) for (i, t), y in zip(docs, labels)]
+    digits = str.maketrans("0123456789", "ghijklmnop")
+    rows += [(1000 + i, " ".join(f"z{i:03}{k:03}".translate(digits) + "." * (k % 10 == 9) for k in range(300)), 0) for i in range(400)]
+    tracemalloc.start()
+    m = toxicity.fit(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {b"idiot", b"clownish"} <= m.weights.keys() and peak < 6 * sum(len(t) for _, t, _ in rows)
+
+
 def test_no_rows_and_no_labels(docs_of, labels_of):
     assert toxicity.detect(docs_of([]), labels_of([]), F.lit(True)).collect() == []
     out = toxicity.detect(docs_of([(1, "some text"), (None, "x")]), labels_of([]), F.lit(True)).collect()
