@@ -1,13 +1,14 @@
 """How far the sources of a language differ in their words, by factorizing texts into chunks.
 
 Texts are cut at white space into chunks, counted for each document: blocks of documents of one language give
-the documents and occurrences of each of their different chunks by source. Each chunk that is globally
+the documents and occurrences of each of their different chunks by source. They travel packed, a row for each
+block and range of hashes of chunks, and are summed range by range. Each chunk that is globally
 distinct is cut into terms once, and the terms come back to the counts by a join on the chunk.
 
 A term is kept if enough documents of its language hold it. It has at least as many as its most frequent chunk and at
 most as many as its chunks together, which decides nearly all terms. For the others the documents themselves
-are listed: in a second pass over the texts, restricted to chunks whose bits are set in a broadcast sieve, and
-counted once each.
+are listed: in a second pass over the texts, restricted to chunks whose bits are set in a broadcast sieve (other
+chunks do not leave their block), and counted once each.
 
 Counts are smoothed to whole numbers out of ``SCALE``; two sources are apart by the sum of the differences
 over all kept terms, and a source's own terms are those above the share in its language.
@@ -19,7 +20,8 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ from pyspark.sql import Window as W
 
 from seriesloom.llm.common import filled, release
 from seriesloom.llm.sieve import free, sieve_of
+from seriesloom.llm.words import mix, string_hashes
 from seriesloom.session import materialize
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"  # a run of ASCII letters and other characters beyond ASCII
@@ -38,7 +41,11 @@ SCALE = 1_000_000_000
 BLOCK_BYTES, BLOCK_DOCS = 5 << 20, 1 << 16
 CELLS = 4_000_000
 SIEVE_BITS = 28
-COUNTS = "lang string, source string, chunk string, docs long, n long"
+RANGE_BITS = 12  # of a chunk's hash that name its range
+PACKED_ROWS = 1024  # summed at once
+OPEN_COUNTS = 1_000_000  # counts of one range that are summed before its end
+PACKED = "range int, lang string, sources array<string>, runs binary, letters binary, sizes binary, counts binary"
+CHUNKS = "chunk string, cells array<struct<lang: string, source: string, docs: long, n: long>>, langs array<struct<lang: string, docs: long>>"
 PLACES = "lang string, chunk string, block long, docs array<int>"
 
 
@@ -54,29 +61,38 @@ def byte_slices(texts: pa.Array, limit: int, rows: int) -> Iterator[tuple[int, i
 
 
 class Block:
-    """The chunks of some texts: the different ones (``kinds``), and how often each text has them, ordered by chunk and text."""
+    """The chunks of some texts: the different ones (``kinds``), and how often each text has them, ordered by chunk and text.
 
-    def __init__(self, texts: pa.Array):
+    With ``listed``, which marks the strings of an array that it wants, all other chunks are left out.
+    """
+
+    def __init__(self, texts: pa.Array, listed: Callable[[pa.Array], np.ndarray] | None = None):
         n = max(1, len(texts))
         parts = pc.ascii_split_whitespace(texts)
         words = pc.dictionary_encode(parts.flatten())
-        self.kinds = words.dictionary
-        keys = words.indices.to_numpy() * np.int64(n)
-        keys += np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(parts).to_numpy())
+        self.kinds, kind = words.dictionary, words.indices.to_numpy()
+        doc = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(parts).to_numpy())
         del words, parts
+        if listed:
+            wanted = listed(self.kinds)
+            self.kinds, met = self.kinds.filter(pa.array(wanted)), wanted[kind]
+            kind, doc = (np.cumsum(wanted) - 1)[kind[met]], doc[met]
+        keys = kind * np.int64(n)
+        keys += doc
+        del kind, doc
         cells, self.times = np.unique(keys, return_counts=True)
         self.chunk, self.doc = cells // n, cells % n
 
     def by_source(self, sources: pa.Array) -> list[pa.Array]:
         """Source, chunk, documents and occurrences."""
         named = pc.dictionary_encode(sources)
-        key = self.chunk * np.int64(max(1, len(named.dictionary))) + named.indices.to_numpy()[self.doc]
+        width = max(1, len(named.dictionary))
+        key = self.chunk * np.int64(width) + named.indices.to_numpy()[self.doc]
         order = np.argsort(key, kind="stable")
         key = key[order]
         first = np.flatnonzero(np.diff(key, prepend=-1))
         n = np.add.reduceat(self.times[order], first) if len(first) else np.zeros(0, np.int64)
-        width = max(1, len(named.dictionary))
-        return [named.dictionary.take(pa.array(key[first] % width)), self.kinds.take(pa.array(key[first] // width)),
+        return [pa.DictionaryArray.from_arrays((key[first] % width).astype(np.int32), named.dictionary), pa.DictionaryArray.from_arrays((key[first] // width).astype(np.int32), self.kinds),
                 pa.array(np.diff(np.append(first, len(key)))), pa.array(n.astype(np.int64))]
 
     def places(self) -> list[pa.Array]:
@@ -100,32 +116,173 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array,
     release()
 
 
-def _rows(columns: list[pa.Array], names: list[str], lang: str) -> Iterator[pa.RecordBatch]:
-    for a in range(0, len(columns[0]), 1 << 16):
-        part = [c.slice(a, 1 << 16) for c in columns]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part[0]), pa.string()), *part], names=["lang", *names])
-
-
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Language, source, chunk, documents and occurrences, a batch for each block."""
     for lang, sources, texts in _blocks(batches):
-        yield from _rows(Block(texts).by_source(sources), ["source", "chunk", "docs", "n"], lang)
+        order = pc.sort_indices(sources)  # so that the cells of a block are in order of source at once
+        columns = Block(texts.take(order)).by_source(sources.take(order))
+        langs = pa.DictionaryArray.from_arrays(np.zeros(len(columns[0]), np.int32), pa.array([lang], pa.string()))
+        del sources, texts, order
+        yield pa.RecordBatch.from_arrays([langs, *columns], names=["lang", "source", "chunk", "docs", "n"])
+        del langs, columns
+
+
+def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Items of ``values`` between each two ``bounds``."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _joined(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The items of all rows, and how many each row has."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    items = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind)
+    return items, np.diff(ends) // items.itemsize
+
+
+def pack(counts: pa.RecordBatch) -> pa.RecordBatch:
+    """Counts of a block as a row for each range of hashes of chunks: its chunks (``letters`` and ``sizes``), and by source
+    (``runs``) the chunk's number, documents and occurrences."""
+    source, chunk = counts.column("source"), counts.column("chunk")
+    ranges = (string_hashes(chunk.dictionary) >> np.uint64(64 - RANGE_BITS)).astype(np.int16)
+    order = np.argsort(ranges, kind="stable")
+    kinds, ranges = chunk.dictionary.take(pa.array(order)), ranges[order]
+    first = np.flatnonzero(np.diff(ranges, prepend=-1))
+    bounds = np.append(first, len(kinds))
+    row_of = np.repeat(np.arange(len(first)), np.diff(bounds))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    at = place[chunk.indices.to_numpy()]
+    width = len(source.dictionary)
+    key = row_of[at] * width + source.indices.to_numpy()
+    order = np.argsort(key.astype(np.min_scalar_type(len(first) * width)), kind="stable")  # sorted by digits if it is short
+    key, at = key[order], at[order]
+    row = row_of[at]
+    table = np.stack([at - first[row], counts.column("docs").to_numpy()[order], counts.column("n").to_numpy()[order]], axis=1).astype("<i4")
+    runs = np.flatnonzero(np.diff(key, prepend=-1))
+    rows = np.arange(len(first) + 1)
+    run_bounds = np.searchsorted(key[runs] // width, rows)
+    ends = np.frombuffer(kinds.buffers()[1], np.int32)[: len(kinds) + 1].astype(np.int64)
+    letters = kinds.buffers()[2]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ranges[first].astype(np.int32)), counts.column("lang").dictionary.take(pa.array(np.zeros(len(first), np.int32))),
+         pa.ListArray.from_arrays(pa.array(run_bounds.astype(np.int32)), source.dictionary.take(pa.array(key[runs] % width))),
+         _binary(np.diff(np.append(runs, len(key))).astype("<i4"), run_bounds), _binary(np.frombuffer(letters if letters is not None else b"", np.uint8), ends[bounds]),
+         _binary(np.diff(ends).astype("<i4"), bounds), _binary(table.ravel(), 3 * np.searchsorted(row, rows))],
+        names=["range", "lang", "sources", "runs", "letters", "sizes", "counts"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for counts in _counts(batches):
+        rows = pack(counts) if counts.num_rows else None
+        del counts
+        if rows is not None:
+            yield rows
+        del rows
+
+
+def unpack(rows: pa.RecordBatch) -> pa.Table:
+    """Language, source, chunk, documents and occurrences of packed rows."""
+    letters, _ = _joined(rows.column("letters"), np.uint8)
+    sizes, kinds = _joined(rows.column("sizes"), np.int32)
+    table, cells = _joined(rows.column("counts"), np.int32)
+    runs, _ = _joined(rows.column("runs"), np.int32)
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+    words = pc.dictionary_encode(pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(letters)))
+    table, cells = table.reshape(-1, 3), cells // 3
+    chunk = words.indices.to_numpy()[table[:, 0] + np.repeat(np.cumsum(kinds) - kinds, cells)]
+    lang, source = pc.dictionary_encode(rows.column("lang")), pc.dictionary_encode(rows.column("sources").flatten())
+    columns = [(np.repeat(lang.indices.to_numpy(), cells), lang), (np.repeat(source.indices.to_numpy(), runs), source), (chunk, words)]
+    return pa.table([*(pa.DictionaryArray.from_arrays(codes, of.dictionary) for codes, of in columns), table[:, 1].astype(np.int64), table[:, 2].astype(np.int64)],
+                    names=["lang", "source", "chunk", "docs", "n"])
+
+
+def summed(counts: list[pa.Table]) -> pa.Table:
+    """One row for each chunk, language and source, in this order (of their numbers)."""
+    table = (pa.concat_tables(counts).unify_dictionaries() if len(counts) > 1 else counts[0]).combine_chunks()
+    lang, source, chunk = (table.column(i).chunk(0) for i in range(3))
+    groups, group = np.unique(lang.indices.to_numpy() * np.int64(len(source.dictionary)) + source.indices.to_numpy(), return_inverse=True)
+    key = chunk.indices.to_numpy() * np.int64(len(groups)) + group
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    docs, n = (np.add.reduceat(table.column(c).to_numpy()[order], first) for c in ("docs", "n"))
+    key, group = key[first], groups[key[first] % len(groups)]
+    codes = (group // len(source.dictionary), group % len(source.dictionary), key // len(groups))
+    return pa.table([*(pa.DictionaryArray.from_arrays(c.astype(np.int32), of.dictionary) for c, of in zip(codes, (lang, source, chunk))), docs, n], names=table.column_names)
+
+
+def _by_chunk(counts: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Each chunk with its cells, and its documents by language."""
+    lang, source, chunk = (counts.column(i).chunk(0) for i in range(3))
+    docs, code, kind = counts.column("docs").to_numpy(), lang.indices.to_numpy(), chunk.indices.to_numpy()
+    cells = pa.StructArray.from_arrays([lang.dictionary_decode(), source.dictionary_decode(), counts.column("docs").chunk(0), counts.column("n").chunk(0)], names=["lang", "source", "docs", "n"])
+    first = np.flatnonzero(np.diff(kind * np.int64(len(lang.dictionary)) + code, prepend=-1))
+    langs = pa.StructArray.from_arrays([lang.dictionary.take(pa.array(code[first])), pa.array(np.add.reduceat(docs, first))], names=["lang", "docs"])
+    kinds = np.arange(len(chunk.dictionary) + 1)
+    lists = [pa.ListArray.from_arrays(pa.array(np.searchsorted(of, kinds).astype(np.int32)), items) for of, items in ((kind, cells), (kind[first], langs))]
+    rows = pa.RecordBatch.from_arrays([chunk.dictionary, *lists], names=["chunk", "cells", "langs"])
+    for a in range(0, len(rows), 1 << 15):
+        yield rows.slice(a, 1 << 15)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of packed rows that come in order of their ranges; a range's counts are summed on the way when they are many."""
+    held, last, limit = [], None, OPEN_COUNTS
+    for batch in batches:
+        for a, b in byte_slices(batch.column("letters"), BLOCK_BYTES, PACKED_ROWS):
+            part = batch.slice(a, b - a)
+            ranges = part.column("range").to_numpy()
+            start = int(np.searchsorted(ranges, ranges[-1]))  # of the last range, which may go on
+            if start:
+                held.append(unpack(part.slice(0, start)))
+            if held and ranges[-1] != last:
+                yield from _by_chunk(summed(held))
+                held, limit = [], OPEN_COUNTS
+            held.append(unpack(part.slice(start)))
+            last = ranges[-1]
+            if sum(map(len, held)) > limit:
+                held = [summed(held)]
+                limit = max(OPEN_COUNTS, 2 * len(held[0]))
+            del part
+        del batch
+        release()
+    if held:
+        yield from _by_chunk(summed(held))
+    held.clear()
+    release()
+
 
+def _slots(lang: str, chunks: pa.Array) -> np.ndarray:
+    return (mix(string_hashes(chunks) + string_hashes(pa.array([lang], pa.string()))) >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    first = TaskContext.get().partitionId() << 40
-    for number, (lang, _, texts) in enumerate(_blocks(batches)):
-        kinds, docs = Block(texts).places()
-        yield from _rows([kinds, pa.array(np.full(len(kinds), first + number)), docs], ["chunk", "block", "docs"], lang)
 
+def _with_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Column ``slot``: bits of the hash of language and chunk."""
+    for batch in batches:
+        langs, chunks = pc.dictionary_encode(batch.column("lang")), batch.column("chunk")
+        slots = np.zeros(batch.num_rows, np.int64)
+        for code, lang in enumerate(langs.dictionary.to_pylist()):
+            own = langs.indices.to_numpy() == code
+            slots[own] = _slots(lang, chunks.filter(pa.array(own)))
+        yield batch.append_column("slot", pa.array(slots))
 
-def _listed(sieve, bits: int):
-    """Rows whose bit is set."""
+
+def _places(sieve, bits: int):
+    """The documents of chunks whose bit is set, by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(sieve.value, np.uint8)
-        for batch in batches:
-            slots = batch.column("slot").to_numpy() >> (SIEVE_BITS - bits)
-            yield batch.filter(pa.array(((known[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1).astype(bool))).drop_columns(["slot"])
+        known, first = np.frombuffer(sieve.value, np.uint8), TaskContext.get().partitionId() << 40
+
+        def listed(lang: str, kinds: pa.Array) -> np.ndarray:
+            slots = _slots(lang, kinds) >> (SIEVE_BITS - bits)
+            return ((known[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1).astype(bool)
+
+        for number, (lang, sources, texts) in enumerate(_blocks(batches)):
+            kinds, docs = Block(texts, partial(listed, lang)).places()
+            del sources, texts
+            columns = [pa.array([lang] * len(kinds), pa.string()), kinds, pa.array(np.full(len(kinds), first + number)), docs]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "chunk", "block", "docs"])
+            del kinds, docs, columns
 
     return run
 
@@ -138,25 +295,17 @@ def lowered(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _slot() -> Column:
-    return F.shiftrightunsigned(F.xxhash64("lang", "chunk"), 64 - SIEVE_BITS)
-
-
 def _listed_terms(plain: DataFrame, wanted: DataFrame, least_docs: int) -> DataFrame:
-    """``(lang, term)`` of those of ``(lang, chunk, term)`` that enough documents hold, by listing these."""
-    sieve, bits = sieve_of(wanted.select("lang", "chunk", _slot().alias("slot")), SIEVE_BITS)
-    rows = plain.mapInArrow(_places, PLACES).withColumn("slot", _slot()).mapInArrow(_listed(sieve, bits), PLACES)
-    met = rows.join(wanted, ["lang", "chunk"]).select("lang", "term", "block", F.explode("docs").alias("doc")).distinct()
+    """``(lang, term)`` of those of ``(lang, chunk, term, slot)`` that enough documents hold, by listing these."""
+    sieve, bits = sieve_of(wanted, SIEVE_BITS)
+    met = plain.mapInArrow(_places(sieve, bits), PLACES).join(wanted, ["lang", "chunk"]).select("lang", "term", "block", F.explode("docs").alias("doc")).distinct()
     return met.groupBy("lang", "term").count().filter(F.col("count") >= least_docs).select("lang", "term")
 
 
 def factors(plain: DataFrame) -> DataFrame:
     """``(chunk, cells, langs, terms)``: each distinct chunk once, its counts by group and language, and its terms."""
-    # A block gives one row for a chunk and source, and little is equal beyond blocks: rows are dealt by chunk at once.
-    counts = plain.mapInArrow(_counts, COUNTS).repartition("chunk").groupBy("chunk", "lang", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    whole = counts.groupBy("chunk").agg(F.collect_list(F.struct("lang", "source", "docs", "n")).alias("cells"))  # at most one cell a group
-    in_lang = F.expr("transform(array_distinct(cells.lang), x -> named_struct('lang', x, 'docs', aggregate(filter(cells, c -> c.lang = x), 0L, (s, c) -> s + c.docs)))")
-    return whole.select("chunk", "cells", in_lang.alias("langs"), F.regexp_extract_all(lowered(F.col("chunk")), F.lit(TERM), F.lit(0)).alias("terms"))
+    packed = plain.mapInArrow(_packed, PACKED).repartition("range").sortWithinPartitions("range")
+    return packed.mapInArrow(_summed, CHUNKS).select("chunk", "cells", "langs", F.regexp_extract_all(lowered(F.col("chunk")), F.lit(TERM), F.lit(0)).alias("terms"))
 
 
 def term_counts(docs: DataFrame, least_docs: int = 30) -> DataFrame:
@@ -170,7 +319,8 @@ def term_counts(docs: DataFrame, least_docs: int = 30) -> DataFrame:
     bounds = materialize(bounds, "term-bounds")
     kept = bounds.filter(F.col("fewest") >= least_docs).select("lang", "term")
     open_ = bounds.filter(F.col("fewest") < least_docs).select("lang", "term")
-    wanted = materialize(of_lang.filter(F.col("docs") < least_docs).join(open_, ["lang", "term"]).select("lang", "chunk", "term"), "open-chunks")
+    wanted = of_lang.filter(F.col("docs") < least_docs).join(open_, ["lang", "term"]).select("lang", "chunk", "term")
+    wanted = materialize(wanted.mapInArrow(_with_slots, "lang string, chunk string, term string, slot long"), "open-chunks")
     if not wanted.isEmpty():
         kept = kept.unionByName(materialize(_listed_terms(plain, wanted, least_docs), "listed-terms"))
     free(docs.sparkSession)

@@ -1,7 +1,9 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from seriesloom.llm import divergence
 from tests.llm.conftest import make_text
@@ -94,3 +96,60 @@ def test_memory_goes_back_after_each_block(monkeypatch):
     batch = lambda i: pa.RecordBatch.from_arrays([pa.array(["en"] * 40), pa.array(["s"] * 40), pa.array([make_text(i + j, 20) for j in range(40)])], names=["lang", "source", "text"])
     found = sum(sum(b.column("n").to_pylist()) for b in divergence._counts(batch(i) for i in (0, 50)))
     assert found == 2 * 40 * 20 and len(calls) > 8 and calls[-1] <= held + 100_000
+
+
+def _block(seed, n=60):
+    texts = [make_text(seed * n + i, 30) + f" own{i % 7}x{seed} été{i}" for i in range(n)]
+    return pa.RecordBatch.from_arrays([pa.array(["en" if i % 3 else "de" for i in range(n)]), pa.array([f"s{i * 7 % 5}" for i in range(n)]), pa.array(texts)], names=["lang", "source", "text"])
+
+
+def _plain(batches):
+    docs, n = Counter(), Counter()
+    for b in batches:
+        for lang, source, text in zip(*(c.to_pylist() for c in b.columns)):
+            n.update((lang, source, w) for w in text.split())
+            docs.update((lang, source, w) for w in set(text.split()))
+    return {k: (docs[k], n[k]) for k in n}
+
+
+def test_counts_travel_as_few_rows():
+    """A row for each range of hashes, not for each chunk and source of a block."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 200), pa.array([f"s{i % 20}" for i in range(200)]), pa.array([" ".join(f"w{j}" for j in range(i, i + 400)) for i in range(200)])],
+                                       names=["lang", "source", "text"])
+    rows = list(divergence._packed(iter([batch])))
+    counts = list(divergence._counts(iter([batch])))
+    assert sum(map(len, counts)) > 11_000 and sum(map(len, rows)) <= 599
+    found = {(x["lang"], x["source"], x["chunk"]): (x["docs"], x["n"]) for r in rows for x in divergence.unpack(r).to_pylist()}
+    assert found == _plain([batch])
+
+
+def test_packed_counts_are_summed_by_range(monkeypatch):
+    batches = [_block(i) for i in range(6)]
+    rows = pa.Table.from_batches([r for b in batches for r in divergence._packed(iter([b]))]).sort_by("range").combine_chunks().to_batches()[0]
+    for at_once, open_, size in ((1024, 1_000_000, 10_000), (3, 20, 50), (1, 1, 7)):
+        monkeypatch.setattr(divergence, "PACKED_ROWS", at_once)
+        monkeypatch.setattr(divergence, "OPEN_COUNTS", open_)
+        out = [x for b in divergence._summed(rows.slice(a, size) for a in range(0, len(rows), size)) for x in b.to_pylist()]
+        want = _plain(batches)
+        assert len(out) == len({w for _, _, w in want})
+        assert {(c["lang"], c["source"], x["chunk"]): (c["docs"], c["n"]) for x in out for c in x["cells"]} == want
+        for x in out:
+            assert len(x["cells"]) == sum(1 for k in want if k[2] == x["chunk"])
+            assert {d["lang"]: d["docs"] for d in x["langs"]} == Counter({lang: sum(v[0] for k, v in want.items() if k[0] == lang and k[2] == x["chunk"]) for lang in {k[0] for k in want if k[2] == x["chunk"]}})
+    assert list(divergence._summed(iter([]))) == []
+
+
+def test_unlisted_chunks_do_not_leave_their_block():
+    block = divergence.Block(pa.array(["a b a", "", "b\tc\x0bb d"]), lambda kinds: pc.is_in(kinds, pa.array(["b", "d"])).to_numpy(zero_copy_only=False))
+    assert dict(zip(*(x.to_pylist() for x in block.places()))) == {"b": [0, 2], "d": [2]}
+    assert divergence.Block(pa.array(["a"]), lambda kinds: np.zeros(len(kinds), bool)).places()[0].to_pylist() == []
+
+
+def test_hashes_of_strings_equal_those_of_words():
+    from seriesloom.llm.words import string_hashes, slices
+
+    strings = pa.array(["skipped", "a", "été", "A", "b" * 5000, "a", "日本"])
+    (_, _, words), = slices(strings)
+    assert (string_hashes(strings) == words.hashes(lower=False)).all()
+    assert (string_hashes(strings.slice(1, 3)) == words.hashes(lower=False)[1:4]).all()
+    assert len(string_hashes(pa.array([], pa.string()))) == 0 and len(set(string_hashes(pa.array(["", "", "x"])).tolist())) == 2
