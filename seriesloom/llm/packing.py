@@ -38,9 +38,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesloom.llm.common import map_rows, running_totals
-from seriesloom.llm.token_files import BATCH, encode_ids
+from seriesloom.llm.divergence import byte_slices
+from seriesloom.llm.token_files import encode_ids
 from seriesloom.session import materialize
 
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 4096  # of texts that are encoded at once
 Bins = dict[tuple[int, ...], int]  # lengths in a bin, longest first: number of such bins
 
 _PIECE = T.StructType([T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
@@ -56,12 +58,12 @@ def cut_pieces(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) ->
 
         def work(texts: pa.Array) -> list:
             own, offsets, rows = encoder(vocabulary), [0], []
-            for a in range(0, len(texts), BATCH):
-                for raw in own.encode(texts.slice(a, BATCH).to_pylist()):
+            for a, b in byte_slices(texts, SLICE_BYTES, SLICE_ROWS):
+                for raw in own.encode(texts.slice(a, b - a).to_pylist()):
                     raw += end
-                    for i, b in enumerate(range(0, len(raw), 4 * capacity)):
-                        one = raw[b : b + 4 * capacity]
-                        rows.append((i, b // 4, len(one) // 4, zlib.crc32(one)))
+                    for i, at in enumerate(range(0, len(raw), 4 * capacity)):
+                        one = raw[at : at + 4 * capacity]
+                        rows.append((i, at // 4, len(one) // 4, zlib.crc32(one)))
                     offsets.append(len(rows))
             columns = [pa.array(c, t.type) for c, t in zip(zip(*rows), arrow)] if rows else [pa.array([], t.type) for t in arrow]
             return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, fields=list(arrow)))]

@@ -26,7 +26,6 @@ from seriesloom.llm.divergence import byte_slices
 from seriesloom.session import materialize, shared_dir
 
 SCHEMA = "doc_id long, row_id long, ids array<int>"
-BATCH = 256  # documents encoded at once
 SLICE_BYTES, SLICE_ROWS = 8 << 20, 4096  # of texts that are encoded at once here
 
 

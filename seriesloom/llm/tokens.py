@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 from itertools import chain, filterfalse
 
 import numpy as np
@@ -49,7 +50,7 @@ class Parts(dict):
     def __missing__(self, part):
         return self.passing[part]
 
-    def add(self, found: dict, wanted: set) -> None:
+    def add(self, found: dict, wanted: list) -> None:
         """Keep ``found``, which is new; ``wanted`` are passing parts that came again and are still needed."""
         if len(self) < MOST_PARTS:
             self.update((p, self.passing.pop(p)) for p in wanted)
@@ -97,7 +98,11 @@ class Encoder:
     def __init__(self, name: str):
         self.tokenizer = Tokenizer.from_file(path(name))
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.known = Parts()
+        self.tails: dict[str, bytes] = {}
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.latin = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, ord(_LAST_LATIN) + 1)}
         ids = [self.tokenizer.encode(b, add_special_tokens=False).ids for b in self.between]
         self.marks = [(b, i[-1], len(i)) for b, i in zip(self.between, ids)]
 
@@ -129,14 +134,26 @@ class Encoder:
                 start = end
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self.parts(t) for t in texts]
-        new = set(filterfalse(self.known.__contains__, set().union(*cut)))  # a set's difference would go through all that is known
-        passing = new & self.known.passing.keys()
-        self.known.add(self.learn(new - passing), passing)
-        get = self.known.__getitem__
-        return [b"".join(map(get, parts)) for parts in cut]
+    def _piece(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def _tail(self, tail: str) -> bytes:
+        """Ids of a run of punctuation."""
+        if tail not in self.tails:
+            if len(self.tails) >= MOST_TAILS:
+                self.tails.clear()
+            self.tails[tail] = self._piece(tail)
+        return self.tails[tail]
+
+
+def joined(lists: pa.ListArray, words: pa.DictionaryArray, ids: list[bytes]) -> Iterator[bytes]:
+    """Ids of each list of words, ``ids`` being those of each different word."""
+    ends = np.cumsum([0, *map(len, ids)]) // 4
+    kinds = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+    rows = kinds.take(words.indices)
+    ends = (4 * rows.offsets.to_numpy().astype(np.int64)[lists.offsets.to_numpy()]).tolist()
+    raw = rows.values.to_numpy().tobytes()
+    return (raw[a:b] for a, b in zip(ends, ends[1:]))
 
 
 class WordEncoder(Encoder):
@@ -144,8 +161,59 @@ class WordEncoder(Encoder):
 
     between = (f" {_MARK} ",)
 
-    def parts(self, text: str) -> list[bytes]:
-        return text.encode().lower().split()
+    def __init__(self, name: str):
+        super().__init__(name)
+        self.plain = Tokenizer(self.model)  # the model alone, for pieces divided by a space
+        self.plain.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a piece
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers. Each different word of the texts is looked up once."""
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.string())))
+        words = pc.dictionary_encode(lists.flatten())
+        wanted = words.dictionary.cast(pa.binary()).to_pylist()
+        self.meet(wanted)
+        return list(joined(lists, words, list(map(self.known.__getitem__, wanted))))
+
+    def meet(self, wanted: list[bytes]) -> None:
+        """Learn those of some different words that are new."""
+        new = list(filterfalse(self.known.__contains__, wanted))  # lists keep words in the order of memory
+        passing = list(filter(self.known.passing.__contains__, new))
+        new = list(filterfalse(self.known.passing.__contains__, new))
+        cut = list(map(self.cut, new))
+        ids = self.pieces(list(dict.fromkeys(piece[0] for piece in cut if piece)))
+        found = self.learn({part for part, piece in zip(new, cut) if not piece})
+        found.update((part, ids[piece[0]] + self._tail(piece[1]) if piece[1] else ids[piece[0]]) for part, piece in zip(new, cut) if piece)
+        self.known.add(found, passing)
+
+    def cut(self, part: bytes) -> tuple[str, str] | None:
+        """Latin letters as the model takes them, and punctuation after them: each is one piece, or empty (so is a word where
+        a text ends in white space). None for all other words."""
+        text = part.decode()
+        if part.isalpha():
+            return text, ""
+        letters = text.rstrip(_PUNCTUATION)
+        tail = text[len(letters) :]
+        if letters.isascii():
+            return None if letters and not letters.isalpha() else (letters, tail)
+        letters = letters.lower()
+        return None if not letters.isalpha() or max(letters) > _LAST_LATIN else (letters.translate(self.latin), tail)
+
+    def pieces(self, wanted: list[str]) -> dict[str, bytes]:
+        """Ids of pieces: many in one text, told apart by their last tokens."""
+        found, pieces = {"": b""}, list(filter(None, wanted))
+        for a in range(0, len(pieces), 200):
+            some = pieces[a : a + 200]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(some):
+                found.update((p, self._piece(p)) for p in some)
+                continue
+            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            found.update((p, raw[start:end]) for p, start, end in zip(some, [0, *ends], ends))
+        return found
 
     def whole(self, part: bytes) -> str:
         return part.decode()
@@ -168,14 +236,7 @@ class ByteEncoder(Encoder):
     def __init__(self, name: str):
         super().__init__(name)
         self.known = Met(self.one)
-        self.model = self.tokenizer.model
         self.line_feed = self._piece("\u010a")
-        self.tails: dict[str, bytes] = {}
-        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.latin = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, ord(_LAST_LATIN) + 1)}
-
-    def _piece(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def one(self, part) -> bytes | None:
         """Ids of a word of Latin letters, with or without punctuation after it: one or two pieces that the model takes as
@@ -196,13 +257,7 @@ class ByteEncoder(Encoder):
             ids = self._piece(lead + (letters if letters.isascii() else letters.translate(self.latin)))
             if lead and tail:
                 self.known.keep(letters, ids)
-        if tail:
-            if tail not in self.tails:
-                if len(self.tails) >= MOST_TAILS:
-                    self.tails.clear()
-                self.tails[tail] = self._piece(tail)
-            ids = ids + self.tails[tail]
-        return before + ids
+        return before + ids + (self._tail(tail) if tail else b"")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each different part of the texts is looked up once; words are encoded where they are met first, other new parts together."""
@@ -218,13 +273,8 @@ class ByteEncoder(Encoder):
             known.learnt(self.learn(known.waiting))
             ids = list(map(known.__getitem__, wanted))
         last = len(words.dictionary)
-        ends = np.cumsum([0, *map(len, ids[:last])]) // 4
-        kinds = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids[:last]), np.int32)))
-        rows = kinds.take(words.indices)
-        ends = 4 * rows.offsets.to_numpy().astype(np.int64)[lists.offsets.to_numpy()]
-        raw = rows.values.to_numpy().tobytes()
-        for n, a, b in zip(plain, ends.tolist(), ends[1:].tolist()):
-            out[n] = raw[a:b]
+        for n, own in zip(plain, joined(lists, words, ids[:last])):
+            out[n] = own
         for n, parts in odd.items():
             out[n] = b"".join(ids[last : last + len(parts)])
             last += len(parts)

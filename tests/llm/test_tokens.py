@@ -176,3 +176,15 @@ def test_words_with_punctuation_share_their_letters():
     again = len(pieces), len(bulk)
     own.encode(texts)
     assert (len(pieces), len(bulk)) == again
+
+
+def test_plain_words_do_not_pass_the_whole_tokenizer(monkeypatch):
+    """Latin letters and punctuation after them are pieces, which the model takes without normalizer and pattern."""
+    from seriesloom.llm import tokens
+
+    own, seen = tokens.WordEncoder("word_bpe_49k.json"), []
+    monkeypatch.setattr(own, "learn", lambda parts: seen.extend(parts) or tokens.WordEncoder.learn(own, parts))
+    words = ["river", "Ünïcode,", "ÉTÉ!!", "stone.", "stone,", "STONE", "ªº", "ß", "...", "it_", "a<|", "longer" * 40, "İstanbul", "x1y", "don't", "'s", "日本", "été.été", "ét", "<|endoftext|>", "ǅ.", "Ⱥb"]
+    texts = [" ".join(words), "", " ", *words, *(f" {w}\n" for w in words), make_text(3, 400)]
+    assert own.encode(texts) == [np.array(plain_ids("word_bpe_49k.json", t), "<u4").tobytes() for t in texts]
+    assert {p.decode() for p in seen} == {"İstanbul", "x1y", "don't", "'s", "日本", "été.été", "ét", "<|endoftext|>", "Ⱥb"}
