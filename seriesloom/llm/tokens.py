@@ -257,7 +257,13 @@ class ByteEncoder(Encoder):
             ids = self._piece(lead + (letters if letters.isascii() else letters.translate(self.latin)))
             if lead and tail:
                 self.known.keep(letters, ids)
-        return before + ids + (self._tail(tail) if tail else b"")
+        if tail:
+            if tail not in self.tails:
+                if len(self.tails) >= MOST_TAILS:
+                    self.tails.clear()
+                self.tails[tail] = self._piece(tail)
+            ids = ids + self.tails[tail]
+        return before + ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each different part of the texts is looked up once; words are encoded where they are met first, other new parts together."""
@@ -273,8 +279,13 @@ class ByteEncoder(Encoder):
             known.learnt(self.learn(known.waiting))
             ids = list(map(known.__getitem__, wanted))
         last = len(words.dictionary)
-        for n, own in zip(plain, joined(lists, words, ids[:last])):
-            out[n] = own
+        ends = np.cumsum([0, *map(len, ids[:last])]) // 4
+        kinds = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids[:last]), np.int32)))
+        rows = kinds.take(words.indices)
+        ends = 4 * rows.offsets.to_numpy().astype(np.int64)[lists.offsets.to_numpy()]
+        raw = rows.values.to_numpy().tobytes()
+        for n, a, b in zip(plain, ends.tolist(), ends[1:].tolist()):
+            out[n] = raw[a:b]
         for n, parts in odd.items():
             out[n] = b"".join(ids[last : last + len(parts)])
             last += len(parts)
