@@ -13,11 +13,13 @@ most) would bring together by chance, from the number of documents in the band.
 shares a signature is a candidate; candidates are verified exactly on their whole sets.
 
 Documents with equal sets are one class from the start, so copies are never paired. Candidate pairs
-are not listed either: classes that share a signature are joined to stars, the stars to candidate
-components, and the sets of one component (cut into blocks of bounded size if it is large) meet in a
-task, which verifies each class against the later ones of other groups and returns a spanning set
-of the links it found. So a group of near copies moves its sets once, and no link between
-components is lost.
+are not listed either: classes that share a signature are joined to stars, by the band that the
+signature is of, and the stars to candidate components. The sets of one component meet in a task,
+which verifies each class against the later ones of other groups and returns a spanning set of the
+links it found; so a group of near copies moves its sets once, and no link between components is
+lost. A component may also be a long chain of stars that unrelated texts form by a passage they
+share. If it is larger than a block, its sets therefore meet star by star, where all that share a
+signature are together, and only a star that is itself larger is cut into blocks.
 
 N-grams and sets are compared by 64-bit hashes (two for a class).
 
@@ -40,13 +42,15 @@ from pyspark.sql import types as T
 
 from seriesloom.llm.common import WORD, filled, free_name, map_rows, release
 from seriesloom.llm.components import components
+from seriesloom.llm.sieve import free
 from seriesloom.llm.words import mix, slices
 from seriesloom.session import materialize
 
 _U = np.uint64
 FILTER_BITS = 24  # size of the bitmap that keeps texts without a candidate from being hashed into sets again
 PAIR_COST = 20.0  # of a pair brought together by chance, in signatures
-BLOCK_TOKENS = 1 << 18  # n-grams of one component that meet in a task at most, from each side
+BLOCK_TOKENS = 1 << 18  # n-grams of one component or star that meet in a task at most, from each side
+BAND_BITS = 7  # of a signature that hold its band
 
 
 @dataclass(frozen=True)
@@ -126,7 +130,7 @@ def class_keys(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def signatures(grams: np.ndarray, bounds: np.ndarray, bands: np.ndarray, schemes: list[Scheme | None], over: int, under: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, text) of all sets: under the scheme of their own band and of the next."""
+    """(signature, text) of all sets: under the scheme of their own band and of the next, in the lowest ``BAND_BITS`` bits."""
     sizes = np.diff(bounds)
     text = np.repeat(np.arange(len(sizes)), sizes)
     band = np.searchsorted(bands, sizes, "right") - 1
@@ -152,10 +156,11 @@ def signatures(grams: np.ndarray, bounds: np.ndarray, bands: np.ndarray, schemes
         place = np.arange(first[-1]) - first[owner]
         salt = mix((scheme[owner] * 1_000_003 + place).astype(_U))
 
-        def sign(lo, hi, own):
-            return mix(mix(lo.astype(_U) + own) + hi.astype(_U) * _U(0x9E3779B97F4A7C15))
+        def sign(lo, hi, own, band):
+            h = mix(mix(lo.astype(_U) + own) + hi.astype(_U) * _U(0x9E3779B97F4A7C15))
+            return h >> _U(BAND_BITS) << _U(BAND_BITS) | (band.astype(_U) & _U((1 << BAND_BITS) - 1))
 
-        signed = sign(lows, highs, salt)
+        signed = sign(lows, highs, salt, scheme[owner])
         # Without doubles, a set shows as many of its strongest segments as it can differ from a linked set, and one more.
         differ = (under - over) * (sizes + np.minimum(largest[scheme], sizes * under // over)) // (under + over)
         order = np.lexsort((signed, -np.bincount(at, minlength=first[-1]), owner))
@@ -167,38 +172,57 @@ def signatures(grams: np.ndarray, bounds: np.ndarray, bands: np.ndarray, schemes
         lacking = np.flatnonzero(segment >= s[of])
         if len(lacking):
             k = at[lacking]
-            out_sig.append(sign(lows[k] - low[use][lacking], highs[k] - high[use][lacking], salt[k]))
+            out_sig.append(sign(lows[k] - low[use][lacking], highs[k] - high[use][lacking], salt[k], scheme[of[lacking]]))
             out_text.append(of[lacking])
     if not out_sig:
         return np.zeros(0, _U), np.zeros(0, np.int64)
     return np.concatenate(out_sig), np.concatenate(out_text)
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Bits of each set: where an odd number of its n-grams fall. Two sets differ in as many n-grams as bits, or more."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    words = 1 << max(0, int(sizes.mean()) >> 5).bit_length()
+    bit = mix(np.concatenate(sets) ^ _U(0x2545F4914F6CDD1D)) % _U(64 * words)
+    out = np.zeros(len(sets) * words, _U)
+    np.bitwise_xor.at(out, np.repeat(np.arange(len(sets)) * words, sizes) + (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
+    return out.reshape(len(sets), words)
+
+
 def linked(sets: list[np.ndarray], side: np.ndarray, over: int, under: int) -> list[tuple[int, int]]:
-    """A spanning set of the links between ``sets``: every linked pair is connected by the result.
+    """A spanning set of the links between ``sets`` (smallest first): every linked pair is connected by the result.
 
     ``side``: 0 and 1 for the two blocks of a component, whose sets are only compared across (links
-    within a block are found where the block meets itself), or all 0.
+    within a block are found where the block meets itself), or all 0. Only sets whose sizes and
+    sketches let them be linked are compared by their n-grams.
     """
     n = len(sets)
     across = bool(side.any())
     sizes = np.array([len(x) for x in sets], np.int64)
+    sketch = sketches(sets)
+    ends = np.searchsorted(sizes, sizes * under // over, "right")
     flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
     starts = np.concatenate([[0], np.cumsum(sizes)])
     mark = np.zeros(flat.max() + 1, bool)
     group = np.arange(n)
     out = []
     for x in range(n - 1):
-        own = flat[starts[x] : starts[x + 1]]
-        other = group[x + 1 :] != group[x]
+        end = ends[x]
+        other = group[x + 1 : end] != group[x]
         if across:
-            other &= side[x + 1 :] != side[x]
+            other &= side[x + 1 : end] != side[x]
         rest = np.flatnonzero(other) + x + 1
         if not len(rest):
             continue
-        a, b = int(rest[0]), int(rest[-1]) + 1
+        differ = np.bitwise_count(sketch[rest] ^ sketch[x]).sum(axis=1, dtype=np.int64)
+        rest = rest[differ * (under + over) <= (sizes[x] + sizes[rest]) * (under - over)]
+        if not len(rest):
+            continue
+        first = np.concatenate([[0], np.cumsum(sizes[rest])])
+        at = np.arange(first[-1]) + np.repeat(starts[rest] - first[:-1], sizes[rest])
+        own = flat[starts[x] : starts[x + 1]]
         mark[own] = True
-        both = np.add.reduceat(mark[flat[starts[a] : starts[b]]], starts[a:b] - starts[a], dtype=np.int64)[rest - a]
+        both = np.add.reduceat(mark[flat[at]], first[:-1], dtype=np.int64)
         mark[own] = False
         hits = rest[under * both >= over * (sizes[x] + sizes[rest] - both)]
         for y in hits:
@@ -285,7 +309,7 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
 
 
 def _verified(grouped: DataFrame, over: int, under: int) -> DataFrame:
-    """Links (a, b) from rows (root, x, y, side, c, grams) of which those of a (root, x, y) meet."""
+    """Links (a, b) from rows (g, band, x, y, side, c, grams) of which those of a (g, band, x, y) meet."""
 
     def run(batches):
         held, keys, sides, sets = None, [], [], []
@@ -299,10 +323,10 @@ def _verified(grouped: DataFrame, over: int, under: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            roots, xs, ys, side, cs = (batch.column(i).to_pylist() for i in range(5))
-            grams = batch.column(5)
+            gs, bands, xs, ys, side, cs = (batch.column(i).to_pylist() for i in range(6))
+            grams = batch.column(6)
             for i in range(batch.num_rows):
-                at = (roots[i], xs[i], ys[i])
+                at = (gs[i], bands[i], xs[i], ys[i])
                 if at != held:
                     yield from close()
                     held, keys, sides, sets = at, [], [], []
@@ -336,24 +360,53 @@ def links(docs: DataFrame, counted: DataFrame, width: int, over: int, under: int
     from pyspark.sql import Window as W
 
     star = signed.withColumn("m", F.min("c").over(W.partitionBy("s"))).filter(F.col("c") != F.col("m"))
-    reach = materialize(components(star.select(F.col("c").alias("a"), F.col("m").alias("b")).distinct()), "candidates")
-
-    # A large component is cut into blocks, and each pair of blocks meets in a task of its own.
-    sizes = counted.groupBy("c").agg(F.first("n_shingles").alias("n")).join(reach, F.col("c") == F.col("node")).groupBy("root").agg(F.sum("n").alias("tokens"))
-    placed = materialize(reach.join(sizes.select("root", F.ceil(F.col("tokens") / BLOCK_TOKENS).cast("int").alias("blocks")), "root"), "candidate-blocks")
-    sets = _sets(docs, width, _bitmap(reach)).dropDuplicates(["c"])
+    star = materialize(star.select("c", "m", F.col("s").bitwiseAND((1 << BAND_BITS) - 1).cast("int").alias("band")).distinct(), "stars")
+    del signed
+    free(docs.sparkSession)
+    reach = materialize(components(star.select(F.col("c").alias("a"), F.col("m").alias("b"))), "candidates")
+    members = meeting(star, counted, reach)
+    sets = _sets(docs, width, _bitmap(reach)).dropDuplicates(["c"]).select("c", "grams")
     own = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("x"), F.greatest("own", o).alias("y"), (F.col("own") > o).cast("int").alias("side")))
-    spread = sets.join(placed, F.col("c") == F.col("node")).withColumn("own", own).select("root", F.inline(pairs), "c", "grams")
-    grouped = spread.repartition("root", "x", "y").sortWithinPartitions("root", "x", "y").select("root", "x", "y", "side", "c", "grams")
-    return materialize(_verified(grouped, over, under), "links")
+    spread = sets.join(members, "c").withColumn("own", own).select("g", "band", F.inline(pairs), "c", "grams")
+    met = ["g", "band", "x", "y"]
+    grouped = spread.repartition(*met).sortWithinPartitions(*met).select(*met, "side", "c", "grams")
+    found = materialize(_verified(grouped, over, under), "links")
+    del sets, spread, grouped
+    free(docs.sparkSession)
+    return found
+
+
+def meeting(star: DataFrame, counted: DataFrame, reach: DataFrame) -> DataFrame:
+    """(g, band, c, blocks): the classes that meet in a group (g, band), which is cut into ``blocks``.
+
+    Groups are candidate components (band -1); of those larger than a block, the stars (c, m, band) in them.
+    """
+    known = counted.filter("n_shingles > 0").groupBy("c").agg(F.first("n_shingles").alias("n"))
+    nodes = materialize(known.join(reach, known["c"] == reach["node"]).select("c", "root", "n"), "candidate-sizes")
+    # Tables of what is larger than a block have at most a row for each block of the corpus.
+    tokens = F.sum("n").alias("tokens")
+    large = materialize(nodes.groupBy(F.col("root").alias("of")).agg(tokens).filter(F.col("tokens") > BLOCK_TOKENS).select("of"), "large-components")
+    placed = nodes.join(large, F.col("root") == F.col("of"), "left")
+    whole = placed.filter(F.col("of").isNull()).select(F.col("root").alias("g"), F.lit(-1).alias("band"), "c", "n")
+    inside = placed.filter(F.col("of").isNotNull()).select("c", "n")
+    spokes = star.join(inside, "c").select(F.col("m").alias("g"), "band", "c", "n")
+    hubs = star.select(F.col("m").alias("c"), "band").distinct().join(inside, "c").select(F.col("c").alias("g"), "band", "c", "n")
+    members = materialize(whole.unionByName(spokes).unionByName(hubs), "candidate-groups")
+    cut = members.groupBy(F.col("g").alias("of"), F.col("band").alias("at")).agg(tokens).filter(F.col("tokens") > BLOCK_TOKENS)
+    cut = materialize(cut.select("of", "at", F.ceil(F.col("tokens") / BLOCK_TOKENS).cast("int").alias("cut")), "large-groups")
+    placed = members.join(cut, (F.col("g") == F.col("of")) & (F.col("band") == F.col("at")), "left")
+    return placed.select("g", "band", "c", F.coalesce("cut", F.lit(1)).alias("blocks"))
 
 
 def class_roots(docs: DataFrame, counted: DataFrame, width: int, over: int, under: int) -> DataFrame:
     """(c, root) of every class with words: classes with one root are connected by links."""
     roots = components(links(docs, counted, width, over, under))
     known = counted.filter("n_shingles > 0").select("c").distinct()
-    return materialize(known.join(roots, known["c"] == roots["node"], "left").select("c", F.coalesce("root", "c").alias("root")), "class-roots")
+    found = materialize(known.join(roots, known["c"] == roots["node"], "left").select("c", F.coalesce("root", "c").alias("root")), "class-roots")
+    del roots, known
+    free(docs.sparkSession)
+    return found
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, over: int = 80, under: int = 100) -> DataFrame:
@@ -368,12 +421,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, over: int = 80, under: int
 
 def representatives(docs: DataFrame, width: int = 5, over: int = 80, under: int = 100) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest doc_id. Rows without words all stay."""
-    hashed = free_name(docs, "_text")
+    hashed, of, none = (free_name(docs, c) for c in ("_text", "_of", "_none"))
     keyed = docs.withColumn(hashed, F.xxhash64(F.col("text").cast("string")))
     counted = materialize(classes(keyed.select("doc_id", "text", F.col(hashed).alias("t")), width, ["doc_id", "t"]), "shingle-classes")
     roots = class_roots(docs, counted, width, over, under)
     chosen = counted.filter("n_shingles > 0").groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("row")).join(roots, "c")
-    chosen = chosen.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.doc_id").alias("_d"), F.col("row.t").alias("_t"))
+    row = F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")).alias("_d"), F.col("row.none").alias("_n"), F.col("row.t").alias("_t")
+    chosen = materialize(chosen.groupBy("root").agg(F.min("row").alias("row")).select(*row), "representatives")
+    free(docs.sparkSession)
     has_words = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
-    kept = keyed.filter(has_words).join(chosen, keyed["doc_id"].eqNullSafe(chosen["_d"]) & (keyed[hashed] == chosen["_t"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", hashed]).select(*docs.columns).unionByName(docs.filter(~has_words))
+    # The join and the removal of repeated rows go by the same columns, none of them null, so texts move once.
+    keyed = keyed.withColumns({of: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), none: F.col("doc_id").isNull()})
+    kept = keyed.filter(has_words).join(chosen, (keyed[of] == chosen["_d"]) & (keyed[none] == chosen["_n"]) & (keyed[hashed] == chosen["_t"]), "left_semi")
+    return kept.dropDuplicates([of, none, hashed]).select(*docs.columns).unionByName(docs.filter(~has_words))

@@ -62,6 +62,56 @@ def test_large_components_are_cut_into_blocks(docs_of, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == by_hand(rows, 3, 90, 100)
 
 
+def test_chains_of_false_candidates_send_each_set_a_few_times(docs_of, monkeypatch):
+    """Windows over one long text: neighbours share signatures, but only a few are linked."""
+    words = make_text(6, 3200).split()
+    rows = [(i, " ".join(words[10 * i : 10 * i + 60])) for i in range(300)]
+    rows += [(1000 + i, edited(i, rows[i][1], 1)) for i in range(0, 300, 10)]
+    sent = []
+
+    def verified(grouped, over, under, old=jaccard._verified):
+        sent.append(grouped.count())
+        return old(grouped, over, under)
+
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 600)
+    monkeypatch.setattr(jaccard, "_verified", verified)
+    got = jaccard.near_duplicates(docs_of(rows), 5, 80, 100).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == by_hand(rows, 5, 80, 100)
+    assert sent[0] <= 5 * len(rows)
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_linked_sets_of_one_task(across):
+    r = np.random.default_rng(3)
+    sets = []
+    for n in (1, 2, 9, 30, 90, 400):
+        base = r.integers(0, 2**63, n).astype(np.uint64)
+        sets += [np.unique(np.where(r.random(n) < share, r.integers(0, 2**63, n).astype(np.uint64), base)[: n - cut]) for share in (0, 0.05, 0.1, 0.5) for cut in (0, n // 20, n // 8)]
+    sets = sorted((x for x in sets if len(x)), key=len)
+    side = r.integers(0, 2, len(sets)) if across else np.zeros(len(sets), int)
+
+    def joined(pairs):
+        root = list(range(len(sets)))
+        for a, b in pairs:
+            root = [root[a] if x == root[b] else x for x in root]
+        return [root.index(x) for x in root]
+
+    close = [(a, b) for b in range(len(sets)) for a in range(b) if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b])) and (not across or side[a] != side[b])]
+    found = jaccard.linked(sets, side, 4, 5)
+    assert set(found) <= set(close) and joined(found) == joined(close) != list(range(len(sets)))
+
+
+def test_texts_move_once(spark, docs_of, odd_rows):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard.representatives(docs_of(odd_rows))
+        assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # of texts, of those chosen
+        assert Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 2, 3, None, 4, 6, 7, 9, 20])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_schemes_meet_every_linked_pair():
     """For any two sets with enough in common, some signature is shared, whatever the costs chose."""
     r = np.random.default_rng(2)
